@@ -264,3 +264,9 @@ FROM r WHERE rank <= {TOP_GROUPS}""",
 }
 
 ORACLE["outlier_3sigma_join"] = ORACLE["outlier_3sigma"]
+
+# The streaming queries end in the same state as their batch counterparts.
+from quarry.streaming.jobs import STREAM_ORACLE_OF  # noqa: E402
+
+for _stream, _batch in STREAM_ORACLE_OF.items():
+    ORACLE[_stream] = ORACLE[_batch]

@@ -29,6 +29,7 @@ def build_session(master: str | None = None, app: str = "quarry",
         builder = builder.master(master)
     conf = dict(_SQL_DEFAULTS)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -1,5 +1,195 @@
-"""Structured Streaming forms of the running-count and count-window jobs."""
+"""Structured Streaming forms of the running-count and count-window jobs
+(inventory A10, B4-B6, J1-J5, J8, K6, K7).
+
+Every stream reads the table files with ``readStream`` (schema taken from the
+file footer, never inferred from rows), runs with ``trigger(availableNow=True)``
+and writes each micro-batch through ``foreachBatch`` into a parquet folder
+partitioned by batch id, overwriting only that batch's partition, so a retried
+batch replaces its own output. Stream state and outputs live under the shared
+checkpoint folder. The registered query functions run the stream to the end and
+return a DataFrame over what the sink wrote.
+"""
 
 from __future__ import annotations
 
-STREAM_QUERIES: dict = {}
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from quarry.functions import text as T
+from quarry.session import scratch_path
+from quarry.sources.tables import table_path
+
+DEFAULT_WINDOW_N = 300
+
+
+# --- sources and sinks -----------------------------------------------------------
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1) -> DataFrame:
+    """A parquet table as a bounded file stream (A10)."""
+    path = table_path(sf_dir, name)
+    schema = spark.read.parquet(path).schema
+    glob = path[:-1] + "[" + path[-1] + "]"   # a glob, so a single file is accepted as a stream source
+    return (spark.readStream.schema(schema)
+            .option("maxFilesPerTrigger", files_per_trigger)
+            .parquet(glob))
+
+
+def _batch_writer(out: str) -> Callable[[DataFrame, int], None]:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(out))
+    return write
+
+
+def run_to_end(stream: DataFrame, mode: str, label: str) -> str:
+    """Run ``stream`` over everything available, return the sink folder."""
+    spark = stream.sparkSession
+    out = scratch_path(spark, f"{label}-out")
+    ckpt = scratch_path(spark, f"{label}-state")
+    q = (stream.writeStream.outputMode(mode)
+         .foreachBatch(_batch_writer(out))
+         .option("checkpointLocation", ckpt)
+         .trigger(availableNow=True)
+         .start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return out
+
+
+def _read_sink(spark: SparkSession, out: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.parquet(out)
+    except Exception:  # noqa: BLE001 - nothing was written: no batch had rows
+        return spark.createDataFrame([], schema + ", batch_id long")
+
+
+def _last_batch(df: DataFrame) -> DataFrame:
+    last = df.agg(F.max("batch_id")).scalar()
+    return df.where(F.col("batch_id") == last).drop("batch_id")
+
+
+# --- J1: keyed running count, one update per key per micro-batch -------------------
+
+def running_counts(tokens: DataFrame, key: str) -> DataFrame:
+    """Streaming ``groupBy(key).count()``; in update mode each batch emits the
+    keys it changed with their new totals."""
+    return tokens.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+
+
+def latest_counts(sink: DataFrame, key: str) -> DataFrame:
+    """Final state of a running count: each key's value from its last update."""
+    return sink.groupBy(key).agg(F.max_by("n", "batch_id").alias("n"))
+
+
+def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = stream_table(spark, sf_dir, "documents")
+    words = docs.select(F.explode(T.whitespace_tokens(F.col("text"))).alias("word"))
+    out = run_to_end(running_counts(words, "word"), "update", "stream-word-count")
+    return latest_counts(_read_sink(spark, out, "word string, n long"), "word")
+
+
+# --- J2 / B5: ranked summary at the end of the stream ---------------------------------
+
+def stream_top_words(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
+    docs = stream_table(spark, sf_dir, "documents")
+    words = docs.select(F.explode(T.nonword_tokens(F.lower(F.col("text")))).alias("word"))
+    ranked = running_counts(words, "word").orderBy(F.desc("n"), "word").limit(k)
+    out = run_to_end(ranked, "complete", "stream-top")
+    return _last_batch(_read_sink(spark, out, "word string, n long"))
+
+
+# --- J3 / B6: one total at the end of the stream --------------------------------------
+
+def stream_integer_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = stream_table(spark, sf_dir, "documents")
+    nums = docs.select(F.explode(T.digit_tokens(F.col("text"))).alias("t"))
+    total = nums.agg(F.sum(F.col("t").try_cast("decimal(38,0)")).alias("s"))
+    out = run_to_end(total, "complete", "stream-total")
+    last = _last_batch(_read_sink(spark, out, "s decimal(38,0)"))
+    return last.select(F.coalesce(F.col("s"), F.lit(0)).cast("decimal(38,0)").cast("string").alias("total"))
+
+
+# --- J4 / J5 / J8: count windows with explicit state -------------------------------------
+
+_WINDOW_STATE = "n long, cents long"
+_WINDOW_OUT = "window_id long, cents long"
+
+
+def _window_state_fn(n: int):
+    """Accumulate (rows, cents) per window id; emit and forget the window the
+    moment it holds ``n`` rows, so state only holds windows still open."""
+
+    def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows, cents = state.get if state.exists else (0, 0)
+        for pdf in batches:
+            rows += len(pdf)
+            cents += int(pdf["cents"].sum())
+        if rows >= n:
+            state.remove()
+            yield pd.DataFrame({"window_id": [int(key[0])], "cents": [cents]})
+        else:
+            state.update((rows, cents))
+    return fn
+
+
+def count_window_stream(values: DataFrame, seq: Column, cents: Column, n: int) -> DataFrame:
+    """Windows of ``n`` consecutive sequence numbers; a window is emitted once,
+    when complete; an incomplete last window never is (J5)."""
+    keyed = values.select((F.floor(seq / F.lit(n))).cast("long").alias("window_id"), cents.alias("cents"))
+    return keyed.groupBy("window_id").applyInPandasWithState(
+        _window_state_fn(n), _WINDOW_OUT, _WINDOW_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def _event_cents(events: DataFrame) -> Column:
+    return (F.col("value").cast("decimal(18,2)") * 100).cast("long")
+
+
+def _cents_to_double(c: str) -> Column:
+    return (F.col(c).cast("decimal(20,0)") / F.lit(100)).cast("decimal(18,2)").cast("double")
+
+
+def stream_count_window_sum(spark: SparkSession, sf_dir: str, n: int = DEFAULT_WINDOW_N) -> DataFrame:
+    """``event_id`` is the arrival sequence (dense from 0) of the event stream."""
+    ev = stream_table(spark, sf_dir, "events")
+    windows = count_window_stream(ev, F.col("event_id"), _event_cents(ev), n)
+    out = run_to_end(windows, "append", "stream-window")
+    sink = _read_sink(spark, out, _WINDOW_OUT)
+    return sink.select("window_id", _cents_to_double("cents").alias("total"))
+
+
+def stream_count_window_running_sum(spark: SparkSession, sf_dir: str,
+                                    n: int = DEFAULT_WINDOW_N) -> DataFrame:
+    """Running total after each complete window (J8): windows come from the
+    stateful stream; the running total is taken over the emitted windows."""
+    from quarry.operators.ordering import bucketed_running_sum
+
+    ev = stream_table(spark, sf_dir, "events")
+    windows = count_window_stream(ev, F.col("event_id"), _event_cents(ev), n)
+    out = run_to_end(windows, "append", "stream-running")
+    sink = _read_sink(spark, out, _WINDOW_OUT).select("window_id", "cents")
+    run = bucketed_running_sum(sink, "window_id", "cents", "_run")
+    return run.select("window_id", _cents_to_double("_run").alias("running_total"))
+
+
+STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "stream_word_count": stream_word_count,
+    "stream_top10": stream_top_words,
+    "stream_total": stream_integer_total,
+    "stream_count_window": stream_count_window_sum,
+    "stream_count_window_running_sum": stream_count_window_running_sum,
+}
+
+# Each stream's final result equals a batch query's; they share its oracle.
+STREAM_ORACLE_OF = {
+    "stream_word_count": "word_count",
+    "stream_top10": "word_count_lower_top10",
+    "stream_total": "integer_total",
+    "stream_count_window": "count_window_sum",
+    "stream_count_window_running_sum": "count_window_running_sum",
+}
