@@ -113,12 +113,17 @@ def read_multiline_json_objects(spark: SparkSession, path: str, schema: T.Struct
     files split across tasks like any text file. Returns the parsed struct ``j``
     plus ``_corrupt`` (true when the object did not parse).
     """
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    fields = [f.name for f in st.fields]
+    with_bad = T.StructType(st.fields + [T.StructField("_corrupt_record", T.StringType())])
     raw = spark.read.option("lineSep", "\n}\n").text(path)
     body = F.regexp_replace(F.col("value"), r"\n}\s*$", "")
     obj = F.concat(body, F.lit("\n}"))
     parsed = raw.where(F.trim("value") != "").select(
-        F.from_json(obj, schema, {"mode": "PERMISSIVE"}).alias("j"), obj.alias("_raw"))
-    return parsed.select("j", F.col("j").isNull().alias("_corrupt"))
+        F.from_json(obj, with_bad, {"mode": "PERMISSIVE",
+                                    "columnNameOfCorruptRecord": "_corrupt_record"}).alias("_p"))
+    return parsed.select(F.struct(*[F.col("_p." + n).alias(n) for n in fields]).alias("j"),
+                         F.col("_p._corrupt_record").isNotNull().alias("_corrupt"))
 
 
 def json_array_path(df: DataFrame, json_col: str, schema: T.StructType | str, path: str,

@@ -1,0 +1,95 @@
+"""File-based readers and writers: multi-line JSON, positional split, text sinks."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+from pyspark.sql import functions as F
+
+from conftest import rows
+from quarry.sinks.text import write_delimited, write_static_ranges, write_tuples
+from quarry.sources.text import (json_array_path, positional_fields, read_lines,
+                                 read_multiline_json_objects)
+
+TWEETS = """{
+  "id": 1,
+  "entities": {"hashtags": [{"text": "a"}, {"text": "b"}]}
+}
+{
+  "id": 2,
+  "entities": {"hashtags": [{"text": "a"}]}
+}
+{
+  "id": 3,
+  "entities": {"hashtags": [{"text": "broken"
+}
+{
+  "id": 4
+}
+"""
+
+SCHEMA = "id long, entities struct<hashtags: array<struct<text: string>>>"
+
+
+def test_multiline_json_hashtags(spark, tmp_out):
+    p = os.path.join(tmp_out, "tweets.json")
+    with open(p, "w") as f:
+        f.write(TWEETS)
+    objs = read_multiline_json_objects(spark, p, SCHEMA)
+    assert objs.count() == 4
+    assert objs.where("_corrupt").count() == 1
+    tags = objs.where(~F.col("_corrupt")).select(F.explode("j.entities.hashtags.text").alias("tag"))
+    counts = tags.groupBy("tag").count().orderBy("count", "tag")
+    assert [tuple(r) for r in counts.collect()] == [("b", 1), ("a", 2)]
+
+
+def test_json_array_path_string_column(spark):
+    df = spark.createDataFrame([('{"entities": {"hashtags": [{"text": "x"}]}}',), ("oops",), ('{"id": 1}',)],
+                               "js string")
+    got = rows(json_array_path(df, "js", SCHEMA, "entities.hashtags.text"))
+    assert got == [("x",)]
+
+
+def test_positional_fields(spark, tmp_out):
+    p = os.path.join(tmp_out, "stocks.csv")
+    with open(p, "w") as f:
+        f.write("AAPL,2010-01-04,30.5\nMSFT,2011-02-01,bad\nshort\n")
+    got = rows(positional_fields(read_lines(spark, p), ",",
+                                 {"ticker": (0, "string"), "date": (1, "string"), "price": (2, "double")}))
+    assert got == [("AAPL", "2010-01-04", 30.5), ("MSFT", "2011-02-01", None), ("short", None, None)]
+
+
+def _read_all(path):
+    out = []
+    for f in sorted(glob.glob(os.path.join(path, "**", "part-*"), recursive=True)):
+        with open(f) as fh:
+            out += [ln.rstrip("\n") for ln in fh]
+    return out
+
+
+def test_text_sinks(spark, tmp_out):
+    df = spark.createDataFrame([("to be", 3), ("be or", 1)], "k string, n long")
+    write_delimited(df, os.path.join(tmp_out, "kv"), ["k", "n"])
+    assert sorted(_read_all(os.path.join(tmp_out, "kv"))) == ["be or\t1", "to be\t3"]
+    write_tuples(df, os.path.join(tmp_out, "tup"), "k", "n")
+    assert sorted(_read_all(os.path.join(tmp_out, "tup"))) == ["(be or,1)", "(to be,3)"]
+
+
+def test_static_range_files(spark, tmp_out):
+    keys = ["zz", "6a", "Dz", "7a", "bq", "Ez", "cq", "-x", "ca"]
+    df = spark.createDataFrame([(k, str(i)) for i, k in enumerate(keys)], "key string, value string")
+    ten = os.path.join(tmp_out, "ten")
+    write_static_ranges(df, ten, "key", "value", exact_ten=True)
+    files = sorted(glob.glob(os.path.join(ten, "part-*")))
+    # part b holds range b (empty ranges write no file): 0, 1, 2, 5, 6, 9 are used here
+    content = {int(os.path.basename(f)[5:10]): open(f).read().split() for f in files}
+    assert sorted(content) == [0, 1, 2, 5, 6, 9]
+    assert [ln for ln in content[6] if not ln.isdigit()] == ["ca", "cq"]
+    assert [ln for ln in content[0] if not ln.isdigit()] == ["-x", "6a"]
+    assert [ln for ln in content[1] if not ln.isdigit()] == ["7a", "Dz"]
+    spread = os.path.join(tmp_out, "spread")
+    write_static_ranges(df, spread, "key", "value")
+    dirs = sorted(d for d in os.listdir(spread) if d.startswith("bucket="))
+    assert dirs == ["bucket=0", "bucket=1", "bucket=2", "bucket=5", "bucket=6", "bucket=9"]
+    assert [ln.split("\t")[0] for ln in _read_all(os.path.join(spread, "bucket=6"))] == ["ca", "cq"]
