@@ -62,16 +62,24 @@ def cleaned_words(line: Column) -> Column:
 
 
 def adjacent_pairs(words: Column, sep: str = " ") -> Column:
-    """``[w1, w2, w3]`` -> ``['w1 w2', 'w2 w3']``; fewer than two words -> ``[]``."""
+    """``[w1, w2, w3]`` -> ``['w1 w2', 'w2 w3']``; fewer than two words -> ``[]``.
+
+    ``words`` is referenced three times: pass a column reference (or a lambda
+    variable), not a tokenising expression, or the tokeniser runs three times.
+    """
     n = F.greatest(F.size(words) - 1, F.lit(0))
     return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n),
                       lambda a, b: F.concat(a, F.lit(sep), b))
 
 
-def sentence_bigrams(text: Column) -> Column:
-    """Lower-cased bigrams that never cross a sentence end or a line end."""
-    return F.flatten(F.transform(sentences(F.lower(text), extra="\n"),
-                                 lambda s: adjacent_pairs(nonword_tokens(s))))
+def sentence_words(text: Column) -> Column:
+    """Lower-cased ``\\W+`` words of each sentence (sentences end at ``.!?`` or a line end)."""
+    return F.transform(sentences(F.lower(text), extra="\n"), nonword_tokens)
+
+
+def sentence_bigrams_of_words(sentence_words_col: Column) -> Column:
+    """In-sentence bigrams from the output of ``sentence_words``."""
+    return F.flatten(F.transform(sentence_words_col, lambda w: adjacent_pairs(w)))
 
 
 def digit_tokens(text: Column) -> Column:

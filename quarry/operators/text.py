@@ -57,7 +57,8 @@ def total_of_counts(counts: DataFrame, n: str = "n") -> DataFrame:
 
 def line_bigram_count(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Cleaned in-line bigrams ``'w1 w2'`` and their counts."""
-    return count_tokens(lines, T.adjacent_pairs(T.cleaned_words(F.col(line_col))), out="bigram")
+    words = lines.select(T.cleaned_words(F.col(line_col)).alias("_w"))
+    return count_tokens(words, T.adjacent_pairs(F.col("_w")), out="bigram")
 
 
 def reaggregate(counts: DataFrame, key: str, n: str = "n") -> DataFrame:
@@ -71,7 +72,8 @@ def representative_per_count(counts: DataFrame, key: str = "bigram", n: str = "n
 
 
 def sentence_bigram_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    return count_tokens(docs, T.sentence_bigrams(F.col(text_col)), out="bigram")
+    words = docs.select(T.sentence_words(F.col(text_col)).alias("_sw"))
+    return count_tokens(words, T.sentence_bigrams_of_words(F.col("_sw")), out="bigram")
 
 
 def cross_line_bigram_count(lines: DataFrame, bucket_width: int = 4096) -> DataFrame:
@@ -97,6 +99,17 @@ def cross_line_bigram_count(lines: DataFrame, bucket_width: int = 4096) -> DataF
             .groupBy("bigram").agg(F.count(F.lit(1)).alias("n")))
 
 
+def cross_line_bigram_count_per_document(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The cross-line bigrams when each document is one row: the lines of a
+    document are paired inside its row, so the only shuffle is the final count."""
+    per_line = F.transform(F.split(F.col(text_col), "\n"), T.cleaned_words)
+    ne = docs.select(F.filter(per_line, lambda w: F.size(w) > 0).alias("_ne"))
+    m = F.greatest(F.size("_ne") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("_ne", 1, m), F.slice("_ne", 2, m),
+                       lambda a, b: F.concat(F.element_at(a, -1), F.lit(" "), F.element_at(b, 1)))
+    return count_tokens(ne, pairs, out="bigram")
+
+
 def json_path_count(df: DataFrame, json_col: str, path: str, out: str = "tag",
                     descending: bool = False) -> DataFrame:
     """Count the string value at a JSON path (``$.a.b``); malformed or missing -> skipped."""

@@ -20,12 +20,21 @@ def window_id(ordinal: str | Column, n: int) -> Column:
 
 
 def complete_windows(df: DataFrame, ordinal: str, n: int) -> DataFrame:
-    """Ids of windows that hold exactly ``n`` rows (partial counts per task)."""
+    """Ids of windows that hold exactly ``n`` rows (partial counts per task).
+
+    For a dense ordinal 0..T-1 prefer ``is_complete(window_id, T, n)`` with T a
+    scalar: it needs no second pass over the rows.
+    """
     return (df.groupBy(window_id(ordinal, n).alias("window_id"))
             .agg(F.count(F.lit(1)).alias("_c"))
             .where(F.col("_c") == n).select("window_id"))
 
 
+def is_complete(wid: Column, total_rows: Column, n: int) -> Column:
+    """Window ``wid`` of a dense ordinal 0..total_rows-1 holds ``n`` rows."""
+    return wid < F.floor(total_rows / F.lit(n))
+
+
 def count_window_sum(df: DataFrame, ordinal: str, value: str, n: int) -> DataFrame:
     """Sum of ``value`` per complete window; exact decimal sum returned as double."""
     return (df.groupBy(window_id(ordinal, n).alias("window_id"))
@@ -49,13 +58,17 @@ def count_window_running_sum(df: DataFrame, ordinal: str, value: str, n: int,
     return run.select("window_id", F.col("_r").cast("double").alias("running_total"))
 
 
-def count_window_top_k(items: DataFrame, windows_ok: DataFrame, item: str, k: int) -> DataFrame:
+def count_window_top_k(items: DataFrame, windows_ok: DataFrame | Column, item: str, k: int) -> DataFrame:
     """Top-k items by count inside each complete window (ties by item).
 
-    ``items`` has ``window_id`` and ``item``; ``windows_ok`` lists complete windows.
+    ``items`` has ``window_id`` and ``item``; ``windows_ok`` lists complete
+    windows, or is a boolean column over ``window_id`` (see ``is_complete``).
     """
-    counts = (items.join(windows_ok, "window_id", "left_semi")
-              .groupBy("window_id", item).agg(F.count(F.lit(1)).alias("n")))
+    if isinstance(windows_ok, DataFrame):
+        kept = items.join(windows_ok, "window_id", "left_semi")
+    else:
+        kept = items.where(windows_ok)
+    counts = kept.groupBy("window_id", item).agg(F.count(F.lit(1)).alias("n"))
     return top_k_per_group(counts, ["window_id"], [F.desc("n"), F.col(item)], k)
 
 
@@ -65,20 +78,29 @@ def _group_partials(df: DataFrame, ordinal: str, group: str, item: str, value: s
             .agg(F.count(F.lit(1)).alias("n"), F.max(tie).alias("best")))
 
 
+def _keep_complete(parts: DataFrame, df: DataFrame, ordinal: str, n: int,
+                   total_rows: Column | None) -> DataFrame:
+    if total_rows is not None:
+        return parts.where(is_complete(F.col("window_id"), total_rows, n))
+    return parts.join(complete_windows(df, ordinal, n), "window_id", "left_semi")
+
+
 def count_window_group_top(df: DataFrame, ordinal: str, group: str, item: str, value: str,
-                           n: int, k: int) -> DataFrame:
+                           n: int, k: int, total_rows: Column | None = None) -> DataFrame:
     """Per complete window: per group count, max value and its item (earliest row
-    wins a tie); the k groups with most rows (ties by group)."""
+    wins a tie); the k groups with most rows (ties by group).
+
+    ``total_rows`` (a scalar column) marks the ordinal as dense 0..T-1, which
+    lets completeness be decided without another pass over ``df``."""
     parts = _group_partials(df, ordinal, group, item, value, n)
-    ok = complete_windows(df, ordinal, n)
-    parts = parts.join(ok, "window_id", "left_semi")
+    parts = _keep_complete(parts, df, ordinal, n, total_rows)
     top = top_k_per_group(parts, ["window_id"], [F.desc("n"), F.col(group)], k)
     return top.select("window_id", "rank", group, "n",
                       F.col("best.v").alias("max_value"), F.col("best.i").alias("top_item"))
 
 
 def cumulative_group_top(df: DataFrame, ordinal: str, group: str, item: str, value: str,
-                         n: int, k: int) -> DataFrame:
+                         n: int, k: int, total_rows: Column | None = None) -> DataFrame:
     """After every complete window: per group count, max and argmax over all rows
     so far, and the k groups with most rows so far.
 
@@ -87,8 +109,10 @@ def cumulative_group_top(df: DataFrame, ordinal: str, group: str, item: str, val
     grid); per-group running aggregates then read only that group's windows.
     """
     parts = _group_partials(df, ordinal, group, item, value, n)
-    ok = complete_windows(df, ordinal, n)
-    last = ok.agg(F.max("window_id")).scalar()  # scalar subquery, evaluated once
+    if total_rows is not None:
+        last = F.floor(total_rows / F.lit(n)) - 1
+    else:
+        last = complete_windows(df, ordinal, n).agg(F.max("window_id")).scalar()  # scalar subquery
     first = parts.groupBy(group).agg(F.min("window_id").alias("_first"))
     grid = (first.withColumn("_last", last)
             .where(F.col("_first") <= F.col("_last"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quarry.functions import text as T
 from quarry.functions.scalars import static_range_bucket
 from quarry.operators import graph, ordering, relational, stats, text, windows
-from quarry.sources.tables import load
+from quarry.sources.tables import load, spread
 from quarry.sources.text import document_lines, n_line_records_per_document
 
 # Parameters of the registered queries.
@@ -29,7 +29,7 @@ TOP_WORDS, TOP_GROUPS = 10, 7
 # --- table stand-ins ------------------------------------------------------
 
 def _docs(spark, d):
-    return load(spark, d, "documents").select("doc_id", "text")
+    return spread(load(spark, d, "documents").select("doc_id", "text"))
 
 
 def _lines(spark, d):
@@ -49,23 +49,28 @@ def _event_edges(spark, d):
 
 
 def _event_ordinals(spark, d):
-    """events with their arrival ordinal (rank by event_id, 0-based)."""
-    return ordering.bucketed_ordinal(_events(spark, d), "event_id", out="ord")
+    """events with their arrival ordinal (rank by event_id, 0-based), and the
+    row total as a scalar subquery."""
+    ev = _events(spark, d)
+    return ordering.bucketed_ordinal(ev, "event_id", out="ord"), ev.agg(F.count(F.lit(1))).scalar()
 
 
 def _line_ordinals(spark, d):
-    """Document lines with a global ordinal in (doc_id, line_no) order.
+    """Document lines with a global ordinal in (doc_id, line_no) order, and the
+    total number of lines as a scalar subquery.
 
-    Only the per-document line counts go through the bucketed prefix sum; a
-    line's ordinal is its document's offset plus its line number.
+    Only per-document line counts go through the bucketed prefix sum; each
+    document gets its offset before its lines are generated, and a line's
+    ordinal is that offset plus its line number.
     """
-    docs = _docs(spark, d).select("doc_id", F.split("text", "\n").alias("_ls"))
-    offs = ordering.bucketed_running_sum(docs.select("doc_id", F.size("_ls").cast("long").alias("_n")),
-                                         "doc_id", "_n", "_off", inclusive=False)
-    lines = docs.select("doc_id", F.posexplode("_ls").alias("line_no", "line")) \
-        .withColumn("line_no", F.col("line_no").cast("long"))
-    return lines.join(offs.select("doc_id", "_off"), "doc_id") \
-        .withColumn("ord", F.col("_off") + F.col("line_no")).drop("_off")
+    counts = load(spark, d, "documents").select(
+        "doc_id", F.size(F.split("text", "\n")).cast("long").alias("_n"))
+    offs = ordering.bucketed_running_sum(counts, "doc_id", "_n", "_off", inclusive=False)
+    total = counts.agg(F.sum("_n")).scalar()
+    docs = _docs(spark, d).join(offs.select("doc_id", "_off"), "doc_id")
+    lines = docs.select("doc_id", "_off", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return (lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "line",
+                         (F.col("_off") + F.col("line_no")).alias("ord")), total)
 
 
 # --- text family --------------------------------------------------------------
@@ -103,7 +108,7 @@ def q_bigram_sentence(spark, d):
 
 
 def q_bigram_cross_line(spark, d):
-    return text.cross_line_bigram_count(_lines(spark, d))
+    return text.cross_line_bigram_count_per_document(_docs(spark, d))
 
 
 def q_two_line_records(spark, d):
@@ -237,17 +242,19 @@ def q_triangle_count(spark, d):
 # --- count windows (batch) -----------------------------------------------------------
 
 def q_count_window_sum(spark, d):
-    return windows.count_window_sum(_event_ordinals(spark, d), "ord", "value", WINDOW_SUM_N)
+    ev, _ = _event_ordinals(spark, d)
+    return windows.count_window_sum(ev, "ord", "value", WINDOW_SUM_N)
 
 
 def q_count_window_running_sum(spark, d):
-    return windows.count_window_running_sum(_event_ordinals(spark, d), "ord", "value", WINDOW_SUM_N)
+    ev, _ = _event_ordinals(spark, d)
+    return windows.count_window_running_sum(ev, "ord", "value", WINDOW_SUM_N)
 
 
 def _line_windows(spark, d):
-    lines = _line_ordinals(spark, d)
-    ok = windows.complete_windows(lines, "ord", LINE_WINDOW_N)
-    return lines.withColumn("window_id", windows.window_id("ord", LINE_WINDOW_N)), ok
+    lines, total = _line_ordinals(spark, d)
+    wid = windows.window_id("ord", LINE_WINDOW_N)
+    return lines.withColumn("window_id", wid), windows.is_complete(F.col("window_id"), total, LINE_WINDOW_N)
 
 
 def q_count_window_word_top10(spark, d):
@@ -258,18 +265,21 @@ def q_count_window_word_top10(spark, d):
 
 def q_count_window_bigram_top10(spark, d):
     lines, ok = _line_windows(spark, d)
-    items = lines.select("window_id", F.explode(T.sentence_bigrams(F.col("line"))).alias("bigram"))
+    words = lines.select("window_id", T.sentence_words(F.col("line")).alias("_sw"))
+    items = words.select("window_id", F.explode(T.sentence_bigrams_of_words(F.col("_sw"))).alias("bigram"))
     return windows.count_window_top_k(items, ok, "bigram", TOP_WORDS)
 
 
 def q_count_window_group_top7(spark, d):
-    return windows.count_window_group_top(_event_ordinals(spark, d), "ord", "user_id", "event_id",
-                                          "value", GROUP_WINDOW_N, TOP_GROUPS)
+    ev, total = _event_ordinals(spark, d)
+    return windows.count_window_group_top(ev, "ord", "user_id", "event_id", "value",
+                                          GROUP_WINDOW_N, TOP_GROUPS, total_rows=total)
 
 
 def q_cumulative_group_top7(spark, d):
-    return windows.cumulative_group_top(_event_ordinals(spark, d), "ord", "user_id", "event_id",
-                                        "value", GROUP_WINDOW_N, TOP_GROUPS)
+    ev, total = _event_ordinals(spark, d)
+    return windows.cumulative_group_top(ev, "ord", "user_id", "event_id", "value",
+                                        GROUP_WINDOW_N, TOP_GROUPS, total_rows=total)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -19,6 +19,19 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the scan itself yields
+    fewer input splits than there are cores (a small file with one row group).
+
+    Used before CPU-heavy per-row work such as tokenising text. On large inputs
+    the scan already has far more splits than cores and this adds nothing.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     for name in names:
         load(spark, sf_dir, name).createOrReplaceTempView(name)
