@@ -69,6 +69,16 @@ def fold_byte_lanes(folded: Column) -> Column:
     return signed_byte(lanes)
 
 
+def byte_range(data: Column, offset: int, length: int) -> Column:
+    """Bytes ``[offset, offset + length)`` of a binary value, clipped to its end
+    (a read past the end contributes nothing, as zero bytes do to a XOR)."""
+    return F.substring(data, offset + 1, length)
+
+
+def xor_of_byte_range(data: Column, offset: int, length: int) -> Column:
+    return xor_of_bytes(byte_range(data, offset, length))
+
+
 def signed_byte(v: Column) -> Column:
     return F.when(v >= 128, v - 256).otherwise(v).cast("int")
 

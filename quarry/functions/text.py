@@ -82,6 +82,16 @@ def sentence_bigrams_of_words(sentence_words_col: Column) -> Column:
     return F.flatten(F.transform(sentence_words_col, lambda w: adjacent_pairs(w)))
 
 
+def full_match(s: Column, pattern: str) -> Column:
+    """True when the whole string matches ``pattern`` (not just a substring)."""
+    return s.rlike(f"^(?:{pattern})$")
+
+
+def quoted(s: Column) -> Column:
+    """A JSON string value rendered with its quotes (``"tag"``)."""
+    return F.to_json(F.struct(s.alias("v"))).substr(F.lit(6), F.length(F.to_json(F.struct(s.alias("v")))) - 6)
+
+
 def digit_tokens(text: Column) -> Column:
     """Tokens of ``\\W+`` that are all digits (a minus sign is a separator)."""
     return F.filter(F.split(text, r"\W+"), lambda x: x.rlike("^[0-9]+$"))

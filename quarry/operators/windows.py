@@ -68,7 +68,10 @@ def count_window_top_k(items: DataFrame, windows_ok: DataFrame | Column, item: s
         kept = items.join(windows_ok, "window_id", "left_semi")
     else:
         kept = items.where(windows_ok)
-    counts = kept.groupBy("window_id", item).agg(F.count(F.lit(1)).alias("n"))
+    # One exchange on window_id serves both the count and the ranking (a window
+    # holds only N input rows, so this key cannot be skewed).
+    counts = (kept.repartition("window_id")
+              .groupBy("window_id", item).agg(F.count(F.lit(1)).alias("n")))
     return top_k_per_group(counts, ["window_id"], [F.desc("n"), F.col(item)], k)
 
 

@@ -127,11 +127,16 @@ def read_multiline_json_objects(spark: SparkSession, path: str, schema: T.Struct
 
 
 def json_array_path(df: DataFrame, json_col: str, schema: T.StructType | str, path: str,
-                    out: str = "tag") -> DataFrame:
+                    out: str = "tag", quoted: bool = False) -> DataFrame:
     """Explode ``path`` (dotted, arrays iterate) of parsed JSON; absent keys and
-    malformed objects give no rows (A9)."""
+    malformed objects give no rows (A9). ``quoted`` renders each value as JSON
+    text, quotes included (I22)."""
     parsed = df.select(F.from_json(F.col(json_col), schema).alias("j"))
-    return parsed.select(F.explode(F.col("j." + path)).alias(out)).where(F.col(out).isNotNull())
+    tags = parsed.select(F.explode(F.col("j." + path)).alias(out)).where(F.col(out).isNotNull())
+    if quoted:
+        from quarry.functions.text import quoted as q
+        tags = tags.select(q(F.col(out)).alias(out))
+    return tags
 
 
 # --- A12: bytes of a text -----------------------------------------------------------

@@ -1,5 +1,5 @@
 """Structured Streaming forms of the running-count and count-window jobs
-(inventory A10, B4-B6, J1-J5, J8, K6, K7).
+(inventory A10, B4-B6, J1-J5, J8, J9, K6, K7).
 
 Every stream reads the table files with ``readStream`` (schema taken from the
 file footer, never inferred from rows), runs with ``trigger(availableNow=True)``
@@ -12,6 +12,7 @@ return a DataFrame over what the sink wrote.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -177,12 +178,66 @@ def stream_count_window_running_sum(spark: SparkSession, sf_dir: str,
     return run.select("window_id", _cents_to_double("_run").alias("running_total"))
 
 
+# --- J9: per-window group count / max / argmax, top-k groups -----------------------------
+
+_GROUP_STATE = "rows long, groups string"
+_GROUP_OUT = "window_id long, rank long, user_id long, n long, max_value double, top_item long"
+
+
+def _group_window_fn(n: int, k: int):
+    """State per open window: rows seen and, per group, [count, max value,
+    ordinal of the first row with that max, its item]. At most ``n`` rows ever
+    reach one window, so the state is bounded; it is dropped on completion."""
+
+    def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows, blob = state.get if state.exists else (0, "{}")
+        acc = {int(g): v for g, v in json.loads(blob).items()}
+        for pdf in batches:
+            rows += len(pdf)
+            counts = pdf.groupby("grp").size()
+            best = (pdf.sort_values(["value", "ord"], ascending=[False, True])
+                    .groupby("grp", sort=False).head(1))
+            for g, c in counts.items():
+                acc.setdefault(int(g), [0, None, None, None])[0] += int(c)
+            for r in best.itertuples(index=False):
+                cur = acc[int(r.grp)]
+                if cur[1] is None or r.value > cur[1] or (r.value == cur[1] and r.ord < cur[2]):
+                    cur[1], cur[2], cur[3] = float(r.value), int(r.ord), int(r.item)
+        if rows < n:
+            state.update((rows, json.dumps(acc)))
+            return
+        state.remove()
+        top = sorted(acc.items(), key=lambda kv: (-kv[1][0], kv[0]))[:k]
+        yield pd.DataFrame({"window_id": [int(key[0])] * len(top),
+                            "rank": list(range(1, len(top) + 1)),
+                            "user_id": [g for g, _ in top],
+                            "n": [v[0] for _, v in top],
+                            "max_value": [v[1] for _, v in top],
+                            "top_item": [v[3] for _, v in top]})
+    return fn
+
+
+def group_window_stream(events: DataFrame, n: int, k: int) -> DataFrame:
+    keyed = events.select(F.floor(F.col("event_id") / F.lit(n)).cast("long").alias("window_id"),
+                          F.col("event_id").alias("ord"), F.col("user_id").alias("grp"),
+                          F.col("event_id").alias("item"), "value")
+    return keyed.groupBy("window_id").applyInPandasWithState(
+        _group_window_fn(n, k), _GROUP_OUT, _GROUP_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def stream_count_window_group_top(spark: SparkSession, sf_dir: str, n: int = 1000, k: int = 7) -> DataFrame:
+    ev = stream_table(spark, sf_dir, "events")
+    out = run_to_end(group_window_stream(ev, n, k), "append", "stream-group-top")
+    return _read_sink(spark, out, _GROUP_OUT).drop("batch_id")
+
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_word_count": stream_word_count,
     "stream_top10": stream_top_words,
     "stream_total": stream_integer_total,
     "stream_count_window": stream_count_window_sum,
     "stream_count_window_running_sum": stream_count_window_running_sum,
+    "stream_count_window_group_top7": stream_count_window_group_top,
 }
 
 # Each stream's final result equals a batch query's; they share its oracle.
@@ -192,4 +247,5 @@ STREAM_ORACLE_OF = {
     "stream_total": "integer_total",
     "stream_count_window": "count_window_sum",
     "stream_count_window_running_sum": "count_window_running_sum",
+    "stream_count_window_group_top7": "count_window_group_top7",
 }

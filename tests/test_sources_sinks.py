@@ -93,3 +93,24 @@ def test_static_range_files(spark, tmp_out):
     dirs = sorted(d for d in os.listdir(spread) if d.startswith("bucket="))
     assert dirs == ["bucket=0", "bucket=1", "bucket=2", "bucket=5", "bucket=6", "bucket=9"]
     assert [ln.split("\t")[0] for ln in _read_all(os.path.join(spread, "bucket=6"))] == ["ca", "cq"]
+
+
+def test_json_quoted_rendering(spark):
+    df = spark.createDataFrame([('{"entities": {"hashtags": [{"text": "x\\"y"}, {"text": "z"}]}}',)], "js string")
+    got = rows(json_array_path(df, "js", SCHEMA, "entities.hashtags.text", quoted=True))
+    assert got == [('"x\\"y"',), ('"z"',)]
+
+
+def test_byte_range_xor(spark):
+    from quarry.functions.scalars import xor_of_byte_range
+    df = spark.createDataFrame([(bytearray(b"zzabcq"),)], "b binary")
+    got = df.select(xor_of_byte_range(F.col("b"), 2, 3).alias("a"),
+                    xor_of_byte_range(F.col("b"), 4, 1000).alias("clipped"),
+                    xor_of_byte_range(F.col("b"), 100, 10).alias("past_end")).first()
+    assert (got.a, got.clipped, got.past_end) == (96, ord("c") ^ ord("q"), 0)
+
+
+def test_full_match(spark):
+    from quarry.functions.text import full_match
+    df = spark.createDataFrame([("tcp",), ("tcpx",), ("udp",)], "p string")
+    assert [r[0] for r in df.select(full_match(F.col("p"), "tcp")).collect()] == [True, False, False]
