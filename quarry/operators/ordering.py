@@ -48,21 +48,24 @@ def bucketed_running_sum(df: DataFrame, order_key: str, value: Column | str, out
 
     ``partition_by`` restarts the total per group; a hot group is still split
     into buckets of ``bucket_width`` keys, so no task receives a whole group.
+    The input is read and shuffled once: the per-bucket totals are taken from
+    the same bucket-partitioned rows as the local running sums (the exchange is
+    reused), and only those totals meet in the cross-bucket prefix.
     """
     v = F.col(value) if isinstance(value, str) else value
     parts = list(partition_by)
     b = "_qb"
     with_b = df.withColumn(b, _floor_div(F.col(order_key), bucket_width)).withColumn("_qv", v)
-    per_bucket = with_b.groupBy(*parts, b).agg(F.sum("_qv").alias("_qt"))
+    end = 0 if inclusive else -1
+    local_w = (Window.partitionBy(*parts, b).orderBy(order_key, *tie_breakers)
+               .rowsBetween(Window.unboundedPreceding, end))
+    local = with_b.withColumn("_ql", F.coalesce(F.sum("_qv").over(local_w), F.lit(0)))
+    per_bucket = local.groupBy(*parts, b).agg(F.sum("_qv").alias("_qt"))
     if parts:
         w = Window.partitionBy(*parts).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
         offsets = per_bucket.select(*parts, b, F.coalesce(F.sum("_qt").over(w), F.lit(0)).alias("_qo"))
     else:
         offsets = _bucket_prefix(per_bucket, b, "_qt", "_qo")
-    end = 0 if inclusive else -1
-    local_w = (Window.partitionBy(*parts, b).orderBy(order_key, *tie_breakers)
-               .rowsBetween(Window.unboundedPreceding, end))
-    local = with_b.withColumn("_ql", F.coalesce(F.sum("_qv").over(local_w), F.lit(0)))
     return (local.join(offsets, [*parts, b])
             .withColumn(out, F.col("_qo") + F.col("_ql"))
             .drop(b, "_qv", "_qo", "_ql"))
@@ -88,9 +91,12 @@ def global_rank(df: DataFrame, order_cols: Sequence[Column | str], out: str = "r
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    sorted_df = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    # Without an explicit count the range exchange starts from the session's
+    # shuffle partitions and adaptive execution may merge neighbours; merged
+    # partitions are contiguous ranges, so the order across partition ids holds.
+    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    sorted_df = (ranged.sortWithinPartitions(*cols)
                  .withColumn("_qp", F.spark_partition_id())
                  .withColumn("_qm", F.monotonically_increasing_id()))
     sorted_df = sorted_df.checkpoint(eager=True)

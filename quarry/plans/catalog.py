@@ -63,16 +63,15 @@ def _line_ordinals(spark, d):
     document gets its offset before its lines are generated, and a line's
     ordinal is that offset plus its line number.
     """
-    counts = load(spark, d, "documents").select(
-        "doc_id", F.size(F.split("text", "\n")).cast("long").alias("_n"))
+    scan = load(spark, d, "documents").select("doc_id", "text")
+    counts = scan.select("doc_id", F.size(F.split("text", "\n")).cast("long").alias("_n"))
     offs = ordering.bucketed_running_sum(counts, "doc_id", "_n", "_off", inclusive=False)
-    total = counts.agg(F.sum("_n")).scalar()
+    total = offs.agg(F.max(F.col("_off") + F.col("_n"))).scalar()
     # Join on the scan, then spread: the scan is not a query stage, so adaptive
     # execution cannot turn the text side into the broadcast side; the offsets
     # side is broadcast only when it measures under the threshold (else a
     # sort-merge join on doc_id).
-    docs = spread(load(spark, d, "documents").select("doc_id", "text")
-                  .join(offs.select("doc_id", "_off"), "doc_id"))
+    docs = spread(scan.join(offs.select("doc_id", "_off"), "doc_id"), probe=scan)
     lines = docs.select("doc_id", "_off", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return (lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "line",
                          (F.col("_off") + F.col("line_no")).alias("ord")), total)

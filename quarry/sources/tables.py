@@ -19,15 +19,17 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, probe: DataFrame | None = None) -> DataFrame:
     """Round-robin the rows over the cluster's cores when the scan itself yields
     fewer input splits than there are cores (a small file with one row group).
 
     Used before CPU-heavy per-row work such as tokenising text. On large inputs
     the scan already has far more splits than cores and this adds nothing.
+    ``probe`` is the scan to measure when ``df`` is more than a scan (asking a
+    join for its partitions would run its adaptive stages early).
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if (probe if probe is not None else df).rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
 
