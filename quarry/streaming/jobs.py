@@ -2,17 +2,24 @@
 (inventory A10, B4-B6, J1-J5, J8, J9, K6, K7).
 
 Every stream reads the table files with ``readStream`` (schema taken from the
-file footer, never inferred from rows), runs with ``trigger(availableNow=True)``
-and writes each micro-batch through ``foreachBatch`` into a parquet folder
-partitioned by batch id, overwriting only that batch's partition, so a retried
-batch replaces its own output. Stream state and outputs live under the shared
-checkpoint folder. The registered query functions run the stream to the end and
-return a DataFrame over what the sink wrote.
+file footer, never inferred from rows) and runs with ``trigger(availableNow=True)``.
+Sinks are built-in only, so no driver callback server is needed:
+
+* append-mode streams (stateful count windows, running-count updates) write to
+  the parquet file sink, which commits each micro-batch exactly once through
+  its metadata log;
+* complete-mode summaries whose size is fixed by the query (a top-k, a grand
+  total) go to the memory sink.
+
+Stream state and file outputs live under the shared checkpoint folder. The
+registered query functions run the stream to the end and return a DataFrame
+over what the sink holds.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -39,60 +46,90 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger:
             .parquet(glob))
 
 
-def _batch_writer(out: str) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out))
-    return write
+def run_to_files(stream: DataFrame, label: str) -> str:
+    """Run an append-mode ``stream`` over everything available into the parquet
+    file sink; return the output folder."""
+    spark = stream.sparkSession
+    out = scratch_path(spark, f"{label}-out")
+    q = (stream.writeStream.outputMode("append").format("parquet")
+         .option("path", out)
+         .option("checkpointLocation", scratch_path(spark, f"{label}-state"))
+         .trigger(availableNow=True)
+         .start())
+    _finish(q)
+    return out
 
 
-def run_to_end(stream: DataFrame, mode: str, label: str) -> str:
-    """Run ``stream`` over everything available, return the sink folder."""
+def run_to_memory(stream: DataFrame, label: str) -> DataFrame:
+    """Run a complete-mode ``stream`` whose result size is bounded by the query
+    (top-k, totals) into the memory sink; return the final result table."""
     spark = stream.sparkSession
-    out = scratch_path(spark, f"{label}-out")
-    ckpt = scratch_path(spark, f"{label}-state")
-    q = (stream.writeStream.outputMode(mode)
-         .foreachBatch(_batch_writer(out))
-         .option("checkpointLocation", ckpt)
+    name = f"quarry_{label.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
+    q = (stream.writeStream.outputMode("complete").format("memory").queryName(name)
+         .option("checkpointLocation", scratch_path(spark, f"{label}-state"))
          .trigger(availableNow=True)
          .start())
+    _finish(q)
+    return spark.table(name)
+
+
+def _finish(q) -> None:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return out
 
 
 def _read_sink(spark: SparkSession, out: str, schema: str) -> DataFrame:
     try:
         return spark.read.parquet(out)
     except Exception:  # noqa: BLE001 - nothing was written: no batch had rows
-        return spark.createDataFrame([], schema + ", batch_id long")
+        return spark.createDataFrame([], schema)
 
 
-def _last_batch(df: DataFrame) -> DataFrame:
-    last = df.agg(F.max("batch_id")).scalar()
-    return df.where(F.col("batch_id") == last).drop("batch_id")
+# --- J1: keyed running count, one update per key per micro-batch -------------------
 
+_COUNT_STATE = "words array<string>, counts array<long>"
+_COUNT_OUT = "word string, n long"
 
-# --- J1: keyed running count, one update per key per micro-batch -------------------
 
-def running_counts(tokens: DataFrame, key: str) -> DataFrame:
-    """Streaming ``groupBy(key).count()``; in update mode each batch emits the
-    keys it changed with their new totals."""
-    return tokens.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+def _running_count_fn(key: tuple, batches: Iterator[pd.DataFrame],
+                      state: GroupState) -> Iterator[pd.DataFrame]:
+    """State of one hash bucket of keys: the running count of every key in it.
+    Emits each key of the micro-batch once, with its new total."""
+    words, counts = state.get if state.exists else ([], [])
+    totals = dict(zip(words, counts))
+    seen = pd.concat([pdf["word"] for pdf in batches], ignore_index=True)
+    delta = seen.value_counts()
+    for w, c in delta.items():
+        totals[w] = totals.get(w, 0) + int(c)
+    state.update((list(totals.keys()), list(totals.values())))
+    yield pd.DataFrame({"word": list(delta.index), "n": [totals[w] for w in delta.index]})
+
+
+def running_counts(tokens: DataFrame, key: str, buckets: int = 1024) -> DataFrame:
+    """Streaming running count per ``key`` (append-mode updates).
+
+    State is kept per hash bucket of the key, so the Python state function runs
+    once per bucket and micro-batch rather than once per key; buckets spread
+    over tasks like any shuffle key.
+    """
+    keyed = tokens.select(F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).alias("_bucket"),
+                          F.col(key).alias("word"))
+    return keyed.groupBy("_bucket").applyInPandasWithState(
+        _running_count_fn, _COUNT_OUT, _COUNT_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-def latest_counts(sink: DataFrame, key: str) -> DataFrame:
-    """Final state of a running count: each key's value from its last update."""
-    return sink.groupBy(key).agg(F.max_by("n", "batch_id").alias("n"))
+def latest_counts(updates: DataFrame, key: str = "word") -> DataFrame:
+    """Final state of a running count: counts only grow, so the latest update of
+    a key is its largest."""
+    return updates.groupBy(key).agg(F.max("n").alias("n"))
 
 
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = stream_table(spark, sf_dir, "documents")
     words = docs.select(F.explode(T.whitespace_tokens(F.col("text"))).alias("word"))
-    out = run_to_end(running_counts(words, "word"), "update", "stream-word-count")
-    return latest_counts(_read_sink(spark, out, "word string, n long"), "word")
+    out = run_to_files(running_counts(words, "word"), "stream-word-count")
+    return latest_counts(_read_sink(spark, out, _COUNT_OUT))
 
 
 # --- J2 / B5: ranked summary at the end of the stream ---------------------------------
@@ -100,9 +137,9 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_top_words(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
     docs = stream_table(spark, sf_dir, "documents")
     words = docs.select(F.explode(T.nonword_tokens(F.lower(F.col("text")))).alias("word"))
-    ranked = running_counts(words, "word").orderBy(F.desc("n"), "word").limit(k)
-    out = run_to_end(ranked, "complete", "stream-top")
-    return _last_batch(_read_sink(spark, out, "word string, n long"))
+    ranked = (words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+              .orderBy(F.desc("n"), "word").limit(k))
+    return run_to_memory(ranked, "stream-top")
 
 
 # --- J3 / B6: one total at the end of the stream --------------------------------------
@@ -111,8 +148,7 @@ def stream_integer_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = stream_table(spark, sf_dir, "documents")
     nums = docs.select(F.explode(T.digit_tokens(F.col("text"))).alias("t"))
     total = nums.agg(F.sum(F.col("t").try_cast("decimal(38,0)")).alias("s"))
-    out = run_to_end(total, "complete", "stream-total")
-    last = _last_batch(_read_sink(spark, out, "s decimal(38,0)"))
+    last = run_to_memory(total, "stream-total")
     return last.select(F.coalesce(F.col("s"), F.lit(0)).cast("decimal(38,0)").cast("string").alias("total"))
 
 
@@ -159,7 +195,7 @@ def stream_count_window_sum(spark: SparkSession, sf_dir: str, n: int = DEFAULT_W
     """``event_id`` is the arrival sequence (dense from 0) of the event stream."""
     ev = stream_table(spark, sf_dir, "events")
     windows = count_window_stream(ev, F.col("event_id"), _event_cents(ev), n)
-    out = run_to_end(windows, "append", "stream-window")
+    out = run_to_files(windows, "stream-window")
     sink = _read_sink(spark, out, _WINDOW_OUT)
     return sink.select("window_id", _cents_to_double("cents").alias("total"))
 
@@ -172,7 +208,7 @@ def stream_count_window_running_sum(spark: SparkSession, sf_dir: str,
 
     ev = stream_table(spark, sf_dir, "events")
     windows = count_window_stream(ev, F.col("event_id"), _event_cents(ev), n)
-    out = run_to_end(windows, "append", "stream-running")
+    out = run_to_files(windows, "stream-running")
     sink = _read_sink(spark, out, _WINDOW_OUT).select("window_id", "cents")
     run = bucketed_running_sum(sink, "window_id", "cents", "_run")
     return run.select("window_id", _cents_to_double("_run").alias("running_total"))
@@ -227,8 +263,8 @@ def group_window_stream(events: DataFrame, n: int, k: int) -> DataFrame:
 
 def stream_count_window_group_top(spark: SparkSession, sf_dir: str, n: int = 1000, k: int = 7) -> DataFrame:
     ev = stream_table(spark, sf_dir, "events")
-    out = run_to_end(group_window_stream(ev, n, k), "append", "stream-group-top")
-    return _read_sink(spark, out, _GROUP_OUT).drop("batch_id")
+    out = run_to_files(group_window_stream(ev, n, k), "stream-group-top")
+    return _read_sink(spark, out, _GROUP_OUT)
 
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

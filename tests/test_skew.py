@@ -1,0 +1,104 @@
+"""Hot-key inputs (one key holds a third or more of the rows) checked against
+brute force, for the operators whose plans are built to split hot groups."""
+
+from __future__ import annotations
+
+import itertools
+import random
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from conftest import rows
+from quarry.operators import graph, ordering, relational, stats, windows
+
+
+def _hot_keys(n, hot, frac=0.4, seed=11):
+    rnd = random.Random(seed)
+    return [hot if rnd.random() < frac else rnd.randint(1, 50) for _ in range(n)]
+
+
+def test_running_sum_hot_group(spark):
+    keys = _hot_keys(3000, 0)
+    pdf = pd.DataFrame({"g": keys, "k": range(3000), "v": [i % 7 for i in range(3000)]})
+    df = spark.createDataFrame(pdf)
+    got = rows(ordering.bucketed_running_sum(df, "k", "v", "run", partition_by=["g"], bucket_width=64),
+               "g", "k", "run")
+    pdf["run"] = pdf.groupby("g")["v"].cumsum()
+    assert got == sorted(map(tuple, pdf[["g", "k", "run"]].itertuples(index=False)))
+
+
+def test_outliers_hot_group_join_equals_window(spark):
+    rnd = random.Random(5)
+    data = [(t, 2020, i, rnd.gauss(10, 1) if rnd.random() > 0.01 else 60.0)
+            for i, t in enumerate(_hot_keys(4000, 7))]
+    df = spark.createDataFrame(data, "ticker long, year long, id long, price double")
+    a = rows(stats.sigma_outliers(df, ["ticker", "year"], "price"), "id", "label")
+    b = rows(stats.sigma_outliers_window(df, ["ticker", "year"], "price"), "id", "label")
+    assert a == b and len(a) > 0
+
+
+def test_distinct_pairs_hot_source(spark):
+    src = _hot_keys(5000, 1)
+    dst = [i % 97 for i in range(5000)]
+    df = spark.createDataFrame(list(zip(src, dst)), "source long, dest long")
+    got = dict(rows(relational.distinct_pairs_per_source(df, "source", "dest")))
+    exp = pd.DataFrame({"s": src, "d": dst}).drop_duplicates().groupby("s").size().to_dict()
+    assert got == exp
+
+
+def _brute_triangles(edges):
+    adj = {}
+    for a, b in edges:
+        if a != b:
+            adj.setdefault(a, set()).add(b)
+            adj.setdefault(b, set()).add(a)
+    return sum(1 for a, b, c in itertools.combinations(sorted(adj), 3)
+               if b in adj[a] and c in adj[a] and c in adj[b])
+
+
+def test_triangles_with_hub(spark):
+    rnd = random.Random(3)
+    edges = [(0, v) for v in range(1, 60)]                                 # hub touches everyone
+    edges += [(rnd.randint(1, 59), rnd.randint(1, 59)) for _ in range(150)]
+    edges += [(v, 0) for v in range(1, 20)]                                # duplicates, reversed
+    df = spark.createDataFrame(edges, "src long, dst long")
+    exp = _brute_triangles(edges)
+    assert graph.triangle_count(df).first()[0] == exp
+    assert graph.triangle_count_by_id(df).first()[0] == exp
+
+
+def test_neighbour_sets_with_hub(spark):
+    edges = [(0, v) for v in range(1, 300)] + [(v, v + 1) for v in range(1, 50)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    got = {r.node: r.n_neighbours for r in graph.neighbour_sets(df).collect()}
+    assert got[0] == 299 and got[1] == 1
+
+
+def test_group_top_hot_group(spark):
+    n_rows, n = 3000, 100
+    grp = _hot_keys(n_rows, 5)
+    vals = [float((i * 37) % 101) for i in range(n_rows)]
+    df = spark.createDataFrame([(i, g, i, v) for i, (g, v) in enumerate(zip(grp, vals))],
+                               "ord long, grp long, item long, value double")
+    got = rows(windows.count_window_group_top(df, "ord", "grp", "item", "value", n, 3,
+                                              total_rows=F.lit(n_rows)),
+               "window_id", "rank", "grp", "n", "max_value", "top_item")
+    pdf = pd.DataFrame({"ord": range(n_rows), "grp": grp, "value": vals})
+    pdf["w"] = pdf["ord"] // n
+    exp = []
+    for w, part in pdf.groupby("w"):
+        stats_ = []
+        for g, gp in part.groupby("grp"):
+            best = gp.sort_values(["value", "ord"], ascending=[False, True]).iloc[0]
+            stats_.append((-len(gp), g, float(best.value), int(best.ord)))
+        for r, (negn, g, mv, it) in enumerate(sorted(stats_)[:3], start=1):
+            exp.append((w, r, g, -negn, mv, it))
+    assert got == sorted(exp)
+
+
+def test_global_rank_many_duplicates(spark):
+    keys = _hot_keys(2000, 42, frac=0.6)
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i long")
+    got = [r.i for r in ordering.global_rank(df, ["k", "i"]).orderBy("rank").collect()]
+    assert got == [i for _, i in sorted((k, i) for i, k in enumerate(keys))]

@@ -53,11 +53,20 @@ def test_query_matches_oracle(spark, duck, name):
     assert got == _canon(cols, res.fetchall())
 
 
+def test_streams_start_no_callback_server(spark):
+    """Built-in sinks only: no stream may make PySpark start its Py4J callback
+    server (a listening socket in this process), as foreachBatch would."""
+    jobs.stream_word_count(spark, SF_SMALL).count()
+    jobs.stream_top_words(spark, SF_SMALL).count()
+    jobs.stream_count_window_sum(spark, SF_SMALL).count()
+    assert spark.sparkContext._gateway._callback_server is None
+
+
 def test_stream_window_state_is_released(spark):
     ev = jobs.stream_table(spark, SF_SMALL, "events")
     from pyspark.sql import functions as F
     w = jobs.count_window_stream(ev, F.col("event_id"), (F.col("value") * 100).cast("long"), 300)
     assert w.isStreaming
-    out = jobs.run_to_end(w, "append", "test-window")
+    out = jobs.run_to_files(w, "test-window")
     got = spark.read.parquet(out)
     assert got.count() == 3                      # 1000 events -> 3 complete windows of 300
