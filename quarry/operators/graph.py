@@ -1,5 +1,9 @@
 """Neighbour sets, two-hop links and triangles over edge DataFrames
-(inventory C8, D3, D4, E13, E15, E16, H2, H3, I23, I24)."""
+(inventory C8, D3, D4, E13, E15, E16, H3, I24).
+
+Neighbourhoods are kept as rows, never collected into one array per node: a
+hub's neighbour list grows with the data. The adjacency-list + intersection
+form (E15, H2) exists only as a small-graph cross-check in the tests."""
 
 from __future__ import annotations
 
@@ -23,12 +27,6 @@ def neighbour_sets(pairs: DataFrame, a: str = "src", b: str = "dst") -> DataFram
     return nb.join(deg, "node")
 
 
-def neighbour_lists(pairs: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
-    """The same sets as sorted arrays; only for graphs with bounded neighbourhoods."""
-    return (pairs.groupBy(F.least(a, b).alias("node"))
-            .agg(F.sort_array(F.collect_set(F.greatest(a, b))).alias("neighbours")))
-
-
 def two_hop_links(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Distinct (a, c) with a -> b -> c and c != a, over distinct directed edges."""
     e = edges.select(F.col(src).alias("s"), F.col(dst).alias("d")).distinct()
@@ -74,15 +72,3 @@ def triangle_count_by_id(edges: DataFrame, src: str = "src", dst: str = "dst") -
     e3 = ce.select(F.col("lo").alias("a"), F.col("hi").alias("c"))
     return (e1.join(e2, "b").join(e3, ["a", "c"], "left_semi")
             .agg(F.count(F.lit(1)).alias("triangles")))
-
-
-def triangle_count_by_lists(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """Cross-check plan with adjacency lists and ``array_intersect`` (small graphs only)."""
-    ce = canonical_edges(edges, src, dst)
-    both = ce.select(F.explode(F.array(F.struct(F.col("lo").alias("x"), F.col("hi").alias("y")),
-                                       F.struct(F.col("hi").alias("x"), F.col("lo").alias("y")))).alias("p"))
-    adj = both.groupBy(F.col("p.x").alias("v")).agg(F.collect_set("p.y").alias("nb"))
-    a1 = adj.select(F.col("v").alias("lo"), F.col("nb").alias("n1"))
-    a2 = adj.select(F.col("v").alias("hi"), F.col("nb").alias("n2"))
-    common = ce.join(a1, "lo").join(a2, "hi").select(F.size(F.array_intersect("n1", "n2")).alias("k"))
-    return common.agg((F.sum("k") / 3).cast("long").alias("triangles"))

@@ -46,12 +46,12 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger:
             .parquet(glob))
 
 
-def run_to_files(stream: DataFrame, label: str) -> str:
-    """Run an append-mode ``stream`` over everything available into the parquet
-    file sink; return the output folder."""
+def run_to_files(stream: DataFrame, label: str, fmt: str = "parquet") -> str:
+    """Run an append-mode ``stream`` over everything available into a file sink
+    (``parquet``, ``json`` or ``csv``: B4); return the output folder."""
     spark = stream.sparkSession
     out = scratch_path(spark, f"{label}-out")
-    q = (stream.writeStream.outputMode("append").format("parquet")
+    q = (stream.writeStream.outputMode("append").format(fmt)
          .option("path", out)
          .option("checkpointLocation", scratch_path(spark, f"{label}-state"))
          .trigger(availableNow=True)
@@ -106,13 +106,16 @@ def _running_count_fn(key: tuple, batches: Iterator[pd.DataFrame],
     yield pd.DataFrame({"word": list(delta.index), "n": [totals[w] for w in delta.index]})
 
 
-def running_counts(tokens: DataFrame, key: str, buckets: int = 1024) -> DataFrame:
+def running_counts(tokens: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
     """Streaming running count per ``key`` (append-mode updates).
 
     State is kept per hash bucket of the key, so the Python state function runs
     once per bucket and micro-batch rather than once per key; buckets spread
-    over tasks like any shuffle key.
+    over tasks like any shuffle key. The default is 128 buckets per shuffle
+    partition, so per-bucket state shrinks as the cluster's parallelism grows.
     """
+    if buckets is None:
+        buckets = 128 * int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = tokens.select(F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).alias("_bucket"),
                           F.col(key).alias("word"))
     return keyed.groupBy("_bucket").applyInPandasWithState(
