@@ -24,6 +24,9 @@ WINDOW_SUM_N = 300                       # count_window_sum / running sum
 LINE_WINDOW_N = 10                       # line count windows
 GROUP_WINDOW_N = 1000                    # group count windows
 TOP_WORDS, TOP_GROUPS = 10, 7
+# Key width of the buckets behind row ordinals and running totals (a bucket
+# holds at most this many keys; only one row per bucket meets in one task).
+ORDINAL_BUCKET_WIDTH = ordering.DEFAULT_BUCKET_WIDTH
 
 
 # --- table stand-ins ------------------------------------------------------
@@ -52,7 +55,8 @@ def _event_ordinals(spark, d):
     """events with their arrival ordinal (rank by event_id, 0-based), and the
     row total as a scalar subquery."""
     ev = _events(spark, d)
-    return ordering.bucketed_ordinal(ev, "event_id", out="ord"), ev.agg(F.count(F.lit(1))).scalar()
+    return (ordering.bucketed_ordinal(ev, "event_id", out="ord", bucket_width=ORDINAL_BUCKET_WIDTH),
+            ev.agg(F.count(F.lit(1))).scalar())
 
 
 def _line_ordinals(spark, d):
@@ -65,7 +69,8 @@ def _line_ordinals(spark, d):
     """
     scan = load(spark, d, "documents").select("doc_id", "text")
     counts = scan.select("doc_id", F.size(F.split("text", "\n")).cast("long").alias("_n"))
-    offs = ordering.bucketed_running_sum(counts, "doc_id", "_n", "_off", inclusive=False)
+    offs = ordering.bucketed_running_sum(counts, "doc_id", "_n", "_off", inclusive=False,
+                                         bucket_width=ORDINAL_BUCKET_WIDTH)
     total = offs.agg(F.max(F.col("_off") + F.col("_n"))).scalar()
     # Join on the scan, then spread: the scan is not a query stage, so adaptive
     # execution cannot turn the text side into the broadcast side; the offsets
@@ -252,7 +257,8 @@ def q_count_window_sum(spark, d):
 
 def q_count_window_running_sum(spark, d):
     ev, _ = _event_ordinals(spark, d)
-    return windows.count_window_running_sum(ev, "ord", "value", WINDOW_SUM_N)
+    return windows.count_window_running_sum(ev, "ord", "value", WINDOW_SUM_N,
+                                            bucket_width=ORDINAL_BUCKET_WIDTH)
 
 
 def _line_windows(spark, d):
