@@ -22,7 +22,8 @@ CLEAN_KEEP_CLASS = r"[^a-z0-9 ]"
 
 
 def _drop_empty(arr: Column) -> Column:
-    return F.filter(arr, lambda x: x != "")
+    # array_remove is a code-generated expression; a lambda filter is not
+    return F.array_remove(arr, "")
 
 
 def whitespace_tokens(text: Column) -> Column:
