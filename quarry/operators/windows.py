@@ -105,17 +105,23 @@ def count_window_group_top(df: DataFrame, ordinal: str, group: str, item: str, v
 def cumulative_group_top(df: DataFrame, ordinal: str, group: str, item: str, value: str,
                          n: int, k: int, total_rows: Column | None = None) -> DataFrame:
     """After every complete window: per group count, max and argmax over all rows
-    so far, and the k groups with most rows so far.
-
-    A group missing from a window keeps its earlier state, so each group gets one
-    row per window from its first window to the last complete one (the dense
-    grid); per-group running aggregates then read only that group's windows.
-    """
+    so far, and the k groups with most rows so far."""
     parts = _group_partials(df, ordinal, group, item, value, n)
     if total_rows is not None:
         last = F.floor(total_rows / F.lit(n)) - 1
     else:
         last = complete_windows(df, ordinal, n).agg(F.max("window_id")).scalar()  # scalar subquery
+    return cumulative_top_from_partials(parts, group, k, last)
+
+
+def cumulative_top_from_partials(parts: DataFrame, group: str, k: int, last: Column) -> DataFrame:
+    """Cumulative top-k from per-(window, group) partials ``n`` and ``best``
+    (struct of value ``v``, negated ordinal ``o``, item ``i``), up to window ``last``.
+
+    A group missing from a window keeps its earlier state, so each group gets one
+    row per window from its first window to ``last`` (the dense grid); per-group
+    running aggregates then read only that group's windows.
+    """
     first = parts.groupBy(group).agg(F.min("window_id").alias("_first"))
     grid = (first.withColumn("_last", last)
             .where(F.col("_first") <= F.col("_last"))

@@ -1,5 +1,5 @@
 """Structured Streaming forms of the running-count and count-window jobs
-(inventory A10, B4-B6, J1-J5, J8, J9, K6, K7).
+(inventory A10, B4-B6, J1-J10, K6, K7).
 
 Every stream reads the table files with ``readStream`` (schema taken from the
 file footer, never inferred from rows) and runs with ``trigger(availableNow=True)``.
@@ -220,13 +220,15 @@ def stream_count_window_running_sum(spark: SparkSession, sf_dir: str,
 # --- J9: per-window group count / max / argmax, top-k groups -----------------------------
 
 _GROUP_STATE = "rows long, groups string"
+_PARTIAL_OUT = "window_id long, user_id long, n long, max_value double, best_ord long, top_item long"
 _GROUP_OUT = "window_id long, rank long, user_id long, n long, max_value double, top_item long"
 
 
-def _group_window_fn(n: int, k: int):
+def _window_partials_fn(n: int):
     """State per open window: rows seen and, per group, [count, max value,
     ordinal of the first row with that max, its item]. At most ``n`` rows ever
-    reach one window, so the state is bounded; it is dropped on completion."""
+    reach one window, so the state is bounded; it is dropped on completion,
+    when every group's partial for the window is emitted."""
 
     def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows, blob = state.get if state.exists else (0, "{}")
@@ -246,28 +248,49 @@ def _group_window_fn(n: int, k: int):
             state.update((rows, json.dumps(acc)))
             return
         state.remove()
-        top = sorted(acc.items(), key=lambda kv: (-kv[1][0], kv[0]))[:k]
-        yield pd.DataFrame({"window_id": [int(key[0])] * len(top),
-                            "rank": list(range(1, len(top) + 1)),
-                            "user_id": [g for g, _ in top],
-                            "n": [v[0] for _, v in top],
-                            "max_value": [v[1] for _, v in top],
-                            "top_item": [v[3] for _, v in top]})
+        groups = sorted(acc)
+        yield pd.DataFrame({"window_id": [int(key[0])] * len(groups), "user_id": groups,
+                            "n": [acc[g][0] for g in groups], "max_value": [acc[g][1] for g in groups],
+                            "best_ord": [acc[g][2] for g in groups], "top_item": [acc[g][3] for g in groups]})
     return fn
 
 
-def group_window_stream(events: DataFrame, n: int, k: int) -> DataFrame:
+def window_partials_stream(events: DataFrame, n: int) -> DataFrame:
+    """Per complete window of ``n`` events: every group's count, max value, and
+    the item of the earliest row holding it (J9/J10 partials)."""
     keyed = events.select(F.floor(F.col("event_id") / F.lit(n)).cast("long").alias("window_id"),
                           F.col("event_id").alias("ord"), F.col("user_id").alias("grp"),
                           F.col("event_id").alias("item"), "value")
     return keyed.groupBy("window_id").applyInPandasWithState(
-        _group_window_fn(n, k), _GROUP_OUT, _GROUP_STATE, "append", GroupStateTimeout.NoTimeout)
+        _window_partials_fn(n), _PARTIAL_OUT, _GROUP_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-def stream_count_window_group_top(spark: SparkSession, sf_dir: str, n: int = 1000, k: int = 7) -> DataFrame:
+def _partials(spark: SparkSession, sf_dir: str, n: int, label: str) -> DataFrame:
     ev = stream_table(spark, sf_dir, "events")
-    out = run_to_files(group_window_stream(ev, n, k), "stream-group-top")
-    return _read_sink(spark, out, _GROUP_OUT)
+    out = run_to_files(window_partials_stream(ev, n), label)
+    return _read_sink(spark, out, _PARTIAL_OUT)
+
+
+def stream_count_window_group_top(spark: SparkSession, sf_dir: str, n: int = 1000, k: int = 7) -> DataFrame:
+    """Top-k groups of every complete window, from the streamed partials."""
+    from quarry.operators.ordering import top_k_per_group
+
+    parts = _partials(spark, sf_dir, n, "stream-group-top")
+    top = top_k_per_group(parts, ["window_id"], [F.desc("n"), F.col("user_id")], k)
+    return top.select("window_id", "rank", "user_id", "n", "max_value", "top_item")
+
+
+def stream_cumulative_group_top(spark: SparkSession, sf_dir: str, n: int = 1000, k: int = 7) -> DataFrame:
+    """The streamed per-window partials carry no unbounded state; the
+    cumulative top-k over them is the batch dense-grid step."""
+    from quarry.operators.windows import cumulative_top_from_partials
+
+    parts = _partials(spark, sf_dir, n, "stream-cumulative").select(
+        "window_id", "user_id", "n",
+        F.struct(F.col("max_value").alias("v"), (-F.col("best_ord")).alias("o"),
+                 F.col("top_item").alias("i")).alias("best"))
+    last = parts.agg(F.max("window_id")).scalar()
+    return cumulative_top_from_partials(parts, "user_id", k, last)
 
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -277,6 +300,7 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_count_window": stream_count_window_sum,
     "stream_count_window_running_sum": stream_count_window_running_sum,
     "stream_count_window_group_top7": stream_count_window_group_top,
+    "stream_cumulative_group_top7": stream_cumulative_group_top,
 }
 
 # Each stream's final result equals a batch query's; they share its oracle.
@@ -287,4 +311,5 @@ STREAM_ORACLE_OF = {
     "stream_count_window": "count_window_sum",
     "stream_count_window_running_sum": "count_window_running_sum",
     "stream_count_window_group_top7": "count_window_group_top7",
+    "stream_cumulative_group_top7": "cumulative_group_top7",
 }
