@@ -90,7 +90,7 @@ def full_match(s: Column, pattern: str) -> Column:
 
 def quoted(s: Column) -> Column:
     """A JSON string value rendered with its quotes (``"tag"``)."""
-    return F.to_json(F.struct(s.alias("v"))).substr(F.lit(6), F.length(F.to_json(F.struct(s.alias("v")))) - 6)
+    return F.regexp_extract(F.to_json(F.struct(s.alias("v"))), r'^\{"v":(.*)\}$', 1)
 
 
 def digit_tokens(text: Column) -> Column:

@@ -16,7 +16,7 @@ from quarry.functions import text as T
 from quarry.functions.scalars import static_range_bucket
 from quarry.operators import graph, ordering, relational, stats, text, windows
 from quarry.sources.tables import load, spread
-from quarry.sources.text import document_lines, n_line_records_per_document
+from quarry.sources.text import document_lines, first_two_tokens, n_line_records_per_document
 
 # Parameters of the registered queries.
 SUM_HAVING_THRESHOLD = 4_000_000        # header_skip_sum_having
@@ -216,11 +216,7 @@ def q_total_order_sort(spark, d):
 
 
 def _first_two_tokens(spark, d):
-    toks = T.whitespace_tokens(F.col("line"))
-    return (_lines(spark, d).select("doc_id", "line_no", toks.alias("_t"))
-            .where(F.size("_t") >= 1)
-            .select("doc_id", "line_no", F.col("_t")[0].alias("key"),
-                    F.coalesce(F.try_element_at("_t", F.lit(2)), F.lit("")).alias("value")))
+    return first_two_tokens(_lines(spark, d), "line", keep=("doc_id", "line_no"), missing_value="")
 
 
 def q_static_range_buckets(spark, d):

@@ -62,12 +62,17 @@ def key_value_on_tab(lines: DataFrame, line_col: str = "value") -> DataFrame:
                         F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit("")).alias("value"))
 
 
-def first_two_tokens(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    """First two whitespace tokens become key and value; the rest is dropped."""
-    toks = F.filter(F.split(F.col(line_col), r"[ \t\n\r\f]+"), lambda x: x != "")
-    return (lines.select(toks.alias("_t"))
+def first_two_tokens(lines: DataFrame, line_col: str = "value", keep=(),
+                     missing_value: str | None = None) -> DataFrame:
+    """First two whitespace tokens become key and value; the rest is dropped.
+    Lines without tokens give no row; a lone token gets ``missing_value``."""
+    toks = F.array_remove(F.split(F.col(line_col), r"[ \t\n\r\f]+"), "")
+    value = F.try_element_at("_t", F.lit(2))
+    if missing_value is not None:
+        value = F.coalesce(value, F.lit(missing_value))
+    return (lines.select(*keep, toks.alias("_t"))
             .where(F.size("_t") >= 1)
-            .select(F.col("_t")[0].alias("key"), F.try_element_at("_t", F.lit(2)).alias("value")))
+            .select(*keep, F.col("_t")[0].alias("key"), value.alias("value")))
 
 
 # --- A6: N lines per record ----------------------------------------------------
