@@ -82,3 +82,14 @@ def test_many_buckets_match_oracle(spark, duck, monkeypatch, name):
     res = duck.execute(entry.oracle_sql()[name])
     cols = [d[0] for d in res.description]
     assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(cols, res.fetchall())
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv"])
+def test_stream_text_sinks(spark, fmt):
+    """The same append-mode stream written through the json and csv file sinks."""
+    from pyspark.sql import functions as F
+    ev = jobs.stream_table(spark, SF_SMALL, "events")
+    w = jobs.count_window_stream(ev, F.col("event_id"), (F.col("value") * 100).cast("long"), 300)
+    out = jobs.run_to_files(w, f"test-{fmt}", fmt=fmt)
+    got = spark.read.schema("window_id long, cents long").format(fmt).load(out)
+    assert sorted(r.window_id for r in got.collect()) == [0, 1, 2]
