@@ -71,6 +71,22 @@ def bucketed_running_sum(df: DataFrame, order_key: str, value: Column | str, out
             .drop(b, "_qv", "_qo", "_ql"))
 
 
+def bucketed_running_max(df: DataFrame, order_key: str, value: str, out: str,
+                         bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+    """Running max of ``value`` (any orderable type) in ascending integer
+    ``order_key`` order, with the same bucketing as ``bucketed_running_sum``."""
+    b = "_qb"
+    with_b = df.withColumn(b, _floor_div(F.col(order_key), bucket_width))
+    local_w = Window.partitionBy(b).orderBy(order_key).rowsBetween(Window.unboundedPreceding, 0)
+    local = with_b.withColumn("_ql", F.max(value).over(local_w))
+    per_bucket = local.groupBy(b).agg(F.max(value).alias("_qt"))
+    prev = Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(b, F.max("_qt").over(prev).alias("_qo"))
+    return (local.join(offsets, b)
+            .withColumn(out, F.greatest("_qo", "_ql"))
+            .drop(b, "_qo", "_ql"))
+
+
 def bucketed_ordinal(df: DataFrame, order_key: str, out: str = "ordinal",
                      bucket_width: int = DEFAULT_BUCKET_WIDTH, start: int = 0,
                      tie_breakers: Sequence[str] = ()) -> DataFrame:

@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.ordering import bucketed_running_sum, top_k_per_group
+from pyspark.sql.types import NumericType
+
+from quarry.operators.ordering import bucketed_running_max, bucketed_running_sum, top_k_per_group
 
 
 def window_id(ordinal: str | Column, n: int) -> Column:
@@ -105,15 +107,47 @@ def count_window_group_top(df: DataFrame, ordinal: str, group: str, item: str, v
 def cumulative_group_top(df: DataFrame, ordinal: str, group: str, item: str, value: str,
                          n: int, k: int, total_rows: Column | None = None) -> DataFrame:
     """After every complete window: per group count, max and argmax over all rows
-    so far, and the k groups with most rows so far."""
+    so far, and the k groups with most rows so far (ties by group)."""
     parts = _group_partials(df, ordinal, group, item, value, n)
     if total_rows is not None:
         last = F.floor(total_rows / F.lit(n)) - 1
     else:
         last = complete_windows(df, ordinal, n).agg(F.max("window_id")).scalar()  # scalar subquery
+    if isinstance(df.schema[group].dataType, NumericType):
+        return cumulative_top_pruned(parts, group, k, last)
     return cumulative_top_from_partials(parts, group, k, last)
 
 
+def cumulative_top_pruned(parts: DataFrame, group: str, k: int, last: Column) -> DataFrame:
+    """Exact cumulative top-k without the dense (group x window) grid.
+
+    Keys ``(count so far, -group)`` only grow, so the k-th best key T(w) never
+    decreases. The k-th best key among the groups updated in window w is a lower
+    bound of T(w), and so is B(w), its running max. A group's state holds from
+    an update window to its next update; that interval can contain a top-k
+    window only if the group's key reaches B at the interval's start, so only
+    those intervals are expanded. Needs a numeric group key.
+    """
+    ww = Window.partitionBy(group).orderBy("window_id")
+    run = ww.rowsBetween(Window.unboundedPreceding, 0)
+    sparse = (parts.where(F.col("window_id") <= last)
+              .select("window_id", group,
+                      F.sum("n").over(run).alias("cn"),
+                      F.max("best").over(run).alias("best"),
+                      F.coalesce(F.lead("window_id").over(ww), last + 1).alias("_next"))
+              .withColumn("_key", F.struct(F.col("cn").alias("c"), (-F.col(group)).alias("g"))))
+    kth = (top_k_per_group(sparse, ["window_id"], [F.desc("_key")], k)
+           .where(F.col("rank") == k).select("window_id", F.col("_key").alias("_lk")))
+    bound = bucketed_running_max(kth, "window_id", "_lk", "_bound")
+    keep = (sparse.join(bound.select("window_id", "_bound"), "window_id", "left")
+            .where(F.col("_bound").isNull() | (F.col("_key") >= F.col("_bound"))))
+    grid = keep.select(F.explode(F.sequence("window_id", F.col("_next") - 1)).alias("window_id"),
+                       group, F.col("cn").alias("n"), "best")
+    top = top_k_per_group(grid, ["window_id"], [F.desc("n"), F.col(group)], k)
+    return top.select("window_id", "rank", group, "n",
+                      F.col("best.v").alias("max_value"), F.col("best.i").alias("top_item"))
+
+
 def cumulative_top_from_partials(parts: DataFrame, group: str, k: int, last: Column) -> DataFrame:
     """Cumulative top-k from per-(window, group) partials ``n`` and ``best``
     (struct of value ``v``, negated ordinal ``o``, item ``i``), up to window ``last``.

@@ -102,3 +102,22 @@ def test_global_rank_many_duplicates(spark):
     df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i long")
     got = [r.i for r in ordering.global_rank(df, ["k", "i"]).orderBy("rank").collect()]
     assert got == [i for _, i in sorted((k, i) for i, k in enumerate(keys))]
+
+
+def test_cumulative_pruned_equals_dense(spark):
+    """The pruned cumulative top-k equals the dense-grid form, including groups
+    that lead early and then stop appearing."""
+    rnd = random.Random(9)
+    rows_ = []
+    for i in range(6000):
+        if i < 800:
+            g = rnd.choice([90, 91, 92])              # early leaders that vanish later
+        else:
+            g = 0 if rnd.random() < 0.35 else rnd.randint(1, 60)
+        rows_.append((i, g, i, float(rnd.randint(0, 500))))
+    df = spark.createDataFrame(rows_, "ord long, grp long, item long, value double")
+    parts = windows._group_partials(df, "ord", "grp", "item", "value", 150)
+    last = F.lit(6000 // 150 - 1)
+    dense = rows(windows.cumulative_top_from_partials(parts, "grp", 7, last))
+    pruned = rows(windows.cumulative_top_pruned(parts, "grp", 7, last))
+    assert pruned == dense and len(dense) == 260      # early windows have only 3 groups
