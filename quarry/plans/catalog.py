@@ -16,7 +16,10 @@ from quarry.functions import text as T
 from quarry.functions.scalars import static_range_bucket
 from quarry.operators import graph, ordering, relational, stats, text, windows
 from quarry.sources.tables import load, spread
-from quarry.sources.text import document_lines, first_two_tokens, n_line_records_per_document
+from quarry.session import scratch_path
+from quarry.sinks.text import write_delimited, write_lines
+from quarry.sources.text import (document_lines, first_two_tokens, n_line_records_per_document,
+                                 read_delimited, read_multiline_json_objects)
 
 # Parameters of the registered queries.
 SUM_HAVING_THRESHOLD = 4_000_000        # header_skip_sum_having
@@ -132,8 +135,34 @@ def q_integer_total(spark, d):
     return text.integer_total(_docs(spark, d))
 
 
+def q_multiline_json_count(spark, d):
+    """Events written as pretty-printed multi-line JSON objects (``{`` and ``}``
+    in column 0), read back object by object; count per ``props.k``."""
+    ev = _events(spark, d)
+    obj = F.concat(F.lit("{\n  \"event_id\": "), F.col("event_id").cast("string"),
+                   F.lit(",\n  \"props\": "), F.col("props"), F.lit("\n}"))
+    path = scratch_path(spark, "multiline-json")
+    write_lines(ev.select(obj.alias("line")), path)
+    objs = read_multiline_json_objects(spark, path, "event_id long, props struct<k: string>")
+    tags = objs.where(~F.col("_corrupt")).select(F.col("j.props.k").alias("tag")).where(F.col("tag").isNotNull())
+    return tags.groupBy("tag").agg(F.count(F.lit(1)).alias("n")).orderBy("n", "tag")
+
+
 # --- relational family -------------------------------------------------------------
 
+def q_delimited_header_sum_having(spark, d):
+    """Orders written as a tab-separated file with a header line, read back with
+    a declared schema and the header option, then SUM ... HAVING."""
+    path = scratch_path(spark, "orders-tsv")
+    orders = load(spark, d, "orders").select("o_custkey", "o_totalprice")
+    (orders.select(F.col("o_custkey").cast("string"), F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+     .write.option("sep", "\t").option("header", True).csv(path))
+    back = read_delimited(spark, path, "o_custkey long, o_totalprice decimal(18,2)", sep="\t", header=True)
+    return relational.grouped_sum_having(back, "o_custkey", "o_totalprice", SUM_HAVING_THRESHOLD,
+                                         out="total_price")
+
+
+
 def q_header_skip_sum_having(spark, d):
     orders = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     body = relational.skip_first_rows(orders, "o_orderkey", 1)
@@ -300,8 +329,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bigram_cross_line": q_bigram_cross_line,
     "two_line_records": q_two_line_records,
     "json_path_count": q_json_path_count,
+    "multiline_json_count": q_multiline_json_count,
     "integer_total": q_integer_total,
     "header_skip_sum_having": q_header_skip_sum_having,
+    "delimited_header_sum_having": q_delimited_header_sum_having,
     "distinct_pairs_per_source": q_distinct_pairs_per_source,
     "address_extract": q_address_extract,
     "filtered_join_count": q_filtered_join_count,

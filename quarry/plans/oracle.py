@@ -121,6 +121,16 @@ FROM lines GROUP BY doc_id, line_no // 2""",
 SELECT json_extract_string(props, '$.k') AS tag, count(*) AS n FROM events
 WHERE json_extract_string(props, '$.k') IS NOT NULL GROUP BY 1 ORDER BY n, tag""",
 
+    "multiline_json_count": """
+SELECT json_extract_string(props, '$.k') AS tag, count(*) AS n FROM events
+WHERE json_extract_string(props, '$.k') IS NOT NULL GROUP BY 1 ORDER BY n, tag""",
+
+    "delimited_header_sum_having": f"""
+SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price
+FROM orders GROUP BY o_custkey
+HAVING sum(CAST(o_totalprice AS DECIMAL(18,2))) > {SUM_HAVING_THRESHOLD}
+ORDER BY total_price DESC, o_custkey""",
+
     "integer_total": r"""
 SELECT CAST(coalesce(sum(TRY_CAST(tok AS DECIMAL(38,0))), 0) AS VARCHAR) AS total
 FROM (SELECT unnest(regexp_split_to_array(text, '\W+')) AS tok FROM documents)
