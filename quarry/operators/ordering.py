@@ -7,6 +7,8 @@ schemes replace it:
 * integer keys (``bucketed_*``): rows are grouped in buckets of a fixed key width,
   so a bucket never holds more than ``bucket_width`` distinct keys; per-bucket
   totals (one row per bucket) get their exclusive prefix, which is joined back.
+  ``bucket_width="auto"`` sizes the width from the key range and row count, for
+  sparse keys.
 * arbitrary sort keys (``global_rank``): a sampled range exchange sorts the data,
   the sorted result is checkpointed to the shared checkpoint folder (so the
   sampled split points are computed exactly once), then per-partition counts give
@@ -26,8 +28,26 @@ from quarry.session import checkpoint_dir
 DEFAULT_BUCKET_WIDTH = 1 << 16
 
 
-def _floor_div(col: Column, width: int) -> Column:
-    return ((col - F.pmod(col, F.lit(width))) / F.lit(width)).cast("long")
+AUTO_TARGET_ROWS = 1 << 16
+
+
+def _floor_div(col: Column, width: int | Column) -> Column:
+    if isinstance(width, Column):          # computed width: exact decimal floor, no overflow
+        return F.floor(col.cast("decimal(20,0)") / width.cast("decimal(20,0)")).cast("long")
+    w = F.lit(width)
+    return ((col - F.pmod(col, w)) / w).cast("long")
+
+
+def _width(df: DataFrame, order_key: str, bucket_width: int | str) -> int | Column:
+    """A fixed key width, or for ``"auto"`` one chosen from the key's range and
+    row count (a scalar subquery) so that buckets hold about AUTO_TARGET_ROWS
+    rows when keys are spread evenly, however sparse they are."""
+    if bucket_width != "auto":
+        return int(bucket_width)
+    k = F.col(order_key).cast("decimal(20,0)")
+    span = (F.max(k) - F.min(k) + 1).cast("decimal(38,0)")
+    stats = df.agg((span * F.lit(AUTO_TARGET_ROWS) / F.greatest(F.count(k), F.lit(1))).alias("_w"))
+    return F.greatest(F.ceil(stats.scalar()), F.lit(1)).cast("long")
 
 
 def _bucket_prefix(per_bucket: DataFrame, bucket: str, total: str, out: str) -> DataFrame:
@@ -42,7 +62,7 @@ def _bucket_prefix(per_bucket: DataFrame, bucket: str, total: str, out: str) ->
 
 def bucketed_running_sum(df: DataFrame, order_key: str, value: Column | str, out: str,
                          partition_by: Sequence[str] = (), inclusive: bool = True,
-                         bucket_width: int = DEFAULT_BUCKET_WIDTH,
+                         bucket_width: int | str = DEFAULT_BUCKET_WIDTH,
                          tie_breakers: Sequence[str] = ()) -> DataFrame:
     """Exact running total of ``value`` in ascending integer ``order_key`` order.
 
@@ -55,7 +75,8 @@ def bucketed_running_sum(df: DataFrame, order_key: str, value: Column | str, out
     v = F.col(value) if isinstance(value, str) else value
     parts = list(partition_by)
     b = "_qb"
-    with_b = df.withColumn(b, _floor_div(F.col(order_key), bucket_width)).withColumn("_qv", v)
+    width = _width(df, order_key, bucket_width)
+    with_b = df.withColumn(b, _floor_div(F.col(order_key), width)).withColumn("_qv", v)
     end = 0 if inclusive else -1
     local_w = (Window.partitionBy(*parts, b).orderBy(order_key, *tie_breakers)
                .rowsBetween(Window.unboundedPreceding, end))
@@ -72,11 +93,11 @@ def bucketed_running_sum(df: DataFrame, order_key: str, value: Column | str, out
 
 
 def bucketed_running_max(df: DataFrame, order_key: str, value: str, out: str,
-                         bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                         bucket_width: int | str = DEFAULT_BUCKET_WIDTH) -> DataFrame:
     """Running max of ``value`` (any orderable type) in ascending integer
     ``order_key`` order, with the same bucketing as ``bucketed_running_sum``."""
     b = "_qb"
-    with_b = df.withColumn(b, _floor_div(F.col(order_key), bucket_width))
+    with_b = df.withColumn(b, _floor_div(F.col(order_key), _width(df, order_key, bucket_width)))
     local_w = Window.partitionBy(b).orderBy(order_key).rowsBetween(Window.unboundedPreceding, 0)
     local = with_b.withColumn("_ql", F.max(value).over(local_w))
     per_bucket = local.groupBy(b).agg(F.max(value).alias("_qt"))
@@ -88,7 +109,7 @@ def bucketed_running_max(df: DataFrame, order_key: str, value: str, out: str,
 
 
 def bucketed_ordinal(df: DataFrame, order_key: str, out: str = "ordinal",
-                     bucket_width: int = DEFAULT_BUCKET_WIDTH, start: int = 0,
+                     bucket_width: int | str = DEFAULT_BUCKET_WIDTH, start: int = 0,
                      tie_breakers: Sequence[str] = ()) -> DataFrame:
     """Dense row number in ``order_key`` order (F1) starting at ``start``."""
     r = bucketed_running_sum(df, order_key, F.lit(1).cast("long"), "_qord", inclusive=False,

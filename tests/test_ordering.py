@@ -85,3 +85,18 @@ def test_top_k_per_group(spark):
     assert rows(top, "w", "i", "rank") == [(0, 2, 1), (0, 5, 2), (1, 2, 1), (1, 5, 2)]
     plain = df.withColumn("r", F.row_number().over(Window.partitionBy("w").orderBy(F.desc("v"), "i")))
     assert plain.where("r <= 2").count() == top.count()
+
+
+def test_auto_width_sparse_keys(spark):
+    random.seed(21)
+    keys = random.sample(range(-(1 << 60), 1 << 60), 5000)
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    ordering.AUTO_TARGET_ROWS, saved = 64, ordering.AUTO_TARGET_ROWS
+    try:
+        got = rows(ordering.bucketed_ordinal(df, "k", out="o", bucket_width="auto"), "k", "o")
+        with_b = df.withColumn("b", ordering._floor_div(F.col("k"), ordering._width(df, "k", "auto")))
+        n_buckets = with_b.select("b").distinct().count()
+    finally:
+        ordering.AUTO_TARGET_ROWS = saved
+    assert got == [(k, i) for i, k in enumerate(sorted(keys))]
+    assert 40 <= n_buckets <= 120              # about 5000 / 64 buckets despite 2^61-wide keys
