@@ -10,9 +10,10 @@ schemes replace it:
   ``bucket_width="auto"`` sizes the width from the key range and row count, for
   sparse keys.
 * arbitrary sort keys (``global_rank``): a sampled range exchange sorts the data,
-  the sorted result is checkpointed to the shared checkpoint folder (so the
-  sampled split points are computed exactly once), then per-partition counts give
-  each partition its offset.
+  the sorted rows are written once, with their partition id and position, to a
+  table in the shared checkpoint folder (so the sampled split points are
+  computed exactly once), then per-partition counts give each partition its
+  offset.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.scalars import static_range_bucket
-from quarry.session import checkpoint_dir
+from quarry.session import scratch_path
 
 DEFAULT_BUCKET_WIDTH = 1 << 16
 
@@ -122,21 +123,23 @@ def global_rank(df: DataFrame, order_cols: Sequence[Column | str], out: str = "r
     """1-based rank of every row in a total order of ``order_cols``.
 
     ``order_cols`` must be a total order (add a unique tie key) for the rank to be
-    deterministic. The sort is a sampled range exchange; the checkpoint writes
-    the sorted partitions once to the shared checkpoint folder, so the partition
-    counts and the rows agree and lineage is cut for retries.
+    deterministic. A sampled range exchange sorts the rows; each row's partition
+    id and position are written with it, in one job, to a table in the shared
+    checkpoint folder, so the split points are computed once and the lineage is
+    cut. Per-partition counts over that table then give each partition its offset.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     # Without an explicit count the range exchange starts from the session's
     # shuffle partitions and adaptive execution may merge neighbours; merged
     # partitions are contiguous ranges, so the order across partition ids holds.
     ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
-    sorted_df = (ranged.sortWithinPartitions(*cols)
-                 .withColumn("_qp", F.spark_partition_id())
-                 .withColumn("_qm", F.monotonically_increasing_id()))
-    sorted_df = sorted_df.checkpoint(eager=True)
+    path = scratch_path(spark, "rank")
+    (ranged.sortWithinPartitions(*cols)
+     .withColumn("_qp", F.spark_partition_id())
+     .withColumn("_qm", F.monotonically_increasing_id())
+     .write.parquet(path))
+    sorted_df = spark.read.parquet(path)
     local = F.col("_qm") - F.shiftleft(F.col("_qp").cast("long"), 33)
     per_part = sorted_df.groupBy("_qp").agg(F.count(F.lit(1)).alias("_qn"))
     offsets = _bucket_prefix(per_part, "_qp", "_qn", "_qo")
