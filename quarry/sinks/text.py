@@ -30,6 +30,16 @@ def write_lines(df: DataFrame, path: str, col: str = "line", mode: str = "overwr
     df.select(F.col(col).alias("value")).write.mode(mode).text(path)
 
 
+def write_total_order(df: DataFrame, path: str, key: str, value: str, n: int = 10,
+                      sep: str = "\t", mode: str = "overwrite") -> None:
+    """Total-order sorted ``key <sep> value`` output in ``n`` files (G3, B8):
+    sampled range partitions, each sorted by key, so the part files read in
+    name order are in byte order of the key. Duplicate keys are kept."""
+    (df.select(F.col(key).cast("string").alias(key), F.col(value).cast("string").alias(value))
+     .repartitionByRange(n, key).sortWithinPartitions(key, value)
+     .write.mode(mode).option("sep", sep).option("quote", "").option("escape", "").csv(path))
+
+
 def write_static_ranges(df: DataFrame, path: str, key: str, value: str, exact_ten: bool = False,
                         mode: str = "overwrite") -> None:
     """Key-sorted output split by the ten static key ranges.

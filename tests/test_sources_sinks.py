@@ -114,3 +114,15 @@ def test_full_match(spark):
     from quarry.functions.text import full_match
     df = spark.createDataFrame([("tcp",), ("tcpx",), ("udp",)], "p string")
     assert [r[0] for r in df.select(full_match(F.col("p"), "tcp")).collect()] == [True, False, False]
+
+
+def test_total_order_files(spark, tmp_out):
+    from quarry.sinks.text import write_total_order
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    out = os.path.join(tmp_out, "sorted")
+    write_total_order(orders, out, "o_orderkey", "o_orderpriority", n=10)
+    files = sorted(glob.glob(os.path.join(out, "part-*")))
+    assert 1 < len(files) <= 10
+    keys = [ln.split("\t")[0] for ln in _read_all(out)]
+    assert len(keys) == orders.count()
+    assert keys == sorted(keys, key=lambda k: k.encode())       # byte order across files
