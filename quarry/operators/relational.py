@@ -11,7 +11,8 @@ from quarry.functions.scalars import address_prefix, report_line
 
 
 def skip_first_rows(df: DataFrame, order_col: str, n: int = 1) -> DataFrame:
-    """Drop the ``n`` first rows in ``order_col`` order (a header skip by rank).
+    """Drop the ``n`` first rows in ``order_col`` order (a header skip by rank);
+    ``order_col`` must be unique, as a rank key is.
 
     Only the ``n`` smallest keys are found (a bounded top-n, ``n`` rows per task)
     and removed with an anti join whose build side is exactly ``n`` rows.
