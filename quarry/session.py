@@ -18,8 +18,12 @@ _SQL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # checkpointed sorts are deleted once their DataFrame is garbage collected
+    # checkpointed data is deleted once its DataFrame is garbage collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # stream state off the JVM heap, spilled to local disk, snapshotted to the
+    # checkpoint folder: running-count state grows with the vocabulary
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
