@@ -81,3 +81,11 @@ def test_count_max_argmax_and_report(spark):
     assert got == [("Go", 2, "r3", 7), ("Java", 2, "r2", 9)]     # tie on 7: earliest row wins
     lines = sorted(r.line for r in relational.fixed_width_report(stats, "lang").collect())
     assert lines[0] == f"{'Go':<15s} {2:<10d} {'r3':<50s} {'7.00':<10s}"
+
+
+def test_count_max_argmax_fixture_exact(spark):
+    repos = spark.createDataFrame([("r1", "Java", 5, 0), ("r2", "Java", 9, 1), ("r3", "Go", 7, 2)],
+                                  "repo string, lang string, stars long, pos long")
+    got = [(r.lang, r.n, r.top_item, r.max_value)
+           for r in relational.count_max_argmax(repos, "lang", "repo", "stars", "pos").orderBy(F.desc("n")).collect()]
+    assert got == [("Java", 2, "r2", 9), ("Go", 1, "r3", 7)]
