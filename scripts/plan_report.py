@@ -90,6 +90,10 @@ def main() -> None:
         print(f"| {name} | {ex} | {joins} | {aggs} | {s['windows']} ({s['unpartitioned']}) | {py} | "
               f"{s['codegen']} | {'; '.join(s['scans'])} |")
     spark.stop()
+    review = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs", "SCALE_REVIEW.md")
+    if os.path.exists(review):
+        print()
+        print(open(review).read().rstrip())
 
 
 if __name__ == "__main__":
