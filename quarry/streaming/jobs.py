@@ -111,11 +111,11 @@ def running_counts(tokens: DataFrame, key: str, buckets: int | None = None) -> D
 
     State is kept per hash bucket of the key, so the Python state function runs
     once per bucket and micro-batch rather than once per key; buckets spread
-    over tasks like any shuffle key. The default is 128 buckets per shuffle
+    over tasks like any shuffle key. The default is 16 buckets per shuffle
     partition, so per-bucket state shrinks as the cluster's parallelism grows.
     """
     if buckets is None:
-        buckets = 128 * int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = 16 * int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = tokens.select(F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).alias("_bucket"),
                           F.col(key).alias("word"))
     return keyed.groupBy("_bucket").applyInPandasWithState(
