@@ -19,10 +19,13 @@ over what the sink holds.
 from __future__ import annotations
 
 import json
+import sys
 import uuid
+import warnings
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -33,6 +36,17 @@ from quarry.sources.tables import table_path
 
 DEFAULT_WINDOW_N = 300
 
+# The state functions below run in Python workers; ship them by value so the
+# workers never need this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _quiet() -> None:
+    """Runs in the Python worker: PySpark's Arrow serializer warns when a state
+    function emits no rows for a key (an incomplete window), which is intended."""
+    warnings.filterwarnings("ignore", message="The behavior of DataFrame concatenation with empty",
+                            category=FutureWarning)
+
 
 # --- sources and sinks -----------------------------------------------------------
 
@@ -92,18 +106,21 @@ _COUNT_STATE = "words array<string>, counts array<long>"
 _COUNT_OUT = "word string, n long"
 
 
-def _running_count_fn(key: tuple, batches: Iterator[pd.DataFrame],
-                      state: GroupState) -> Iterator[pd.DataFrame]:
+def _running_count_state():
     """State of one hash bucket of keys: the running count of every key in it.
     Emits each key of the micro-batch once, with its new total."""
-    words, counts = state.get if state.exists else ([], [])
-    totals = dict(zip(words, counts))
-    seen = pd.concat([pdf["word"] for pdf in batches], ignore_index=True)
-    delta = seen.value_counts()
-    for w, c in delta.items():
-        totals[w] = totals.get(w, 0) + int(c)
-    state.update((list(totals.keys()), list(totals.values())))
-    yield pd.DataFrame({"word": list(delta.index), "n": [totals[w] for w in delta.index]})
+
+    def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        _quiet()
+        words, counts = state.get if state.exists else ([], [])
+        totals = dict(zip(words, counts))
+        seen = pd.concat([pdf["word"] for pdf in batches], ignore_index=True)
+        delta = seen.value_counts()
+        for w, c in delta.items():
+            totals[w] = totals.get(w, 0) + int(c)
+        state.update((list(totals.keys()), list(totals.values())))
+        yield pd.DataFrame({"word": list(delta.index), "n": [totals[w] for w in delta.index]})
+    return fn
 
 
 def running_counts(tokens: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
@@ -119,7 +136,7 @@ def running_counts(tokens: DataFrame, key: str, buckets: int | None = None) -> D
     keyed = tokens.select(F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).alias("_bucket"),
                           F.col(key).alias("word"))
     return keyed.groupBy("_bucket").applyInPandasWithState(
-        _running_count_fn, _COUNT_OUT, _COUNT_STATE, "append", GroupStateTimeout.NoTimeout)
+        _running_count_state(), _COUNT_OUT, _COUNT_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 def latest_counts(updates: DataFrame, key: str = "word") -> DataFrame:
@@ -166,6 +183,7 @@ def _window_state_fn(n: int):
     moment it holds ``n`` rows, so state only holds windows still open."""
 
     def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        _quiet()
         rows, cents = state.get if state.exists else (0, 0)
         for pdf in batches:
             rows += len(pdf)
@@ -231,6 +249,7 @@ def _window_partials_fn(n: int):
     when every group's partial for the window is emitted."""
 
     def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        _quiet()
         rows, blob = state.get if state.exists else (0, "{}")
         acc = {int(g): v for g, v in json.loads(blob).items()}
         for pdf in batches:
