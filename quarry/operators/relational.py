@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from quarry.functions.scalars import address_prefix, report_line
 
@@ -75,9 +76,13 @@ def count_max_argmax(df: DataFrame, group_col: str, item_col: str, value_col: st
 
 
 def fixed_width_report(stats: DataFrame, group_col: str) -> DataFrame:
-    """One fixed-width text line per group of ``count_max_argmax`` output."""
+    """One fixed-width text line per group of ``count_max_argmax`` output.
+    Integral values print as integers, fractional ones with two decimals."""
+    v = F.col("max_value")
+    if not isinstance(stats.schema["max_value"].dataType, IntegralType):
+        v = v.cast("decimal(18,2)")
     return stats.select(report_line(F.col(group_col), F.col("n"), F.col("top_item").cast("string"),
-                                    F.col("max_value").cast("decimal(18,2)").cast("string")).alias("line"))
+                                    v.cast("string")).alias("line"))
 
 
 def extract_addresses(df: DataFrame, address: Column, keep: Sequence[str]) -> DataFrame:

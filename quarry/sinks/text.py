@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from quarry.operators.ordering import static_range_layout
 
 
+def _joined(cols: Sequence[str], sep: str):
+    """One text line of the given columns (null written as empty)."""
+    return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+
+
 def write_delimited(df: DataFrame, path: str, cols: Sequence[str], sep: str = "\t",
                     mode: str = "overwrite") -> None:
-    """``k <sep> v`` lines (B1, B3): no quoting, no header."""
-    (df.select(*[F.col(c).cast("string") for c in cols])
-     .write.mode(mode).option("sep", sep).option("quote", "").option("escape", "")
-     .option("header", False).csv(path))
+    """``k <sep> v`` text lines (B1, B3): no quoting, no header."""
+    df.select(_joined(cols, sep).alias("value")).write.mode(mode).text(path)
 
 
 def write_tuples(df: DataFrame, path: str, key: str, value: str, mode: str = "overwrite") -> None:
@@ -37,11 +40,12 @@ def write_total_order(df: DataFrame, path: str, key: str, value: str, n: int = 1
     name order are in byte order of the key. Duplicate keys are kept."""
     (df.select(F.col(key).cast("string").alias(key), F.col(value).cast("string").alias(value))
      .repartitionByRange(n, key).sortWithinPartitions(key, value)
-     .write.mode(mode).option("sep", sep).option("quote", "").option("escape", "").csv(path))
+     .select(_joined([key, value], sep).alias("value"))
+     .write.mode(mode).text(path))
 
 
 def write_static_ranges(df: DataFrame, path: str, key: str, value: str, exact_ten: bool = False,
-                        mode: str = "overwrite") -> None:
+                        sep: str = "\t", mode: str = "overwrite") -> None:
     """Key-sorted output split by the ten static key ranges.
 
     Default: one folder per range, each written by many tasks in key order (part
@@ -49,7 +53,8 @@ def write_static_ranges(df: DataFrame, path: str, key: str, value: str, exact_te
     file b holding range b, as ten single-writer tasks.
     """
     laid = static_range_layout(df.select(key, value), key, exact_ten=exact_ten)
+    lines = laid.select("bucket", _joined([key, value], sep).alias("value"))
     if exact_ten:
-        laid.select(key, value).write.mode(mode).option("sep", "\t").csv(path)
+        lines.select("value").write.mode(mode).text(path)
     else:
-        laid.write.mode(mode).option("sep", "\t").partitionBy("bucket").csv(path)
+        lines.write.mode(mode).partitionBy("bucket").text(path)

@@ -17,6 +17,23 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def text_line_ordinals(spark: SparkSession, path: str, out: str = "ord") -> DataFrame:
+    """Lines of a text file or folder with a dense 0-based ordinal in file-name
+    then line order: ``(file, value, ord)``.
+
+    Within a file, a scan's splits are in offset order and rows within a split
+    in line order, so (file, scan position) is the line order; ``global_rank``
+    turns it into exact dense ordinals without a single-partition window.
+    """
+    from quarry.operators.ordering import global_rank
+
+    lines = (spark.read.text(path)
+             .select(F.input_file_name().alias("file"), "value",
+                     F.monotonically_increasing_id().alias("_pos")))
+    ranked = global_rank(lines, ["file", "_pos"], out="_r")
+    return ranked.select("file", "value", (F.col("_r") - 1).alias(out))
+
+
 def document_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Split documents into ``(doc_id, line_no, line)``; ``line_no`` is 0-based.
 
@@ -45,12 +62,13 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, s
 # --- A3: positional split of a line -----------------------------------------
 
 def positional_fields(lines: DataFrame, sep: str, fields: dict[str, tuple[int, str]],
-                      line_col: str = "value") -> DataFrame:
-    """``fields`` maps name -> (0-based index, Spark type). Missing or bad fields are null."""
-    parts = F.split(F.col(line_col), sep)
-    cols = [F.try_element_at(parts, F.lit(i + 1)).try_cast(t).alias(name)
+                      line_col: str = "value", keep=()) -> DataFrame:
+    """``fields`` maps name -> (0-based index, Spark type). Missing or bad fields
+    are null. ``keep`` columns are carried through."""
+    split = lines.select(*keep, F.split(F.col(line_col), sep).alias("_parts"))
+    cols = [F.try_element_at("_parts", F.lit(i + 1)).try_cast(t).alias(name)
             for name, (i, t) in fields.items()]
-    return lines.select(*cols)
+    return split.select(*keep, *cols)
 
 
 # --- A4 / A5: key-value shapes -----------------------------------------------
