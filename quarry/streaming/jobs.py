@@ -60,6 +60,11 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger:
             .parquet(glob))
 
 
+def stream_text(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+    """A folder of text files as a stream of lines (``value``), A10."""
+    return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
+
+
 def run_to_files(stream: DataFrame, label: str, fmt: str = "parquet") -> str:
     """Run an append-mode ``stream`` over everything available into a file sink
     (``parquet``, ``json`` or ``csv``: B4); return the output folder."""
@@ -145,33 +150,73 @@ def latest_counts(updates: DataFrame, key: str = "word") -> DataFrame:
     return updates.groupBy(key).agg(F.max("n").alias("n"))
 
 
+def word_counts_of(spark: SparkSession, tokens: DataFrame, label: str) -> DataFrame:
+    """Run a stream of ``word`` rows as running counts; the final count per word."""
+    out = run_to_files(running_counts(tokens, "word"), label)
+    return latest_counts(_read_sink(spark, out, _COUNT_OUT))
+
+
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = stream_table(spark, sf_dir, "documents")
     words = docs.select(F.explode(T.whitespace_tokens(F.col("text"))).alias("word"))
-    out = run_to_files(running_counts(words, "word"), "stream-word-count")
-    return latest_counts(_read_sink(spark, out, _COUNT_OUT))
+    return word_counts_of(spark, words, "stream-word-count")
+
+
+def stream_text_word_count(spark: SparkSession, src: str) -> DataFrame:
+    """J1 on a folder of text files: running whitespace-token counts."""
+    words = stream_text(spark, src).select(F.explode(T.whitespace_tokens(F.col("value"))).alias("word"))
+    return word_counts_of(spark, words, "stream-text-word-count")
 
 
 # --- J2 / B5: ranked summary at the end of the stream ---------------------------------
 
+def top_k_of(items: DataFrame, col: str, k: int, label: str) -> DataFrame:
+    """Complete-mode count of ``col`` with the k most frequent at the end of the
+    stream (ties by value); only k rows reach the memory sink."""
+    ranked = (items.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+              .orderBy(F.desc("n"), col).limit(k))
+    return run_to_memory(ranked, label)
+
+
 def stream_top_words(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
     docs = stream_table(spark, sf_dir, "documents")
     words = docs.select(F.explode(T.nonword_tokens(F.lower(F.col("text")))).alias("word"))
-    ranked = (words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "word").limit(k))
-    return run_to_memory(ranked, "stream-top")
+    return top_k_of(words, "word", k, "stream-top")
+
+
+def stream_text_top_words(spark: SparkSession, src: str, k: int = 10) -> DataFrame:
+    """J2 on text files: lower-cased ``\\W+`` words, the k most frequent."""
+    lines = stream_text(spark, src)
+    words = lines.select(F.explode(T.nonword_tokens(F.lower(F.col("value")))).alias("word"))
+    return top_k_of(words, "word", k, "stream-text-top")
+
+
+def stream_text_top_bigrams(spark: SparkSession, src: str, k: int = 10) -> DataFrame:
+    """J2 for in-sentence bigrams of text files (lower-cased), the k most frequent."""
+    sw = stream_text(spark, src).select(T.sentence_words(F.col("value")).alias("_sw"))
+    bigrams = sw.select(F.explode(T.sentence_bigrams_of_words(F.col("_sw"))).alias("bigram"))
+    return top_k_of(bigrams, "bigram", k, "stream-text-bigrams")
 
 
 # --- J3 / B6: one total at the end of the stream --------------------------------------
 
-def stream_integer_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = stream_table(spark, sf_dir, "documents")
-    nums = docs.select(F.explode(T.digit_tokens(F.col("text"))).alias("t"))
+def integer_total_of(lines: DataFrame, col: str, label: str) -> DataFrame:
+    """Complete-mode grand total of the all-digit ``\\W+`` tokens, exact."""
+    nums = lines.select(F.explode(T.digit_tokens(F.col(col))).alias("t"))
     total = nums.agg(F.sum(F.col("t").try_cast("decimal(38,0)")).alias("s"))
-    last = run_to_memory(total, "stream-total")
+    last = run_to_memory(total, label)
     return last.select(F.coalesce(F.col("s"), F.lit(0)).cast("decimal(38,0)").cast("string").alias("total"))
 
 
+def stream_integer_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return integer_total_of(stream_table(spark, sf_dir, "documents"), "text", "stream-total")
+
+
+def stream_text_integer_total(spark: SparkSession, src: str) -> DataFrame:
+    """J3 on text files."""
+    return integer_total_of(stream_text(spark, src), "value", "stream-text-total")
+
+
 # --- J4 / J5 / J8: count windows with explicit state -------------------------------------
 
 _WINDOW_STATE = "n long, cents long"

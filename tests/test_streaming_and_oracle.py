@@ -139,3 +139,19 @@ print("ROWS", m.queries()["stream_word_count"](spark, {SF_SMALL!r}).count(),
     res = subprocess.run([sys.executable, "-c", script], cwd=str(tmp_path), env=env,
                          capture_output=True, text=True, timeout=600)
     assert "ROWS 27782 7" in res.stdout, res.stderr[-2000:]
+
+
+def test_text_file_streams(spark, tmp_path):
+    """The text-file forms of J1-J3: a folder of three files streamed one file
+    per micro-batch equals the batch answers."""
+    lines = ["To be, or not to be.", "Be quick! To be sure.", "pay 12 and 30", "to be or 7"]
+    for i, chunk in enumerate([lines[:2], lines[2:3], lines[3:]]):
+        (tmp_path / f"part{i}.txt").write_text("\n".join(chunk) + "\n")
+    src = str(tmp_path)
+    wc = {r.word: r.n for r in jobs.stream_text_word_count(spark, src).collect()}
+    assert wc["To"] == 2 and wc["be"] == 2 and wc["be,"] == 1 and sum(wc.values()) == 19
+    top = [(r.word, r.n) for r in jobs.stream_text_top_words(spark, src, k=2).collect()]
+    assert sorted(top, key=lambda t: (-t[1], t[0])) == [("be", 5), ("to", 4)]
+    big = {r.bigram: r.n for r in jobs.stream_text_top_bigrams(spark, src, k=1).collect()}
+    assert big == {"to be": 4}
+    assert jobs.stream_text_integer_total(spark, src).first()["total"] == "49"
