@@ -17,21 +17,34 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def text_line_ordinals(spark: SparkSession, path: str, out: str = "ord") -> DataFrame:
-    """Lines of a text file or folder with a dense 0-based ordinal in file-name
-    then line order: ``(file, value, ord)``.
+MAX_BROADCAST_SPLITS = 4_000_000   # offsets table rows = input splits (about 24 bytes each)
 
-    Within a file, a scan's splits are in offset order and rows within a split
-    in line order, so (file, scan position) is the line order; ``global_rank``
-    turns it into exact dense ordinals without a single-partition window.
-    """
-    from quarry.operators.ordering import global_rank
 
-    lines = (spark.read.text(path)
-             .select(F.input_file_name().alias("file"), "value",
-                     F.monotonically_increasing_id().alias("_pos")))
-    ranked = global_rank(lines, ["file", "_pos"], out="_r")
-    return ranked.select("file", "value", (F.col("_r") - 1).alias(out))
+def text_line_ordinals(spark: SparkSession, path: str, out: str = "ord") -> DataFrame:
+    """Lines of a text file or folder with a dense 0-based ordinal in scan order:
+    ``(file, value, ord)``. Within each file the ordinals follow line order.
+
+    A text scan's splits are deterministic and a file's splits come in offset
+    order, so (split id, position in split) orders the lines. A first scan counts
+    lines per split; each split's offset (one row per split, a bound known when
+    the scan is planned) is broadcast into the second scan. No sort and no copy
+    of the text. Beyond MAX_BROADCAST_SPLITS splits it ranks by a sampled sort.
+    """
+    from quarry.operators.ordering import _bucket_prefix, global_rank
+
+    def scan():
+        return spark.read.text(path).select(
+            F.input_file_name().alias("file"), "value",
+            F.spark_partition_id().alias("_qp"), F.monotonically_increasing_id().alias("_qm"))
+
+    if spark.read.text(path).rdd.getNumPartitions() > MAX_BROADCAST_SPLITS:
+        ranked = global_rank(scan(), ["_qp", "_qm"], out="_r")
+        return ranked.select("file", "value", (F.col("_r") - 1).alias(out))
+    counts = scan().groupBy("_qp").agg(F.count(F.lit(1)).alias("_qn"))
+    offsets = _bucket_prefix(counts, "_qp", "_qn", "_qo")
+    local = F.col("_qm") - F.shiftleft(F.col("_qp").cast("long"), 33)
+    return (scan().join(F.broadcast(offsets), "_qp")
+            .select("file", "value", (F.col("_qo") + local).alias(out)))
 
 
 def document_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
