@@ -36,11 +36,14 @@ def script_tokens(text: Column) -> Column:
     return _drop_empty(F.split(text, SCRIPT_TOKEN_CLASS))
 
 
-def java_whitespace_split(line: Column) -> Column:
+def java_whitespace_split(line: Column, java_compat: bool = True) -> Column:
     """Split on ``\\s+`` keeping a leading empty token and dropping trailing ones.
 
     ``''`` -> ``['']``; all-blank -> ``[]``; ``' a b '`` -> ``['', 'a', 'b']``.
+    ``java_compat=False`` drops every empty token instead.
     """
+    if not java_compat:
+        return _drop_empty(F.split(line, r"\s+"))
     return (F.when(line == "", F.array(F.lit("")))
             .when(line.rlike(r"^\s+$"), F.array().cast("array<string>"))
             .otherwise(F.split(F.regexp_replace(line, r"\s+$", ""), r"\s+")))

@@ -35,13 +35,19 @@ def grouped_sum_having(df: DataFrame, key: str, value: str, threshold: float,
             .orderBy(F.desc(out), key))
 
 
-def distinct_pairs_per_source(df: DataFrame, source: str, dest: str, out: str = "n") -> DataFrame:
+def distinct_pairs_per_source(df: DataFrame, source: str, dest: str, out: str = "n",
+                              approx_rsd: float | None = None) -> DataFrame:
     """Number of distinct (source, dest) pairs per source, most first.
 
     Two aggregations: the distinct step shuffles on (source, dest), which spreads
     a hot source over many tasks; the count step then ships one partial count per
     source and task. A null source group counts 0, like a first-field COUNT.
+    ``approx_rsd`` opts into one HyperLogLog++ aggregate per source (relative
+    standard deviation ``approx_rsd``; null destinations are not counted).
     """
+    if approx_rsd is not None:
+        return (df.groupBy(source).agg(F.approx_count_distinct(dest, approx_rsd).alias(out))
+                .orderBy(F.desc(out), source))
     pairs = df.select(source, dest).distinct()
     return (pairs.groupBy(source).agg(F.count(source).alias(out))
             .orderBy(F.desc(out), source))

@@ -33,9 +33,11 @@ def script_word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return counts.orderBy(F.desc("n"), "word")
 
 
-def java_split_word_count(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """Per-line ``\\s+`` split with Java's empty-token rules, least frequent first."""
-    return count_tokens(lines, T.java_whitespace_split(F.col(line_col))).orderBy("n", "word")
+def java_split_word_count(lines: DataFrame, line_col: str = "line", java_compat: bool = True) -> DataFrame:
+    """Per-line ``\\s+`` split with Java's empty-token rules (or, without
+    ``java_compat``, no empty tokens), least frequent first."""
+    tokens = T.java_whitespace_split(F.col(line_col), java_compat)
+    return count_tokens(lines, tokens).orderBy("n", "word")
 
 
 def lower_word_top(docs: DataFrame, k: int = 10, text_col: str = "text") -> DataFrame:

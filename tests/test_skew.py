@@ -121,3 +121,13 @@ def test_cumulative_pruned_equals_dense(spark):
     dense = rows(windows.cumulative_top_from_partials(parts, "grp", 7, last))
     pruned = rows(windows.cumulative_top_pruned(parts, "grp", 7, last))
     assert pruned == dense and len(dense) == 260      # early windows have only 3 groups
+
+
+def test_distinct_pairs_approx_opt_in(spark):
+    src = _hot_keys(20000, 1)
+    dst = [i % 997 for i in range(20000)]
+    df = spark.createDataFrame(list(zip(src, dst)), "source long, dest long")
+    exact = dict(rows(relational.distinct_pairs_per_source(df, "source", "dest")))
+    approx = dict(rows(relational.distinct_pairs_per_source(df, "source", "dest", approx_rsd=0.02)))
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= max(3, 0.08 * exact[k]) for k in exact)

@@ -113,3 +113,8 @@ def test_json_path_count(spark):
                                "props string")
     got = [tuple(r) for r in text.json_path_count(ev, "props", "$.k").collect()]
     assert got == [("2", 1), ("1", 2)]
+
+
+def test_java_split_without_compat(spark):
+    lines = spark.createDataFrame([(" a a",), ("a",), ("",)], "line string")
+    assert [tuple(r) for r in text.java_split_word_count(lines, java_compat=False).collect()] == [("a", 3)]
