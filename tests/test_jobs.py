@@ -134,3 +134,18 @@ def test_file_xor(spark, tmp_out):
     path = _file(tmp_out, "bin/b.dat", b"zzabcq", mode="wb")
     got = jobs.file_xor_job(spark, path, 2, 3).first()
     assert got.checksum == 96
+
+
+def test_representative_bigram_output_shape(spark, tmp_out):
+    """Golden output shape: one `frequency<TAB>word word` line per distinct
+    frequency, frequencies unique and ascending from 1."""
+    import re
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    src = os.path.join(tmp_out, "corpus")
+    docs.select("text").write.text(src)
+    out = os.path.join(tmp_out, "golden")
+    jobs.bigram_frequency_job(spark, src, out, representative=True)
+    lines = _parts(out)
+    assert lines and all(re.fullmatch(r"\d+\t[a-z0-9]+ [a-z0-9]+", ln) for ln in lines)
+    freqs = [int(ln.split("\t")[0]) for ln in lines]
+    assert freqs[0] == 1 and freqs == sorted(set(freqs))
