@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from quarry.functions import text as T
 from quarry.functions.scalars import static_range_bucket
 from quarry.operators import graph, ordering, relational, stats, text, windows
-from quarry.sources.tables import load, spread
 from quarry.session import scratch_path
-from quarry.sinks.text import write_delimited, write_lines
+from quarry.sinks.text import write_lines
+from quarry.sources.tables import load, spread
 from quarry.sources.text import (document_lines, first_two_tokens, n_line_records_per_document,
                                  read_delimited, read_multiline_json_objects)
 
