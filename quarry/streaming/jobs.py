@@ -50,14 +50,24 @@ def _quiet() -> None:
 
 # --- sources and sinks -----------------------------------------------------------
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1) -> DataFrame:
-    """A parquet table as a bounded file stream (A10)."""
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1,
+                 spread: bool = False) -> DataFrame:
+    """A parquet table as a bounded file stream (A10).
+
+    ``spread`` round-robins the rows over the cores when a batch scan of the
+    same files has fewer splits than cores (as ``sources.tables.spread`` does
+    for batch scans), for CPU-heavy per-row work such as tokenising.
+    """
     path = table_path(sf_dir, name)
-    schema = spark.read.parquet(path).schema
+    batch = spark.read.parquet(path)
     glob = path[:-1] + "[" + path[-1] + "]"   # a glob, so a single file is accepted as a stream source
-    return (spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(glob))
+    stream = (spark.readStream.schema(batch.schema)
+              .option("maxFilesPerTrigger", files_per_trigger)
+              .parquet(glob))
+    target = spark.sparkContext.defaultParallelism
+    if spread and batch.rdd.getNumPartitions() < target:
+        return stream.repartition(target)
+    return stream
 
 
 def stream_text(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
@@ -111,6 +121,16 @@ _COUNT_STATE = "words array<string>, counts array<long>"
 _COUNT_OUT = "word string, n long"
 
 
+def _partial_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Map-side combine for a stream: one (word, count) row per distinct word of
+    the task's input, so a hot word ships one row per task, not one per token."""
+    _quiet()
+    parts = [pdf["word"].value_counts() for pdf in batches]
+    if parts:
+        total = pd.concat(parts).groupby(level=0).sum()
+        yield pd.DataFrame({"word": total.index.astype(str), "c": total.to_numpy(dtype="int64")})
+
+
 def _running_count_state():
     """State of one hash bucket of keys: the running count of every key in it.
     Emits each key of the micro-batch once, with its new total."""
@@ -119,8 +139,7 @@ def _running_count_state():
         _quiet()
         words, counts = state.get if state.exists else ([], [])
         totals = dict(zip(words, counts))
-        seen = pd.concat([pdf["word"] for pdf in batches], ignore_index=True)
-        delta = seen.value_counts()
+        delta = pd.concat(list(batches), ignore_index=True).groupby("word")["c"].sum()
         for w, c in delta.items():
             totals[w] = totals.get(w, 0) + int(c)
         state.update((list(totals.keys()), list(totals.values())))
@@ -131,15 +150,15 @@ def _running_count_state():
 def running_counts(tokens: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
     """Streaming running count per ``key`` (append-mode updates).
 
-    State is kept per hash bucket of the key, so the Python state function runs
-    once per bucket and micro-batch rather than once per key; buckets spread
-    over tasks like any shuffle key. The default is 16 buckets per shuffle
-    partition, so per-bucket state shrinks as the cluster's parallelism grows.
+    Tokens are first combined per task (stateless ``mapInPandas``), then the
+    partial counts are merged into state kept per hash bucket of the key, so
+    the Python state function runs once per bucket and micro-batch rather than
+    once per key. The default is 16 buckets per shuffle partition.
     """
     if buckets is None:
         buckets = 16 * int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = tokens.select(F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).alias("_bucket"),
-                          F.col(key).alias("word"))
+    partial = tokens.select(F.col(key).alias("word")).mapInPandas(_partial_counts, "word string, c long")
+    keyed = partial.select(F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("_bucket"), "word", "c")
     return keyed.groupBy("_bucket").applyInPandasWithState(
         _running_count_state(), _COUNT_OUT, _COUNT_STATE, "append", GroupStateTimeout.NoTimeout)
 
@@ -157,7 +176,7 @@ def word_counts_of(spark: SparkSession, tokens: DataFrame, label: str) -> DataFr
 
 
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = stream_table(spark, sf_dir, "documents")
+    docs = stream_table(spark, sf_dir, "documents", spread=True)
     words = docs.select(F.explode(T.whitespace_tokens(F.col("text"))).alias("word"))
     return word_counts_of(spark, words, "stream-word-count")
 
@@ -179,7 +198,7 @@ def top_k_of(items: DataFrame, col: str, k: int, label: str) -> DataFrame:
 
 
 def stream_top_words(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
-    docs = stream_table(spark, sf_dir, "documents")
+    docs = stream_table(spark, sf_dir, "documents", spread=True)
     words = docs.select(F.explode(T.nonword_tokens(F.lower(F.col("text")))).alias("word"))
     return top_k_of(words, "word", k, "stream-top")
 
@@ -209,7 +228,7 @@ def integer_total_of(lines: DataFrame, col: str, label: str) -> DataFrame:
 
 
 def stream_integer_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return integer_total_of(stream_table(spark, sf_dir, "documents"), "text", "stream-total")
+    return integer_total_of(stream_table(spark, sf_dir, "documents", spread=True), "text", "stream-total")
 
 
 def stream_text_integer_total(spark: SparkSession, src: str) -> DataFrame:
