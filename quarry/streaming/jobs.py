@@ -242,6 +242,17 @@ _WINDOW_STATE = "n long, cents long"
 _WINDOW_OUT = "window_id long, cents long"
 
 
+def _window_combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Map-side combine: one (window_id, rows, cents) row per window per task."""
+    _quiet()
+    parts = [pdf.groupby("window_id").agg(rows=("cents", "size"), cents=("cents", "sum")) for pdf in batches]
+    if parts:
+        tot = pd.concat(parts).groupby(level=0).sum()
+        yield pd.DataFrame({"window_id": tot.index.to_numpy(dtype="int64"),
+                            "rows": tot["rows"].to_numpy(dtype="int64"),
+                            "cents": tot["cents"].to_numpy(dtype="int64")})
+
+
 def _window_state_fn(n: int):
     """Accumulate (rows, cents) per window id; emit and forget the window the
     moment it holds ``n`` rows, so state only holds windows still open."""
@@ -250,7 +261,7 @@ def _window_state_fn(n: int):
         _quiet()
         rows, cents = state.get if state.exists else (0, 0)
         for pdf in batches:
-            rows += len(pdf)
+            rows += int(pdf["rows"].sum())
             cents += int(pdf["cents"].sum())
         if rows >= n:
             state.remove()
@@ -262,9 +273,11 @@ def _window_state_fn(n: int):
 
 def count_window_stream(values: DataFrame, seq: Column, cents: Column, n: int) -> DataFrame:
     """Windows of ``n`` consecutive sequence numbers; a window is emitted once,
-    when complete; an incomplete last window never is (J5)."""
+    when complete; an incomplete last window never is (J5). Rows are combined
+    per task first, so a window ships one partial row per task."""
     keyed = values.select((F.floor(seq / F.lit(n))).cast("long").alias("window_id"), cents.alias("cents"))
-    return keyed.groupBy("window_id").applyInPandasWithState(
+    partial = keyed.mapInPandas(_window_combine, "window_id long, rows long, cents long")
+    return partial.groupBy("window_id").applyInPandasWithState(
         _window_state_fn(n), _WINDOW_OUT, _WINDOW_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
@@ -306,6 +319,25 @@ _PARTIAL_OUT = "window_id long, user_id long, n long, max_value double, best_ord
 _GROUP_OUT = "window_id long, rank long, user_id long, n long, max_value double, top_item long"
 
 
+def _group_combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Map-side combine: per (window, group) of the task, the row count and the
+    earliest row holding the largest value (value, ordinal, item)."""
+    _quiet()
+    frames = list(batches)
+    if not frames:
+        return
+    pdf = pd.concat(frames, ignore_index=True)
+    if pdf.empty:
+        return
+    counts = pdf.groupby(["window_id", "grp"]).size().rename("n")
+    best = (pdf.sort_values(["value", "ord"], ascending=[False, True])
+            .groupby(["window_id", "grp"], sort=False).head(1)
+            .set_index(["window_id", "grp"])[["value", "ord", "item"]])
+    out = best.join(counts).reset_index()
+    yield out[["window_id", "grp", "n", "value", "ord", "item"]].astype(
+        {"window_id": "int64", "grp": "int64", "n": "int64", "value": "float64", "ord": "int64", "item": "int64"})
+
+
 def _window_partials_fn(n: int):
     """State per open window: rows seen and, per group, [count, max value,
     ordinal of the first row with that max, its item]. At most ``n`` rows ever
@@ -317,14 +349,10 @@ def _window_partials_fn(n: int):
         rows, blob = state.get if state.exists else (0, "{}")
         acc = {int(g): v for g, v in json.loads(blob).items()}
         for pdf in batches:
-            rows += len(pdf)
-            counts = pdf.groupby("grp").size()
-            best = (pdf.sort_values(["value", "ord"], ascending=[False, True])
-                    .groupby("grp", sort=False).head(1))
-            for g, c in counts.items():
-                acc.setdefault(int(g), [0, None, None, None])[0] += int(c)
-            for r in best.itertuples(index=False):
-                cur = acc[int(r.grp)]
+            rows += int(pdf["n"].sum())
+            for r in pdf.itertuples(index=False):
+                cur = acc.setdefault(int(r.grp), [0, None, None, None])
+                cur[0] += int(r.n)
                 if cur[1] is None or r.value > cur[1] or (r.value == cur[1] and r.ord < cur[2]):
                     cur[1], cur[2], cur[3] = float(r.value), int(r.ord), int(r.item)
         if rows < n:
@@ -340,11 +368,14 @@ def _window_partials_fn(n: int):
 
 def window_partials_stream(events: DataFrame, n: int) -> DataFrame:
     """Per complete window of ``n`` events: every group's count, max value, and
-    the item of the earliest row holding it (J9/J10 partials)."""
+    the item of the earliest row holding it (J9/J10 partials). Rows are
+    combined per (window, group) and task before the state shuffle."""
     keyed = events.select(F.floor(F.col("event_id") / F.lit(n)).cast("long").alias("window_id"),
                           F.col("event_id").alias("ord"), F.col("user_id").alias("grp"),
                           F.col("event_id").alias("item"), "value")
-    return keyed.groupBy("window_id").applyInPandasWithState(
+    partial = keyed.mapInPandas(_group_combine, "window_id long, grp long, n long, value double, "
+                                                "ord long, item long")
+    return partial.groupBy("window_id").applyInPandasWithState(
         _window_partials_fn(n), _PARTIAL_OUT, _GROUP_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
