@@ -94,21 +94,41 @@ def bucketed_running_sum(df: DataFrame, order_key: str, value: Column | str, out
 
 
 def bucketed_running_max(df: DataFrame, order_key: str, value: str, out: str,
+                         partition_by: Sequence[str] = (),
                          bucket_width: int | str = DEFAULT_BUCKET_WIDTH) -> DataFrame:
     """Running max of ``value`` (any orderable type) in ascending integer
-    ``order_key`` order, with the same bucketing as ``bucketed_running_sum``."""
+    ``order_key`` order, restarted per ``partition_by`` group, with the same
+    bucketing as ``bucketed_running_sum`` (a hot group is split over buckets)."""
+    parts = list(partition_by)
     b = "_qb"
     with_b = df.withColumn(b, _floor_div(F.col(order_key), _width(df, order_key, bucket_width)))
-    local_w = Window.partitionBy(b).orderBy(order_key).rowsBetween(Window.unboundedPreceding, 0)
+    local_w = Window.partitionBy(*parts, b).orderBy(order_key).rowsBetween(Window.unboundedPreceding, 0)
     local = with_b.withColumn("_ql", F.max(value).over(local_w))
-    per_bucket = local.groupBy(b).agg(F.max(value).alias("_qt"))
-    prev = Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(b, F.max("_qt").over(prev).alias("_qo"))
-    return (local.join(offsets, b)
+    per_bucket = local.groupBy(*parts, b).agg(F.max(value).alias("_qt"))
+    prev = (Window.partitionBy(*parts) if parts else Window).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(*parts, b, F.max("_qt").over(prev).alias("_qo"))
+    return (local.join(offsets, [*parts, b])
             .withColumn(out, F.greatest("_qo", "_ql"))
             .drop(b, "_qo", "_ql"))
 
 
+def bucketed_next(df: DataFrame, order_key: str, out: str, partition_by: Sequence[str] = (),
+                  bucket_width: int | str = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+    """The next ``order_key`` value within each ``partition_by`` group (a lead),
+    null for the last. Within a bucket a windowed lead; the last row of a bucket
+    takes the first key of the group's next non-empty bucket (one row per bucket)."""
+    parts = list(partition_by)
+    b = "_qb"
+    with_b = df.withColumn(b, _floor_div(F.col(order_key), _width(df, order_key, bucket_width)))
+    local = with_b.withColumn("_qn", F.lead(order_key).over(Window.partitionBy(*parts, b).orderBy(order_key)))
+    firsts = local.groupBy(*parts, b).agg(F.min(order_key).alias("_qf"))
+    following = (Window.partitionBy(*parts) if parts else Window).orderBy(b)
+    nextb = firsts.select(*parts, b, F.lead("_qf").over(following).alias("_qnb"))
+    return (local.join(nextb, [*parts, b])
+            .withColumn(out, F.coalesce("_qn", "_qnb"))
+            .drop(b, "_qn", "_qnb"))
+
+
 def bucketed_ordinal(df: DataFrame, order_key: str, out: str = "ordinal",
                      bucket_width: int | str = DEFAULT_BUCKET_WIDTH, start: int = 0,
                      tie_breakers: Sequence[str] = ()) -> DataFrame:

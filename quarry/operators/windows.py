@@ -118,7 +118,41 @@ def cumulative_group_top(df: DataFrame, ordinal: str, group: str, item: str, val
     return cumulative_top_from_partials(parts, group, k, last)
 
 
-def cumulative_top_pruned(parts: DataFrame, group: str, k: int, last: Column) -> DataFrame:
+def _group_cumulative(parts: DataFrame, group: str, last: Column, bucket_width: int) -> DataFrame:
+    """Per (window, group) partial: the group's count and best row so far, and
+    its next update window (``last + 1`` if none).
+
+    One bucketed pass (the fused form of ``bucketed_running_sum``,
+    ``bucketed_running_max`` and ``bucketed_next``): rows are shuffled once by
+    (group, window bucket) for the local running sum, running max and lead;
+    one row per (group, bucket) carries the earlier buckets' totals and the next
+    bucket's first window. A group present in every window is spread over many
+    tasks."""
+    b = "_qb"
+    sparse = parts.where(F.col("window_id") <= last).withColumn(
+        b, F.floor(F.col("window_id") / F.lit(bucket_width)).cast("long"))
+    w_local = Window.partitionBy(group, b).orderBy("window_id")
+    upto = w_local.rowsBetween(Window.unboundedPreceding, 0)
+    local = sparse.select("window_id", group, b, "n", "best",
+                          F.sum("n").over(upto).alias("_ln"),
+                          F.max("best").over(upto).alias("_lb"),
+                          F.lead("window_id").over(w_local).alias("_lx"))
+    per_bucket = local.groupBy(group, b).agg(F.sum("n").alias("_bn"), F.max("best").alias("_bb"),
+                                             F.min("window_id").alias("_bf"))
+    w_buckets = Window.partitionBy(group).orderBy(b)
+    before = w_buckets.rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select(group, b,
+                              F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_cn"),
+                              F.max("_bb").over(before).alias("_cb"),
+                              F.lead("_bf").over(w_buckets).alias("_cx"))
+    return (local.join(carry, [group, b])
+            .select("window_id", group, (F.col("_cn") + F.col("_ln")).alias("cn"),
+                    F.greatest("_cb", "_lb").alias("best"),
+                    F.coalesce("_lx", "_cx", last + 1).alias("_next")))
+
+
+def cumulative_top_pruned(parts: DataFrame, group: str, k: int, last: Column,
+                          bucket_width: int = 1 << 12) -> DataFrame:
     """Exact cumulative top-k without the dense (group x window) grid.
 
     Keys ``(count so far, -group)`` only grow, so the k-th best key T(w) never
@@ -128,17 +162,11 @@ def cumulative_top_pruned(parts: DataFrame, group: str, k: int, last: Column) ->
     window only if the group's key reaches B at the interval's start, so only
     those intervals are expanded. Needs a numeric group key.
     """
-    ww = Window.partitionBy(group).orderBy("window_id")
-    run = ww.rowsBetween(Window.unboundedPreceding, 0)
-    sparse = (parts.where(F.col("window_id") <= last)
-              .select("window_id", group,
-                      F.sum("n").over(run).alias("cn"),
-                      F.max("best").over(run).alias("best"),
-                      F.coalesce(F.lead("window_id").over(ww), last + 1).alias("_next"))
+    sparse = (_group_cumulative(parts, group, last, bucket_width)
               .withColumn("_key", F.struct(F.col("cn").alias("c"), (-F.col(group)).alias("g"))))
     kth = (top_k_per_group(sparse, ["window_id"], [F.desc("_key")], k)
            .where(F.col("rank") == k).select("window_id", F.col("_key").alias("_lk")))
-    bound = bucketed_running_max(kth, "window_id", "_lk", "_bound")
+    bound = bucketed_running_max(kth, "window_id", "_lk", "_bound", bucket_width=bucket_width)
     keep = (sparse.join(bound.select("window_id", "_bound"), "window_id", "left")
             .where(F.col("_bound").isNull() | (F.col("_key") >= F.col("_bound"))))
     grid = keep.select(F.explode(F.sequence("window_id", F.col("_next") - 1)).alias("window_id"),

@@ -100,3 +100,22 @@ def test_auto_width_sparse_keys(spark):
         ordering.AUTO_TARGET_ROWS = saved
     assert got == [(k, i) for i, k in enumerate(sorted(keys))]
     assert 40 <= n_buckets <= 120              # about 5000 / 64 buckets despite 2^61-wide keys
+
+
+def test_bucketed_max_and_next_partitioned(spark):
+    random.seed(5)
+    data = [(g, k, random.randint(0, 1000)) for g in ("a", "b") for k in random.sample(range(500), 120)]
+    df = spark.createDataFrame(data, "g string, k long, v long")
+    got_max = rows(ordering.bucketed_running_max(df, "k", "v", "m", partition_by=["g"], bucket_width=16),
+                   "g", "k", "m")
+    got_next = rows(ordering.bucketed_next(df, "k", "nx", partition_by=["g"], bucket_width=16), "g", "k", "nx")
+    exp_max, exp_next = [], []
+    for g in ("a", "b"):
+        ks = sorted((k, v) for gg, k, v in data if gg == g)
+        m = None
+        for i, (k, v) in enumerate(ks):
+            m = v if m is None else max(m, v)
+            exp_max.append((g, k, m))
+            exp_next.append((g, k, ks[i + 1][0] if i + 1 < len(ks) else None))
+    assert got_max == sorted(exp_max)
+    assert got_next == sorted(exp_next, key=lambda t: (t[0], t[1]))

@@ -121,6 +121,8 @@ def test_cumulative_pruned_equals_dense(spark):
     dense = rows(windows.cumulative_top_from_partials(parts, "grp", 7, last))
     pruned = rows(windows.cumulative_top_pruned(parts, "grp", 7, last))
     assert pruned == dense and len(dense) == 260      # early windows have only 3 groups
+    # tiny buckets: a group's running count, best row and next update cross buckets
+    assert rows(windows.cumulative_top_pruned(parts, "grp", 7, last, bucket_width=3)) == dense
 
 
 def test_distinct_pairs_approx_opt_in(spark):
