@@ -176,23 +176,19 @@ def cumulative_top_pruned(parts: DataFrame, group: str, k: int, last: Column,
                       F.col("best.v").alias("max_value"), F.col("best.i").alias("top_item"))
 
 
-def cumulative_top_from_partials(parts: DataFrame, group: str, k: int, last: Column) -> DataFrame:
+def cumulative_top_from_partials(parts: DataFrame, group: str, k: int, last: Column,
+                                 bucket_width: int = 1 << 12) -> DataFrame:
     """Cumulative top-k from per-(window, group) partials ``n`` and ``best``
     (struct of value ``v``, negated ordinal ``o``, item ``i``), up to window ``last``.
 
-    A group missing from a window keeps its earlier state, so each group gets one
-    row per window from its first window to ``last`` (the dense grid); per-group
-    running aggregates then read only that group's windows.
+    A group missing from a window keeps its earlier state, so every state
+    interval (from one update to the next) is expanded to one row per window:
+    the dense group x window grid, for any group key type. The per-group running
+    values come from the same bucketed pass as the pruned form.
     """
-    first = parts.groupBy(group).agg(F.min("window_id").alias("_first"))
-    grid = (first.withColumn("_last", last)
-            .where(F.col("_first") <= F.col("_last"))
-            .select(group, F.explode(F.sequence("_first", "_last")).alias("window_id")))
-    dense = grid.join(parts, ["window_id", group], "left")
-    w = Window.partitionBy(group).orderBy("window_id").rowsBetween(Window.unboundedPreceding, 0)
-    cum = dense.select("window_id", group,
-                       F.sum(F.coalesce("n", F.lit(0))).over(w).alias("n"),
-                       F.max("best").over(w).alias("best"))
-    top = top_k_per_group(cum, ["window_id"], [F.desc("n"), F.col(group)], k)
+    cum = _group_cumulative(parts, group, last, bucket_width)
+    grid = cum.select(F.explode(F.sequence("window_id", F.col("_next") - 1)).alias("window_id"),
+                      group, F.col("cn").alias("n"), "best")
+    top = top_k_per_group(grid, ["window_id"], [F.desc("n"), F.col(group)], k)
     return top.select("window_id", "rank", group, "n",
                       F.col("best.v").alias("max_value"), F.col("best.i").alias("top_item"))
