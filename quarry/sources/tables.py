@@ -30,7 +30,9 @@ def spread(df: DataFrame, probe: DataFrame | None = None) -> DataFrame:
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if (probe if probe is not None else df).rdd.getNumPartitions() < target:
-        return df.repartition(target)
+        # two partitions per core: rows (documents) vary in size, and a
+        # second round of tasks evens out the cores' load
+        return df.repartition(target * 2)
     return df
 
 
