@@ -17,6 +17,18 @@ from quarry.sources.text import (first_two_tokens, key_value_on_tab, n_line_reco
                                  positional_fields, read_delimited, read_lines,
                                  read_multiline_json_objects, text_line_ordinals)
 
+# Parameters of the original jobs.
+LAND_AREA_THRESHOLD = 200_000_000_000    # a state's summed land area must exceed this
+SUM_WINDOW_ROWS = 100                    # integers per count window
+TEXT_WINDOW_LINES = 10                   # lines per text count window
+TEXT_WINDOW_TOP = 10                     # words or bigrams reported per text window
+REPO_WINDOW_ROWS = 200_000               # repository lines per count window
+REPO_WINDOW_TOP = 7                      # languages reported per window
+SORT_RANGE_FILES = 10                    # output files of the total-order sort
+BLOCKED_ACTION = "Blocked"               # firewall action that is counted
+TRACE_PROTOCOL = "tcp"                   # protocol kept by the destination count
+OUTLIER_SIGMAS = 3.0                     # band half-width in population standard deviations
+
 # Declared input schemas.
 GAZ_TRACTS = ("USPS string, GEOID int, POP10 int, HU10 int, ALAND long, AWATER int, "
               "ALAND_SQMI double, AWATER_SQMI double, INTPTLAT float, INTPTLONG float")
@@ -114,7 +126,7 @@ def integer_total_job(spark, src):
 
 # --- relational jobs ----------------------------------------------------------------
 
-def land_area_job(spark, src, out=None, threshold=200_000_000_000):
+def land_area_job(spark, src, out=None, threshold=LAND_AREA_THRESHOLD):
     tracts = read_delimited(spark, src, GAZ_TRACTS, sep="\t", header=True)
     result = relational.grouped_sum_having(tracts, "USPS", "ALAND", threshold,
                                            out="SUM_LAND_AREAS", money=False)
@@ -123,7 +135,7 @@ def land_area_job(spark, src, out=None, threshold=200_000_000_000):
     return result
 
 
-def distinct_destinations_job(spark, src, out=None, protocol="tcp"):
+def distinct_destinations_job(spark, src, out=None, protocol=TRACE_PROTOCOL):
     trace = read_delimited(spark, src, NETWORK_TRACE, sep=" ")
     flows = (trace.where(T.full_match(F.col("protocol"), protocol))
              .select(address_prefix(F.col("sourceIp")).alias("source"),
@@ -134,7 +146,7 @@ def distinct_destinations_job(spark, src, out=None, protocol="tcp"):
     return result
 
 
-def firewall_job(spark, ip_trace, raw_block, out=None, action="Blocked"):
+def firewall_job(spark, ip_trace, raw_block, out=None, action=BLOCKED_ACTION):
     ips = read_delimited(spark, ip_trace, IP_TRACE, sep=" ")
     raw = read_delimited(spark, raw_block, RAW_BLOCK, sep=" ")
     counts = relational.filtered_join_count(ips, raw, "connectionID", "connectionId",
@@ -145,7 +157,7 @@ def firewall_job(spark, ip_trace, raw_block, out=None, action="Blocked"):
     return result
 
 
-def stock_outlier_job(spark, src, out=None, sigmas=3.0):
+def stock_outlier_job(spark, src, out=None, sigmas=OUTLIER_SIGMAS):
     prices = positional_fields(read_lines(spark, src), ",",
                                {"ticker": (0, "string"), "date": (1, "string"), "price": (2, "double")})
     keyed = prices.where(F.col("price").isNotNull()).withColumn("year", F.substring("date", 1, 4))
@@ -190,7 +202,7 @@ def citation_jobs(spark, src):
 
 # --- ordering jobs ----------------------------------------------------------------------
 
-def total_order_sort_job(spark, src, out, n=10):
+def total_order_sort_job(spark, src, out, n=SORT_RANGE_FILES):
     write_total_order(key_value_on_tab(read_lines(spark, src)), out, "key", "value", n=n)
 
 
@@ -201,7 +213,7 @@ def static_range_sort_job(spark, src, out, exact_ten=True):
 
 # --- count-window jobs (batch over a file's line order) ---------------------------------
 
-def window_sum_job(spark, src, n=100, running=False):
+def window_sum_job(spark, src, n=SUM_WINDOW_ROWS, running=False):
     """One integer per line; sums of complete windows of ``n`` lines (or the
     running total after each)."""
     lines = text_line_ordinals(spark, src).select(
@@ -211,7 +223,7 @@ def window_sum_job(spark, src, n=100, running=False):
     return windows.count_window_sum(lines, "ord", "value", n)
 
 
-def window_top_job(spark, src, n=10, k=10, bigrams=False):
+def window_top_job(spark, src, n=TEXT_WINDOW_LINES, k=TEXT_WINDOW_TOP, bigrams=False):
     """Top-k words (case kept) or in-sentence bigrams (lower-cased) of every
     complete window of ``n`` lines."""
     lines = text_line_ordinals(spark, src)
@@ -225,7 +237,7 @@ def window_top_job(spark, src, n=10, k=10, bigrams=False):
     return windows.count_window_top_k(items, windows.is_complete(F.col("window_id"), total, n), "item", k)
 
 
-def language_window_top_job(spark, src, n=200_000, k=7, cumulative=False):
+def language_window_top_job(spark, src, n=REPO_WINDOW_ROWS, k=REPO_WINDOW_TOP, cumulative=False):
     """Per complete window of ``n`` repository lines (or cumulatively): count,
     most stars and its repository per language; the top-k languages."""
     repos = _repos(spark, src)
