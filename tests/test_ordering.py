@@ -119,3 +119,25 @@ def test_bucketed_max_and_next_partitioned(spark):
             exp_next.append((g, k, ks[i + 1][0] if i + 1 < len(ks) else None))
     assert got_max == sorted(exp_max)
     assert got_next == sorted(exp_next, key=lambda t: (t[0], t[1]))
+
+
+def test_two_level_bucket_prefix(spark):
+    """Tiny fan-out: the cross-bucket prefix itself crosses super-buckets."""
+    random.seed(8)
+    keys = random.sample(range(-3000, 9000), 2500)
+    df = spark.createDataFrame([(k, k % 5) for k in keys], "k long, v long")
+    ordering.TOP_FAN_OUT, saved = 3, ordering.TOP_FAN_OUT
+    try:
+        got = rows(ordering.bucketed_running_sum(df, "k", "v", "run", bucket_width=10), "k", "run")
+        got_max = rows(ordering.bucketed_running_max(df, "k", "v", "m", bucket_width=10), "k", "m")
+        got_ord = rows(ordering.bucketed_ordinal(df, "k", out="o", bucket_width=10), "k", "o")
+    finally:
+        ordering.TOP_FAN_OUT = saved
+    acc, mx, exp, exp_max = 0, None, [], []
+    for k in sorted(keys):
+        acc += k % 5
+        mx = k % 5 if mx is None else max(mx, k % 5)
+        exp.append((k, acc))
+        exp_max.append((k, mx))
+    assert got == exp and got_max == exp_max
+    assert got_ord == [(k, i) for i, k in enumerate(sorted(keys))]
