@@ -27,10 +27,9 @@ from pyspark.sql import functions as F
 from quarry.functions.scalars import static_range_bucket
 from quarry.session import scratch_path
 
-DEFAULT_BUCKET_WIDTH = 1 << 16
-
-
-AUTO_TARGET_ROWS = 1 << 16
+DEFAULT_BUCKET_WIDTH = 1 << 16   # keys per bucket of the bucketed running steps
+AUTO_TARGET_ROWS = 1 << 16       # rows per bucket aimed at by bucket_width="auto"
+TOP_FAN_OUT = 1 << 16            # buckets per super-bucket in the cross-bucket prefix
 
 
 def _floor_div(col: Column, width: int | Column) -> Column:
@@ -52,9 +51,6 @@ def _width(df: DataFrame, order_key: str, bucket_width: int | str) -> int | Colu
     return F.greatest(F.ceil(stats.scalar()), F.lit(1)).cast("long")
 
 
-TOP_FAN_OUT = 1 << 16
-
-
 def _bucket_prefix(per_bucket: DataFrame, bucket: str, total: str, out: str,
                    combine: str = "sum") -> DataFrame:
     """Exclusive running total (``combine="sum"``) or running max over one row
