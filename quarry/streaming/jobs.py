@@ -1,9 +1,11 @@
 """Structured Streaming forms of the running-count and count-window jobs
 (inventory A10, B4-B6, J1-J10, K6, K7).
 
-Every stream reads the table files with ``readStream`` (schema taken from the
-file footer, never inferred from rows) and runs with ``trigger(availableNow=True)``.
-Sinks are built-in only, so no driver callback server is needed:
+Streams read parquet tables (schema taken from the file footer, never inferred
+from rows) or folders of text files with ``readStream``, and run with
+``trigger(availableNow=True)``. Rows are combined per task (stateless
+``mapInPandas``) before any state shuffle. Sinks are built-in only, so no
+driver callback server is needed:
 
 * append-mode streams (stateful count windows, running-count updates) write to
   the parquet file sink, which commits each micro-batch exactly once through
@@ -396,7 +398,7 @@ def stream_count_window_group_top(spark: SparkSession, sf_dir: str, n: int = 100
 
 def stream_cumulative_group_top(spark: SparkSession, sf_dir: str, n: int = 1000, k: int = 7) -> DataFrame:
     """The streamed per-window partials carry no unbounded state; the
-    cumulative top-k over them is the batch dense-grid step."""
+    cumulative top-k over them is the batch pruned step."""
     from quarry.operators.windows import cumulative_top_pruned
 
     parts = _partials(spark, sf_dir, n, "stream-cumulative").select(
