@@ -79,6 +79,19 @@ def bigram_frequency_job(spark, src, out=None, representative=False):
     return result
 
 
+def bigram_reaggregate_job(spark, src, out=None):
+    """Second counting round (E3): ``w1 w2 <ws> n`` lines from earlier rounds
+    (possibly several files per bigram) merged into one count per bigram."""
+    toks = F.array_remove(F.split(F.col("value"), r"[ \t\n\r\f]+"), "")
+    parts = (read_lines(spark, src).select(toks.alias("_t")).where(F.size("_t") >= 3)
+             .select(F.concat_ws(" ", F.col("_t")[0], F.col("_t")[1]).alias("bigram"),
+                     F.col("_t")[2].try_cast("long").alias("n")))
+    result = text.reaggregate(parts.where(F.col("n").isNotNull()), "bigram")
+    if out:
+        write_delimited(result, out, ["bigram", "n"])
+    return result
+
+
 def cross_line_bigram_job(spark, src, out=None):
     lines = _file_lines(spark, src).withColumnRenamed("file", "doc_id")
     counts = text.cross_line_bigram_count(lines)

@@ -149,3 +149,10 @@ def test_representative_bigram_output_shape(spark, tmp_out):
     assert lines and all(re.fullmatch(r"\d+\t[a-z0-9]+ [a-z0-9]+", ln) for ln in lines)
     freqs = [int(ln.split("\t")[0]) for ln in lines]
     assert freqs[0] == 1 and freqs == sorted(set(freqs))
+
+
+def test_bigram_second_round(spark, tmp_out):
+    d = os.path.join(tmp_out, "round1")
+    _file(tmp_out, "round1/part-0", "to be\t2\nbe or\t1\n")
+    _file(tmp_out, "round1/part-1", "to be\t1\nnot to\t4\nbroken line\n")
+    assert rows(jobs.bigram_reaggregate_job(spark, d)) == [("be or", 1), ("not to", 4), ("to be", 3)]
