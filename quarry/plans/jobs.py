@@ -115,9 +115,13 @@ def sorted_word_count_job(spark, src, out=None):
     return counts
 
 
-def hashtag_count_job(spark, src, out=None, descending=False):
+def hashtag_count_job(spark, src, out=None, descending=False, quoted=False):
+    """Hashtag counts of multi-line JSON tweets, ascending (``descending`` flips
+    it); ``quoted`` renders each tag as JSON text, quotes included."""
     objs = read_multiline_json_objects(spark, src, TWEET)
     tags = objs.where(~F.col("_corrupt")).select(F.explode("j.entities.hashtags.text").alias("tag"))
+    if quoted:
+        tags = tags.select(T.quoted(F.col("tag")).alias("tag"))
     counts = tags.where(F.col("tag").isNotNull()).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
     result = counts.orderBy(F.desc("n") if descending else F.col("n"), "tag")
     if out:
@@ -176,8 +180,8 @@ def stock_outlier_job(spark, src, out=None, sigmas=OUTLIER_SIGMAS):
     keyed = prices.where(F.col("price").isNotNull()).withColumn("year", F.substring("date", 1, 4))
     result = stats.sigma_outliers(keyed, ["ticker", "year"], "price", sigmas)
     if out:
-        write_lines(result.select(F.format_string("(%s,%s,%s,%s)", "ticker", "date", "price", "label")
-                                  .alias("line")), out)
+        write_lines(result.select(F.format_string("(%s,%s,%s,%s,%s)", "ticker", "year", "date", "price",
+                                                  "label").alias("line")), out)
     return result
 
 

@@ -62,6 +62,7 @@ def test_records_and_hashtags(spark, tmp_out):
               '{\n "id": 4\n}\n')
     src = _file(tmp_out, "tw/t.json", tweets)
     assert [tuple(r) for r in jobs.hashtag_count_job(spark, src).collect()] == [("b", 1), ("a", 2)]
+    assert [r.tag for r in jobs.hashtag_count_job(spark, src, quoted=True).collect()] == ['"b"', '"a"']
 
 
 def test_relational_jobs(spark, tmp_out):
@@ -77,8 +78,10 @@ def test_relational_jobs(spark, tmp_out):
     raw = _file(tmp_out, "fw/raw.txt", "c1 Blocked\nc2 Blocked\nc3 Allowed\n")
     assert rows(jobs.firewall_job(spark, ipt, raw)) == [("9.9.9.9", 2)]
     prices = "".join(f"A,2010-01-{i + 1:02d},10.0\n" for i in range(10)) + "A,2010-02-01,100.0\nB,2011-01-01,5\n"
-    got = rows(jobs.stock_outlier_job(spark, _file(tmp_out, "st/p.csv", prices)), "ticker", "price", "label")
+    out = os.path.join(tmp_out, "outliers")
+    got = rows(jobs.stock_outlier_job(spark, _file(tmp_out, "st/p.csv", prices), out), "ticker", "price", "label")
     assert got == [("A", 100.0, "high")]
+    assert _parts(out) == ["(A,2010,2010-02-01,100.0,high)"]
 
 
 def _repo_line(repo, lang, stars):
