@@ -8,21 +8,30 @@ import pytest
 from quarry.session import checkpoint_dir
 
 
-class _Conf:
+class _SparkConf:
+    """Like SparkConf: a missing key gives the default."""
+
     def __init__(self, values):
         self.values = values
 
     def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+class _RuntimeConf(_SparkConf):
+    """Like spark.conf: a missing key without a default raises."""
+
+    def get(self, key, *default):
         if key in self.values:
             return self.values[key]
-        if default is not None:
-            return default
+        if default:
+            return default[0]
         raise KeyError(key)
 
 
 class _Context:
     def __init__(self, master, conf):
-        self.master, self._conf, self.dir = master, _Conf(conf), None
+        self.master, self._conf, self.dir = master, _SparkConf(conf), None
 
     def getCheckpointDir(self):
         return self.dir
@@ -37,7 +46,7 @@ class _Context:
 class _Session:
     def __init__(self, master, conf):
         self.sparkContext = _Context(master, conf)
-        self.conf = _Conf(conf)
+        self.conf = _RuntimeConf(conf)
 
 
 def test_configured_folder_is_used():
