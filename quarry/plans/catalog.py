@@ -123,6 +123,27 @@ def q_bigram_cross_line(spark, d):
     return text.cross_line_bigram_count_per_document(_docs(spark, d))
 
 
+def q_bigram_cross_line_lines(spark, d):
+    """The line-based operator (bucketed successor of each non-empty line)."""
+    return text.cross_line_bigram_count(_lines(spark, d))
+
+
+def q_bigram_count_two_round(spark, d):
+    """Counts merged again in a second round (E3): the same counts."""
+    return text.reaggregate(text.line_bigram_count(_lines(spark, d)), "bigram")
+
+
+def q_token_total_two_round(spark, d):
+    """Total as the sum of the per-word counts (second round of a two-round job)."""
+    return text.total_of_counts(text.word_count(_docs(spark, d)))
+
+
+def q_two_line_records_grouped(spark, d):
+    """The general N-line reader: lines grouped by (document, line_no div 2)."""
+    from quarry.sources.text import n_line_records
+    return n_line_records(_lines(spark, d), 2)
+
+
 def q_two_line_records(spark, d):
     return n_line_records_per_document(_docs(spark, d), 2)
 
@@ -273,6 +294,11 @@ def q_triangle_count(spark, d):
     return graph.triangle_count(_event_edges(spark, d))
 
 
+def q_triangle_count_by_id(spark, d):
+    """Cross-check plan: edges oriented by id instead of degree."""
+    return graph.triangle_count_by_id(_event_edges(spark, d))
+
+
 # --- count windows (batch) -----------------------------------------------------------
 
 def q_count_window_sum(spark, d):
@@ -327,6 +353,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bigram_representative": q_bigram_representative,
     "bigram_sentence": q_bigram_sentence,
     "bigram_cross_line": q_bigram_cross_line,
+    "bigram_cross_line_lines": q_bigram_cross_line_lines,
+    "bigram_count_two_round": q_bigram_count_two_round,
+    "token_total_two_round": q_token_total_two_round,
+    "two_line_records_grouped": q_two_line_records_grouped,
     "two_line_records": q_two_line_records,
     "json_path_count": q_json_path_count,
     "multiline_json_count": q_multiline_json_count,
@@ -348,6 +378,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "neighbour_sets": q_neighbour_sets,
     "two_hop_links": q_two_hop_links,
     "triangle_count": q_triangle_count,
+    "triangle_count_by_id": q_triangle_count_by_id,
     "count_window_sum": q_count_window_sum,
     "count_window_running_sum": q_count_window_running_sum,
     "count_window_word_top10": q_count_window_word_top10,

@@ -274,6 +274,12 @@ FROM r WHERE rank <= {TOP_GROUPS}""",
 }
 
 ORACLE["outlier_3sigma_join"] = ORACLE["outlier_3sigma"]
+# Alternative plans of the same queries share their oracle.
+ORACLE["bigram_cross_line_lines"] = ORACLE["bigram_cross_line"]
+ORACLE["bigram_count_two_round"] = ORACLE["bigram_count"]
+ORACLE["token_total_two_round"] = ORACLE["token_total"]
+ORACLE["two_line_records_grouped"] = ORACLE["two_line_records"]
+ORACLE["triangle_count_by_id"] = ORACLE["triangle_count"]
 
 # The streaming queries end in the same state as their batch counterparts.
 from quarry.streaming.jobs import STREAM_ORACLE_OF  # noqa: E402
