@@ -21,6 +21,13 @@ SENTENCE_CLASS = r"[.!?]"
 CLEAN_KEEP_CLASS = r"[^a-z0-9 ]"
 
 
+def computed_once(expr: Column) -> Column:
+    """Generator output for ``expr`` (use inside ``select``): a later filter on the
+    column cannot be pushed below it and re-evaluate ``expr``, which is what
+    happens to an ordinary alias."""
+    return F.explode(F.array(expr))
+
+
 def _drop_empty(arr: Column) -> Column:
     # array_remove is a code-generated expression; a lambda filter is not
     return F.array_remove(arr, "")

@@ -128,21 +128,34 @@ def bucketed_running_max(df: DataFrame, order_key: str, value: str, out: str,
             .drop(b, "_qo", "_ql"))
 
 
-def bucketed_next(df: DataFrame, order_key: str, out: str, partition_by: Sequence[str] = (),
+def bucketed_lead(df: DataFrame, order_key: str, value: str, out: str, partition_by: Sequence[str] = (),
                   bucket_width: int | str = DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """The next ``order_key`` value within each ``partition_by`` group (a lead),
-    null for the last. Within a bucket a windowed lead; the last row of a bucket
-    takes the first key of the group's next non-empty bucket (one row per bucket)."""
+    """``value`` of the next row in ``order_key`` order within each
+    ``partition_by`` group (a lead), null for the last row.
+
+    One shuffle by (group, key bucket): a windowed lead inside the bucket; the
+    last row of a bucket takes the value of the first row of the group's next
+    non-empty bucket, looked up from one row per bucket. A very long group is
+    spread over many tasks."""
     parts = list(partition_by)
     b = "_qb"
     with_b = df.withColumn(b, _floor_div(F.col(order_key), _width(df, order_key, bucket_width)))
-    local = with_b.withColumn("_qn", F.lead(order_key).over(Window.partitionBy(*parts, b).orderBy(order_key)))
-    firsts = local.groupBy(*parts, b).agg(F.min(order_key).alias("_qf"))
+    w = Window.partitionBy(*parts, b).orderBy(order_key)
+    # lag, not row_number, marks a bucket's first row: the first-row filter then
+    # shares this window and its exchange instead of being planned apart
+    local = with_b.withColumn("_qn", F.lead(value).over(w)).withColumn("_qr", F.lag(order_key).over(w))
+    firsts = local.where(F.col("_qr").isNull()).select(*parts, b, F.col(value).alias("_qf"))
     following = (Window.partitionBy(*parts) if parts else Window).orderBy(b)
     nextb = firsts.select(*parts, b, F.lead("_qf").over(following).alias("_qnb"))
     return (local.join(nextb, [*parts, b])
             .withColumn(out, F.coalesce("_qn", "_qnb"))
-            .drop(b, "_qn", "_qnb"))
+            .drop(b, "_qn", "_qr", "_qnb"))
+
+
+def bucketed_next(df: DataFrame, order_key: str, out: str, partition_by: Sequence[str] = (),
+                  bucket_width: int | str = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+    """The next ``order_key`` value within each ``partition_by`` group."""
+    return bucketed_lead(df, order_key, order_key, out, partition_by, bucket_width)
 
 
 def bucketed_ordinal(df: DataFrame, order_key: str, out: str = "ordinal",

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.operators.ordering import bucketed_running_sum
+from quarry.operators.ordering import bucketed_lead
 
 
 def count_tokens(df: DataFrame, tokens: Column, out: str = "word", n: str = "n") -> DataFrame:
@@ -82,22 +82,19 @@ def cross_line_bigram_count(lines: DataFrame, bucket_width: int = 4096) -> DataF
     """Bigrams made of the last word of a line and the first word of the next line
     that has words, in the same document (lines carry ``doc_id, line_no, line``).
 
-    The successor of each non-empty line is found without a window over the whole
-    document: a per-document running count numbers the non-empty lines (bucketed,
-    so a very long document is split over many tasks), and an equi-join on
-    ``(doc_id, k) = (doc_id, k + 1)`` pairs neighbours.
+    The next non-empty line's first word is a bucketed lead over line numbers
+    within the document: one shuffle by (document, line bucket), so a very long
+    document is spread over many tasks, and no self-join.
     """
-    words = T.cleaned_words(F.col("line"))
+    words = T.computed_once(T.cleaned_words(F.col("line")))
     edges = (lines.select("doc_id", "line_no", words.alias("_w"))
              .where(F.size("_w") > 0)
              .select("doc_id", "line_no",
                      F.element_at("_w", 1).alias("first"), F.element_at("_w", -1).alias("last")))
-    numbered = bucketed_running_sum(edges, "line_no", F.lit(1).cast("long"), "k",
-                                    partition_by=["doc_id"], bucket_width=bucket_width)
-    left = numbered.select("doc_id", (F.col("k") + 1).alias("k"), "last")
-    right = numbered.select("doc_id", "k", "first")
-    pairs = left.join(right, ["doc_id", "k"])
-    return (pairs.select(F.concat("last", F.lit(" "), "first").alias("bigram"))
+    paired = bucketed_lead(edges, "line_no", "first", "next_first", partition_by=["doc_id"],
+                           bucket_width=bucket_width)
+    return (paired.where(F.col("next_first").isNotNull())
+            .select(F.concat("last", F.lit(" "), "next_first").alias("bigram"))
             .groupBy("bigram").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -115,7 +112,7 @@ def cross_line_bigram_count_per_document(docs: DataFrame, text_col: str = "text"
 def json_path_count(df: DataFrame, json_col: str, path: str, out: str = "tag",
                     descending: bool = False) -> DataFrame:
     """Count the string value at a JSON path (``$.a.b``); malformed or missing -> skipped."""
-    v = F.get_json_object(F.col(json_col), path)
+    v = T.computed_once(F.get_json_object(F.col(json_col), path))
     counts = (df.select(v.alias(out)).where(F.col(out).isNotNull())
               .groupBy(out).agg(F.count(F.lit(1)).alias("n")))
     order = F.desc("n") if descending else F.col("n")

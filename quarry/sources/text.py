@@ -97,7 +97,8 @@ def first_two_tokens(lines: DataFrame, line_col: str = "value", keep=(),
                      missing_value: str | None = None) -> DataFrame:
     """First two whitespace tokens become key and value; the rest is dropped.
     Lines without tokens give no row; a lone token gets ``missing_value``."""
-    toks = F.array_remove(F.split(F.col(line_col), r"[ \t\n\r\f]+"), "")
+    # generator output, so the size filter does not re-run the split
+    toks = F.explode(F.array(F.array_remove(F.split(F.col(line_col), r"[ \t\n\r\f]+"), "")))
     value = F.try_element_at("_t", F.lit(2))
     if missing_value is not None:
         value = F.coalesce(value, F.lit(missing_value))
