@@ -49,9 +49,8 @@ def _events(spark, d):
 def _event_edges(spark, d):
     """(user_id, props.k) as a directed pair list."""
     e = _events(spark, d)
-    return e.select(F.col("user_id").alias("src"),
-                    F.get_json_object("props", "$.k").try_cast("long").alias("dst")) \
-        .where(F.col("dst").isNotNull())
+    dst = T.computed_once(F.get_json_object("props", "$.k").try_cast("long"))   # parsed once
+    return e.select(F.col("user_id").alias("src"), dst.alias("dst")).where(F.col("dst").isNotNull())
 
 
 def _event_ordinals(spark, d):
