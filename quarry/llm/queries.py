@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, mixing, sharding, simhash, toxicity
+from quarry.llm import decontam, embed_graph, line_dedup, mixing, pii, sharding, simhash, toxicity, url_cascade, warc
+from quarry.session import scratch_path
 from quarry.sources.tables import load
 
 SHARDS = 16
+MIN_SITES = 5
+PII_KEY = b"registered query, not a secret"
+# The rules, (verdict, host, path prefix).
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+         ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+# Fixed value: hosts with one of these words as a label, or as a part of one between hyphens, are on the block list.
+LISTED_HOST = r"(^|[.-])(spam|casino|bets|adult)([.-]|$)"
 
 
 def q_op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,12 +41,46 @@ def q_op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def q_op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives and read back; payload sizes and digests of responses are those of what was read."""
+    path = scratch_path(spark, "warc")
+    warc.write(warc.records(load(spark, sf_dir, "pages"), revisit_bytes=0), path)
+    recs = warc.read(spark, path).where(F.col("record_type").isin("response", "revisit"))
+    page = lambda c: F.regexp_extract(c, r"\A<urn:page:(.*)>\z", 1).try_cast("bigint")
+    response = F.col("record_type") == "response"
+    digest = F.when(response, warc.sha1_base32(F.col("payload"))).otherwise(F.regexp_replace("payload_digest", r"\Asha1:", ""))
+    size = F.when(response, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes"))
+    return recs.select(page(F.col("record_id")).alias("page_id"), size.alias("payload_bytes"),
+                       digest.alias("payload_digest"), "record_type", page(F.col("refers_to")).alias("refers_to"))
+
+
+def q_op5_embedding_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates (cosine 0.9) of all embeddings over the robust-pruned flat graph."""
+    return embed_graph.near_duplicates(load(spark, sf_dir, "embeddings"), 0.9)
+
+
+def q_op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that are on 5 sources or more."""
+    return line_dedup.remove_boilerplate(load(spark, sf_dir, "documents"), MIN_SITES)
+
+
 def q_op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in a Pfair mix of their sources, weighted by the square root of their rows."""
     docs = load(spark, sf_dir, "documents")
     return mixing.mix_plan(docs, mixing.target_weights(docs))
 
 
+def q_op8_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url by the rules, else by the cascade over the block list's keys in the corpus."""
+    judged = url_cascade.judge(load(spark, sf_dir, "pages"), RULES, lambda host, path: host.rlike(LISTED_HOST))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "listed")
+
+
+def q_op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with format-preserving pseudonyms."""
+    return pii.pseudonymised(load(spark, sf_dir, "documents"), PII_KEY)
+
+
 def q_op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by a factorization machine learnt from the labels that are not held out."""
     docs = load(spark, sf_dir, "documents")
@@ -49,6 +91,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": q_op1_sharding,
     "op2_decontamination": q_op2_decontamination,
     "op3_simhash": q_op3_simhash,
+    "op4_warc": q_op4_warc,
+    "op5_embedding_graph": q_op5_embedding_graph,
+    "op6_line_dedup": q_op6_line_dedup,
     "op7_mixing": q_op7_mixing,
+    "op8_url_cascade": q_op8_url_cascade,
+    "op9_pii": q_op9_pii,
     "op10_toxicity": q_op10_toxicity,
 }
