@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20          # texts are hashed in slices of about this size
+SLICE_BYTES = 1 << 18          # texts are hashed in slices of about this size
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 _LOWER = np.arange(256, dtype=np.uint8)
