@@ -123,7 +123,7 @@ def mix_plan(docs: DataFrame, weights: Mapping[object, float], period: int = 100
                          & (F.col("block") % F.col("n") == F.col("p_k")))
     cycle = F.expr("block div n")
     limits = F.array(*[F.struct(F.lit(int(have.get(s, 0))).cast("bigint").alias("have"),
-                                F.lit(slots[s]).cast("bigint").alias("n")) for s in names])
+                                F.lit(slots[s]).cast("bigint").alias("n")) for s in names]).cast("array<struct<have:bigint,n:bigint>>")
     earlier = F.zip_with("p_before", limits, lambda b, x: F.least(x["have"], cycle * x["n"] + b))
     return placed.select(
         F.col("id").alias(id_col), F.col("src").alias(source_col), "block", "in_block",

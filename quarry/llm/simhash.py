@@ -242,7 +242,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Columns are unchanged. Rows with a null id stay (no decision can name
     them). Rows that share an id count as one document: it goes if any of them
-    is a later member of a group, and of its fully equal rows one stays.
+    is a later member of a group, and of its rows with equal texts one stays.
     """
     groups = simhash_groups(docs, id_col, text_col, shingle, radius)
     decided = cut(groups.where(F.col(id_col).isNotNull()).groupBy(id_col)
@@ -253,5 +253,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     repeated = decided.where("__late = 0 and __n > 1").select(F.col(id_col).alias("__id"))
     if repeated.isEmpty():
         return kept
-    once = kept.join(repeated, kept[id_col] == repeated["__id"], "left_semi").dropDuplicates()
+    once = kept.join(repeated, kept[id_col] == repeated["__id"], "left_semi").dropDuplicates([id_col, text_col])
     return kept.join(repeated, kept[id_col] == repeated["__id"], "left_anti").unionByName(once)

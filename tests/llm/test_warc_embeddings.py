@@ -1,0 +1,194 @@
+from __future__ import annotations
+
+import base64
+import gzip
+import hashlib
+import io
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quarry.llm import embed_graph, warc
+from quarry.llm.queries import q_op4_warc
+from quarry.session import scratch_path
+
+# --- WARC ---------------------------------------------------------------------------
+
+PAGES = [
+    (1, "http://a/", "<p>same</p>"), (2, "http://b/", "<p>same</p>"), (7, "http://c/", "<p>same</p>"), (7, "http://d/", "<p>same</p>"),
+    (3, None, "\u00e4\u00f6 \U0001f600"), (4, "x\r\nWARC-Type: evil", "a\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n"), (5, "u", None), (6, "v", ""),
+    (None, "n", "<p>same</p>"), (None, "m", "alone"), (8, "w", "long " * 100_000), (9, "z", "\n\n"),
+]
+
+
+def pages_dir(spark, tmp_path, rows):
+    spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, record_type string, payload int").repartition(
+        3).write.parquet(str(tmp_path / "pages.parquet"))
+    return str(tmp_path)
+
+
+def brute_pages(rows, least=0):
+    best, out = {}, Counter()
+    for i, _, h in rows:
+        raw = (h or "").encode()
+        if len(raw) >= least and i is not None:
+            best[raw] = max(i, best.get(raw, i))
+    for i, _, h in rows:
+        raw = (h or "").encode()
+        first = best.get(raw)
+        revisit = first is not None and i != first
+        out[i, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "revisit" if revisit else "response", first if revisit else None] += 1
+    return out
+
+
+def test_round_trip(spark, tmp_path):
+    assert Counter(map(tuple, q_op4_warc(spark, pages_dir(spark, tmp_path, PAGES)).collect())) == brute_pages(PAGES)
+
+
+def test_round_trip_of_an_empty_table(spark, tmp_path):
+    assert q_op4_warc(spark, pages_dir(spark, tmp_path, PAGES[:1])).count() == 1
+    path = scratch_path(spark, "warc")
+    warc.write(warc.records(spark.read.parquet(str(tmp_path / "pages.parquet")).limit(0)), path)
+    assert warc.read(spark, path).collect() == []
+
+
+def test_payloads_come_back_and_small_ones_are_never_revisits(spark, tmp_path):
+    path = scratch_path(spark, "warc")
+    df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    warc.write(warc.records(df, revisit_bytes=12), path, records_per_file=2)
+    back = warc.read(spark, path).where("record_type = 'response'").collect()
+    assert Counter(bytes(r["payload"]) for r in back) == Counter((h or "").encode() for _, _, h in PAGES)
+    assert all(r["http_status"] == 200 for r in back)
+
+
+class Tracked(io.BytesIO):
+    def __init__(self, data):
+        super().__init__(data)
+        self.taken = 0
+
+    def read(self, n=-1):
+        out = super().read(n)
+        self.taken += len(out)
+        return out
+
+
+def test_predicates_reach_the_headers_and_payloads_are_skipped(spark, tmp_path):
+    path = scratch_path(spark, "warc")
+    warc.write(warc.records(spark.createDataFrame(PAGES, "page_id long, url string, html string")), path)
+    d = warc.read(spark, path).where((F.col("record_type") == "revisit") & F.col("target_uri").startswith("http://") & (F.col("payload_bytes") > 5))
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "payload_bytes" in plan.split("Filter")[1].split("\n")[0] and "target_uri" not in plan.split("Filter")[1].split("\n")[0]
+    assert sorted(r["target_uri"] for r in d.collect()) == ["http://a/", "http://b/"]
+    raw = b"".join(f.read_bytes() for f in sorted(__import__("pathlib").Path(path.removeprefix("file:")).glob("part-*")))
+    full, picked, bare = Tracked(raw), Tracked(raw), Tracked(raw)
+    assert len(list(warc.scan(full, [], True))) == len(PAGES) and full.taken > 500_000
+    assert [r[1] for r in warc.scan(picked, [("record_id", lambda v: v == "<urn:page:9>")], True)] == ["<urn:page:9>"] and picked.taken == 2
+    assert all(r[-1] is None for r in warc.scan(bare, [], False)) and bare.taken == 0
+    assert all(r["payload"] is None and r["payload_bytes"] is not None for r in warc.read(spark, path, payload=False).collect())
+
+
+def test_foreign_archives(spark, tmp_path):
+    body = b"hello\r\n"
+    rec = (b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Type: text/plain;\r\n folded\r\nContent-Length: 7\r\n\r\n" + body + b"\r\n\r\n"
+           b"WARC/1.0\r\nwarc-type:  resource \r\nWARC-Target-URI: f://x\r\nContent-Length: 0\r\n\r\n\r\n\r\n")
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "a.warc.gz").write_bytes(gzip.compress(rec) + gzip.compress(rec))
+    (tmp_path / "_skipped").write_bytes(b"no archive")
+    got = warc.read(spark, str(tmp_path)).collect()
+    assert [(r["record_type"], r["content_type"], r["payload_bytes"], bytes(r["payload"])) for r in got] == 2 * [
+        ("warcinfo", "text/plain; folded", 7, body), ("resource", None, 0, b"")]
+    with pytest.raises(ValueError):
+        list(warc.scan(io.BytesIO(b"HTTP/1.1 200 OK\r\n"), [], True))
+
+
+# --- embedding graph -----------------------------------------------------------------
+
+def brute_links(rows, thr=0.9):
+    ids = [i for i, _ in rows]
+    ok = [v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v) for _, v in rows]
+    n = len(rows)
+    near = np.zeros((n, n), dtype=bool)
+    for a in range(n):
+        for b in range(a):
+            if ok[a] and ok[b] and len(rows[a][1]) == len(rows[b][1]):
+                x, y = (np.array(rows[k][1], dtype=np.float64) / max(map(abs, rows[k][1])) for k in (a, b))
+                near[a, b] = near[b, a] = x @ y / np.sqrt((x @ x) * (y @ y)) >= thr
+    comp = list(range(n))
+    while True:
+        new = [min([comp[a], *(comp[b] for b in np.flatnonzero(near[a]))]) for a in range(n)]
+        if new == comp:
+            break
+        comp = new
+    least = {}
+    for a in range(n):
+        if ids[a] is not None:
+            least[comp[a]] = min(ids[a], least.get(comp[a], ids[a]))
+    return Counter((ids[a], int(near[a].sum()), least.get(comp[a]), ids[a] == least.get(comp[a])) for a in range(n))
+
+
+def cloud(rng, n, dim=16, copies=12):
+    """Random vectors with noisy copies."""
+    rows = []
+    while len(rows) < n:
+        base = rng.normal(size=dim)
+        for _ in range(rng.integers(1, copies)):
+            rows.append((len(rows) * 7 % 1009, (base + rng.normal(0, 0.08, dim)).astype(np.float32).tolist()))
+    return rows[:n]
+
+
+def test_links_by_brute_force(spark):
+    rng = np.random.default_rng(1)
+    rows = cloud(rng, 500)
+    hot = rng.normal(size=16)
+    rows += [(2_000 + i, (hot + rng.normal(0, 0.05, 16)).astype(np.float32).tolist()) for i in range(250)]
+    rows += [(3_000 + i, rows[0][1]) for i in range(40)] + [rows[5], (None, rows[5][1]), (None, [1.0] * 16)]
+    rows += [(4_000, None), (4_001, []), (4_002, [0.0] * 16), (4_003, [float("nan")] * 16), (4_004, [None] + [1.0] * 15), (4_005, [float("inf")] + [1.0] * 15),
+             (4_006, [1e30] * 16), (4_007, [1e-30] * 16), (4_008, [1.0, 2.0]), (4_009, [2.0, 4.0]), (4_010, [-1.0, -2.0])]
+    df = spark.createDataFrame([(i, v, 3, "x") for i, v in rows], "vec_id long, embedding array<float>, label int, node string").repartition(4)
+    want = brute_links([(i, v and [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows])
+    # one cell; many cells; and cells cut into chunks and query blocks
+    for cell, chunk, queries in ((10_000, 4096, 2048), (200, 4096, 2048), (400, 150, 100)):
+        got = embed_graph.near_duplicates(df, 0.9, cell=cell, chunk=chunk, queries=queries)
+        got = Counter(map(tuple, got.collect()))
+        if chunk > 1_000 and cell == 10_000:
+            assert got == want
+        true = sum(k[1] * n for k, n in want.items())
+        assert sum(k[1] * n for k, n in got.items()) >= 0.97 * true
+        exact = {k[0]: k[1] for k in want if k[0] is not None}
+        assert all(k[1] <= exact[k[0]] for k in got if k[0] is not None)
+    assert embed_graph.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_audit(spark):
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame(cloud(rng, 600), "vec_id long, embedding array<float>")
+    result = embed_graph.near_duplicates(df, cell=150)
+    for block in (2, 4096):
+        row = embed_graph.audit(df, result, every=10, block=block).first()
+        rows = [(r["vec_id"], [float(x) for x in r["embedding"]]) for r in df.collect()]
+        true = sum(k[1] * n for k, n in brute_links(rows).items() if k[0] % 10 == 0)
+        assert row["true_links"] == true and 0.9 * true <= row["links"] <= true
+        assert row["queries"] == sum(i % 10 == 0 for i, _ in rows)
+
+
+def test_recall_on_the_tables(spark):
+    """Every hundredth vector against all, by brute force."""
+    e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    row = embed_graph.audit(e, embed_graph.near_duplicates(e)).first()
+    assert row["links"] >= 0.9 * row["true_links"] and row["links"] <= row["true_links"]
+
+
+def test_search_leaves_the_medoids_for_every_part():
+    rng = np.random.default_rng(3)
+    x = embed_graph.unit(np.concatenate([rng.normal(size=(1, 24)) + rng.normal(0, 0.02, (300, 24)), rng.normal(size=(700, 24))]))
+    lists = embed_graph.build_graph(x)
+    adj = np.full((1_000, max(map(len, lists))), 1_000)
+    for i, a in enumerate(lists):
+        assert i not in a
+        adj[i, :len(a)] = a
+    fq, fv = embed_graph.audited_search(x, adj, x, 0.9)
+    near = x @ x.T >= 0.9
+    assert near[fq, fv].all() and len(set(zip(fq.tolist(), fv.tolist()))) == len(fq)
+    assert len(fq) >= 0.99 * near.sum()
