@@ -67,6 +67,11 @@ def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, shingle: int)
     return src.mapInArrow(run, f"`{id_col}` {kind}, fp bigint")
 
 
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of every pair; counted unsigned, as numpy counts the bits of a signed number's absolute value."""
+    return np.bitwise_count(a.view(np.uint64)[:, None] ^ b.view(np.uint64)[None, :])
+
+
 def _stars(fps: np.ndarray, other: np.ndarray | None, radius: int) -> list[tuple[int, int]]:
     """Spanning links (root, member) of the fingerprints within ``radius`` of each other.
 
@@ -86,13 +91,13 @@ def _stars(fps: np.ndarray, other: np.ndarray | None, radius: int) -> list[tuple
                     left = np.flatnonzero(~reached)
                     if not len(left):
                         break
-                    near = np.bitwise_count(frontier[i:i + 256, None] ^ open_[None, left]) <= radius
+                    near = _distance(frontier[i:i + 256], open_[left]) <= radius
                     reached[left[near.any(axis=0)]] = True
                 frontier, open_ = open_[reached], open_[~reached]
                 out.extend((int(root), int(x)) for x in frontier)
         return out
     for i in range(0, len(fps), 256):                      # each right one to one left one, each left one likewise
-        near = np.bitwise_count(fps[i:i + 256, None] ^ other[None, :]) <= radius
+        near = _distance(fps[i:i + 256], other) <= radius
         a, b = np.nonzero(near)
         if len(a):
             # a spanning forest of the bipartite links of this piece

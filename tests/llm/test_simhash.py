@@ -88,7 +88,7 @@ def test_links_of_a_dense_bucket_go_block_by_block(spark, limit):
     df = spark.createDataFrame([(x,) for x in signed], "fp long")
     links = {(r["u"], r["v"]) for r in simhash.fingerprint_links(df, 4, limit).collect()}
     x = np.array(signed)
-    near = np.bitwise_count(x[:, None] ^ x[None, :]) <= 4
+    near = np.bitwise_count(x.view(np.uint64)[:, None] ^ x.view(np.uint64)[None, :]) <= 4
 
     def groups(pairs):
         label = {v: v for v in signed}
