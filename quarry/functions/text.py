@@ -15,8 +15,6 @@ WHITESPACE_CLASS = r"[ \t\n\r\f]+"
 # Script tokeniser: space, double quote, comma, left and right parenthesis, star
 # (newline added because it is the line boundary of the input).
 SCRIPT_TOKEN_CLASS = r"[ \",()*\n]+"
-# Sentence delimiters: full stop, exclamation mark, question mark.
-SENTENCE_CLASS = r"[.!?]"
 # Characters kept by the bigram cleaner: lower-case ASCII letters, digits, space.
 CLEAN_KEEP_CLASS = r"[^a-z0-9 ]"
 
@@ -95,7 +93,7 @@ def sentence_bigrams_of_words(sentence_words_col: Column) -> Column:
 
 def full_match(s: Column, pattern: str) -> Column:
     """True when the whole string matches ``pattern`` (not just a substring)."""
-    return s.rlike(f"^(?:{pattern})$")
+    return s.rlike(rf"\A(?:{pattern})\z")
 
 
 def quoted(s: Column) -> Column:
@@ -105,4 +103,44 @@ def quoted(s: Column) -> Column:
 
 def digit_tokens(text: Column) -> Column:
     """Tokens of ``\\W+`` that are all digits (a minus sign is a separator)."""
-    return F.filter(F.split(text, r"\W+"), lambda x: x.rlike("^[0-9]+$"))
+    return F.filter(F.split(text, r"\W+"), lambda x: x.rlike(r"\A[0-9]+\z"))
+
+
+LIMB_DIGITS = 18     # digits of one limb: 10^20 limbs still sum within decimal(38,0)
+
+
+def digit_limbs(token: Column) -> Column:
+    """An all-digit token of any length as ``array<struct<pos, limb>>``: 18 digits each, from the right."""
+    n = F.length(token)
+    last = F.floor((n - 1) / LIMB_DIGITS).cast("int")
+
+    def limb(i: Column) -> Column:
+        end = n - i * LIMB_DIGITS
+        start = F.greatest(end - LIMB_DIGITS, F.lit(0))
+        return F.struct(i.alias("pos"), F.substring(token, start + 1, end - start).cast("decimal(38,0)").alias("limb"))
+
+    return F.transform(F.sequence(F.lit(0), last), limb)
+
+
+def carried_total(sums: Column) -> Column:
+    """The decimal text of the number whose limb sums are ``array<struct<pos, limb>>`` (any order, gaps allowed).
+
+    One carry runs from the lowest limb up, in one row as long as the longest token.
+    """
+    big = "decimal(38,0)"
+    base = F.lit(10 ** LIMB_DIGITS).cast(big)
+    by_pos = F.map_from_entries(sums)
+    top = F.array_max(F.map_keys(by_pos))
+    zero = F.lit(0).cast(big)
+
+    def step(acc: Column, i: Column) -> Column:
+        total = (acc["carry"] + F.coalesce(F.try_element_at(by_pos, i), zero)).cast(big)
+        low = (total % base).cast(big)
+        return F.struct(((total - low) / base).cast(big).alias("carry"),
+                        F.concat(F.lpad(low.cast("string"), LIMB_DIGITS, "0"), acc["digits"]).alias("digits"))
+
+    start = F.struct(zero.alias("carry"), F.lit("").alias("digits"))
+    folded = F.aggregate(F.sequence(F.lit(0), top), start, step,
+                         lambda a: F.concat(a["carry"].cast("string"), a["digits"]))
+    trimmed = F.regexp_replace(folded, r"\A0+(?=[0-9])", "")
+    return F.when(F.size(sums) > 0, trimmed).otherwise(F.lit("0"))

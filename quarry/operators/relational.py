@@ -23,15 +23,18 @@ def skip_first_rows(df: DataFrame, order_col: str, n: int = 1) -> DataFrame:
 
 
 def grouped_sum_having(df: DataFrame, key: str, value: str, threshold: float,
-                       out: str = "total", money: bool = True) -> DataFrame:
+                       out: str = "total", decimal: str | None = "decimal(18,2)") -> DataFrame:
     """SUM per key, keep groups above ``threshold``, largest first.
 
-    ``money`` sums as decimal(18,2) so the total is exact, then returns a double.
+    ``decimal`` names the exact type to sum a fractional value in (values are
+    rounded to its scale; the total is returned as a double). With ``None`` the
+    value is summed as it is and the sum keeps its type: integral sums stay long.
     """
-    v = F.col(value).cast("decimal(18,2)") if money else F.col(value)
+    v = F.col(value).cast(decimal) if decimal else F.col(value)
     agg = df.groupBy(key).agg(F.sum(v).alias("_s"))
+    total = F.col("_s").cast("double") if decimal else F.col("_s")
     return (agg.where(F.col("_s") > F.lit(threshold))
-            .select(key, F.col("_s").cast("double").alias(out))
+            .select(key, total.alias(out))
             .orderBy(F.desc(out), key))
 
 

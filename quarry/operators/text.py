@@ -28,7 +28,7 @@ def word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def script_word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Script-style tokens that fully match ``\\w+``, most frequent first."""
     counts = (docs.select(F.explode(T.script_tokens(F.col(text_col))).alias("word"))
-              .where(F.col("word").rlike(r"^\w+$"))
+              .where(T.full_match(F.col("word"), r"\w+"))
               .groupBy("word").agg(F.count("word").alias("n")))
     return counts.orderBy(F.desc("n"), "word")
 
@@ -119,9 +119,21 @@ def json_path_count(df: DataFrame, json_col: str, path: str, out: str = "tag",
     return counts.orderBy(order, out)
 
 
+def limb_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(pos, limb)``: the sums of the 18-digit limbs of all all-digit ``\\W+`` tokens, by position.
+
+    As many rows as the longest token has limbs; counted partially per task.
+    """
+    limbs = F.flatten(F.transform(T.digit_tokens(F.col(text_col)), T.digit_limbs))
+    return (docs.select(F.explode(limbs).alias("_l")).groupBy(F.col("_l.pos").alias("pos"))
+            .agg(F.sum("_l.limb").cast("decimal(38,0)").alias("limb")))
+
+
+def total_of_limbs(sums: DataFrame) -> DataFrame:
+    """The exact total of ``limb_sums`` as a string, ``0`` without rows."""
+    return sums.agg(F.collect_list(F.struct("pos", "limb")).alias("_s")).select(T.carried_total(F.col("_s")).alias("total"))
+
+
 def integer_total(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Sum of all-digit ``\\W+`` tokens, exact (decimal(38,0)), as a string."""
-    nums = F.transform(T.digit_tokens(F.col(text_col)), lambda x: x.try_cast("decimal(38,0)"))
-    per_doc = F.aggregate(nums, F.lit(0).cast("decimal(38,0)"),
-                          lambda acc, x: acc + F.coalesce(x, F.lit(0).cast("decimal(38,0)")))
-    return docs.agg(F.coalesce(F.sum(per_doc), F.lit(0)).cast("decimal(38,0)").cast("string").alias("total"))
+    """Sum of all-digit ``\\W+`` tokens as a string: exact for tokens of any length."""
+    return total_of_limbs(limb_sums(docs, text_col))

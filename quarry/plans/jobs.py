@@ -15,7 +15,7 @@ from quarry.sinks.text import (write_delimited, write_lines, write_static_ranges
                                write_tuples)
 from quarry.sources.text import (first_two_tokens, key_value_on_tab, n_line_records,
                                  positional_fields, read_delimited, read_lines,
-                                 read_multiline_json_objects, text_line_ordinals)
+                                 read_multiline_json_objects, text_line_ordinals, text_lines_numbered)
 
 # Parameters of the original jobs.
 LAND_AREA_THRESHOLD = 200_000_000_000    # a state's summed land area must exceed this
@@ -29,14 +29,12 @@ BLOCKED_ACTION = "Blocked"               # firewall action that is counted
 TRACE_PROTOCOL = "tcp"                   # protocol kept by the destination count
 OUTLIER_SIGMAS = 3.0                     # band half-width in population standard deviations
 
-# Declared input schemas.
+# The header of the public tract file, and 0-based field positions of the space-separated traces.
 GAZ_TRACTS = ("USPS string, GEOID int, POP10 int, HU10 int, ALAND long, AWATER int, "
               "ALAND_SQMI double, AWATER_SQMI double, INTPTLAT float, INTPTLONG float")
-NETWORK_TRACE = ("time string, e_1 string, sourceIp string, e_2 string, destinationIp string, "
-                 "protocol string, protocolDepData string")
-IP_TRACE = ("time string, connectionID string, sourceIP string, ignore string, destinationIP string, "
-            "protocol string, protocolData string")
-RAW_BLOCK = "connectionId string, actionTaken string"
+FLOW_FIELDS = {"source": (2, "string"), "dest": (4, "string"), "protocol": (5, "string")}
+CONNECTION_FIELDS = {"connection": (1, "string"), "source": (2, "string")}
+ACTION_FIELDS = {"connection": (0, "string"), "action": (1, "string")}
 TWEET = "entities struct<hashtags: array<struct<text: string>>>"
 
 
@@ -46,10 +44,8 @@ def _lines(spark: SparkSession, src: str) -> DataFrame:
 
 def _file_lines(spark: SparkSession, src: str) -> DataFrame:
     """(file, line_no within the file, line, ord over all files)."""
-    lines = text_line_ordinals(spark, src)
-    first = lines.groupBy("file").agg(F.min("ord").alias("_f"))
-    return (lines.join(first, "file")
-            .select("file", (F.col("ord") - F.col("_f")).alias("line_no"), F.col("value").alias("line"), "ord"))
+    lines, _ = text_lines_numbered(spark, src)
+    return lines.select("file", "line_no", F.col("value").alias("line"), "ord")
 
 
 # --- word and n-gram jobs ---------------------------------------------------------
@@ -146,17 +142,16 @@ def integer_total_job(spark, src):
 def land_area_job(spark, src, out=None, threshold=LAND_AREA_THRESHOLD):
     tracts = read_delimited(spark, src, GAZ_TRACTS, sep="\t", header=True)
     result = relational.grouped_sum_having(tracts, "USPS", "ALAND", threshold,
-                                           out="SUM_LAND_AREAS", money=False)
+                                           out="land", decimal=None)
     if out:
-        write_delimited(result, out, ["USPS", "SUM_LAND_AREAS"])
+        write_delimited(result, out, ["USPS", "land"])
     return result
 
 
 def distinct_destinations_job(spark, src, out=None, protocol=TRACE_PROTOCOL):
-    trace = read_delimited(spark, src, NETWORK_TRACE, sep=" ")
+    trace = positional_fields(read_lines(spark, src), " ", FLOW_FIELDS)
     flows = (trace.where(T.full_match(F.col("protocol"), protocol))
-             .select(address_prefix(F.col("sourceIp")).alias("source"),
-                     address_prefix(F.col("destinationIp")).alias("dest")))
+             .select(address_prefix(F.col("source")).alias("source"), address_prefix(F.col("dest")).alias("dest")))
     result = relational.distinct_pairs_per_source(flows, "source", "dest")
     if out:
         write_delimited(result, out, ["n", "source"])
@@ -164,13 +159,13 @@ def distinct_destinations_job(spark, src, out=None, protocol=TRACE_PROTOCOL):
 
 
 def firewall_job(spark, ip_trace, raw_block, out=None, action=BLOCKED_ACTION):
-    ips = read_delimited(spark, ip_trace, IP_TRACE, sep=" ")
-    raw = read_delimited(spark, raw_block, RAW_BLOCK, sep=" ")
-    counts = relational.filtered_join_count(ips, raw, "connectionID", "connectionId",
-                                            T.full_match(F.col("actionTaken"), action), "sourceIP")
-    result = counts.orderBy(F.desc("n"), "sourceIP")
+    connections = positional_fields(read_lines(spark, ip_trace), " ", CONNECTION_FIELDS)
+    actions = positional_fields(read_lines(spark, raw_block), " ", ACTION_FIELDS)
+    counts = relational.filtered_join_count(connections, actions, "connection", "connection",
+                                            T.full_match(F.col("action"), action), "source")
+    result = counts.orderBy(F.desc("n"), "source")
     if out:
-        write_delimited(result, out, ["sourceIP", "n"])
+        write_delimited(result, out, ["source", "n"])
     return result
 
 
@@ -187,16 +182,18 @@ def stock_outlier_job(spark, src, out=None, sigmas=OUTLIER_SIGMAS):
 
 def _repos(spark, src):
     """Repository CSV lines: repo (field 0), language (1), stars (12), and the
-    line's ordinal (load order, the tie key for the most-starred repository)."""
-    return positional_fields(text_line_ordinals(spark, src), ",",
-                             {"repo": (0, "string"), "language": (1, "string"), "stars": (12, "long")},
-                             keep=("ord",))
+    line's ordinal (load order, the tie key for the most-starred repository);
+    and the number of lines, as a scalar over one row per input split."""
+    lines, blocks = text_lines_numbered(spark, src)
+    return (positional_fields(lines, ",", {"repo": (0, "string"), "language": (1, "string"), "stars": (12, "long")},
+                              keep=("ord",)),
+            blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar())
 
 
 def language_report_job(spark, src, out=None):
     """Per language: repository count, most-starred repository and its stars,
     most repositories first, as fixed-width lines (earliest line wins a tie)."""
-    repos = _repos(spark, src).where(F.col("stars").isNotNull())
+    repos = _repos(spark, src)[0].where(F.col("stars").isNotNull())
     result = relational.count_max_argmax(repos, "language", "repo", "stars", "ord").orderBy(F.desc("n"), "language")
     lines = relational.fixed_width_report(result, "language")
     if out:
@@ -223,7 +220,7 @@ def total_order_sort_job(spark, src, out, n=SORT_RANGE_FILES):
     write_total_order(key_value_on_tab(read_lines(spark, src)), out, "key", "value", n=n)
 
 
-def static_range_sort_job(spark, src, out, exact_ten=True):
+def static_range_sort_job(spark, src, out, exact_ten=False):
     pairs = first_two_tokens(read_lines(spark, src), missing_value="")
     write_static_ranges(pairs, out, "key", "value", exact_ten=exact_ten)
 
@@ -243,8 +240,8 @@ def window_sum_job(spark, src, n=SUM_WINDOW_ROWS, running=False):
 def window_top_job(spark, src, n=TEXT_WINDOW_LINES, k=TEXT_WINDOW_TOP, bigrams=False):
     """Top-k words (case kept) or in-sentence bigrams (lower-cased) of every
     complete window of ``n`` lines."""
-    lines = text_line_ordinals(spark, src)
-    total = lines.agg(F.count(F.lit(1))).scalar()
+    lines, blocks = text_lines_numbered(spark, src)
+    total = blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()      # one row per input split
     keyed = lines.withColumn("window_id", windows.window_id("ord", n))
     if bigrams:
         words = keyed.select("window_id", T.sentence_words(F.col("value")).alias("_sw"))
@@ -257,8 +254,7 @@ def window_top_job(spark, src, n=TEXT_WINDOW_LINES, k=TEXT_WINDOW_TOP, bigrams=F
 def language_window_top_job(spark, src, n=REPO_WINDOW_ROWS, k=REPO_WINDOW_TOP, cumulative=False):
     """Per complete window of ``n`` repository lines (or cumulatively): count,
     most stars and its repository per language; the top-k languages."""
-    repos = _repos(spark, src)
-    total = repos.agg(F.count(F.lit(1))).scalar()
+    repos, total = _repos(spark, src)
     op = windows.cumulative_group_top if cumulative else windows.count_window_group_top
     return op(repos, "ord", "language", "repo", "stars", n, k, total_rows=total)
 

@@ -131,10 +131,22 @@ FROM orders GROUP BY o_custkey
 HAVING sum(CAST(o_totalprice AS DECIMAL(18,2))) > {SUM_HAVING_THRESHOLD}
 ORDER BY total_price DESC, o_custkey""",
 
+    # 18-digit limbs summed by position, then carried upwards: exact for tokens of any length
     "integer_total": r"""
-SELECT CAST(coalesce(sum(TRY_CAST(tok AS DECIMAL(38,0))), 0) AS VARCHAR) AS total
-FROM (SELECT unnest(regexp_split_to_array(text, '\W+')) AS tok FROM documents)
-WHERE regexp_full_match(tok, '[0-9]+')""",
+WITH RECURSIVE t AS (SELECT tok FROM (SELECT unnest(regexp_split_to_array(text, '\W+')) AS tok FROM documents)
+                     WHERE regexp_full_match(tok, '[0-9]+')),
+  l AS (SELECT i, CAST(substr(tok, greatest(length(tok) - 18 * (i + 1), 0) + 1,
+                              least(18, length(tok) - 18 * i)) AS HUGEINT) AS limb
+        FROM t, unnest(range(0, (length(tok) + 17) // 18)) r(i)),
+  s AS (SELECT i, sum(limb) AS s FROM l GROUP BY i),
+  c(i, carry, digits) AS (
+    SELECT 0::BIGINT, 0::HUGEINT, ''
+    UNION ALL
+    SELECT c.i + 1, (c.carry + coalesce(s.s, 0)) // 1000000000000000000,
+           lpad(CAST((c.carry + coalesce(s.s, 0)) % 1000000000000000000 AS VARCHAR), 18, '0') || c.digits
+    FROM c LEFT JOIN s ON s.i = c.i WHERE c.i <= (SELECT max(i) FROM s))
+SELECT coalesce(nullif(ltrim(CAST(carry AS VARCHAR) || digits, '0'), ''), '0') AS total
+FROM c ORDER BY i DESC LIMIT 1""",
 
     "header_skip_sum_having": f"""
 WITH r AS (SELECT o_custkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders)

@@ -34,8 +34,3 @@ def spread(df: DataFrame, probe: DataFrame | None = None) -> DataFrame:
         # second round of tasks evens out the cores' load
         return df.repartition(target * 2)
     return df
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    for name in names:
-        load(spark, sf_dir, name).createOrReplaceTempView(name)

@@ -5,10 +5,12 @@ All readers return DataFrames with declared columns; nothing is inferred.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.session import write_scratch
+
 
 # --- A1: lines -------------------------------------------------------------
 
@@ -17,34 +19,44 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-MAX_BROADCAST_SPLITS = 4_000_000   # offsets table rows = input splits (about 24 bytes each)
+def text_lines_numbered(spark: SparkSession, path: str, out: str = "ord",
+                        line_no: str = "line_no") -> tuple[DataFrame, DataFrame]:
+    """Lines of a text file or folder, numbered, and the table of their blocks.
 
+    Lines: ``(file, line_no, value, ord)``. ``line_no`` counts from 0 within the
+    file, ``ord`` over all files in path order, both dense. Blocks: one row per
+    input split with its number of lines ``n``; their sum is the line total.
 
-def text_line_ordinals(spark: SparkSession, path: str, out: str = "ord") -> DataFrame:
-    """Lines of a text file or folder with a dense 0-based ordinal in scan order:
-    ``(file, value, ord)``. Within each file the ordinals follow line order.
-
-    A text scan's splits are deterministic and a file's splits come in offset
-    order, so (split id, position in split) orders the lines. A first scan counts
-    lines per split; each split's offset (one row per split, a bound known when
-    the scan is planned) is broadcast into the second scan. No sort and no copy
-    of the text. Beyond MAX_BROADCAST_SPLITS splits it ranks by a sampled sort.
+    A split is named by its file and start offset, whatever other splits share
+    its task, and a line's place in its split is its id minus the split's
+    smallest id. A first scan counts the lines of each split (an action: the
+    counts are written once, one row per split); prefix sums over them, within
+    a file and over files, are joined to the second scan on (file, start). No
+    line is sorted or copied, and the join is a plain one at every size.
     """
-    from quarry.operators.ordering import _bucket_prefix, global_rank
+    # one description of the scan, so that both runs have the same splits
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"), "value",
+        F.monotonically_increasing_id().alias("_id"))
+    blocks = write_scratch(lines.groupBy("file", "_start").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("_first")),
+                           "line-blocks")
+    in_file = Window.partitionBy("file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    files = blocks.groupBy("file").agg(F.sum("n").alias("_file_n"))
+    # one row per file: the listing that planned the scan is as long
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select(F.col("file").alias("_f"), F.coalesce(F.sum("_file_n").over(earlier), F.lit(0)).alias("_file_at"))
+    at = (blocks.withColumn("_at", F.coalesce(F.sum("n").over(in_file), F.lit(0)))
+          .join(files, F.col("file") == F.col("_f"))
+          .select("_f", F.col("_start").alias("_s"), "_first", "_at", "_file_at"))
+    in_block = F.col("_at") + F.col("_id") - F.col("_first")
+    numbered = (lines.join(at, (F.col("file") == F.col("_f")) & (F.col("_start") == F.col("_s")))
+                .select("file", in_block.alias(line_no), "value", (F.col("_file_at") + in_block).alias(out)))
+    return numbered, blocks
 
-    def scan():
-        return spark.read.text(path).select(
-            F.input_file_name().alias("file"), "value",
-            F.spark_partition_id().alias("_qp"), F.monotonically_increasing_id().alias("_qm"))
 
-    if spark.read.text(path).rdd.getNumPartitions() > MAX_BROADCAST_SPLITS:
-        ranked = global_rank(scan(), ["_qp", "_qm"], out="_r")
-        return ranked.select("file", "value", (F.col("_r") - 1).alias(out))
-    counts = scan().groupBy("_qp").agg(F.count(F.lit(1)).alias("_qn"))
-    offsets = _bucket_prefix(counts, "_qp", "_qn", "_qo")
-    local = F.col("_qm") - F.shiftleft(F.col("_qp").cast("long"), 33)
-    return (scan().join(F.broadcast(offsets), "_qp")
-            .select("file", "value", (F.col("_qo") + local).alias(out)))
+def text_line_ordinals(spark: SparkSession, path: str, out: str = "ord") -> DataFrame:
+    """``(file, value, ord)``: lines with a dense 0-based ordinal, files in path order."""
+    return text_lines_numbered(spark, path, out)[0].select("file", "value", out)
 
 
 def document_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -146,19 +158,21 @@ def n_line_records_per_document(docs: DataFrame, n: int = 2, id_col: str = "doc_
 def read_multiline_json_objects(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Objects that open with ``{`` and close with ``}`` in column 0, any number per file.
 
-    The text reader splits on the closing line, so each record is one object and
-    files split across tasks like any text file. Returns the parsed struct ``j``
-    plus ``_corrupt`` (true when the object did not parse).
+    An object closes at the first line whose first character is ``}``; what else
+    that line holds (a comma, a CR) is dropped, and so is anything before the
+    next line that starts with ``{``. The text reader splits on a line break
+    plus ``}``, so each record holds one object and files split across tasks
+    like any text file; LF and CRLF files both work. Returns the parsed struct
+    ``j`` plus ``_corrupt`` (true when the object did not parse).
     """
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     fields = [f.name for f in st.fields]
     with_bad = T.StructType(st.fields + [T.StructField("_corrupt_record", T.StringType())])
-    raw = spark.read.option("lineSep", "\n}\n").text(path)
-    body = F.regexp_replace(F.col("value"), r"\n}\s*$", "")
-    obj = F.concat(body, F.lit("\n}"))
-    parsed = raw.where(F.trim("value") != "").select(
-        F.from_json(obj, with_bad, {"mode": "PERMISSIVE",
-                                    "columnNameOfCorruptRecord": "_corrupt_record"}).alias("_p"))
+    raw = spark.read.option("lineSep", "\n}").text(path)
+    opened = F.regexp_extract(F.col("value"), r"(?s)(?:\A|\n)(\{.*)\z", 1)
+    parsed = raw.select(opened.alias("_o")).where(F.col("_o") != "").select(
+        F.from_json(F.concat("_o", F.lit("\n}")), with_bad, {"mode": "PERMISSIVE",
+                                                              "columnNameOfCorruptRecord": "_corrupt_record"}).alias("_p"))
     return parsed.select(F.struct(*[F.col("_p." + n).alias(n) for n in fields]).alias("j"),
                          F.col("_p._corrupt_record").isNotNull().alias("_corrupt"))
 
@@ -174,9 +188,3 @@ def json_array_path(df: DataFrame, json_col: str, schema: T.StructType | str, pa
         from quarry.functions.text import quoted as q
         tags = tags.select(q(F.col(out)).alias(out))
     return tags
-
-
-# --- A12: bytes of a text -----------------------------------------------------------
-
-def utf8_bytes(text: Column) -> Column:
-    return F.encode(text, "UTF-8")

@@ -116,7 +116,7 @@ def test_sort_jobs(spark, tmp_out):
     assert [ln.split("\t")[0] for ln in _parts(out)] == ["1", "10", "100", "2", "3", "55", "9"]
     tp = _file(tmp_out, "tp/t.txt", "zz 1\n6a 2\nDz 3\n7a 4 extra\nbq\n")
     ten = os.path.join(tmp_out, "ten")
-    jobs.static_range_sort_job(spark, tp, ten)
+    jobs.static_range_sort_job(spark, tp, ten, exact_ten=True)
     files = {int(os.path.basename(f)[5:10]): open(f).read().split("\n")
              for f in glob.glob(os.path.join(ten, "part-*"))}
     assert files[1][:2] == ["7a\t4", "Dz\t3"] and files[9][0] == "zz\t1" and files[5][0] == "bq\t"

@@ -25,7 +25,7 @@ def _write(path, lines):
 def test_delimited_header_option_and_sum_having(spark, tmp_out):
     p = _write(os.path.join(tmp_out, "gaz.tsv"), GAZ)
     df = read_delimited(spark, p, "USPS string, ALAND long", header=True)
-    got = rows(relational.grouped_sum_having(df, "USPS", "ALAND", 200000000000, money=False))
+    got = rows(relational.grouped_sum_having(df, "USPS", "ALAND", 200000000000, decimal=None))
     assert got == [("IA", 250000000000)]
 
 
@@ -35,7 +35,7 @@ def test_header_skip_by_rank(spark, tmp_out):
     assert df.where(F.col("ALAND").isNull()).count() == 1           # unparsable field -> null
     ranked = df.withColumn("pos", F.monotonically_increasing_id())   # load order of one file
     body = relational.skip_first_rows(ranked, "pos", 1)
-    got = rows(relational.grouped_sum_having(body, "USPS", "ALAND", 200000000000, money=False))
+    got = rows(relational.grouped_sum_having(body, "USPS", "ALAND", 200000000000, decimal=None))
     assert got == [("IA", 250000000000)]
 
 
