@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from quarry.functions.scalars import static_range_bucket
 from quarry.session import scratch_path
@@ -51,22 +52,39 @@ def _width(df: DataFrame, order_key: str, bucket_width: int | str) -> int | Colu
     return F.greatest(F.ceil(stats.scalar()), F.lit(1)).cast("long")
 
 
+def _levels(kind: DataType, width: int | str) -> int:
+    """How many super-bucket levels leave at most TOP_FAN_OUT rows for the last step, however sparse the keys.
+
+    A 64-bit key cut into buckets of 2^16 keys has up to 2^48 buckets, 2^32
+    super-buckets and 2^16 above those; "auto" width already leaves about one
+    bucket per AUTO_TARGET_ROWS rows.
+    """
+    bits = {"tinyint": 8, "smallint": 16, "int": 32}.get(kind.simpleString(), 64)
+    if width == "auto" or isinstance(width, Column):
+        bits = 48
+        width = DEFAULT_BUCKET_WIDTH
+    left = bits - (int(width).bit_length() - 1)
+    fan = TOP_FAN_OUT.bit_length() - 1
+    return max(1, -(-(left - fan) // fan))
+
+
 def _bucket_prefix(per_bucket: DataFrame, bucket: str, total: str, out: str,
-                   combine: str = "sum") -> DataFrame:
+                   combine: str = "sum", levels: int = 1) -> DataFrame:
     """Exclusive running total (``combine="sum"``) or running max over one row
-    per bucket, in two levels: within super-buckets of TOP_FAN_OUT buckets, then
-    over one row per super-bucket. The only unpartitioned window therefore sees
-    rows / (bucket width * TOP_FAN_OUT) rows: one row at the test sizes, about
-    250 at 10^12 rows.
+    per bucket, level by level: within super-buckets of TOP_FAN_OUT buckets,
+    then the same over one row per super-bucket, and after ``levels`` levels in
+    one window. See ``_levels``: that window sees at most TOP_FAN_OUT rows.
     """
     agg = F.sum if combine == "sum" else F.max
-    sb = "_qsb"
+    if levels == 0:
+        before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+        return per_bucket.select(bucket, agg(total).over(before).alias(out))
+    sb = f"_qsb{levels}"
     t = per_bucket.select(bucket, total, _floor_div(F.col(bucket), TOP_FAN_OUT).alias(sb))
     before = Window.partitionBy(sb).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     local = t.select(bucket, sb, agg(total).over(before).alias("_lo"))
     sup = t.groupBy(sb).agg(agg(total).alias("_st"))
-    sup_before = Window.orderBy(sb).rowsBetween(Window.unboundedPreceding, -1)
-    sup_off = sup.select(sb, agg("_st").over(sup_before).alias("_so"))
+    sup_off = _bucket_prefix(sup, sb, "_st", "_so", combine, levels - 1)
     if combine == "sum":
         value = F.coalesce(F.col("_so"), F.lit(0)) + F.coalesce(F.col("_lo"), F.lit(0))
     else:
@@ -74,6 +92,18 @@ def _bucket_prefix(per_bucket: DataFrame, bucket: str, total: str, out: str,
     return local.join(sup_off, sb).select(bucket, value.alias(out))
 
 
+def _bucket_lead(firsts: DataFrame, bucket: str, value: str, out: str, levels: int) -> DataFrame:
+    """``value`` of the next bucket there is, over one row per bucket, level by level as ``_bucket_prefix``."""
+    if levels == 0:
+        return firsts.select(bucket, F.lead(value).over(Window.orderBy(bucket)).alias(out))
+    sb = f"_qsb{levels}"
+    t = firsts.select(bucket, value, _floor_div(F.col(bucket), TOP_FAN_OUT).alias(sb))
+    local = t.select(bucket, sb, F.lead(value).over(Window.partitionBy(sb).orderBy(bucket)).alias("_ln"))
+    sup = t.groupBy(sb).agg(F.min_by(value, bucket).alias("_sf"))
+    above = _bucket_lead(sup, sb, "_sf", "_sn", levels - 1)
+    return local.join(above, sb).select(bucket, F.coalesce("_ln", "_sn").alias(out))
+
+
 def bucketed_running_sum(df: DataFrame, order_key: str, value: Column | str, out: str,
                          partition_by: Sequence[str] = (), inclusive: bool = True,
                          bucket_width: int | str = DEFAULT_BUCKET_WIDTH,
@@ -100,7 +130,7 @@ def bucketed_running_sum(df: DataFrame, order_key: str, value: Column | str, out
         w = Window.partitionBy(*parts).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
         offsets = per_bucket.select(*parts, b, F.coalesce(F.sum("_qt").over(w), F.lit(0)).alias("_qo"))
     else:
-        offsets = _bucket_prefix(per_bucket, b, "_qt", "_qo")
+        offsets = _bucket_prefix(per_bucket, b, "_qt", "_qo", levels=_levels(df.schema[order_key].dataType, bucket_width))
     return (local.join(offsets, [*parts, b])
             .withColumn(out, F.col("_qo") + F.col("_ql"))
             .drop(b, "_qv", "_qo", "_ql"))
@@ -122,7 +152,7 @@ def bucketed_running_max(df: DataFrame, order_key: str, value: str, out: str,
         prev = Window.partitionBy(*parts).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
         offsets = per_bucket.select(*parts, b, F.max("_qt").over(prev).alias("_qo"))
     else:
-        offsets = _bucket_prefix(per_bucket, b, "_qt", "_qo", combine="max")
+        offsets = _bucket_prefix(per_bucket, b, "_qt", "_qo", "max", _levels(df.schema[order_key].dataType, bucket_width))
     return (local.join(offsets, [*parts, b])
             .withColumn(out, F.greatest("_qo", "_ql"))
             .drop(b, "_qo", "_ql"))
@@ -145,8 +175,10 @@ def bucketed_lead(df: DataFrame, order_key: str, value: str, out: str, partition
     # shares this window and its exchange instead of being planned apart
     local = with_b.withColumn("_qn", F.lead(value).over(w)).withColumn("_qr", F.lag(order_key).over(w))
     firsts = local.where(F.col("_qr").isNull()).select(*parts, b, F.col(value).alias("_qf"))
-    following = (Window.partitionBy(*parts) if parts else Window).orderBy(b)
-    nextb = firsts.select(*parts, b, F.lead("_qf").over(following).alias("_qnb"))
+    if parts:
+        nextb = firsts.select(*parts, b, F.lead("_qf").over(Window.partitionBy(*parts).orderBy(b)).alias("_qnb"))
+    else:
+        nextb = _bucket_lead(firsts, b, "_qf", "_qnb", _levels(df.schema[order_key].dataType, bucket_width))
     return (local.join(nextb, [*parts, b])
             .withColumn(out, F.coalesce("_qn", "_qnb"))
             .drop(b, "_qn", "_qr", "_qnb"))
@@ -191,7 +223,7 @@ def global_rank(df: DataFrame, order_cols: Sequence[Column | str], out: str = "r
     sorted_df = spark.read.parquet(path)
     local = F.col("_qm") - F.shiftleft(F.col("_qp").cast("long"), 33)
     per_part = sorted_df.groupBy("_qp").agg(F.count(F.lit(1)).alias("_qn"))
-    offsets = _bucket_prefix(per_part, "_qp", "_qn", "_qo")
+    offsets = _bucket_prefix(per_part, "_qp", "_qn", "_qo")     # partition ids are dense: one level will do
     return (sorted_df.join(offsets, "_qp")
             .withColumn(out, F.col("_qo") + local + F.lit(1))
             .drop("_qp", "_qm", "_qo"))

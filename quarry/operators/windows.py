@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DataType, NumericType
 
 from quarry.operators.ordering import bucketed_running_max, bucketed_running_sum, top_k_per_group
+from quarry.session import write_scratch
 
 
 def window_id(ordinal: str | Column, n: int) -> Column:
@@ -37,23 +38,24 @@ def is_complete(wid: Column, total_rows: Column, n: int) -> Column:
     return wid < F.floor(total_rows / F.lit(n))
 
 
-def count_window_sum(df: DataFrame, ordinal: str, value: str, n: int) -> DataFrame:
-    """Sum of ``value`` per complete window; exact decimal sum returned as double."""
+def count_window_sum(df: DataFrame, ordinal: str, value: str, n: int, decimal: str = "decimal(18,2)") -> DataFrame:
+    """Sum of ``value`` per complete window, returned as double. Values are summed
+    exactly in ``decimal``, rounded to its scale."""
     return (df.groupBy(window_id(ordinal, n).alias("window_id"))
-            .agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("_s"), F.count(F.lit(1)).alias("_c"))
+            .agg(F.sum(F.col(value).cast(decimal)).alias("_s"), F.count(F.lit(1)).alias("_c"))
             .where(F.col("_c") == n)
             .select("window_id", F.col("_s").cast("double").alias("total")))
 
 
 def count_window_running_sum(df: DataFrame, ordinal: str, value: str, n: int,
-                             bucket_width: int = 1 << 16) -> DataFrame:
-    """Running total emitted at the end of every complete window.
+                             bucket_width: int = 1 << 16, decimal: str = "decimal(18,2)") -> DataFrame:
+    """Running total emitted at the end of every complete window (values in ``decimal``, as above).
 
     Per-window sums are small (rows / n); the running total over them is the
     bucketed prefix sum, so even a very long stream never meets one task.
     """
     per_window = (df.groupBy(window_id(ordinal, n).alias("window_id"))
-                  .agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("_s"),
+                  .agg(F.sum(F.col(value).cast(decimal)).alias("_s"),
                        F.count(F.lit(1)).alias("_c"))
                   .where(F.col("_c") == n))
     run = bucketed_running_sum(per_window, "window_id", "_s", "_r", bucket_width=bucket_width)
@@ -70,10 +72,9 @@ def count_window_top_k(items: DataFrame, windows_ok: DataFrame | Column, item: s
         kept = items.join(windows_ok, "window_id", "left_semi")
     else:
         kept = items.where(windows_ok)
-    # One exchange on window_id serves both the count and the ranking (a window
-    # holds only N input rows, so this key cannot be skewed).
-    counts = (kept.repartition("window_id")
-              .groupBy("window_id", item).agg(F.count(F.lit(1)).alias("n")))
+    # counted partially per task before the exchange; the ranking then ships at
+    # most k rows per window and task
+    counts = kept.groupBy("window_id", item).agg(F.count(F.lit(1)).alias("n"))
     return top_k_per_group(counts, ["window_id"], [F.desc("n"), F.col(item)], k)
 
 
@@ -107,15 +108,14 @@ def count_window_group_top(df: DataFrame, ordinal: str, group: str, item: str, v
 def cumulative_group_top(df: DataFrame, ordinal: str, group: str, item: str, value: str,
                          n: int, k: int, total_rows: Column | None = None) -> DataFrame:
     """After every complete window: per group count, max and argmax over all rows
-    so far, and the k groups with most rows so far (ties by group)."""
+    so far, and the k groups with most rows so far (ties by group). Runs a job
+    (see ``cumulative_top``)."""
     parts = _group_partials(df, ordinal, group, item, value, n)
     if total_rows is not None:
         last = F.floor(total_rows / F.lit(n)) - 1
     else:
         last = complete_windows(df, ordinal, n).agg(F.max("window_id")).scalar()  # scalar subquery
-    if isinstance(df.schema[group].dataType, NumericType):
-        return cumulative_top_pruned(parts, group, k, last)
-    return cumulative_top_from_partials(parts, group, k, last)
+    return cumulative_top(parts, group, k, last)
 
 
 def _group_cumulative(parts: DataFrame, group: str, last: Column, bucket_width: int) -> DataFrame:
@@ -151,44 +151,57 @@ def _group_cumulative(parts: DataFrame, group: str, last: Column, bucket_width:
                     F.coalesce("_lx", "_cx", last + 1).alias("_next")))
 
 
-def cumulative_top_pruned(parts: DataFrame, group: str, k: int, last: Column,
-                          bucket_width: int = 1 << 12) -> DataFrame:
-    """Exact cumulative top-k without the dense (group x window) grid.
-
-    Keys ``(count so far, -group)`` only grow, so the k-th best key T(w) never
-    decreases. The k-th best key among the groups updated in window w is a lower
-    bound of T(w), and so is B(w), its running max. A group's state holds from
-    an update window to its next update; that interval can contain a top-k
-    window only if the group's key reaches B at the interval's start, so only
-    those intervals are expanded. Needs a numeric group key.
+def _descending(group: str, kind: DataType) -> Column:
+    """A value that falls as the group's value rises."""
+    if isinstance(kind, NumericType):
+        return -F.col(group)
+    # hex digits turned round; the end mark is above them, so a prefix comes after what it starts
+    hexed = F.hex(F.encode(F.col(group).cast("string"), "UTF-8"))
+    return F.concat(F.translate(hexed, "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("~"))
+
+
+def cumulative_pieces(parts: DataFrame, group: str, k: int, last: Column, bucket_width: int = 1 << 12,
+                      cut_rows: int = 4) -> DataFrame:
+    """The stretches of windows ``[s, e)`` in which a group's state can be among the top k.
+
+    A state holds from an update to the group's next one. It is cut at every
+    L-th window, L so chosen that the cuts add at most ``cut_rows`` rows per
+    partial. Keys ``(count so far, group descending)`` only grow, so the k-th
+    best key T(w) never falls. Every group with a state has a piece that starts
+    at a cut, so the k-th best key there is T itself; at other windows the k-th
+    best of the groups just updated is a lower bound. The running max of both
+    bounds T from below at every window, and a piece can matter only if its key
+    reaches the bound at its start. The partials are computed once, in a job
+    that writes the states (``write_scratch``).
     """
-    sparse = (_group_cumulative(parts, group, last, bucket_width)
-              .withColumn("_key", F.struct(F.col("cn").alias("c"), (-F.col(group)).alias("g"))))
-    kth = (top_k_per_group(sparse, ["window_id"], [F.desc("_key")], k)
-           .where(F.col("rank") == k).select("window_id", F.col("_key").alias("_lk")))
-    bound = bucketed_running_max(kth, "window_id", "_lk", "_bound", bucket_width=bucket_width)
-    keep = (sparse.join(bound.select("window_id", "_bound"), "window_id", "left")
-            .where(F.col("_bound").isNull() | (F.col("_key") >= F.col("_bound"))))
-    grid = keep.select(F.explode(F.sequence("window_id", F.col("_next") - 1)).alias("window_id"),
-                       group, F.col("cn").alias("n"), "best")
-    top = top_k_per_group(grid, ["window_id"], [F.desc("n"), F.col(group)], k)
-    return top.select("window_id", "rank", group, "n",
-                      F.col("best.v").alias("max_value"), F.col("best.i").alias("top_item"))
-
-
-def cumulative_top_from_partials(parts: DataFrame, group: str, k: int, last: Column,
-                                 bucket_width: int = 1 << 12) -> DataFrame:
-    """Cumulative top-k from per-(window, group) partials ``n`` and ``best``
-    (struct of value ``v``, negated ordinal ``o``, item ``i``), up to window ``last``.
-
-    A group missing from a window keeps its earlier state, so every state
-    interval (from one update to the next) is expanded to one row per window:
-    the dense group x window grid, for any group key type. The per-group running
-    values come from the same bucketed pass as the pruned form.
+    states = write_scratch(_group_cumulative(parts, group, last, bucket_width), "cumulative")
+    size = states.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(group).alias("groups"),
+                      F.max("_next").alias("windows")).first()
+    cuts = max(1, cut_rows * size["rows"] // max(1, size["groups"]))
+    step = max(1, -(-(size["windows"] or 1) // cuts))
+    after = F.expr(f"(window_id div {step} + 1) * {step}")
+    starts = F.concat(F.array("window_id"), F.when(after < F.col("_next"), F.sequence(after, F.col("_next") - 1, F.lit(step).cast("long")))
+                      .otherwise(F.array().cast("array<bigint>")))
+    pieces = (states.select(F.explode(starts).alias("s"), "_next", group, "cn", "best")
+              .withColumn("e", F.least("_next", F.expr(f"(s div {step} + 1) * {step}")))
+              .withColumn("_key", F.struct(F.col("cn").alias("c"),
+                                           _descending(group, states.schema[group].dataType).alias("g"))))
+    leading = top_k_per_group(pieces.select("s", "_key"), ["s"], [F.desc("_key")], k)
+    kth = leading.groupBy("s").agg(F.max(F.when(F.col("rank") == k, F.col("_key"))).alias("_kth"))
+    bound = bucketed_running_max(kth, "s", "_kth", "_bound", bucket_width=bucket_width).select("s", "_bound")
+    return (pieces.join(bound, "s").where(F.col("_bound").isNull() | (F.col("_key") >= F.col("_bound")))
+            .select("s", "e", group, F.col("cn").alias("n"), "best"))
+
+
+def cumulative_top(parts: DataFrame, group: str, k: int, last: Column, bucket_width: int = 1 << 12) -> DataFrame:
+    """Exact cumulative top-k after every window, from per-(window, group) partials ``n`` and ``best``
+    (struct of value ``v``, negated ordinal ``o``, item ``i``) up to window ``last``.
+
+    Only the pieces that can reach the top k become one row per window, for any
+    orderable group key; there is no dense group x window grid.
     """
-    cum = _group_cumulative(parts, group, last, bucket_width)
-    grid = cum.select(F.explode(F.sequence("window_id", F.col("_next") - 1)).alias("window_id"),
-                      group, F.col("cn").alias("n"), "best")
+    pieces = cumulative_pieces(parts, group, k, last, bucket_width)
+    grid = pieces.select(F.explode(F.sequence("s", F.col("e") - 1)).alias("window_id"), group, "n", "best")
     top = top_k_per_group(grid, ["window_id"], [F.desc("n"), F.col(group)], k)
     return top.select("window_id", "rank", group, "n",
                       F.col("best.v").alias("max_value"), F.col("best.i").alias("top_item"))

@@ -26,7 +26,8 @@ SUM_HAVING_THRESHOLD = 4_000_000        # header_skip_sum_having
 WINDOW_SUM_N = 300                       # count_window_sum / running sum
 LINE_WINDOW_N = 10                       # line count windows
 GROUP_WINDOW_N = 1000                    # group count windows
-TOP_WORDS, TOP_GROUPS = 10, 7
+TYPE_WINDOW_N = 50                       # windows of the text-keyed cumulative query
+TOP_WORDS, TOP_GROUPS, TOP_TYPES = 10, 7, 3
 # Key width of the buckets behind row ordinals and running totals (a bucket
 # holds at most this many keys; only one row per bucket meets in one task).
 ORDINAL_BUCKET_WIDTH = ordering.DEFAULT_BUCKET_WIDTH
@@ -73,7 +74,7 @@ def _line_ordinals(spark, d):
     counts = scan.select("doc_id", F.size(F.split("text", "\n")).cast("long").alias("_n"))
     offs = ordering.bucketed_running_sum(counts, "doc_id", "_n", "_off", inclusive=False,
                                          bucket_width=ORDINAL_BUCKET_WIDTH)
-    total = offs.agg(F.max(F.col("_off") + F.col("_n"))).scalar()
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
     # Join on the scan, then spread: the scan is not a query stage, so adaptive
     # execution cannot turn the text side into the broadcast side; the offsets
     # side is broadcast only when it measures under the threshold (else a
@@ -342,6 +343,13 @@ def q_cumulative_group_top7(spark, d):
                                         GROUP_WINDOW_N, TOP_GROUPS, total_rows=total)
 
 
+def q_cumulative_type_top3(spark, d):
+    """The cumulative form over a text group key."""
+    ev, total = _event_ordinals(spark, d)
+    return windows.cumulative_group_top(ev, "ord", "event_type", "event_id", "value",
+                                        TYPE_WINDOW_N, TOP_TYPES, total_rows=total)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count": q_word_count,
     "word_count_pig": q_word_count_pig,
@@ -384,4 +392,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "count_window_bigram_top10": q_count_window_bigram_top10,
     "count_window_group_top7": q_count_window_group_top7,
     "cumulative_group_top7": q_cumulative_group_top7,
+    "cumulative_type_top3": q_cumulative_type_top3,
 }

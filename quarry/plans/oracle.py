@@ -7,8 +7,8 @@ definition, over the same pre-registered table views.
 from __future__ import annotations
 
 from quarry.functions.scalars import ADDRESS_PATTERN, REPORT_FORMAT, STATIC_RANGES
-from quarry.plans.catalog import (GROUP_WINDOW_N, LINE_WINDOW_N, SUM_HAVING_THRESHOLD, TOP_GROUPS,
-                                  TOP_WORDS, WINDOW_SUM_N)
+from quarry.plans.catalog import (GROUP_WINDOW_N, LINE_WINDOW_N, SUM_HAVING_THRESHOLD, TOP_GROUPS, TOP_TYPES,
+                                  TOP_WORDS, TYPE_WINDOW_N, WINDOW_SUM_N)
 
 LINES = """lines AS (
   SELECT doc_id, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS BIGINT) AS line_no,
@@ -53,15 +53,29 @@ SELECT CAST(window_id AS BIGINT) AS window_id, {item}, n, rank FROM r WHERE rank
 """
 
 
-def _group_parts() -> str:
+def _group_parts(group: str = "user_id", n: int = GROUP_WINDOW_N) -> str:
     return f"""{EVENT_ORD},
-  ok AS (SELECT ord // {GROUP_WINDOW_N} AS window_id FROM ev GROUP BY 1 HAVING count(*) = {GROUP_WINDOW_N}),
-  p AS (SELECT ord // {GROUP_WINDOW_N} AS window_id, user_id, count(*) AS n, max(value) AS max_value,
+  ok AS (SELECT ord // {n} AS window_id FROM ev GROUP BY 1 HAVING count(*) = {n}),
+  p AS (SELECT ord // {n} AS window_id, {group}, count(*) AS n, max(value) AS max_value,
                first(ord ORDER BY value DESC, ord) AS best_ord,
                first(event_id ORDER BY value DESC, ord) AS top_item
         FROM ev GROUP BY 1, 2)"""
 
 
+def _cumulative(group: str, n: int, k: int) -> str:
+    return f"""
+WITH {_group_parts(group, n)},
+  g AS (SELECT {group}, min(window_id) AS f FROM p GROUP BY 1),
+  grid AS (SELECT {group}, unnest(range(f, (SELECT max(window_id) FROM ok) + 1)) AS window_id FROM g),
+  c AS (SELECT grid.window_id, grid.{group}, CAST(sum(p.n) AS BIGINT) AS n, max(p.max_value) AS max_value,
+               first(p.top_item ORDER BY p.max_value DESC, p.best_ord) AS top_item
+        FROM grid JOIN p ON p.{group} = grid.{group} AND p.window_id <= grid.window_id
+        GROUP BY 1, 2),
+  r AS (SELECT *, row_number() OVER (PARTITION BY window_id ORDER BY n DESC, {group}) AS rank FROM c)
+SELECT CAST(window_id AS BIGINT) AS window_id, rank, {group}, n, max_value, top_item
+FROM r WHERE rank <= {k}"""
+
+
 ORACLE: dict[str, str] = {
     "word_count": r"""
 SELECT word, count(*) AS n
@@ -272,17 +286,8 @@ WITH {_group_parts()},
 SELECT CAST(window_id AS BIGINT) AS window_id, rank, user_id, n, max_value, top_item
 FROM r WHERE rank <= {TOP_GROUPS}""",
 
-    "cumulative_group_top7": f"""
-WITH {_group_parts()},
-  g AS (SELECT user_id, min(window_id) AS f FROM p GROUP BY 1),
-  grid AS (SELECT user_id, unnest(range(f, (SELECT max(window_id) FROM ok) + 1)) AS window_id FROM g),
-  c AS (SELECT grid.window_id, grid.user_id, CAST(sum(p.n) AS BIGINT) AS n, max(p.max_value) AS max_value,
-               first(p.top_item ORDER BY p.max_value DESC, p.best_ord) AS top_item
-        FROM grid JOIN p ON p.user_id = grid.user_id AND p.window_id <= grid.window_id
-        GROUP BY 1, 2),
-  r AS (SELECT *, row_number() OVER (PARTITION BY window_id ORDER BY n DESC, user_id) AS rank FROM c)
-SELECT CAST(window_id AS BIGINT) AS window_id, rank, user_id, n, max_value, top_item
-FROM r WHERE rank <= {TOP_GROUPS}""",
+    "cumulative_group_top7": _cumulative("user_id", GROUP_WINDOW_N, TOP_GROUPS),
+    "cumulative_type_top3": _cumulative("event_type", TYPE_WINDOW_N, TOP_TYPES),
 }
 
 ORACLE["outlier_3sigma_join"] = ORACLE["outlier_3sigma"]

@@ -397,14 +397,14 @@ def stream_count_window_group_top(spark: SparkSession, sf_dir: str, n: int = 100
 def stream_cumulative_group_top(spark: SparkSession, sf_dir: str, n: int = 1000, k: int = 7) -> DataFrame:
     """The streamed per-window partials carry no unbounded state; the
     cumulative top-k over them is the batch pruned step."""
-    from quarry.operators.windows import cumulative_top_pruned
+    from quarry.operators.windows import cumulative_top
 
     parts = _partials(spark, sf_dir, n, "stream-cumulative").select(
         "window_id", "user_id", "n",
         F.struct(F.col("max_value").alias("v"), (-F.col("best_ord")).alias("o"),
                  F.col("top_item").alias("i")).alias("best"))
     last = parts.agg(F.max("window_id")).scalar()
-    return cumulative_top_pruned(parts, "user_id", k, last)
+    return cumulative_top(parts, "user_id", k, last)
 
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

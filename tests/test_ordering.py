@@ -125,8 +125,8 @@ def test_two_level_bucket_prefix(spark):
     """Tiny fan-out: the cross-bucket prefix itself crosses super-buckets."""
     random.seed(8)
     keys = random.sample(range(-3000, 9000), 2500)
-    df = spark.createDataFrame([(k, k % 5) for k in keys], "k long, v long")
-    ordering.TOP_FAN_OUT, saved = 3, ordering.TOP_FAN_OUT
+    df = spark.createDataFrame([(k, k % 5) for k in keys], "k int, v long")
+    ordering.TOP_FAN_OUT, saved = 64, ordering.TOP_FAN_OUT
     try:
         got = rows(ordering.bucketed_running_sum(df, "k", "v", "run", bucket_width=10), "k", "run")
         got_max = rows(ordering.bucketed_running_max(df, "k", "v", "m", bucket_width=10), "k", "m")
@@ -141,3 +141,28 @@ def test_two_level_bucket_prefix(spark):
         exp_max.append((k, mx))
     assert got == exp and got_max == exp_max
     assert got_ord == [(k, i) for i, k in enumerate(sorted(keys))]
+
+
+def test_sparse_64_bit_keys_leave_little_for_one_task(spark):
+    """Random keys over the whole 64-bit range: ordinals, running max and lead are
+    right, and the window without a partition sees few rows."""
+    import random
+
+    from quarry.operators import ordering as o
+    rnd = random.Random(4)
+    keys = sorted({rnd.randrange(-2 ** 63, 2 ** 63) for _ in range(3000)})
+    df = spark.createDataFrame([(k, i * 7 % 1000) for i, k in enumerate(keys)], "k long, v long").repartition(4)
+    got = {r["k"]: r["ordinal"] for r in o.bucketed_ordinal(df, "k").collect()}
+    assert got == {k: i for i, k in enumerate(keys)}
+    lead = {r["k"]: r["nx"] for r in o.bucketed_next(df, "k", "nx").collect()}
+    assert lead == dict(zip(keys, [*keys[1:], None]))
+    high, want = -1, {}
+    for i, k in enumerate(keys):
+        high = max(high, i * 7 % 1000)
+        want[k] = high
+    assert {r["k"]: r["m"] for r in o.bucketed_running_max(df, "k", "v", "m").collect()} == want
+    # 64-bit keys in buckets of 2^16, two levels of 2^16: at most 2^16 rows, whatever the keys
+    assert o._levels(df.schema["k"].dataType, o.DEFAULT_BUCKET_WIDTH) == 2
+    for width in (1 << 16, 1 << 12, 1):
+        left = 64 - (width.bit_length() - 1) - 16 * o._levels(df.schema["k"].dataType, width)
+        assert left <= 16

@@ -6,6 +6,8 @@ from __future__ import annotations
 import itertools
 import random
 
+import pytest
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -104,25 +106,52 @@ def test_global_rank_many_duplicates(spark):
     assert got == [i for _, i in sorted((k, i) for i, k in enumerate(keys))]
 
 
-def test_cumulative_pruned_equals_dense(spark):
-    """The pruned cumulative top-k equals the dense-grid form, including groups
-    that lead early and then stop appearing."""
+def _brute_cumulative(rows_, n, k):
+    """Top-k groups (most rows, then group) after every complete window, by replaying the rows."""
+    out, state = [], {}
+    for i, (o, g, item, v) in enumerate(rows_):
+        c, best = state.get(g, (0, None))
+        state[g] = (c + 1, (v, item) if best is None or v > best[0] else best)
+        if (i + 1) % n == 0:
+            lead = sorted(state, key=lambda x: (-state[x][0], x))[:k]
+            out += [(i // n, r + 1, x, state[x][0], *state[x][1]) for r, x in enumerate(lead)]
+    return sorted(out)
+
+
+def _cumulative_case(name):
     rnd = random.Random(9)
-    rows_ = []
-    for i in range(6000):
-        if i < 800:
-            g = rnd.choice([90, 91, 92])              # early leaders that vanish later
-        else:
-            g = 0 if rnd.random() < 0.35 else rnd.randint(1, 60)
-        rows_.append((i, g, i, float(rnd.randint(0, 500))))
-    df = spark.createDataFrame(rows_, "ord long, grp long, item long, value double")
-    parts = windows._group_partials(df, "ord", "grp", "item", "value", 150)
-    last = F.lit(6000 // 150 - 1)
-    dense = rows(windows.cumulative_top_from_partials(parts, "grp", 7, last))
-    pruned = rows(windows.cumulative_top_pruned(parts, "grp", 7, last))
-    assert pruned == dense and len(dense) == 260      # early windows have only 3 groups
+    if name == "early leaders":                       # lead early, then vanish
+        groups = [rnd.choice([90, 91, 92]) if i < 800 else 0 if rnd.random() < 0.35 else rnd.randint(1, 60) for i in range(6000)]
+        return groups, 150
+    if name == "few a window":                        # fewer rows in a window than the k asked for
+        return [rnd.randrange(300) for _ in range(2400)], 4
+    return [rnd.randrange(3) for _ in range(100)], 30  # fewer groups than k
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+@pytest.mark.parametrize("case", ["early leaders", "few a window", "few groups"])
+def test_cumulative_top_replayed(spark, case, kind):
+    groups, n = _cumulative_case(case)
+    rnd = random.Random(1)
+    name = (lambda g: g) if kind == "long" else (lambda g: "ä" * (g % 3) + "g" * (g % 4) + str(g))
+    rows_ = [(i, name(g), i, float(rnd.randint(0, 500))) for i, g in enumerate(groups)]
+    df = spark.createDataFrame(rows_, f"ord long, grp {kind}, item long, value double")
+    parts = windows._group_partials(df, "ord", "grp", "item", "value", n)
+    last = F.lit(len(rows_) // n - 1)
+    want = _brute_cumulative(rows_, n, 7)
+    cols = ("window_id", "rank", "grp", "n", "max_value", "top_item")
+    assert rows(windows.cumulative_top(parts, "grp", 7, last), *cols) == want
     # tiny buckets: a group's running count, best row and next update cross buckets
-    assert rows(windows.cumulative_top_pruned(parts, "grp", 7, last, bucket_width=3)) == dense
+    assert rows(windows.cumulative_top(parts, "grp", 7, last, bucket_width=3), *cols) == want
+    if case == "few a window":
+        pieces = windows.cumulative_pieces(parts, "grp", 7, last)
+        expanded = pieces.agg(F.sum(F.col("e") - F.col("s"))).first()[0]
+        assert expanded <= 4 * len(want)               # the dense grid has 43 times as many
+
+
+def test_cumulative_top_of_nothing(spark):
+    df = spark.createDataFrame([], "ord long, grp string, item long, value double")
+    assert windows.cumulative_group_top(df, "ord", "grp", "item", "value", 3, 2).collect() == []
 
 
 def test_distinct_pairs_approx_opt_in(spark):
