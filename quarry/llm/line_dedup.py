@@ -73,7 +73,8 @@ def remove_boilerplate(docs: DataFrame, min_sites: int, id_col: str = "doc_id",
              .groupBy(F.col("id").alias("__id")).agg(F.collect_set(F.struct("a", "b")).alias("__drop")))
     drops = cut(drops, "line-drops")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    joined = rows.join(drops, F.col("id").eqNullSafe(F.col("__id")), "left")
+    # the table of drops grows with the corpus: the same shuffled join at every size, never a broadcast
+    joined = rows.join(drops.hint("merge"), F.col("id").eqNullSafe(F.col("__id")), "left")
     lines = _lines(F.col("text"))
     kept = F.when(F.col("__drop").isNull(), lines).otherwise(
         F.filter(lines, lambda x: ~F.array_contains(F.col("__drop"), _hash(F.trim(x)))))
