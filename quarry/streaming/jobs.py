@@ -2,25 +2,34 @@
 (inventory A10, B4-B6, J1-J10, K6, K7).
 
 Streams read parquet tables (schema taken from the file footer, never inferred
-from rows) or folders of text files with ``readStream``, and run with
-``trigger(availableNow=True)``. Rows are combined per task (stateless
-``mapInPandas``) before any state shuffle. Sinks are built-in only, so no
+from rows) or folders of text files with ``readStream``, run with
+``trigger(availableNow=True)``, and bound a micro-batch by bytes. Rows are
+combined per Arrow batch (stateless ``mapInPandas``, bounded memory) before a
+state shuffle, so a hot key ships a row per batch. State rows stay small: one
+total per word, one partial per open window. Sinks are built-in only, so no
 driver callback server is needed:
 
-* append-mode streams (stateful count windows, running-count updates) write to
-  the parquet file sink, which commits each micro-batch exactly once through
+* running counts are the engine's own aggregation in update mode, and their
+  result is read from the state store;
+* append-mode streams (stateful count windows) write to the parquet file sink, which commits each micro-batch exactly once through
   its metadata log;
 * complete-mode summaries whose size is fixed by the query (a top-k, a grand
   total) go to the memory sink.
 
-Stream state and file outputs live under the shared checkpoint folder. The
-registered query functions run the stream to the end and return a DataFrame
-over what the sink holds.
+Stream state and file outputs live under the shared checkpoint folder; state is
+kept in RocksDB whatever session the caller brings. The registered query
+functions run the stream to the end and return a DataFrame over what the sink,
+or for running counts the state store, holds.
+
+Order. A stream's tasks see rows in no fixed order, so count windows count by a
+sequence number that the rows carry or that follows from their place: events by
+``event_id``; lines by (document id, line number), or by (file path, line
+number) for text files, through a static table of each document's or file's
+first ordinal.
 """
 
 from __future__ import annotations
 
-import json
 import sys
 import uuid
 import warnings
@@ -30,14 +39,16 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quarry.functions import text as T
 from quarry.operators.text import limb_sums, total_of_limbs
-from quarry.session import scratch_path
+from quarry.session import scratch_path, write_scratch
 from quarry.sources.tables import table_path
 
 DEFAULT_WINDOW_N = 300
+BYTES_PER_TRIGGER = 10 << 30   # input of one micro-batch, one file at least
 
 # The state functions below run in Python workers; ship them by value so the
 # workers never need this package on their path.
@@ -53,7 +64,7 @@ def _quiet() -> None:
 
 # --- sources and sinks -----------------------------------------------------------
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1,
+def stream_table(spark: SparkSession, sf_dir: str, name: str, bytes_per_trigger: int | None = None,
                  spread: bool = False) -> DataFrame:
     """A parquet table as a bounded file stream (A10).
 
@@ -65,7 +76,7 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger:
     batch = spark.read.parquet(path)
     glob = path[:-1] + "[" + path[-1] + "]"   # a glob, so a single file is accepted as a stream source
     stream = (spark.readStream.schema(batch.schema)
-              .option("maxFilesPerTrigger", files_per_trigger)
+              .option("maxBytesPerTrigger", bytes_per_trigger or BYTES_PER_TRIGGER)
               .parquet(glob))
     target = spark.sparkContext.defaultParallelism
     if spread and batch.rdd.getNumPartitions() < target:
@@ -73,15 +84,22 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger:
     return stream
 
 
-def stream_text(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+def stream_text(spark: SparkSession, path: str, bytes_per_trigger: int | None = None) -> DataFrame:
     """A folder of text files as a stream of lines (``value``), A10."""
-    return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
+    return spark.readStream.option("maxBytesPerTrigger", bytes_per_trigger or BYTES_PER_TRIGGER).text(path)
+
+
+def _prepare(spark: SparkSession) -> None:
+    """State off the JVM heap, snapshotted to the checkpoint folder; set before a query starts, in any session."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 def run_to_files(stream: DataFrame, label: str, fmt: str = "parquet") -> str:
     """Run an append-mode ``stream`` over everything available into a file sink
     (``parquet``, ``json`` or ``csv``: B4); return the output folder."""
     spark = stream.sparkSession
+    _prepare(spark)
     out = scratch_path(spark, f"{label}-out")
     q = (stream.writeStream.outputMode("append").format(fmt)
          .option("path", out)
@@ -96,6 +114,7 @@ def run_to_memory(stream: DataFrame, label: str) -> DataFrame:
     """Run a complete-mode ``stream`` whose result size is bounded by the query
     (top-k, totals) into the memory sink; return the final result table."""
     spark = stream.sparkSession
+    _prepare(spark)
     name = f"quarry_{label.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
     q = (stream.writeStream.outputMode("complete").format("memory").queryName(name)
          .option("checkpointLocation", scratch_path(spark, f"{label}-state"))
@@ -111,7 +130,7 @@ def _finish(q) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def _read_sink(spark: SparkSession, out: str, schema: str) -> DataFrame:
+def _read_sink(spark: SparkSession, out: str, schema: str | StructType) -> DataFrame:
     """What a stream wrote to its parquet sink; a stream without rows leaves a folder without data files, and
     anything that cannot be read is an error."""
     return spark.read.schema(schema).parquet(out)
@@ -119,74 +138,45 @@ def _read_sink(spark: SparkSession, out: str, schema: str) -> DataFrame:
 
 # --- J1: keyed running count, one update per key per micro-batch -------------------
 
-_COUNT_STATE = "words array<string>, counts array<long>"
-_COUNT_OUT = "word string, n long"
-
-
-def _partial_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Map-side combine for a stream: one (word, count) row per distinct word of
-    the task's input, so a hot word ships one row per task, not one per token."""
-    _quiet()
-    parts = [pdf["word"].value_counts() for pdf in batches]
-    if parts:
-        total = pd.concat(parts).groupby(level=0).sum()
-        yield pd.DataFrame({"word": total.index.astype(str), "c": total.to_numpy(dtype="int64")})
+def running_counts(tokens: DataFrame, key: str) -> DataFrame:
+    """Streaming running count per ``key``: the engine's aggregation, partial per
+    task, with one state row (one number) per key however large the vocabulary.
+    In update mode any sink gets each touched key's new count once per micro-batch."""
+    return tokens.groupBy(F.col(key).alias("word")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _running_count_state():
-    """State of one hash bucket of keys: the running count of every key in it.
-    Emits each key of the micro-batch once, with its new total."""
+def run_to_state(counts: DataFrame, label: str) -> DataFrame:
+    """Run a ``running_counts`` stream over everything available; its counts, read from the state store.
 
-    def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        _quiet()
-        words, counts = state.get if state.exists else ([], [])
-        totals = dict(zip(words, counts))
-        delta = pd.concat(list(batches), ignore_index=True).groupby("word")["c"].sum()
-        for w, c in delta.items():
-            totals[w] = totals.get(w, 0) + int(c)
-        state.update((list(totals.keys()), list(totals.values())))
-        yield pd.DataFrame({"word": list(delta.index), "n": [totals[w] for w in delta.index]})
-    return fn
-
-
-def running_counts(tokens: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
-    """Streaming running count per ``key`` (append-mode updates).
-
-    Tokens are first combined per task (stateless ``mapInPandas``), then the
-    partial counts are merged into state kept per hash bucket of the key, so
-    the Python state function runs once per bucket and micro-batch rather than
-    once per key. The default is 16 buckets per shuffle partition.
+    The updates themselves go nowhere; what the stream has counted is its state
+    of the last micro-batch, a distributed table in the checkpoint folder.
     """
-    if buckets is None:
-        buckets = 16 * int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    partial = tokens.select(F.col(key).alias("word")).mapInPandas(_partial_counts, "word string, c long")
-    keyed = partial.select(F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("_bucket"), "word", "c")
-    return keyed.groupBy("_bucket").applyInPandasWithState(
-        _running_count_state(), _COUNT_OUT, _COUNT_STATE, "append", GroupStateTimeout.NoTimeout)
-
-
-def latest_counts(updates: DataFrame, key: str = "word") -> DataFrame:
-    """Final state of a running count: counts only grow, so the latest update of
-    a key is its largest."""
-    return updates.groupBy(key).agg(F.max("n").alias("n"))
+    spark = counts.sparkSession
+    _prepare(spark)
+    state = scratch_path(spark, f"{label}-state")
+    q = (counts.writeStream.outputMode("update").format("noop")
+         .option("checkpointLocation", state).trigger(availableNow=True).start())
+    _finish(q)
+    if not any(p["stateOperators"] for p in q.recentProgress):      # no micro-batch ran: no state was made
+        return spark.createDataFrame([], counts.schema)
+    return spark.read.format("statestore").load(state).select("key.word", F.col("value.count").alias("n"))
 
 
-def word_counts_of(spark: SparkSession, tokens: DataFrame, label: str) -> DataFrame:
+def word_counts_of(tokens: DataFrame, label: str) -> DataFrame:
     """Run a stream of ``word`` rows as running counts; the final count per word."""
-    out = run_to_files(running_counts(tokens, "word"), label)
-    return latest_counts(_read_sink(spark, out, _COUNT_OUT))
+    return run_to_state(running_counts(tokens, "word"), label)
 
 
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = stream_table(spark, sf_dir, "documents", spread=True)
     words = docs.select(F.explode(T.whitespace_tokens(F.col("text"))).alias("word"))
-    return word_counts_of(spark, words, "stream-word-count")
+    return word_counts_of(words, "stream-word-count")
 
 
 def stream_text_word_count(spark: SparkSession, src: str) -> DataFrame:
     """J1 on a folder of text files: running whitespace-token counts."""
     words = stream_text(spark, src).select(F.explode(T.whitespace_tokens(F.col("value"))).alias("word"))
-    return word_counts_of(spark, words, "stream-text-word-count")
+    return word_counts_of(words, "stream-text-word-count")
 
 
 # --- J2 / B5: ranked summary at the end of the stream ---------------------------------
@@ -243,14 +233,11 @@ _WINDOW_OUT = "window_id long, cents long"
 
 
 def _window_combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Map-side combine: one (window_id, rows, cents) row per window per task."""
+    """One (window_id, rows, cents) row per window of an Arrow batch."""
     _quiet()
-    parts = [pdf.groupby("window_id").agg(rows=("cents", "size"), cents=("cents", "sum")) for pdf in batches]
-    if parts:
-        tot = pd.concat(parts).groupby(level=0).sum()
-        yield pd.DataFrame({"window_id": tot.index.to_numpy(dtype="int64"),
-                            "rows": tot["rows"].to_numpy(dtype="int64"),
-                            "cents": tot["cents"].to_numpy(dtype="int64")})
+    for pdf in batches:
+        yield (pdf.groupby("window_id").agg(rows=("cents", "size"), cents=("cents", "sum")).reset_index()
+               .astype({"window_id": "int64", "rows": "int64", "cents": "int64"}))
 
 
 def _window_state_fn(n: int):
@@ -273,8 +260,8 @@ def _window_state_fn(n: int):
 
 def count_window_stream(values: DataFrame, seq: Column, cents: Column, n: int) -> DataFrame:
     """Windows of ``n`` consecutive sequence numbers; a window is emitted once,
-    when complete; an incomplete last window never is (J5). Rows are combined
-    per task first, so a window ships one partial row per task."""
+    when complete; an incomplete last window never is (J5). ``seq`` and ``cents``
+    are any columns of the stream."""
     keyed = values.select((F.floor(seq / F.lit(n))).cast("long").alias("window_id"), cents.alias("cents"))
     partial = keyed.mapInPandas(_window_combine, "window_id long, rows long, cents long")
     return partial.groupBy("window_id").applyInPandasWithState(
@@ -298,91 +285,211 @@ def stream_count_window_sum(spark: SparkSession, sf_dir: str, n: int = DEFAULT_W
     return sink.select("window_id", _cents_to_double("cents").alias("total"))
 
 
+_RUNNING_STATE = "next long, total long, waiting_ids array<long>, waiting_cents array<long>"
+
+
+def _running_total(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Adds windows up in their order; a window that comes early waits for those before it."""
+    _quiet()
+    nxt, total, ids, cents = state.get if state.exists else (0, 0, [], [])
+    waiting = dict(zip(ids, cents))
+    for pdf in batches:
+        waiting.update(zip(pdf["window_id"].tolist(), pdf["cents"].tolist()))
+    out_ids, out = [], []
+    while nxt in waiting:
+        total += waiting.pop(nxt)
+        out_ids.append(nxt)
+        out.append(total)
+        nxt += 1
+    state.update((nxt, total, list(waiting), list(waiting.values())))
+    if out:
+        yield pd.DataFrame({"window_id": out_ids, "cents": out})
+
+
+def running_sum_stream(windows: DataFrame) -> DataFrame:
+    """Running total after each window, emitted while the stream runs.
+
+    A running total is one chain, so its state is one key; it sees one row per
+    complete window, never the rows inside, and holds only windows that
+    overtook an earlier one.
+    """
+    return windows.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandasWithState(
+        _running_total, _WINDOW_OUT, _RUNNING_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
 def stream_count_window_running_sum(spark: SparkSession, sf_dir: str,
                                     n: int = DEFAULT_WINDOW_N) -> DataFrame:
-    """Running total after each complete window (J8): windows come from the
-    stateful stream; the running total is taken over the emitted windows."""
+    """Running total after each complete window of events: the windows' sums are
+    one stream, the running total over them another that reads its sink."""
+    ev = stream_table(spark, sf_dir, "events")
+    out = run_to_files(count_window_stream(ev, F.col("event_id"), _event_cents(ev), n), "stream-windows")
+    sums = spark.readStream.schema(_WINDOW_OUT).option("maxBytesPerTrigger", BYTES_PER_TRIGGER).parquet(out)
+    total = run_to_files(running_sum_stream(sums), "stream-running")
+    return _read_sink(spark, total, _WINDOW_OUT).select("window_id", _cents_to_double("cents").alias("running_total"))
+
+
+# --- J6 / J7: top items of line windows -----------------------------------------------------
+
+_TOP_STATE = "lines long, items array<string>, counts array<long>"
+
+
+def _line_window_fn(n: int, k: int):
+    """State of an open window: lines seen and the counts of their items (at most
+    ``n`` lines' items). Emits the top k and forgets the window at ``n`` lines."""
+
+    def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        _quiet()
+        lines, items, counts = state.get if state.exists else (0, [], [])
+        held = pd.Series(counts, index=pd.Index(items, dtype=object), dtype="int64")
+        for pdf in batches:
+            lines += len(pdf)
+            held = held.add(pdf["items"].explode().dropna().value_counts(), fill_value=0)
+        if lines < n:
+            state.update((lines, [str(x) for x in held.index], [int(x) for x in held]))
+            return
+        if state.exists:
+            state.remove()
+        top = held.rename("n").rename_axis("item").reset_index().sort_values(["n", "item"], ascending=[False, True]).head(k)
+        if len(top):
+            yield pd.DataFrame({"window_id": int(key[0]), "item": top["item"].astype(str), "n": top["n"].astype("int64"),
+                                "rank": range(1, len(top) + 1)})
+    return fn
+
+
+def line_window_top_stream(lines: DataFrame, ordinal: Column, items: Column, n: int, k: int) -> DataFrame:
+    """``(window_id, item, n, rank)`` of every complete window of ``n`` lines, ties by item.
+
+    ``ordinal`` numbers the lines densely from 0, ``items`` is the array of a
+    line's items. A line is one row into the state, with all its items.
+    """
+    keyed = lines.select(F.floor(ordinal / F.lit(n)).cast("long").alias("window_id"), items.alias("items"))
+    return keyed.groupBy("window_id").applyInPandasWithState(
+        _line_window_fn(n, k), "window_id long, item string, n long, rank long", _TOP_STATE, "append",
+        GroupStateTimeout.NoTimeout)
+
+
+def _numbered_document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream of document lines with their ordinal in (doc_id, line number)
+    order: each document's first ordinal is a static prefix sum of line counts."""
     from quarry.operators.ordering import bucketed_running_sum
 
-    ev = stream_table(spark, sf_dir, "events")
-    windows = count_window_stream(ev, F.col("event_id"), _event_cents(ev), n)
-    out = run_to_files(windows, "stream-running")
-    sink = _read_sink(spark, out, _WINDOW_OUT).select("window_id", "cents")
-    run = bucketed_running_sum(sink, "window_id", "cents", "_run")
-    return run.select("window_id", _cents_to_double("_run").alias("running_total"))
+    counts = spark.read.parquet(table_path(sf_dir, "documents")).select(
+        "doc_id", F.size(F.split("text", "\n")).cast("long").alias("_n"))
+    first = bucketed_running_sum(counts, "doc_id", "_n", "_first", inclusive=False).select("doc_id", "_first")
+    docs = stream_table(spark, sf_dir, "documents", spread=True).select("doc_id", "text").join(first, "doc_id")
+    return docs.select("_first", F.posexplode(F.split("text", "\n")).alias("_line", "line")).select(
+        (F.col("_first") + F.col("_line")).alias("ord"), "line")
+
+
+def _numbered_file_lines(spark: SparkSession, src: str) -> DataFrame:
+    """The stream of a text folder's lines with their ordinal in (file path, line
+    number) order. A file is read as one record, so files should be of streaming
+    size (well under 2 GB); the static side holds one row per file."""
+    from quarry.sources.text import text_lines_numbered
+
+    counts = write_scratch(text_lines_numbered(spark, src)[0].groupBy("file").agg(F.min("ord").alias("_first")), "file-ordinals")
+    files = (spark.readStream.option("maxBytesPerTrigger", BYTES_PER_TRIGGER).text(src, wholetext=True)
+             .select(F.col("_metadata.file_path").alias("file"), "value").join(counts, "file"))
+    lines = F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n")
+    return files.select("_first", F.posexplode(lines).alias("_line", "line")).select(
+        (F.col("_first") + F.col("_line")).alias("ord"), "line")
+
+
+def _line_window_top(spark: SparkSession, lines: DataFrame, n: int, k: int, bigrams: bool, label: str) -> DataFrame:
+    if bigrams:
+        lines = lines.select("ord", T.sentence_words(F.col("line")).alias("_sw"))
+        items, name = T.sentence_bigrams_of_words(F.col("_sw")), "bigram"
+    else:
+        items, name = T.nonword_tokens(F.col("line")), "word"
+    out = run_to_files(line_window_top_stream(lines, F.col("ord"), items, n, k), label)
+    return _read_sink(spark, out, "window_id long, item string, n long, rank long").select(
+        "window_id", F.col("item").alias(name), "n", "rank")
+
+
+def stream_count_window_word_top(spark: SparkSession, sf_dir: str, n: int = 10, k: int = 10) -> DataFrame:
+    """The k most frequent words of every complete window of n document lines."""
+    return _line_window_top(spark, _numbered_document_lines(spark, sf_dir), n, k, False, "stream-line-words")
+
+
+def stream_count_window_bigram_top(spark: SparkSession, sf_dir: str, n: int = 10, k: int = 10) -> DataFrame:
+    """The k most frequent in-sentence bigrams of every complete window of n document lines."""
+    return _line_window_top(spark, _numbered_document_lines(spark, sf_dir), n, k, True, "stream-line-bigrams")
+
+
+def stream_text_window_top(spark: SparkSession, src: str, n: int = 10, k: int = 10, bigrams: bool = False) -> DataFrame:
+    """J6 / J7 on a folder of text files."""
+    return _line_window_top(spark, _numbered_file_lines(spark, src), n, k, bigrams, "stream-text-window")
+
+
+def stream_text_window_sum(spark: SparkSession, src: str, n: int = 100, running: bool = False) -> DataFrame:
+    """J4 / J8 on a folder of text files, one integer per line: the sum of every
+    complete window of n lines, or the running total after it. A line that is no
+    integer fails the stream."""
+    lines = _numbered_file_lines(spark, src)
+    out = run_to_files(count_window_stream(lines, F.col("ord"), F.trim("line").cast("long"), n), "stream-text-sums")
+    if running:
+        sums = spark.readStream.schema(_WINDOW_OUT).option("maxBytesPerTrigger", BYTES_PER_TRIGGER).parquet(out)
+        out = run_to_files(running_sum_stream(sums), "stream-text-running")
+    return _read_sink(spark, out, _WINDOW_OUT).withColumnRenamed("cents", "running_total" if running else "total")
 
 
 # --- J9: per-window group count / max / argmax, top-k groups -----------------------------
 
-_GROUP_STATE = "rows long, groups string"
-_PARTIAL_OUT = "window_id long, user_id long, n long, max_value double, best_ord long, top_item long"
-_GROUP_OUT = "window_id long, rank long, user_id long, n long, max_value double, top_item long"
+def _best(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Per (window, group): row count, and the earliest row with the largest value."""
+    lead = pdf.sort_values(["value", "ord"], ascending=[False, True]).drop_duplicates(["window_id", "grp"])
+    counts = pdf.groupby(["window_id", "grp"], as_index=False)["n"].sum()
+    return lead.drop(columns="n").merge(counts, on=["window_id", "grp"])[["window_id", "grp", "n", "value", "ord", "item"]]
 
 
 def _group_combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Map-side combine: per (window, group) of the task, the row count and the
-    earliest row holding the largest value (value, ordinal, item)."""
+    """``_best`` of every Arrow batch."""
     _quiet()
-    frames = list(batches)
-    if not frames:
-        return
-    pdf = pd.concat(frames, ignore_index=True)
-    if pdf.empty:
-        return
-    counts = pdf.groupby(["window_id", "grp"]).size().rename("n")
-    best = (pdf.sort_values(["value", "ord"], ascending=[False, True])
-            .groupby(["window_id", "grp"], sort=False).head(1)
-            .set_index(["window_id", "grp"])[["value", "ord", "item"]])
-    out = best.join(counts).reset_index()
-    yield out[["window_id", "grp", "n", "value", "ord", "item"]].astype(
-        {"window_id": "int64", "grp": "int64", "n": "int64", "value": "float64", "ord": "int64", "item": "int64"})
+    for pdf in batches:
+        yield _best(pdf.assign(n=1).astype({"n": "int64"}))
 
 
 def _window_partials_fn(n: int):
-    """State per open window: rows seen and, per group, [count, max value,
-    ordinal of the first row with that max, its item]. At most ``n`` rows ever
-    reach one window, so the state is bounded; it is dropped on completion,
-    when every group's partial for the window is emitted."""
+    """State per open window: rows seen and its groups' partials, as typed
+    arrays. At most ``n`` rows ever reach one window, so the state is bounded;
+    it is dropped on completion, when every group's partial is emitted."""
 
     def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         _quiet()
-        rows, blob = state.get if state.exists else (0, "{}")
-        acc = {int(g): v for g, v in json.loads(blob).items()}
-        for pdf in batches:
-            rows += int(pdf["n"].sum())
-            for r in pdf.itertuples(index=False):
-                cur = acc.setdefault(int(r.grp), [0, None, None, None])
-                cur[0] += int(r.n)
-                if cur[1] is None or r.value > cur[1] or (r.value == cur[1] and r.ord < cur[2]):
-                    cur[1], cur[2], cur[3] = float(r.value), int(r.ord), int(r.item)
+        parts = list(batches)                               # at most n rows of this window
+        rows = sum(int(p["n"].sum()) for p in parts)
+        if state.exists:
+            seen, *columns = state.get
+            rows += seen
+            parts.append(pd.DataFrame(dict(zip(("grp", "n", "value", "ord", "item"), columns))).assign(window_id=key[0]))
+        held = _best(pd.concat(parts, ignore_index=True))
         if rows < n:
-            state.update((rows, json.dumps(acc)))
+            state.update((rows, *(held[c].tolist() for c in ("grp", "n", "value", "ord", "item"))))
             return
-        state.remove()
-        groups = sorted(acc)
-        yield pd.DataFrame({"window_id": [int(key[0])] * len(groups), "user_id": groups,
-                            "n": [acc[g][0] for g in groups], "max_value": [acc[g][1] for g in groups],
-                            "best_ord": [acc[g][2] for g in groups], "top_item": [acc[g][3] for g in groups]})
+        if state.exists:
+            state.remove()
+        yield held
     return fn
 
 
-def window_partials_stream(events: DataFrame, n: int) -> DataFrame:
-    """Per complete window of ``n`` events: every group's count, max value, and
-    the item of the earliest row holding it (J9/J10 partials). Rows are
-    combined per (window, group) and task before the state shuffle."""
-    keyed = events.select(F.floor(F.col("event_id") / F.lit(n)).cast("long").alias("window_id"),
-                          F.col("event_id").alias("ord"), F.col("user_id").alias("grp"),
-                          F.col("event_id").alias("item"), "value")
-    partial = keyed.mapInPandas(_group_combine, "window_id long, grp long, n long, value double, "
-                                                "ord long, item long")
-    return partial.groupBy("window_id").applyInPandasWithState(
-        _window_partials_fn(n), _PARTIAL_OUT, _GROUP_STATE, "append", GroupStateTimeout.NoTimeout)
+def window_partials_stream(rows: DataFrame, seq: str, group: str, item: str, value: str, n: int) -> DataFrame:
+    """Per complete window of ``n`` sequence numbers: every group's count, max
+    value, and the item of the earliest row holding it (J9/J10 partials), as
+    ``(window_id, grp, n, value, ord, item)``. Columns of any type."""
+    keyed = rows.select(F.floor(F.col(seq) / F.lit(n)).cast("long").alias("window_id"),
+                        F.col(group).alias("grp"), F.col(value).cast("double").alias("value"),
+                        F.col(seq).cast("long").alias("ord"), F.col(item).alias("item"))
+    g, i = (keyed.schema[c].dataType.simpleString() for c in ("grp", "item"))
+    out = f"window_id long, grp {g}, n long, value double, ord long, item {i}"
+    state = f"rows long, grp array<{g}>, n array<long>, value array<double>, ord array<long>, item array<{i}>"
+    return keyed.mapInPandas(_group_combine, out).groupBy("window_id").applyInPandasWithState(
+        _window_partials_fn(n), out, state, "append", GroupStateTimeout.NoTimeout)
 
 
 def _partials(spark: SparkSession, sf_dir: str, n: int, label: str) -> DataFrame:
     ev = stream_table(spark, sf_dir, "events")
-    out = run_to_files(window_partials_stream(ev, n), label)
-    return _read_sink(spark, out, _PARTIAL_OUT)
+    parts = window_partials_stream(ev, "event_id", "user_id", "event_id", "value", n)
+    return _read_sink(spark, run_to_files(parts, label), parts.schema)
 
 
 def stream_count_window_group_top(spark: SparkSession, sf_dir: str, n: int = 1000, k: int = 7) -> DataFrame:
@@ -390,8 +497,9 @@ def stream_count_window_group_top(spark: SparkSession, sf_dir: str, n: int = 100
     from quarry.operators.ordering import top_k_per_group
 
     parts = _partials(spark, sf_dir, n, "stream-group-top")
-    top = top_k_per_group(parts, ["window_id"], [F.desc("n"), F.col("user_id")], k)
-    return top.select("window_id", "rank", "user_id", "n", "max_value", "top_item")
+    top = top_k_per_group(parts, ["window_id"], [F.desc("n"), F.col("grp")], k)
+    return top.select("window_id", "rank", F.col("grp").alias("user_id"), "n", F.col("value").alias("max_value"),
+                      F.col("item").alias("top_item"))
 
 
 def stream_cumulative_group_top(spark: SparkSession, sf_dir: str, n: int = 1000, k: int = 7) -> DataFrame:
@@ -400,9 +508,8 @@ def stream_cumulative_group_top(spark: SparkSession, sf_dir: str, n: int = 1000,
     from quarry.operators.windows import cumulative_top
 
     parts = _partials(spark, sf_dir, n, "stream-cumulative").select(
-        "window_id", "user_id", "n",
-        F.struct(F.col("max_value").alias("v"), (-F.col("best_ord")).alias("o"),
-                 F.col("top_item").alias("i")).alias("best"))
+        "window_id", F.col("grp").alias("user_id"), "n",
+        F.struct(F.col("value").alias("v"), (-F.col("ord")).alias("o"), F.col("item").alias("i")).alias("best"))
     last = parts.agg(F.max("window_id")).scalar()
     return cumulative_top(parts, "user_id", k, last)
 
@@ -413,6 +520,8 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_total": stream_integer_total,
     "stream_count_window": stream_count_window_sum,
     "stream_count_window_running_sum": stream_count_window_running_sum,
+    "stream_count_window_word_top10": stream_count_window_word_top,
+    "stream_count_window_bigram_top10": stream_count_window_bigram_top,
     "stream_count_window_group_top7": stream_count_window_group_top,
     "stream_cumulative_group_top7": stream_cumulative_group_top,
 }
@@ -424,6 +533,8 @@ STREAM_ORACLE_OF = {
     "stream_total": "integer_total",
     "stream_count_window": "count_window_sum",
     "stream_count_window_running_sum": "count_window_running_sum",
+    "stream_count_window_word_top10": "count_window_word_top10",
+    "stream_count_window_bigram_top10": "count_window_bigram_top10",
     "stream_count_window_group_top7": "count_window_group_top7",
     "stream_cumulative_group_top7": "cumulative_group_top7",
 }
