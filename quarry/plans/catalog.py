@@ -18,8 +18,9 @@ from quarry.operators import graph, ordering, relational, stats, text, windows
 from quarry.session import scratch_path
 from quarry.sinks.text import write_lines
 from quarry.sources.tables import load, spread
-from quarry.sources.text import (document_lines, first_two_tokens, n_line_records_per_document,
-                                 read_delimited, read_multiline_json_objects)
+from quarry.plans import jobs
+from quarry.sources.text import (document_lines, first_two_tokens, key_value_on_tab, n_line_records_per_document,
+                                 read_delimited, read_lines, read_multiline_json_objects, text_lines_numbered)
 
 # Parameters of the registered queries.
 SUM_HAVING_THRESHOLD = 4_000_000        # header_skip_sum_having
@@ -129,8 +130,13 @@ def q_bigram_cross_line_lines(spark, d):
 
 
 def q_bigram_count_two_round(spark, d):
-    """Counts merged again in a second round (E3): the same counts."""
-    return text.reaggregate(text.line_bigram_count(_lines(spark, d)), "bigram")
+    """First round per language, so a bigram has several partial counts; the second round merges them."""
+    docs = spread(load(spark, d, "documents").select("lang", "text"))
+    words = (docs.select("lang", F.explode(F.split("text", "\n")).alias("line"))
+             .select("lang", T.cleaned_words(F.col("line")).alias("_w")))
+    first = (words.select("lang", F.explode(T.adjacent_pairs(F.col("_w"))).alias("bigram"))
+             .groupBy("lang", "bigram").agg(F.count(F.lit(1)).alias("n")))
+    return text.reaggregate(first, "bigram")
 
 
 def q_token_total_two_round(spark, d):
@@ -246,11 +252,13 @@ def _prices(spark, d):
 
 
 def q_outlier_3sigma(spark, d):
-    return stats.sigma_outliers_window(_prices(spark, d), ["ticker", "year"], "price")
+    """Statistics by partial aggregation, joined back: a hot group is no single task."""
+    return stats.sigma_outliers(_prices(spark, d), ["ticker", "year"], "price")
 
 
 def q_outlier_3sigma_join(spark, d):
-    return stats.sigma_outliers(_prices(spark, d), ["ticker", "year"], "price")
+    """As ``outlier_3sigma``, whose plan it was first."""
+    return q_outlier_3sigma(spark, d)
 
 
 def q_xor_checksum(spark, d):
@@ -343,6 +351,68 @@ def q_cumulative_group_top7(spark, d):
                                         GROUP_WINDOW_N, TOP_GROUPS, total_rows=total)
 
 
+# --- jobs on files written from the tables (actions: they write, then read back) --------------
+
+def q_file_word_count(spark, d):
+    """Document lines as text files, counted by the file job, its ``word <tab> n`` output read back."""
+    src, out = scratch_path(spark, "lines"), scratch_path(spark, "word-counts")
+    write_lines(_lines(spark, d), src)
+    jobs.word_count_job(spark, src, out)
+    back = key_value_on_tab(read_lines(spark, out))
+    return back.select(F.col("key").alias("word"), F.col("value").cast("long").alias("n"))
+
+
+def q_file_tuple_sink(spark, d):
+    """The sorted word count's ``(n,word)`` lines read back."""
+    src, out = scratch_path(spark, "lines"), scratch_path(spark, "tuples")
+    write_lines(_lines(spark, d), src)
+    jobs.sorted_word_count_job(spark, src, out)
+    return read_lines(spark, out).select(F.col("value").alias("line"))
+
+
+def q_file_two_line_records(spark, d):
+    """Each language's lines as one file of many splits, read back as two-line records."""
+    src = scratch_path(spark, "language-lines")
+    docs = load(spark, d, "documents").select("lang", "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "value"))
+    (docs.repartition("lang").sortWithinPartitions("lang", "doc_id", "line_no").select("lang", "value")
+     .write.partitionBy("lang").text(src))
+    recs = jobs.two_line_records_job(spark, src)
+    return recs.select(F.regexp_extract("file", "lang=([^/]*)/", 1).alias("lang"), "rec_no", "record")
+
+
+def q_file_csv_outliers(spark, d):
+    """Events as ``ticker,date,price`` lines, labelled by the file job (fields by position, year from the date's text)."""
+    src = scratch_path(spark, "prices")
+    day = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    write_lines(_events(spark, d).select(F.concat_ws(",", F.col("user_id").cast("string"), day,
+                                                     F.col("value").cast("string")).alias("line")), src)
+    return jobs.stock_outlier_job(spark, src).select("ticker", "year", "date", "price", "label")
+
+
+def q_file_total_order(spark, d):
+    """Orders as ``key <tab> value`` lines, sorted into range files; rank: the line's place over the files in name order."""
+    src, out = scratch_path(spark, "key-values"), scratch_path(spark, "sorted")
+    write_lines(load(spark, d, "orders").select(F.concat_ws("\t", F.col("o_orderkey").cast("string"),
+                                                            "o_orderpriority").alias("line")), src)
+    jobs.total_order_sort_job(spark, src, out)
+    lines = text_lines_numbered(spark, out)[0].select("value", (F.col("ord") + 1).alias("rank"))
+    kv = F.split("value", "\t", 2)
+    return lines.select(kv[0].alias("key"), kv[1].alias("value"), "rank")
+
+
+def q_file_hashtags(spark, d):
+    """Events as multi-line JSON objects with an array of hashtags, every tenth one malformed; quoted tags counted."""
+    src, out = scratch_path(spark, "tweets"), scratch_path(spark, "hashtags")
+    tag = lambda c: F.to_json(F.struct(c.alias("text")))
+    tags = F.concat_ws(", ", tag(F.get_json_object("props", "$.k")), tag(F.col("event_type")))
+    body = F.when(F.col("event_id") % 10 == 0, F.lit("{ broken")).otherwise(
+        F.concat(F.lit('  "entities": { "hashtags": ['), tags, F.lit("] }")))
+    write_lines(_events(spark, d).select(F.concat(F.lit("{\n"), body, F.lit("\n},")).alias("line")), src)
+    jobs.hashtag_count_job(spark, src, out, quoted=True)
+    n, quoted = F.split("value", "\t", 2)[0], F.split("value", "\t", 2)[1]
+    return read_lines(spark, out).select(quoted.alias("tag"), n.cast("long").alias("n"))
+
+
 def q_cumulative_type_top3(spark, d):
     """The cumulative form over a text group key."""
     ev, total = _event_ordinals(spark, d)
@@ -393,4 +463,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "count_window_group_top7": q_count_window_group_top7,
     "cumulative_group_top7": q_cumulative_group_top7,
     "cumulative_type_top3": q_cumulative_type_top3,
+    "file_word_count": q_file_word_count,
+    "file_tuple_sink": q_file_tuple_sink,
+    "file_two_line_records": q_file_two_line_records,
+    "file_csv_outliers": q_file_csv_outliers,
+    "file_total_order": q_file_total_order,
+    "file_hashtags": q_file_hashtags,
 }

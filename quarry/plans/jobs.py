@@ -104,7 +104,7 @@ def script_word_count_job(spark, src, out=None):
 
 
 def sorted_word_count_job(spark, src, out=None):
-    """Per-line ``\\s+`` split (Java rules), counts sorted ascending, ``(word,n)``."""
+    """Per-line ``\\s+`` split (Java rules), counts sorted ascending, ``(n,word)``."""
     counts = text.java_split_word_count(_lines(spark, src))
     if out:
         write_tuples(counts, out, "n", "word")

@@ -288,8 +288,36 @@ FROM r WHERE rank <= {TOP_GROUPS}""",
 
     "cumulative_group_top7": _cumulative("user_id", GROUP_WINDOW_N, TOP_GROUPS),
     "cumulative_type_top3": _cumulative("event_type", TYPE_WINDOW_N, TOP_TYPES),
+
+    "file_two_line_records": f"""
+WITH {LINES},
+  o AS (SELECT lang, line, row_number() OVER (PARTITION BY lang ORDER BY doc_id, line_no) - 1 AS i
+        FROM lines JOIN documents USING (doc_id))
+SELECT lang, CAST(i // 2 + 1 AS BIGINT) AS rec_no, string_agg(line, '' ORDER BY i) AS record
+FROM o GROUP BY lang, i // 2""",
+
+    "file_csv_outliers": """
+WITH p AS (SELECT CAST(user_id AS VARCHAR) AS ticker, CAST(year(ts) AS VARCHAR) AS year,
+                  strftime(ts, '%Y-%m-%d %H:%M:%S') AS date, value AS price FROM events),
+  s AS (SELECT *, avg(price) OVER w AS m, stddev_pop(price) OVER w AS sd
+        FROM p WINDOW w AS (PARTITION BY ticker, year)),
+  l AS (SELECT ticker, year, date, price,
+               CASE WHEN price < m - 3 * sd THEN 'low' WHEN price > m + 3 * sd THEN 'high' ELSE 'flat' END AS label
+        FROM s)
+SELECT * FROM l WHERE label <> 'flat'""",
+
+    "file_hashtags": """
+SELECT '"' || tag || '"' AS tag, count(*) AS n
+FROM (SELECT unnest([json_extract_string(props, '$.k'), event_type]) AS tag FROM events WHERE event_id % 10 <> 0)
+WHERE tag IS NOT NULL GROUP BY 1""",
 }
 
+ORACLE["file_word_count"] = ORACLE["word_count"]
+ORACLE["file_total_order"] = ORACLE["total_order_sort"]
+ORACLE["file_tuple_sink"] = f"""
+WITH c AS ({ORACLE["word_count_java_split"]})
+SELECT '(' || CAST(n AS VARCHAR) || ',' || word || ')' AS line FROM c"""
+
 ORACLE["outlier_3sigma_join"] = ORACLE["outlier_3sigma"]
 # Alternative plans of the same queries share their oracle.
 ORACLE["bigram_cross_line_lines"] = ORACLE["bigram_cross_line"]

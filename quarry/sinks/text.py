@@ -36,10 +36,11 @@ def write_lines(df: DataFrame, path: str, col: str = "line", mode: str = "overwr
 def write_total_order(df: DataFrame, path: str, key: str, value: str, n: int = 10,
                       sep: str = "\t", mode: str = "overwrite") -> None:
     """Total-order sorted ``key <sep> value`` output in ``n`` files (G3, B8):
-    sampled range partitions, each sorted by key, so the part files read in
-    name order are in byte order of the key. Duplicate keys are kept."""
+    sampled range partitions over (key, value), each sorted, so the part files
+    read in name order are in byte order of the key, then the value, and a hot
+    key spreads over files. Duplicates are kept."""
     (df.select(F.col(key).cast("string").alias(key), F.col(value).cast("string").alias(value))
-     .repartitionByRange(n, key).sortWithinPartitions(key, value)
+     .repartitionByRange(n, key, value).sortWithinPartitions(key, value)
      .select(_joined([key, value], sep).alias("value"))
      .write.mode(mode).text(path))
 

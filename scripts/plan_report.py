@@ -14,8 +14,9 @@ from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
-from quarry.session import build_session  # noqa: E402
+from quarry.plans.catalog import QUERIES  # noqa: E402
+from quarry.session import build_session, release_scratch  # noqa: E402
+from quarry.streaming import jobs  # noqa: E402
 
 EXCHANGES = {
     "hash": r"Exchange hashpartitioning",
@@ -27,8 +28,8 @@ EXCHANGES = {
 }
 JOINS = ["BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin",
          "CartesianProduct"]
-PYTHON = ["ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
-          "FlatMapGroupsInPandasWithState"]
+STATEFUL_OR_PYTHON = ["ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+          "FlatMapGroupsInPandasWithState", "StateStoreSave"]
 AGGS = ["HashAggregate", "SortAggregate", "ObjectHashAggregate"]
 
 
@@ -52,10 +53,12 @@ def final_plan(df) -> str:
 def summarise(plan: str) -> dict:
     ex = {k: len(re.findall(v, plan)) for k, v in EXCHANGES.items()}
     joins = Counter(j for j in JOINS for _ in re.finditer(rf"\b{j}\b", plan))
-    # "Window [exprs], [partition], [order]"; an unpartitioned window prints two lists
-    windows = [ln for ln in plan.splitlines() if re.search(r"\bWindow \[", ln)]
-    unpartitioned = sum(1 for ln in windows if ln.split("Window ", 1)[1].count("], [") == 1)
-    py = Counter(p for p in PYTHON for _ in re.finditer(rf"\b{p}\b", plan))
+    # an unpartitioned window reads a single-partition exchange, whatever lists its line prints
+    lines = plan.splitlines()
+    windows = [k for k, ln in enumerate(lines) if re.search(r"\bWindow \[", ln)]
+    source = lambda k: next((ln for ln in lines[k + 1:] if re.search(r"Exchange |Scan ", ln)), "")
+    unpartitioned = sum("Exchange SinglePartition" in source(k) for k in windows)
+    py = Counter(p for p in STATEFUL_OR_PYTHON for _ in re.finditer(rf"\b{p}\b", plan))
     aggs = Counter(a for a in AGGS for _ in re.finditer(rf"\b{a}\(", plan))
     codegen = len(set(re.findall(r"\*\((\d+)\)", plan)))
     scans = set()
@@ -75,25 +78,34 @@ def main() -> None:
           "`scripts/plan_report.py`). Exchange counts are per plan; `reused` exchanges are read, "
           "not recomputed. `single` exchanges carry only one row per bucket (the prefix step of "
           "the bucketed ordinals, whose windows are the unpartitioned ones counted here), "
-          "a global partial aggregate or a scalar subquery. Stream queries show the batch "
-          "read of their sink.\n")
+          "a global partial aggregate or a scalar subquery. A stream query's row has the plan of its "
+          "last micro-batch besides the batch read of its result; tables that a query writes and "
+          "reads back are not shown. `docs/SCALE_REVIEW.md` reviews the plans.\n")
     print("| query | exchanges | joins | aggregates | windows (unpartitioned) | python | codegen stages | scans |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in entry.queries().items():
+    # the plan of every stream's last micro-batch, taken when the stream ends
+    seen: list[str] = []
+    finish = jobs._finish
+
+    def finish_and_keep(q) -> None:
+        finish(q)
+        seen.append("\n" + q._jsq.explainInternal(False))
+
+    jobs._finish = finish_and_keep
+    for name, fn in {**QUERIES, **jobs.STREAM_QUERIES}.items():
         df = fn(spark, sf)
         df._jdf.queryExecution().executedPlan().execute().count()   # run this plan (AQE finalises it)
-        s = summarise(final_plan(df))
+        text = final_plan(df)
+        text += "".join(seen.pop() for _ in range(len(seen)))
+        s = summarise(text)
         ex = ", ".join(f"{k} {v}" for k, v in s["ex"].items() if v) or "none"
         joins = ", ".join(f"{k} {v}" for k, v in s["joins"].items()) or "none"
         py = ", ".join(f"{k} {v}" for k, v in s["python"].items()) or "none"
         aggs = ", ".join(f"{k} {v}" for k, v in s["aggs"].items()) or "none"
+        release_scratch(spark)
         print(f"| {name} | {ex} | {joins} | {aggs} | {s['windows']} ({s['unpartitioned']}) | {py} | "
               f"{s['codegen']} | {'; '.join(s['scans'])} |")
     spark.stop()
-    review = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs", "SCALE_REVIEW.md")
-    if os.path.exists(review):
-        print()
-        print(open(review).read().rstrip())
 
 
 if __name__ == "__main__":
