@@ -60,21 +60,23 @@ def remove_boilerplate(docs: DataFrame, min_sites: int, id_col: str = "doc_id",
     """One row per document row: id, n_lines, n_removed, text without its boilerplate lines.
 
     The other lines keep their order and blanks. A null text stays null with no
-    lines; an empty one has one (blank) line. Rows that share an id, null ids
-    too, are cleaned alike, as a line is boilerplate everywhere or nowhere.
+    lines; an empty one has one (blank) line. Rows may share an id or have none:
+    a line is boilerplate everywhere or nowhere.
     Empty tables give no rows; other columns are not read.
     """
     bad = boilerplate(docs, min_sites, text_col, site_col).select(F.col("a").alias("ba"), F.col("b").alias("bb"))
-    here = (docs.select(F.col(id_col).alias("id"),
+    # a row is named by its id and its text's hash, so a null or repeated id gathers no other text's lines
+    text_hash = F.xxhash64(F.col(text_col).cast("string"))
+    here = (docs.select(F.col(id_col).alias("id"), text_hash.alias("th"),
                         F.explode(F.array_distinct(F.transform(_lines(F.col(text_col)), lambda x: _hash(F.trim(x))))).alias("h"))
-            .select("id", "h.a", "h.b"))
+            .select("id", "th", "h.a", "h.b"))
     # of each document only the hashes to remove, at most its own lines
     drops = (here.join(bad, (F.col("a") == F.col("ba")) & (F.col("b") == F.col("bb")))
-             .groupBy(F.col("id").alias("__id")).agg(F.collect_set(F.struct("a", "b")).alias("__drop")))
+             .groupBy(F.col("id").alias("__id"), F.col("th").alias("__th")).agg(F.collect_set(F.struct("a", "b")).alias("__drop")))
     drops = cut(drops, "line-drops")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), text_hash.alias("th"), F.col(text_col).cast("string").alias("text"))
     # the table of drops grows with the corpus: the same shuffled join at every size, never a broadcast
-    joined = rows.join(drops.hint("merge"), F.col("id").eqNullSafe(F.col("__id")), "left")
+    joined = rows.join(drops.hint("merge"), F.col("id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")), "left")
     lines = _lines(F.col("text"))
     kept = F.when(F.col("__drop").isNull(), lines).otherwise(
         F.filter(lines, lambda x: ~F.array_contains(F.col("__drop"), _hash(F.trim(x)))))
