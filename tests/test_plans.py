@@ -14,6 +14,7 @@ BATCH = sorted(QUERIES)
 # Columns no registered query needs: a scan that reads them missed pruning.
 UNUSED = {"lang", "source", "n_chars", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
           "l_shipdate", "l_linestatus", "l_linenumber", "o_orderdate"}
+NEEDED = {"bigram_count_two_round": {"lang"}}     # its first round counts per language
 
 
 @pytest.mark.parametrize("name", BATCH)
@@ -26,4 +27,5 @@ def test_plan_guards(spark, name):
         m = re.search(r"Location: .*?testdata/.*?ReadSchema: struct<([^>]*)>", line)
         if m:                                   # scans of the given tables only
             cols = {c.split(":")[0] for c in m.group(1).split(",") if c}
-            assert not cols & UNUSED, f"{name} reads {cols & UNUSED}"
+            extra = cols & UNUSED - NEEDED.get(name, set())
+            assert not extra, f"{name} reads {extra}"
