@@ -240,21 +240,27 @@ def _star(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _vertices(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame]:
-    """All rows ``(id, node)`` and the distinct valid vectors ``(node, dim, vec, least, n)``; node is null for invalid ones."""
+    """All rows ``(id, name)`` and the distinct valid vectors ``(node, name, salt, dim, vec, least, n)``.
+
+    A vector's name is 128 bits of hash (null for invalid ones), ``node`` a
+    short number that is given once, when the table is written, and ``salt`` a
+    hash to deal vectors by.
+    """
     v = F.col("vec")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     valid = v.isNotNull() & (F.size(v) > 0) & F.coalesce(fine, F.lit(False)) & F.exists(v, lambda x: x != 0)
-    node = F.concat(*[F.lpad(F.hex(h), 16, "0") for h in (F.xxhash64(v), F.xxhash64(v, F.lit(1)))])
+    name = F.concat(*[F.lpad(F.hex(h), 16, "0") for h in (F.xxhash64(v), F.xxhash64(v, F.lit(1)))])
     rows = cut(vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
-               .select("id", F.when(F.coalesce(valid, F.lit(False)), node).alias("node"), "vec"), "graph-rows")
-    nodes = (rows.where("node is not null").groupBy("node")
+               .select("id", F.when(F.coalesce(valid, F.lit(False)), name).alias("name"), "vec"), "graph-rows")
+    nodes = (rows.where("name is not null").groupBy("name")
              .agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("vec").alias("vec"))
-             .select("node", F.size("vec").alias("dim"), "vec", "least", "n"))
-    return rows.select("id", "node"), cut(nodes, "graph-nodes")
+             .select(F.monotonically_increasing_id().alias("node"), "name", F.xxhash64("name").alias("salt"),
+                     F.size("vec").alias("dim"), "vec", "least", "n"))
+    return rows.select("id", "name"), cut(nodes, "graph-nodes")
 
 
 def _cells(nodes: DataFrame, cell: int) -> DataFrame:
-    """Every vertex once for each of its cells: ``(node, vec, n, cells, cell)``; cells of different sizes of vector differ."""
+    """Every vertex once for each of its cells: ``(node, salt, vec, n, cells, cell)``; cells of different sizes of vector differ."""
     spark = nodes.sparkSession
     centres: dict[int, np.ndarray] = {}
     base: dict[int, int] = {}
@@ -262,8 +268,8 @@ def _cells(nodes: DataFrame, cell: int) -> DataFrame:
         k = max(1, min(MAX_CELLS, math.ceil(r["count"] / cell)))
         want = max(1024, SAMPLE_PER_CELL * k)
         part = nodes.where(F.col("dim") == r["dim"])
-        share = max(1, r["count"] // (2 * want))                # node is a hash: this is a plain sample
-        drawn = (part.where(F.pmod(F.xxhash64("node"), F.lit(share)) == 0).orderBy("node").limit(want)
+        share = max(1, r["count"] // (2 * want))                # names are hashes: this is a plain sample
+        drawn = (part.where(F.pmod("salt", F.lit(share)) == 0).orderBy("name").limit(want)
                  .select("vec").toArrow())
         sample = _matrix(drawn.column("vec"))
         base[r["dim"]] = sum(len(c) for c in centres.values())
@@ -273,19 +279,20 @@ def _cells(nodes: DataFrame, cell: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, base = shared.value
         for batch in batches:
-            dims = batch.column(1).to_numpy(zero_copy_only=False)
+            dims = batch.column(2).to_numpy(zero_copy_only=False)
             cells: list = [None] * len(dims)
             for d in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == d)
-                s = _matrix(batch.column(2).take(pa.array(at))) @ centres[d].T
+                s = _matrix(batch.column(3).take(pa.array(at))) @ centres[d].T
                 top = np.argsort(-s, axis=1, kind="stable")[:, :OVERLAP] + base[d]
                 for i, c in zip(at.tolist(), np.sort(top, axis=1).tolist()):
                     cells[i] = c
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3),
-                                              pa.array(cells, pa.list_(pa.int32()))], names=["node", "vec", "n", "cells"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in (0, 1, 3, 4)), pa.array(cells, pa.list_(pa.int32()))],
+                                             names=["node", "salt", "vec", "n", "cells"])
 
     vec = nodes.schema["vec"].dataType.simpleString()
-    placed = nodes.select("node", "dim", "vec", "n").mapInArrow(run, f"node string, vec {vec}, n bigint, cells array<int>")
+    placed = (nodes.select("node", "salt", "dim", "vec", "n")
+              .mapInArrow(run, f"node bigint, salt bigint, vec {vec}, n bigint, cells array<int>"))
     return cut(placed.withColumn("cell", F.explode("cells")), "graph-cells")
 
 
@@ -308,37 +315,44 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
         F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"),
         F.ceil(F.count(F.lit(1)) / queries).cast("int").alias("blocks")), "graph-sizes")
     dealt = (placed.join(sizes, "cell")
-             .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-             .withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks")).cast("int")))
+             .withColumn("chunk", F.pmod("salt", F.col("chunks")).cast("int"))
+             .withColumn("block", F.pmod(F.xxhash64("salt"), F.col("blocks")).cast("int")))
 
     def graph(table: pa.Table) -> pa.Table:
-        names = np.array(table.column("node").to_pylist(), dtype=object)
-        order = np.argsort(names)
-        lists = build_graph(_matrix(table.column("vec").combine_chunks().take(pa.array(order))))
-        names = names[order]
-        return pa.table({"node": pa.array(names.tolist(), pa.string()),
-                         "adj": pa.array([names[x].tolist() for x in lists], pa.list_(pa.string()))})
-
-    lists = (dealt.select("cell", "chunk", "node", "vec").groupBy("cell", "chunk")
-             .applyInArrow(graph, "node string, adj array<string>"))
+        table = table.sort_by("salt")
+        nodes_ = table.column("node").to_numpy()
+        lists = build_graph(_matrix(table.column("vec")))
+        return pa.table({"node": pa.array(nodes_), "adj": pa.array([nodes_[x] for x in lists], pa.list_(pa.int64()))})
+
+    lists = (dealt.select("cell", "chunk", "node", "salt", "vec").groupBy("cell", "chunk")
+             .applyInArrow(graph, "node bigint, adj array<bigint>"))
     # the union: at most OVERLAP bounded lists a vertex
     flat = cut(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("adj"))).alias("adj")), "graph-flat")
 
     def search(nodes_: pa.Table, asking: pa.Table) -> pa.Table:
-        kind = {"node": pa.string(), "other": pa.string(), "links": pa.int64()}
+        kind = {"node": pa.int64(), "other": pa.int64(), "links": pa.int64()}
         if not len(nodes_) or not len(asking):
             return pa.table({c: pa.array([], t) for c, t in kind.items()})
+        nodes_ = nodes_.sort_by("node")
         cell_ = nodes_.column("cell")[0].as_py()
-        names = nodes_.column("node").to_pylist()
-        number = {v: i for i, v in enumerate(names)}
-        near = [[number[y] for y in a if y in number] for a in nodes_.column("adj").to_pylist()]
-        adj = np.full((len(names), max(1, max(map(len, near)))), len(names), dtype=np.int64)
-        for i, a in enumerate(near):
-            adj[i, :len(a)] = a
+        names, q_names = nodes_.column("node").to_numpy(), asking.column("node").to_numpy()
+
+        def number(values: np.ndarray) -> np.ndarray:
+            """Places of the values among the cell's vertices, -1 for others."""
+            at = np.minimum(np.searchsorted(names, values), len(names) - 1)
+            return np.where(names[at] == values, at, -1)
+
+        lists_ = nodes_.column("adj").combine_chunks()
+        edge = np.concatenate([[0], np.cumsum(lists_.value_lengths().to_numpy(zero_copy_only=False))])
+        near = number(lists_.flatten().to_numpy(zero_copy_only=False))
+        adj = np.full((len(names), max(1, int(np.diff(edge).max()))), len(names), dtype=np.int64)
+        for i in range(len(names)):
+            mine = near[edge[i]:edge[i + 1]]
+            mine = mine[mine >= 0]
+            adj[i, :len(mine)] = mine
         x, q = _matrix(nodes_.column("vec")), _matrix(asking.column("vec"))
         fq, fv = audited_search(x, adj, q, threshold)
-        q_names = asking.column("node").to_pylist()
-        number_q = np.array([number.get(v, -1) for v in q_names])
+        number_q = number(q_names)
         other = number_q[fq] != fv
         fq, fv = fq[other], fv[other]
         # a pair that shares both cells counts in the first of them
@@ -350,14 +364,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
         weight = np.array(nodes_.column("n").to_pylist(), dtype=np.float64)
         counts = np.bincount(fq[~earlier], weight[fv[~earlier]], len(q_names)).astype(np.int64)
         # a star for each group of linked vertices instead of all pairs
-        every = names + [v for v, k in zip(q_names, number_q) if k < 0]
+        every = np.concatenate([names, q_names[number_q < 0]])
         at = number_q.copy()
         at[at < 0] = len(names) + np.arange((number_q < 0).sum())
         label = _star(len(every), at[fq], fv)
         tied = np.flatnonzero(label != np.arange(len(every)))
         return pa.table({
-            "node": pa.array(q_names + [every[i] for i in tied], kind["node"]),
-            "other": pa.array([None] * len(q_names) + [every[label[i]] for i in tied], kind["other"]),
+            "node": pa.array(np.concatenate([q_names, every[tied]])),
+            "other": pa.array([None] * len(q_names) + every[label[tied]].tolist(), kind["other"]),
             "links": pa.array(counts.tolist() + [None] * len(tied), kind["links"])})
 
     keys = ["cell", "chunk", "block"]
@@ -366,17 +380,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     asking = (dealt.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
               .select(*keys, "node", "vec", "cells").toDF(*keys, "node", "vec", "cells"))
     found = cut(held.groupBy(*keys).cogroup(asking.groupBy(*keys))
-                .applyInArrow(search, "node string, other string, links bigint"), "graph-found")
+                .applyInArrow(search, "node bigint, other bigint, links bigint"), "graph-found")
 
     links = cut(found.where("other is null").groupBy("node").agg(F.sum("links").alias("links")), "graph-links")
     roots = components(found.where("other is not null").select(F.col("node").alias("u"), F.col("other").alias("v")))
-    tied = cut(nodes.select("node", "least", "n").join(links, "node", "left")
+    tied = cut(nodes.select("node", "name", "least", "n").join(links, "node", "left")
                .join(roots.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
-               .select("node", "least", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+               .select("name", "least", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
                        F.coalesce("root", "node").alias("root")), "graph-tied")
     smallest = cut(tied.groupBy("root").agg(F.min("least").alias("c")), "graph-smallest")
-    of_node = cut(tied.join(smallest, "root").select(F.col("node").alias("t_node"), "n_links", "c"), "graph-of-node")
-    out = rows.join(of_node, F.col("node") == F.col("t_node"), "left")
+    of_node = cut(tied.join(smallest, "root").select(F.col("name").alias("t_name"), "n_links", "c"), "graph-of-node")
+    out = rows.join(of_node, F.col("name") == F.col("t_name"), "left")
     component = F.coalesce("c", "id")
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
