@@ -23,7 +23,6 @@ HASH_BITS = 18
 PREFIXES = (4, 6)               # bytes; whole words besides
 FACTORS = 8
 TRAIN_ROWS = 16_000             # documented bound of the labelled sample the model is fitted on
-TRAIN_TERMS = 4_096             # distinct terms kept of one training text (those of smallest hash)
 EPOCHS = 6
 BATCH = 128
 THRESHOLD = 0.3
@@ -73,7 +72,7 @@ def fit(rows: list[np.ndarray], label: np.ndarray, bits: int = HASH_BITS, factor
             empty.bias = 30.0
         return empty
     lens = np.array([len(r) for r in rows])
-    term = np.concatenate(rows) if lens.sum() else np.zeros(0, np.int64)
+    term = np.concatenate(rows).astype(np.int64) if lens.sum() else np.zeros(0, np.int64)
     text = np.repeat(np.arange(len(rows)), lens)
     # association with the label: smoothed log odds, in units of its deviation
     pos = np.bincount(term, y[text], size)
@@ -151,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 w = Words(raw, off, i, j)
                 term, text = terms(w, bits)
                 edge = np.searchsorted(text, np.arange(w.n_texts + 1))
-                lists += [term[edge[k]:edge[k + 1]][:TRAIN_TERMS].astype(np.int32) for k in range(w.n_texts)]
+                lists += [term[edge[k]:edge[k + 1]].astype(np.int32) for k in range(w.n_texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.int32()))],
                                              names=["id", "y", "terms"])
 
@@ -160,7 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for batch in batches:
             ids += batch.column(0).to_pylist()
             ys += batch.column(1).to_pylist()
-            rows += [np.asarray(x.values, dtype=np.int64) for x in batch.column(2)]
+            rows += [x.values.to_numpy() for x in batch.column(2)]
         first: dict = {}
         for k in sorted(range(len(ids)), key=lambda k: (ids[k], rows[k].tobytes())):
             first.setdefault(ids[k], k)                     # repeated rows of an id count once
