@@ -121,3 +121,48 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 103), (103, 101), (101, 101), (200, 200)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**dict.fromkeys(range(51), 0), 100: 100, 101: 100, 103: 100}
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 50, 1000])
+def test_runs_over_many_batches(size):
+    """A long bucket that comes in many batches: its links and blocks still join exactly what lies within 4 bits."""
+    import pyarrow as pa
+
+    rng = random.Random(size)
+    rows = []
+    for bucket, n in ((1, 1), (2, 90), (3, 2), (4, 60), (5, 1)):
+        centre = rng.getrandbits(64)
+        fps = {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for _ in range(n)}
+        rows += [(bucket, f) for f in sorted(simhash._signed(x) for x in fps)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows[i:i + size]], pa.int64()),
+                                           pa.array([f for _, f in rows[i:i + size]], pa.int64())], names=["bucket", "fp"])
+               for i in range(0, len(rows), size)]
+    links, blocks = [], {}
+    for out in simhash._link_runs(4, 8)(iter(batches)):
+        for r in out.to_pylist():
+            if r["v"] is not None:
+                links.append((r["u"], r["v"]))
+            else:
+                blocks.setdefault(r["bucket"], {}).setdefault(r["block"], set()).add(r["u"])
+    for parts in blocks.values():
+        ids = sorted(parts)
+        for i in ids:
+            for j in ids[:ids.index(i)]:
+                links += simhash._stars(np.array(sorted(parts[j])), np.array(sorted(parts[i])), 4)
+    label = {f: f for _, f in rows}
+
+    def join(pairs):
+        done = False
+        while not done:
+            done = True
+            for a, b in pairs:
+                m = min(label[a], label[b])
+                done &= label[a] == m and label[b] == m
+                label[a] = label[b] = m
+        return dict(label)
+
+    got = join(links)
+    label.update({f: f for _, f in rows})
+    want = join([(a, b) for x, a in rows for y, b in rows
+                 if x == y and a < b and ((a ^ b) & (2 ** 64 - 1)).bit_count() <= 4])
+    assert got == want
