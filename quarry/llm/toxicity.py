@@ -71,12 +71,12 @@ def fit(rows: list[np.ndarray], label: np.ndarray, bits: int = HASH_BITS, factor
         if len(y) and y.min() == 1:
             empty.bias = 30.0
         return empty
-    lens = np.array([len(r) for r in rows])
-    term = np.concatenate(rows).astype(np.int64) if lens.sum() else np.zeros(0, np.int64)
-    text = np.repeat(np.arange(len(rows)), lens)
-    # association with the label: smoothed log odds, in units of its deviation
-    pos = np.bincount(term, y[text], size)
-    n = np.bincount(term, minlength=size).astype(np.float64)
+    # association with the label: smoothed log odds, in units of its deviation;
+    # counted row by row (a row's terms are distinct), so the sample is never copied
+    pos, n = np.zeros(size), np.zeros(size)
+    for r, label_ in zip(rows, y):
+        n[r] += 1
+        pos[r] += label_
     base = y.mean()
     a = 0.5
     odds = (np.log((pos + a) / (n - pos + a)) - np.log(base / (1 - base)))
@@ -86,9 +86,9 @@ def fit(rows: list[np.ndarray], label: np.ndarray, bits: int = HASH_BITS, factor
     keep = keep[strength[keep] > 0]
     number = np.full(size, -1)
     number[keep] = np.arange(len(keep))
-    col = number[term]
-    text, col = text[col >= 0], col[col >= 0]
-    edge = np.searchsorted(text, np.arange(len(rows) + 1))
+    kept = [c[c >= 0] for c in (number[r] for r in rows)]
+    edge = np.concatenate([[0], np.cumsum([len(c) for c in kept])])
+    col, text = np.concatenate(kept), np.repeat(np.arange(len(rows)), np.diff(edge))
     rng = np.random.default_rng(seed)
     w, v = np.zeros(len(keep)), rng.normal(0, 0.05, (len(keep), factors))
     bias = float(np.log(base / (1 - base)))
