@@ -1,12 +1,15 @@
 """Embedding near duplicates over a robust-pruned flat graph.
 
-Vectors go to the two nearest cells of a clustering, so cells overlap. Each
-cell's vectors get a graph whose adjacency lists are robust-pruned, and a
-vector's lists from its cells are united. Every vector then searches its cells
-from their medoids: a greedy beam first, then the range expands over every
-vertex within the threshold. Each block of queries audits its recall on some
-of them against all vectors of the cell and widens its beam while it falls
-short. Links are decided by the cosine in double precision.
+Every vector belongs to the nearest cell of a clustering. Each cell's vectors
+get a graph whose adjacency lists are robust-pruned. Every vector then searches
+all cells whose centre is at most a margin further than its nearest one, from
+their medoids: a greedy beam first, then the range expands over every vertex
+within the threshold. The margin is what isotropic neighbours at the threshold
+need, and as much more as a sample of the vectors, compared with all others,
+asks for; so it does not depend on the number of cells. Each block of queries
+audits its recall on some of them against all vectors of the cell and widens
+its beam while it falls short. Links are decided by the cosine in double
+precision.
 
 A cell of more vectors than one task should hold is cut into chunks with a
 graph each, and all queries of the cell search all its chunks, so no cluster
@@ -29,7 +32,10 @@ from quarry.llm.tables import cut
 CELL = 1024             # vectors whose nearest cell this is, on average
 CHUNK = 4096            # vectors of one graph
 QUERIES = 2048          # queries of one search task
-OVERLAP = 2             # cells of a vector
+REACH = 2.25            # margin in deviations of an isotropic neighbour at the threshold
+ASKED = 1024            # vectors of each size that are compared with all others for the margin
+MARGIN_RECALL = 0.99    # share of their neighbours that the margin reaches, in each band of cosines
+BANDS, GAP_STEPS = 4, 200
 MAX_CELLS = 16_384
 SAMPLE_PER_CELL = 32    # rows that the clustering is fitted on: at most 32 x 16,384
 NEAR, FAR = 20, 4       # pruned neighbours among the nearest, and among some drawn at random
@@ -37,7 +43,7 @@ CANDIDATES, DRAWN = 48, 16
 ALPHA = 1.2
 BEAM = 16
 ENTRIES = 16
-AUDIT = 8               # audited queries of a search task
+AUDIT = 128             # audited queries of a search task
 AUDIT_RECALL = 0.98
 
 
@@ -259,8 +265,55 @@ def _vertices(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame,
     return rows.select("id", "name"), cut(nodes, "graph-nodes")
 
 
-def _cells(nodes: DataFrame, cell: int) -> DataFrame:
-    """Every vertex once for each of its cells: ``(node, salt, vec, n, cells, cell)``; cells of different sizes of vector differ."""
+def _margins(nodes: DataFrame, centres: dict[int, np.ndarray], threshold: float) -> dict[int, float]:
+    """For each size of vector, how much less similar than the nearest a centre may be to be visited.
+
+    A bounded sample of queries is compared with all vertices. Neighbours are
+    counted by band of cosine, so that many close ones do not hide the others.
+    """
+    asked = {}
+    out = {}
+    for d, c in centres.items():
+        part = nodes.where(F.col("dim") == d).orderBy("salt", "name").limit(ASKED).select("vec").toArrow()
+        q = _matrix(part.column("vec"))
+        asked[d] = (q, q @ c.T)
+        spread = math.sqrt(max(0.0, 1 - threshold * threshold)) / threshold if threshold > 0 else math.inf
+        out[d] = min(2.0, max(1 / GAP_STEPS, REACH * spread * math.sqrt(2 / d)))
+    shared = nodes.sparkSession.sparkContext.broadcast((asked, centres))
+    width = max((1 - threshold) / BANDS, 1e-9)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, centres = shared.value
+        for batch in batches:
+            dims = batch.column(0).to_numpy(zero_copy_only=False)
+            for d in np.unique(dims).tolist():
+                x = _matrix(batch.column(1).take(pa.array(np.flatnonzero(dims == d))))
+                home = (x @ centres[d].T).argmax(axis=1)
+                q, to_centre = asked[d]
+                s = q @ x.T
+                a, b = np.nonzero((s >= threshold) & (s < 1 - 1e-12))
+                gap = to_centre[a].max(axis=1) - to_centre[a, home[b]]
+                band = np.minimum(((s[a, b] - threshold) / width).astype(int), BANDS - 1)
+                step = np.minimum(np.ceil(gap * GAP_STEPS / 2).astype(int), GAP_STEPS)
+                key, n = np.unique(band * (GAP_STEPS + 1) + step, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([d] * len(key), pa.int32()), pa.array(key // (GAP_STEPS + 1), pa.int32()),
+                     pa.array(key % (GAP_STEPS + 1), pa.int32()), pa.array(n, pa.int64())],
+                    names=["dim", "band", "step", "n"])
+
+    seen = (nodes.select("dim", "vec").mapInArrow(run, "dim int, band int, step int, n bigint")
+            .groupBy("dim", "band", "step").agg(F.sum("n").alias("n")).collect())      # BANDS x GAP_STEPS a size at most
+    counts: dict[tuple[int, int], np.ndarray] = {}
+    for r in seen:
+        counts.setdefault((r["dim"], r["band"]), np.zeros(GAP_STEPS + 1))[r["step"]] = r["n"]
+    for (d, _), n in counts.items():
+        need = int(np.searchsorted(np.cumsum(n), MARGIN_RECALL * n.sum() - 1e-9))
+        out[d] = max(out[d], need * 2 / GAP_STEPS)
+    return out
+
+
+def _cells(nodes: DataFrame, cell: int, threshold: float) -> DataFrame:
+    """Every vertex with its cell and the cells it visits: ``(node, salt, vec, n, cell, visits)``; cells of different sizes of vector differ."""
     spark = nodes.sparkSession
     centres: dict[int, np.ndarray] = {}
     base: dict[int, int] = {}
@@ -274,26 +327,29 @@ def _cells(nodes: DataFrame, cell: int) -> DataFrame:
         sample = _matrix(drawn.column("vec"))
         base[r["dim"]] = sum(len(c) for c in centres.values())
         centres[r["dim"]] = _fit_cells(sample, min(k, len(sample)))
-    shared = spark.sparkContext.broadcast((centres, base))      # at most 16,384 centres a size of vector
+    margins = _margins(nodes, centres, threshold)
+    shared = spark.sparkContext.broadcast((centres, base, margins))     # at most 16,384 centres a size of vector
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres, base = shared.value
+        centres, base, margins = shared.value
         for batch in batches:
             dims = batch.column(2).to_numpy(zero_copy_only=False)
-            cells: list = [None] * len(dims)
+            cell, visits = np.zeros(len(dims), dtype=np.int32), [None] * len(dims)
             for d in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == d)
                 s = _matrix(batch.column(3).take(pa.array(at))) @ centres[d].T
-                top = np.argsort(-s, axis=1, kind="stable")[:, :OVERLAP] + base[d]
-                for i, c in zip(at.tolist(), np.sort(top, axis=1).tolist()):
-                    cells[i] = c
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in (0, 1, 3, 4)), pa.array(cells, pa.list_(pa.int32()))],
-                                             names=["node", "salt", "vec", "n", "cells"])
+                cell[at] = s.argmax(axis=1) + base[d]
+                near = s >= s.max(axis=1, keepdims=True) - margins[d]
+                for i, row in zip(at.tolist(), near):
+                    visits[i] = np.flatnonzero(row).astype(np.int32) + base[d]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in (0, 1, 3, 4)), pa.array(cell), pa.array(visits, pa.list_(pa.int32()))],
+                names=["node", "salt", "vec", "n", "cell", "visits"])
 
     vec = nodes.schema["vec"].dataType.simpleString()
     placed = (nodes.select("node", "salt", "dim", "vec", "n")
-              .mapInArrow(run, f"node bigint, salt bigint, vec {vec}, n bigint, cells array<int>"))
-    return cut(placed.withColumn("cell", F.explode("cells")), "graph-cells")
+              .mapInArrow(run, f"node bigint, salt bigint, vec {vec}, n bigint, cell int, visits array<int>"))
+    return cut(placed, "graph-cells")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -310,13 +366,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     table gives no rows; other columns are not read. Runs jobs.
     """
     rows, nodes = _vertices(vectors, id_col, vec_col)
-    placed = _cells(nodes, cell)
-    sizes = cut(placed.groupBy("cell").agg(
-        F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"),
-        F.ceil(F.count(F.lit(1)) / queries).cast("int").alias("blocks")), "graph-sizes")
-    dealt = (placed.join(sizes, "cell")
-             .withColumn("chunk", F.pmod("salt", F.col("chunks")).cast("int"))
-             .withColumn("block", F.pmod(F.xxhash64("salt"), F.col("blocks")).cast("int")))
+    placed = _cells(nodes, cell, threshold)
+    visits = placed.select("node", "salt", "vec", F.explode("visits").alias("cell"))
+    sizes = cut(placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
+                .join(visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / queries).cast("int").alias("blocks")), "cell"),
+                "graph-sizes")
+    dealt = placed.drop("visits").join(sizes, "cell").withColumn("chunk", F.pmod("salt", F.col("chunks")).cast("int"))
 
     def graph(table: pa.Table) -> pa.Table:
         table = table.sort_by("salt")
@@ -326,15 +381,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
 
     lists = (dealt.select("cell", "chunk", "node", "salt", "vec").groupBy("cell", "chunk")
              .applyInArrow(graph, "node bigint, adj array<bigint>"))
-    # the union: at most OVERLAP bounded lists a vertex
-    flat = cut(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("adj"))).alias("adj")), "graph-flat")
+    flat = cut(lists, "graph-flat")
 
     def search(nodes_: pa.Table, asking: pa.Table) -> pa.Table:
         kind = {"node": pa.int64(), "other": pa.int64(), "links": pa.int64()}
         if not len(nodes_) or not len(asking):
             return pa.table({c: pa.array([], t) for c, t in kind.items()})
         nodes_ = nodes_.sort_by("node")
-        cell_ = nodes_.column("cell")[0].as_py()
         names, q_names = nodes_.column("node").to_numpy(), asking.column("node").to_numpy()
 
         def number(values: np.ndarray) -> np.ndarray:
@@ -355,14 +408,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
         number_q = number(q_names)
         other = number_q[fq] != fv
         fq, fv = fq[other], fv[other]
-        # a pair that shares both cells counts in the first of them
-        v_cells = nodes_.column("cells").to_pylist()
-        q_cells = asking.column("cells").to_pylist()
-        pad = lambda c: np.array([(r + r)[:OVERLAP] for r in c])
-        qc, vc = pad(q_cells)[fq], pad(v_cells)[fv]
-        earlier = ((qc[:, :, None] == vc[:, None, :]) & (qc[:, :, None] < cell_)).any(axis=(1, 2))
+        # a vertex is in one chunk of one cell, so no pair is found twice
         weight = np.array(nodes_.column("n").to_pylist(), dtype=np.float64)
-        counts = np.bincount(fq[~earlier], weight[fv[~earlier]], len(q_names)).astype(np.int64)
+        counts = np.bincount(fq, weight[fv], len(q_names)).astype(np.int64)
         # a star for each group of linked vertices instead of all pairs
         every = np.concatenate([names, q_names[number_q < 0]])
         at = number_q.copy()
@@ -376,9 +424,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
 
     keys = ["cell", "chunk", "block"]
     held = (dealt.join(flat, "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select(*keys, "node", "vec", "n", "cells", "adj"))
-    asking = (dealt.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-              .select(*keys, "node", "vec", "cells").toDF(*keys, "node", "vec", "cells"))
+            .select(*keys, "node", "vec", "n", "adj"))
+    asking = (visits.join(sizes, "cell")
+              .withColumn("block", F.pmod(F.xxhash64("salt"), F.col("blocks")).cast("int"))
+              .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+              .select(*keys, "node", "vec").toDF(*keys, "node", "vec"))
     found = cut(held.groupBy(*keys).cogroup(asking.groupBy(*keys))
                 .applyInArrow(search, "node bigint, other bigint, links bigint"), "graph-found")
 

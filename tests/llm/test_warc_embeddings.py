@@ -192,3 +192,20 @@ def test_search_leaves_the_medoids_for_every_part():
     near = x @ x.T >= 0.9
     assert near[fq, fv].all() and len(set(zip(fq.tolist(), fv.tolist()))) == len(fq)
     assert len(fq) >= 0.99 * near.sum()
+
+
+def test_links_between_many_cells(spark):
+    """Planted pairs at cosines 0.90 to 0.95 over a hundred cells and more: recall of the links, not of a cell's own."""
+    rng = np.random.default_rng(4)
+    dim, pairs = 64, 10_000         # many more rows than the 3,200 that a hundred cells are fitted on
+    x = embed_graph.unit(rng.normal(size=(pairs, dim)))
+    u = rng.normal(size=x.shape)
+    u = embed_graph.unit(u - (u * x).sum(axis=1, keepdims=True) * x)
+    t = rng.uniform(0.902, 0.95, (pairs, 1))
+    both = np.concatenate([x, t * x + np.sqrt(1 - t * t) * u]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(both)], "vec_id long, embedding array<float>").repartition(4)
+    y = embed_graph.unit(both.astype(np.float64))
+    want = np.concatenate([(y[i:i + 2_000] @ y.T >= 0.9).sum(axis=1) - 1 for i in range(0, len(y), 2_000)])
+    got = {r["vec_id"]: r["n_links"] for r in embed_graph.near_duplicates(df, 0.9, cell=200).collect()}
+    assert len(got) == 2 * pairs and all(got[i] <= want[i] for i in got)
+    assert sum(got.values()) >= 0.98 * want.sum()
