@@ -39,8 +39,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's shard of 16 by rendezvous hashing of its id."""
-    return sharding.with_shard(docs, ["doc_id"], [1.0] * SHARDS)
+    """Each document's shard of 16 by rendezvous hashing of its id, and its place (position, in_block) in the mix.
+
+    Rows that were written and read again have no order, so the place, which
+    the documents and their sources alone decide, is worked out from them.
+    """
+    placed = mixing.with_place(docs, mixing.target_weights(docs))
+    return sharding.with_shard(placed, ["doc_id"], [1.0] * SHARDS)
 
 
 STAGES = [
@@ -55,8 +60,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over all documents; runs jobs."""
+    """The stages in order over all documents; runs jobs.
+
+    The rows come in the mixed order, in all and in each shard, with the
+    columns of documents and the shard.
+    """
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    out = STAGES[-1][1](spark, docs, sf_dir)
+    return out.orderBy("position", "in_block").select(*docs.columns, "shard")

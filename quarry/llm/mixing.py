@@ -133,16 +133,26 @@ def mix_plan(docs: DataFrame, weights: Mapping[object, float], period: int = 100
         F.aggregate(earlier, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("position"))
 
 
-def mixed(docs: DataFrame, weights: Mapping[object, float], period: int = 1000, block_rows: int = 16,
-          id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-    """``docs`` in the mixed order of ``mix_plan``: same rows and columns, sorted by (position, in_block).
+def with_place(docs: DataFrame, weights: Mapping[object, float], period: int = 1000, block_rows: int = 16,
+               id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+    """``docs`` with ``position`` and ``in_block`` of ``mix_plan``; columns of these names are replaced.
 
-    Written out, the files in name order hold the mix. Rows that share id and
-    source take any one of their places.
+    Rows that share id and source have the first of their places.
     """
     place = (mix_plan(docs, weights, period, block_rows, id_col, source_col)
              .groupBy(F.col(id_col).alias("__id"), F.col(source_col).alias("__src"))
              .agg(F.min(F.struct("position", "in_block")).alias("__at")))
     place = cut(place, "mix-places")
     joined = docs.join(place, docs[id_col].eqNullSafe(place["__id"]) & docs[source_col].eqNullSafe(place["__src"]))
-    return joined.orderBy("__at").select(*[docs[c] for c in docs.columns])
+    names = ("position", "in_block")
+    return joined.select(*[docs[c] for c in docs.columns if c not in names], *[F.col("__at")[c].alias(c) for c in names])
+
+
+def mixed(docs: DataFrame, weights: Mapping[object, float], period: int = 1000, block_rows: int = 16,
+          id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+    """``docs`` in the mixed order of ``mix_plan``: same rows and columns, sorted by (position, in_block).
+
+    Written out, the files in name order hold the mix. Rows that share id and
+    source take any one of their places.
+    """
+    return with_place(docs, weights, period, block_rows, id_col, source_col).orderBy("position", "in_block").select(*docs.columns)

@@ -9,7 +9,7 @@ from test_simhash import brute_groups
 
 import __spark_entry__
 import corpus_pipeline
-from quarry.llm import toxicity
+from quarry.llm import mixing, toxicity
 from quarry.sources.tables import load
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -42,6 +42,17 @@ def test_stages_take_awkward_documents(spark):
         assert kept == ([] if empty else ["1", "10", "12", "4", "6", "7", "9", "None", "None"])
 
 
+def test_the_mix_reaches_the_result(spark):
+    got = [r["doc_id"] for r in corpus_pipeline.run(spark, MIDDLE).collect()]
+    d = load(spark, MIDDLE, "documents")
+    kept = d.where(d["doc_id"].isin(got)).repartition(5)
+    plan = mixing.mix_plan(kept, mixing.target_weights(kept)).collect()
+    place = {r["doc_id"]: (r["position"], r["in_block"]) for r in plan}
+    assert got == sorted(place, key=place.get) and len(got) == len(place)
+    last = corpus_pipeline.STAGES[-1][1](spark, kept, MIDDLE).collect()
+    assert {r["doc_id"]: (r["position"], r["in_block"]) for r in last} == place
+
+
 def test_registered():
     assert corpus_pipeline.ORACLE_SQL is None and 4 <= len(corpus_pipeline.STAGES) <= 5
     names = __spark_entry__.queries()
