@@ -145,8 +145,9 @@ def _hits(w: Words, index: Index, window: int, k: int) -> tuple[np.ndarray, set[
         for x, good in enumerate(same):
             run = run + 1 if good else 0
             if run >= size:
-                hit[first + x - size + 1:first + x + 1] = True
-                pairs.add((int(w.text[first]), int(index.item[p[s]])))
+                at = first + x - size + 1           # windows of one word that follow each other may differ in text and item
+                hit[at:at + size] = True
+                pairs.add((int(w.text[at]), int(index.item[at + shift])))
     return hit, pairs
 
 

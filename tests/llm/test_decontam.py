@@ -74,3 +74,13 @@ def test_word_hash_ties_are_compared_byte_by_byte(monkeypatch):
     hit, pairs = decontam._hits(w, index, 10, 5)
     assert not hit.any() and not pairs
     assert np.array_equal(w.n_words, [10])
+
+
+def test_neighbouring_items_and_documents_of_one_word(spark):
+    items = [(1, "yes"), (2, "no"), (3, "maybe"), (4, "two words")]
+    rows = [(1, "yes no"), (2, "well yes"), (3, "no well"), (4, "maybe"), (5, "yes"), (6, "no"), (7, "well"), (8, "two words yes no maybe")]
+    bench = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+    d = docs(spark, rows).coalesce(1).orderBy("doc_id")
+    got = decontam.contamination(d, bench).collect()
+    assert Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["item_ids"])) for r in got) == brute(rows, items)
+    assert [r["doc_id"] for r in decontam.drop_contaminated(d, bench).collect()] == [7]
