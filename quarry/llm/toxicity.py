@@ -27,8 +27,8 @@ EPOCHS = 6
 BATCH = 128
 THRESHOLD = 0.3
 MIN_TEXTS = 3                   # training texts that a term has to occur in
-MIN_STRENGTH = 3.0              # deviations by which a term's log odds have to differ from the base rate's
-CANDIDATES = 4_096              # terms that get weights, strongest first; the rest have none
+MIN_STRENGTH = 3.0              # deviations from the base rate's log odds from which a term is fitted without penalty
+PENALTY = 4.0                   # deviations of its gradient that a weaker term's weight or factors have to exceed
 
 
 @dataclass
@@ -63,7 +63,12 @@ def terms(w: Words, bits: int = HASH_BITS) -> tuple[np.ndarray, np.ndarray]:
 def fit(rows: list[np.ndarray], label: np.ndarray, bits: int = HASH_BITS, factors: int = FACTORS,
         epochs: int = EPOCHS, seed: int = 7, rate: float = 0.1, l2: float = 1e-4,
         min_texts: int = MIN_TEXTS) -> Model:
-    """AdaGrad on the log loss over a bounded sample; deterministic for a given order of rows."""
+    """AdaGrad on the log loss over a bounded sample; deterministic for a given order of rows.
+
+    Every term of ``min_texts`` texts or more has a weight and factors. Those
+    whose own log odds say little carry a lasso (a group lasso on the factors),
+    so they stay at zero unless the loss, pairs included, asks for them.
+    """
     size = 1 << bits
     empty = Model(-30.0, np.zeros(size, np.float32), np.zeros((size, factors), np.float32), bits)
     y = np.asarray(label, dtype=np.float64)
@@ -81,41 +86,41 @@ def fit(rows: list[np.ndarray], label: np.ndarray, bits: int = HASH_BITS, factor
     a = 0.5
     odds = (np.log((pos + a) / (n - pos + a)) - np.log(base / (1 - base)))
     strength = np.abs(odds) / np.sqrt(1 / (pos + a) + 1 / (n - pos + a))
-    strength[(n < min_texts) | (strength < MIN_STRENGTH)] = 0
-    keep = np.argsort(-strength, kind="stable")[:CANDIDATES]
-    keep = keep[strength[keep] > 0]
-    number = np.full(size, -1)
+    keep = np.flatnonzero(n >= min_texts)
+    number = np.full(size, -1, dtype=np.int32)
     number[keep] = np.arange(len(keep))
-    kept = [c[c >= 0] for c in (number[r] for r in rows)]
-    edge = np.concatenate([[0], np.cumsum([len(c) for c in kept])])
-    col, text = np.concatenate(kept), np.repeat(np.arange(len(rows)), np.diff(edge))
+    penalty = np.where(strength[keep] >= MIN_STRENGTH, 0.0, PENALTY) * np.sqrt(base * (1 - base) / n[keep])
     rng = np.random.default_rng(seed)
-    w, v = np.zeros(len(keep)), rng.normal(0, 0.05, (len(keep), factors))
+    w, v = np.zeros(len(keep)), rng.normal(0, 0.02, (len(keep), factors))
     bias = float(np.log(base / (1 - base)))
     gw, gv, gb = np.full(len(keep), 1e-6), np.full((len(keep), factors), 1e-6), 1e-6
     for _ in range(epochs):
         for start in range(0, len(rows), BATCH):
-            batch = np.arange(start, min(start + BATCH, len(rows)))
-            lo, hi = edge[batch[0]], edge[batch[-1] + 1]
-            c, t = col[lo:hi], text[lo:hi] - batch[0]
-            m = len(batch)
+            part = [c[c >= 0] for c in (number[r] for r in rows[start:start + BATCH])]
+            m = len(part)
+            c, t = np.concatenate(part), np.repeat(np.arange(m), [len(x) for x in part])
             vc = v[c]
-            sums = np.zeros((m, factors))
-            np.add.at(sums, t, vc)
+            sums = np.stack([np.bincount(t, vc[:, f], m) for f in range(factors)], axis=1)
             squares = np.bincount(t, (vc * vc).sum(axis=1), m)
             z = bias + np.bincount(t, w[c], m) + 0.5 * ((sums ** 2).sum(axis=1) - squares)
-            g = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[batch]
+            g = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[start:start + BATCH]
             gb += float((g.sum()) ** 2)
             bias -= rate * float(g.sum()) / np.sqrt(gb)
-            u, inv = np.unique(c, return_inverse=True)
+            u, inv, many = np.unique(c, return_inverse=True, return_counts=True)
+            cost = many * penalty[u]
             dw = np.bincount(inv, g[t], len(u)) + l2 * w[u]
             gw[u] += dw ** 2
-            w[u] -= rate * dw / np.sqrt(gw[u])
-            dv = np.zeros((len(u), factors))
-            np.add.at(dv, inv, g[t, None] * (sums[t] - vc))
-            dv += l2 * v[u]
+            step = rate / np.sqrt(gw[u])
+            moved = w[u] - step * dw
+            w[u] = np.sign(moved) * np.maximum(0.0, np.abs(moved) - step * cost)
+            each = g[t, None] * (sums[t] - vc)
+            dv = np.stack([np.bincount(inv, each[:, f], len(u)) for f in range(factors)], axis=1) + l2 * v[u]
             gv[u] += dv ** 2
-            v[u] -= 0.5 * rate * dv / np.sqrt(gv[u])
+            step = 0.5 * rate / np.sqrt(gv[u].mean(axis=1, keepdims=True))
+            moved = v[u] - step * dv
+            cost = cost * np.sqrt((sums ** 2).sum(axis=1).mean())
+            norm = np.maximum(np.linalg.norm(moved, axis=1, keepdims=True), 1e-12)
+            v[u] = moved * np.maximum(0.0, 1 - step * cost[:, None] / norm)
     empty.bias = bias
     empty.w[keep], empty.v[keep] = w, v
     return empty

@@ -55,6 +55,20 @@ def test_pairs_are_learnt():
     assert only[0] < 0.3 and only[1] < 0.3 < 0.5 < only[2]
 
 
+def test_terms_that_matter_only_in_company_are_learnt():
+    """Label 1 where both terms are or neither is: alone they say nothing about it."""
+    rng = np.random.default_rng(2)
+    rows, y = [], []
+    for _ in range(5_000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        rows.append(np.unique(np.concatenate([rng.integers(100, 400, 15), [1] * a, [2] * b]).astype(int)))
+        y.append(int(a == b))
+    model = toxicity.fit(rows[:4_000], np.array(y[:4_000]), bits=10)
+    test = rows[4_000:]
+    p = model.score(np.concatenate(test), np.repeat(np.arange(1_000), [len(x) for x in test]), 1_000)
+    assert ((p >= 0.5) == np.array(y[4_000:])).mean() > 0.9
+
+
 def test_held_out_ids_have_no_say(spark):
     d = docs(spark, [(i, "fine text" if i % 3 else "badword here") for i in range(1, 400)])
     rows = [(i, int(i % 3 == 0)) for i in range(1, 400)]
