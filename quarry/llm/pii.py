@@ -195,6 +195,47 @@ _BY_KIND: dict[str, Callable[[str, bytes, bool], str | None]] = {
     "email": _email, "iban": _iban, "card": _card, "ssn": _ssn, "phone": _phone, "date": _date, "ip": _ip}
 
 
+# characters of an IBAN by country; others may have any length
+_IBAN_LENGTH = dict(zip(
+    ("AD AE AL AT AZ BA BE BG BH BR BY CH CR CY CZ DE DK DO EE EG ES FI FO FR GB GE GI GL GR GT HR HU IE IL IQ IS IT JO KW KZ LB LC LI "
+     "LT LU LV LY MC MD ME MK MR MT MU NL NO PK PL PS PT QA RO RS SA SC SE SI SK SM SN ST SV TL TN TR UA VA VG XK").split(),
+    map(int, ("24 23 28 20 28 20 16 22 22 29 28 21 22 21 24 22 18 28 20 29 24 18 18 27 22 22 23 18 27 28 21 28 22 23 23 26 27 30 30 20 28 32 21 "
+              "20 20 21 25 27 24 22 19 27 31 30 18 15 24 28 29 25 29 24 22 24 31 24 19 24 27 28 25 28 23 24 26 29 22 24 20").split())))
+NEAR = 80                                           # characters; more than the longest match
+
+
+def _ends(kind: str, value: str) -> list[int]:
+    """Where a value that starts like the match may end: at group borders, longest first, an IBAN by its country first.
+
+    A card that ends before the match has one kind of separator: mixed ones stand between values.
+    """
+    if kind not in ("iban", "card"):
+        return [len(value)]
+    least = 15 if kind == "iban" else 13
+    ends, n = [], 0
+    for i, c in enumerate(value):
+        n += c.isalnum()
+        if c.isalnum() and n >= least and not value[i + 1:i + 2].isalnum():
+            ends.append((i + 1, n))
+    long = _IBAN_LENGTH.get(value[:2]) if kind == "iban" else None
+    if long is None:
+        return [i for i, _ in reversed(ends) if kind == "iban" or i == len(value) or len(set(value[:i]) & {" ", "-"}) < 2]
+    return list(dict.fromkeys([i for i, n in ends if n == long] + [len(value)]))
+
+
+def _next(text: str, at: int, key: bytes, undo: bool) -> tuple[int, int, str, str, bool] | None:
+    """``(start, end, kind, pseudonym, alone)`` of the first value from ``at`` on; ``alone``: what stands beside it had no say."""
+    late = at
+    while m := _NUMBERS.search(text, at):
+        kind = m.lastgroup if m.lastgroup in _BY_KIND else "date"
+        for k, n in enumerate(_ends(kind, m[0])):
+            new = _pseudonym(kind, m[0][:n], key, undo)
+            if new is not None:
+                return m.start(), m.start() + n, kind, new, not k and late <= m.start()
+        late, at = max(late, m.end()), m.start() + 1
+    return None
+
+
 @lru_cache(maxsize=1 << 16)
 def _pseudonym(kind: str, value: str, key: bytes, undo: bool) -> str | None:
     return _BY_KIND[kind](value, key, undo)
@@ -212,7 +253,24 @@ def pseudonymise(text: str, key: bytes, undo: bool = False) -> tuple[str, dict[s
         return new
 
     def numbers(part: str) -> str:
-        return _NUMBERS.sub(lambda m: put(m.lastgroup if m.lastgroup in _BY_KIND else "date", m[0]), part) if _FIND.search(part) else part
+        if not _FIND.search(part):
+            return part
+        out, at = [], 0
+        while found := _next(part, at, key, undo):
+            start, end, kind, new, alone = found
+            low = max(at, start - NEAR)
+            cut = max(0, low - 1)
+            # a pseudonym that would read otherwise beside its neighbours gives way to the next one, so it can be undone
+            while not alone:
+                again = _next(part[cut:start] + new + part[end:end + NEAR], low - cut, key, undo)
+                if again and again[:3] == (start - cut, end - cut, kind):
+                    break
+                new = _pseudonym(kind, new, key, undo)
+            counts[kind] = counts.get(kind, 0) + 1
+            out += [part[at:start], new]
+            at = end
+        out.append(part[at:])
+        return "".join(out)
 
     if "@" not in text:
         return numbers(text), counts
