@@ -29,15 +29,15 @@ def text_lines_numbered(spark: SparkSession, path: str, out: str = "ord",
 
     A split is named by its file and start offset, whatever other splits share
     its task, and a line's place in its split is its id minus the split's
-    smallest id. A first scan counts the lines of each split (an action: the
-    counts are written once, one row per split); prefix sums over them, within
-    a file and over files, are joined to the second scan on (file, start). No
-    line is sorted or copied, and the join is a plain one at every size.
+    smallest id. The lines are written once with their file, start and id (an
+    action), as a second scan may be split otherwise when executors come or go.
+    The counts of the splits are taken from that table; prefix sums over them,
+    within a file and over files, are joined to its lines on (file, start). No
+    line is sorted, and the join is a plain one at every size.
     """
-    # one description of the scan, so that both runs have the same splits
-    lines = spark.read.text(path).select(
+    lines = write_scratch(spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"), "value",
-        F.monotonically_increasing_id().alias("_id"))
+        F.monotonically_increasing_id().alias("_id")), "lines")
     blocks = write_scratch(lines.groupBy("file", "_start").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("_first")),
                            "line-blocks")
     in_file = Window.partitionBy("file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)

@@ -126,3 +126,19 @@ def test_total_order_files(spark, tmp_out):
     keys = [ln.split("\t")[0] for ln in _read_all(out)]
     assert len(keys) == orders.count()
     assert keys == sorted(keys, key=lambda k: k.encode())       # byte order across files
+
+
+def test_line_numbers_hold_when_later_scans_are_split_otherwise(spark, tmp_path):
+    from quarry.sources.text import text_lines_numbered
+    n = 5_000
+    (tmp_path / "a.txt").write_text("".join(f"line {i}\n" for i in range(n)))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "8k")
+        lines, blocks = text_lines_numbered(spark, str(tmp_path))
+        spark.conf.set(key, "13k")
+        got = sorted((r["ord"], r["value"]) for r in lines.collect())
+        assert blocks.count() > 1 and got == [(i, f"line {i}") for i in range(n)]
+    finally:
+        spark.conf.set(key, before)
