@@ -144,6 +144,83 @@ SELECT page_id, host, path, rule,
 FROM best
 """
 
+# The levels of all trees from the leaves up ('' above the languages), then every leaf's way up with its siblings.
+_H = "CASE WHEN {v} IS NULL THEN '-' ELSE strlen({v}::VARCHAR) || ':' || {v} END"
+_LEAF = "sha256(" + " || ".join(_H.format(v=v) for v in ("doc_id", "source", "lang", "n_chars")) + " || " + _H + ")"
+_OP11 = f"""
+WITH RECURSIVE {_CRC.strip()},
+  d AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS g, {_LEAF.format(v='text')} AS leaf,
+      {_LEAF.format(v="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS low,
+      xor(list_reduce([4294967295::UBIGINT] || list_transform(regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..'), lambda h: ('0x' || h)::UBIGINT),
+        lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255)::INT + 1])), 4294967295::UBIGINT) AS crc
+    FROM documents, crc_table),
+  l AS (
+    SELECT doc_id, g, leaf, CASE WHEN crc % 3 = 0 THEN low ELSE leaf END AS tampered,
+      row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY g) AS n FROM d),
+  tree(g, h, i, digest, n) AS (
+    SELECT g, 0::BIGINT, r, leaf, n FROM l
+    UNION ALL
+    SELECT g, h + 1, i // 8, sha256(string_agg(digest, '' ORDER BY i)), max((n + 7) // 8) FROM tree WHERE n > 1 GROUP BY g, h, i // 8),
+  subs AS (SELECT g, h, digest, row_number() OVER (ORDER BY g) - 1 AS r, count(*) OVER () AS n FROM tree WHERE n = 1),
+  top(h, i, digest, n) AS (
+    SELECT 0::BIGINT, r, digest, n FROM subs
+    UNION ALL
+    SELECT h + 1, i // 8, sha256(string_agg(digest, '' ORDER BY i)), max((n + 7) // 8) FROM top WHERE n > 1 GROUP BY h, i // 8),
+  -- one space of levels for each language: its own tree, then the tree above from its height on
+  nodes AS (
+    SELECT g, h, i, digest FROM tree WHERE n > 1
+    UNION ALL SELECT s.g, s.h + t.h, t.i, t.digest FROM subs s, top t WHERE t.n > 1),
+  sib AS (
+    SELECT g, h, i // 8 AS run, list(digest ORDER BY i) AS kids FROM nodes GROUP BY ALL),
+  up(g, r, h, i, own, path, folded) AS (
+    SELECT g, r, 0::BIGINT, r, leaf, '', tampered FROM l
+    UNION ALL
+    SELECT u.g, u.r, u.h + 1, CASE WHEN u.h + 1 = s.h THEN s.r ELSE u.i // 8 END, u.own,
+      u.path || array_to_string(k.kids[1:(u.i % 8)] || k.kids[(u.i % 8 + 2):], ''),
+      sha256(array_to_string(k.kids[1:(u.i % 8)] || [u.folded] || k.kids[(u.i % 8 + 2):], ''))
+    FROM (SELECT u.g, u.r, u.h, CASE WHEN u.h = s.h THEN s.r ELSE u.i END AS i, u.own, u.path, u.folded FROM up u JOIN subs s USING (g)) u
+      JOIN sib k ON k.g = u.g AND k.h = u.h AND k.run = u.i // 8 JOIN subs s ON s.g = u.g),
+  done AS (SELECT g, r, arg_max(path, h) AS path, arg_max(folded, h) AS folded FROM up GROUP BY g, r)
+SELECT doc_id, leaf, s.digest AS subroot, top.digest AS root, sha256(path) AS proof_sha256, folded AS folded_root,
+  folded = top.digest AS verified
+FROM l JOIN done USING (g, r) JOIN subs s USING (g), top WHERE top.n = 1
+"""
+
+_FAR = "list_sum(list_transform(range(1, len({a}) + 1), lambda j: ({a}[j] - {b}[j]) * ({a}[j] - {b}[j])))::BIGINT"
+
+
+def _assign(n: int) -> str:
+    """The nearest entry of codebook c<n> for every part."""
+    return f"""
+  f{n} AS (SELECT rid, p.p, c.i, {_FAR.format(a='p.x', b='c.x')} AS far FROM parts p JOIN c{n} c ON c.p = p.p),
+  a{n} AS (SELECT rid, p, arg_min(i, (far, i)) AS i, min(far) AS far FROM f{n} GROUP BY rid, p)"""
+
+
+def _means(n: int) -> str:
+    """Codebook c<n + 1>: floored means of the parts assigned in round n."""
+    return f"""
+  s{n} AS (
+    SELECT a.p, a.i, j, sum(p.x[j])::HUGEINT AS s, count(*)::HUGEINT AS n
+    FROM a{n} a JOIN parts p ON p.rid = a.rid AND p.p = a.p, unnest(range(1, len(p.x) + 1)) t(j) GROUP BY ALL),
+  m{n} AS (SELECT p, i, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS x FROM s{n} GROUP BY p, i),
+  c{n + 1} AS (SELECT p, i, coalesce(m.x, c.x) AS x FROM c{n} c LEFT JOIN m{n} m USING (p, i))"""
+
+
+_OP13 = f"""
+WITH v AS (
+    SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS rid, vec_id, label,
+      list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  parts AS (SELECT rid, p, x[p * (len(x) // 16) + 1:(p + 1) * (len(x) // 16)] AS x FROM v, unnest(range(16)) t(p)),
+  c0 AS (SELECT p, rid AS i, x FROM parts WHERE rid < 64),{_assign(0)},{_means(0)},{_assign(1)},{_means(1)},{_assign(2)},
+  books AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, i)) AS codebooks_sha256 FROM c2),
+  coded AS (
+    SELECT rid, string_agg(lower(lpad(to_hex(i), 2, '0')), '' ORDER BY p) AS code, sum(far)::BIGINT AS error FROM a2 GROUP BY rid)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN v USING (rid), books
+"""
+
 ORACLE: dict[str, str] = {
     "op1_sharding": _OP1,
     "op2_decontamination": _OP2,
@@ -152,4 +229,6 @@ ORACLE: dict[str, str] = {
     "op6_line_dedup": _OP6,
     "op7_mixing": _OP7,
     "op8_url_cascade": _OP8,
+    "op11_merkle": _OP11,
+    "op13_vector_codes": _OP13,
 }

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, embed_graph, line_dedup, mixing, pii, sharding, simhash, toxicity, url_cascade, warc
+from quarry.llm import decontam, embed_graph, line_dedup, merkle, mixing, pii, sharding, simhash, toxicity, url_cascade, vector_codes, warc
 from quarry.session import scratch_path
 from quarry.sources.tables import load
 
@@ -87,6 +88,32 @@ def q_op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(docs, toxicity.train(docs, load(spark, sf_dir, "labels")))
 
 
+def q_op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Merkle manifest of documents, with every document's proof and a check of a third of them after tampering."""
+    docs = load(spark, sf_dir, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    leaf = lambda text: merkle.leaf_digest([F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text])
+    rows = docs.select(merkle.group_key(F.col("lang")).alias("grp"), "doc_id", leaf(F.col("text")).alias("leaf"),
+                       F.when(touched, leaf(lowered)).alias("tampered"))
+    made = merkle.manifest(rows, ["doc_id"])
+    root = F.lit(made.root).cast("string")
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return made.proofs().select("doc_id", "leaf", "subroot", root.alias("root"), F.sha2(merkle.proof(F.col("path")), 256).alias("proof_sha256"),
+                                folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def q_op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All whole embeddings as codes of 16 parts over codebooks of 64 entries, with their errors."""
+    vectors = load(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    books = vector_codes.train(vectors, "vec_id", "embedding")
+    out = ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    if books is None:
+        return spark.createDataFrame([], "vec_id long, code string, error long, label_error long, codebooks_sha256 string")
+    coded = vector_codes.with_group_error(vector_codes.encode(vectors, "embedding", books), "label", "label_error")
+    return coded.withColumn("codebooks_sha256", F.lit(books.sha256())).select(*out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": q_op1_sharding,
     "op2_decontamination": q_op2_decontamination,
@@ -98,4 +125,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_cascade": q_op8_url_cascade,
     "op9_pii": q_op9_pii,
     "op10_toxicity": q_op10_toxicity,
+    "op11_merkle": q_op11_merkle,
+    "op13_vector_codes": q_op13_vector_codes,
 }
