@@ -8,12 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, embed_graph, line_dedup, merkle, mixing, pii, sharding, simhash, toxicity, url_cascade, vector_codes, warc
+from quarry.llm import bpe, decontam, embed_graph, line_dedup, merkle, mixing, pii, sharding, simhash, toxicity, url_cascade, vector_codes, warc
 from quarry.session import scratch_path
 from quarry.sources.tables import load
 
 SHARDS = 16
 MIN_SITES = 5
+VOCABULARY = "byte_bpe_50k.json"
 PII_KEY = b"registered query, not a secret"
 # The rules, (verdict, host, path prefix).
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -103,6 +104,17 @@ def q_op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def q_op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text of documents as tokens, and back."""
+    import public_tokenizers
+
+    vocab = bpe.vocabulary(spark, public_tokenizers.path(VOCABULARY))
+    ids = bpe.encode(load(spark, sf_dir, "documents").select("doc_id", "text"), "text", vocab)
+    digests = ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), "ids")
+    back = bpe.decode(digests, "ids", vocab)
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def q_op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All whole embeddings as codes of 16 parts over codebooks of 64 entries, with their errors."""
     vectors = load(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
@@ -126,5 +138,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": q_op9_pii,
     "op10_toxicity": q_op10_toxicity,
     "op11_merkle": q_op11_merkle,
+    "op12_bpe": q_op12_bpe,
     "op13_vector_codes": q_op13_vector_codes,
 }
