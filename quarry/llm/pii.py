@@ -3,14 +3,20 @@
 Values are found by pattern, validated (check digits, number plan, calendar,
 octets), and replaced by another valid value of the same format through a
 keyed permutation: a Feistel network over the format's value numbers with
-cycle walking. Equal values get equal pseudonyms in every document, different
-ones never the same, and the key's holder can undo it.
+cycle walking. A pseudonym depends on the value and the key alone, never on
+what stands beside it: equal values get equal pseudonyms in every document, and
+different ones of a kind never the same.
+
+Where a pseudonym stands in the new text is kept beside it (``spans``), so the
+key's holder can undo every one of them: read anew, the pseudonym of a card
+could by chance be valid together with digits behind it.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 from functools import lru_cache
@@ -195,19 +201,30 @@ _BY_KIND: dict[str, Callable[[str, bytes, bool], str | None]] = {
     "email": _email, "iban": _iban, "card": _card, "ssn": _ssn, "phone": _phone, "date": _date, "ip": _ip}
 
 
-# characters of an IBAN by country; others may have any length
-_IBAN_LENGTH = dict(zip(
-    ("AD AE AL AT AZ BA BE BG BH BR BY CH CR CY CZ DE DK DO EE EG ES FI FO FR GB GE GI GL GR GT HR HU IE IL IQ IS IT JO KW KZ LB LC LI "
-     "LT LU LV LY MC MD ME MK MR MT MU NL NO PK PL PS PT QA RO RS SA SC SE SI SK SM SN ST SV TL TN TR UA VA VG XK").split(),
-    map(int, ("24 23 28 20 28 20 16 22 22 29 28 21 22 21 24 22 18 28 20 29 24 18 18 27 22 22 23 18 27 28 21 28 22 23 23 26 27 30 30 20 28 32 21 "
-              "20 20 21 25 27 24 22 19 27 31 30 18 15 24 28 29 25 29 24 22 24 31 24 19 24 27 28 25 28 23 24 26 29 22 24 20").split())))
-NEAR = 80                                           # characters; more than the longest match
+# Characters of an IBAN by country; others may have any length.
+_IBAN_LENGTH = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22,
+    "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22,
+    "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30,
+    "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27,
+    "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31,
+    "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SN": 28, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24,
+    "XK": 20,
+}
+Span = tuple[int, int, str]                         # start, length, kind
+
+
+def _card_groups(value: str) -> bool:
+    *groups, last = map(len, re.split("[ -]", value))
+    return (groups, last) in (([4, 6], 5), ([4, 6], 4)) or len({*groups}) < 2 and last <= max(groups, default=last)
 
 
 def _ends(kind: str, value: str) -> list[int]:
-    """Where a value that starts like the match may end: at group borders, longest first, an IBAN by its country first.
+    """Where a value that starts like the match may end, the likeliest first: at group borders, an IBAN by its country
+    or else the longest, a card the shortest (what follows a card is rather its code than its end).
 
-    A card that ends before the match has one kind of separator: mixed ones stand between values.
+    A card's groups are of one size but for a shorter last one (or 4-6-5 and 4-6-4), with one kind of separator before
+    the match's end: other groups are numbers beside it.
     """
     if kind not in ("iban", "card"):
         return [len(value)]
@@ -217,22 +234,23 @@ def _ends(kind: str, value: str) -> list[int]:
         n += c.isalnum()
         if c.isalnum() and n >= least and not value[i + 1:i + 2].isalnum():
             ends.append((i + 1, n))
-    long = _IBAN_LENGTH.get(value[:2]) if kind == "iban" else None
+    if kind == "card":
+        return [i for i, _ in ends if _card_groups(value[:i]) and (i == len(value) or len(set(value[:i]) & {" ", "-"}) < 2)]
+    long = _IBAN_LENGTH.get(value[:2])
     if long is None:
-        return [i for i, _ in reversed(ends) if kind == "iban" or i == len(value) or len(set(value[:i]) & {" ", "-"}) < 2]
+        return [i for i, _ in reversed(ends)]
     return list(dict.fromkeys([i for i, n in ends if n == long] + [len(value)]))
 
 
-def _next(text: str, at: int, key: bytes, undo: bool) -> tuple[int, int, str, str, bool] | None:
-    """``(start, end, kind, pseudonym, alone)`` of the first value from ``at`` on; ``alone``: what stands beside it had no say."""
-    late = at
+def _next(text: str, at: int, key: bytes) -> tuple[int, int, str, str] | None:
+    """``(start, end, kind, pseudonym)`` of the first value from ``at`` on."""
     while m := _NUMBERS.search(text, at):
         kind = m.lastgroup if m.lastgroup in _BY_KIND else "date"
-        for k, n in enumerate(_ends(kind, m[0])):
-            new = _pseudonym(kind, m[0][:n], key, undo)
+        for n in _ends(kind, m[0]):
+            new = _pseudonym(kind, m[0][:n], key, False)
             if new is not None:
-                return m.start(), m.start() + n, kind, new, not k and late <= m.start()
-        late, at = max(late, m.end()), m.start() + 1
+                return m.start(), m.start() + n, kind, new
+        at = m.start() + 1
     return None
 
 
@@ -241,65 +259,85 @@ def _pseudonym(kind: str, value: str, key: bytes, undo: bool) -> str | None:
     return _BY_KIND[kind](value, key, undo)
 
 
-def pseudonymise(text: str, key: bytes, undo: bool = False) -> tuple[str, dict[str, int]]:
-    """The text with every validated value replaced, and how many of each kind there were."""
-    counts: dict[str, int] = {}
-
-    def put(kind: str, value: str) -> str:
-        new = _pseudonym(kind, value, key, undo)
-        if new is None:
-            return value
-        counts[kind] = counts.get(kind, 0) + 1
-        return new
-
-    def numbers(part: str) -> str:
-        if not _FIND.search(part):
-            return part
-        out, at = [], 0
-        while found := _next(part, at, key, undo):
-            start, end, kind, new, alone = found
-            low = max(at, start - NEAR)
-            cut = max(0, low - 1)
-            # a pseudonym that would read otherwise beside its neighbours gives way to the next one, so it can be undone
-            while not alone:
-                again = _next(part[cut:start] + new + part[end:end + NEAR], low - cut, key, undo)
-                if again and again[:3] == (start - cut, end - cut, kind):
-                    break
-                new = _pseudonym(kind, new, key, undo)
-            counts[kind] = counts.get(kind, 0) + 1
-            out += [part[at:start], new]
-            at = end
-        out.append(part[at:])
-        return "".join(out)
-
-    if "@" not in text:
-        return numbers(text), counts
-    out, at = [], 0
-    for m in _AT.finditer(text):                    # what an address holds is not looked at again
-        out += [numbers(text[at:m.start()]), put("email", m[0])]
+def pseudonymise(text: str, key: bytes) -> tuple[str, list[Span]]:
+    """The text with every validated value replaced, and where the pseudonyms are in it."""
+    out: list[str] = []
+    spans: list[Span] = []
+    length = 0
+
+    def put(part: str, kind: str | None = None) -> None:
+        nonlocal length
+        if kind:
+            spans.append((length, len(part), kind))
+        out.append(part)
+        length += len(part)
+
+    def numbers(part: str) -> None:
+        at = 0
+        while found := _FIND.search(part) and _next(part, at, key):
+            start, at_end, kind, new = found
+            put(part[at:start])
+            put(new, kind)
+            at = at_end
+        put(part[at:])
+
+    at = 0
+    for m in _AT.finditer(text) if "@" in text else ():     # what an address holds is not looked at again
+        numbers(text[at:m.start()])
+        new = _pseudonym("email", m[0], key, False)
+        put(m[0] if new is None else new, new and "email")
         at = m.end()
-    out.append(numbers(text[at:]))
-    return "".join(out), counts
+    numbers(text[at:])
+    return "".join(out), spans
+
+
+def restore(text: str, spans: list[Span], key: bytes) -> str:
+    """The text before its values were replaced. Pseudonyms are as long as their values, so places stay."""
+    out, at = [], 0
+    for start, length, kind in spans:
+        out += [text[at:start], _pseudonym(kind, text[start:start + length], key, True)]
+        at = start + length
+    return "".join([*out, text[at:]])
+
 
+_SPANS = "spans array<struct<start:int,length:int,kind:string>>"
 
-def pseudonymised(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text",
-                  undo: bool = False) -> DataFrame:
-    """One row per document row: id, text with pseudonyms, and ``n_<kind>`` found of each kind.
 
-    Values that fail their validation stay as they are. Null texts stay null
-    with zero counts, empty ones empty; repeated rows and equal values get
+def pseudonymised(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document row: id, text with pseudonyms, ``n_<kind>`` found of each kind, and their ``spans``.
+
+    Values that fail their validation stay as they are, wherever they stand. A
+    value followed or preceded by other digits is the first that validates, by
+    the places where one may end (``_ends``). Null texts stay null with zero
+    counts and no spans, empty ones empty; repeated rows and equal values get
     equal results; an empty table gives no rows; other columns are not read.
     One scan without a shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("kind", pa.string())]))
         for batch in batches:
-            done = [(None, {}) if t is None else pseudonymise(t, key, undo) for t in batch.column(1).to_pylist()]
+            done = [(None, []) if t is None else pseudonymise(t, key) for t in batch.column(1).to_pylist()]
+            count = [Counter(k for _, _, k in spans) for _, spans in done]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([t for t, _ in done], pa.string()),
-                 *[pa.array([c.get(k, 0) for _, c in done], pa.int32()) for k in KINDS]],
-                names=[id_col, "text", *[f"n_{k}" for k in KINDS]])
+                 *[pa.array([c[k] for c in count], pa.int32()) for k in KINDS],
+                 pa.array([[dict(zip(("start", "length", "kind"), x)) for x in spans] for _, spans in done], kept)],
+                names=[id_col, "text", *[f"n_{k}" for k in KINDS], "spans"])
 
     src = docs.select(F.col(id_col), F.col(text_col).cast("string"))
     kind = src.schema[0].dataType.simpleString()
-    return src.mapInArrow(run, f"`{id_col}` {kind}, text string, " + ", ".join(f"n_{k} int" for k in KINDS))
+    return src.mapInArrow(run, f"`{id_col}` {kind}, text string, " + ", ".join(f"n_{k} int" for k in KINDS) + f", {_SPANS}")
+
+
+def restored(docs: DataFrame, key: bytes, id_col: str = "doc_id") -> DataFrame:
+    """Ids and texts as they were, from what ``pseudonymised`` gave."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [None if t is None else restore(t, [(x["start"], x["length"], x["kind"]) for x in spans], key)
+                     for t, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[id_col, "text"])
+
+    src = docs.select(F.col(id_col), "text", "spans")
+    return src.mapInArrow(run, f"`{id_col}` {src.schema[0].dataType.simpleString()}, text string")

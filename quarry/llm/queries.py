@@ -20,7 +20,7 @@ PII_KEY = b"registered query, not a secret"
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 # Fixed value: hosts with one of these words as a label, or as a part of one between hyphens, are on the block list.
-LISTED_HOST = r"(^|[.-])(spam|casino|bets|adult)([.-]|$)"
+LISTED_HOST = r"(\A|[.-])(spam|casino|bets|adult)([.-]|(?![\s\S]))"
 
 
 def q_op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
