@@ -99,21 +99,18 @@ FROM l LEFT JOIN bad b ON trim(l.line, ' ') = b.t GROUP BY doc_id
 
 _OP7 = """
 WITH RECURSIVE c AS (SELECT source, count(*) AS n_rows, sqrt(count(*)) AS w FROM documents GROUP BY source),
-  q AS (SELECT source, w / sum(w) OVER () * (1000 - count(*) OVER ()) AS share FROM c),
-  f AS (SELECT source, share, 1 + floor(share)::BIGINT AS low,
-          row_number() OVER (ORDER BY floor(share) - share, source) AS place FROM q),
-  s AS (SELECT source, low + (place <= 1000 - sum(low) OVER ())::BIGINT AS n,
-          row_number() OVER (ORDER BY source) AS i FROM f),
-  n AS (SELECT list(n ORDER BY i) AS n FROM s),
-  edf(t, k, pick, n) AS (
-    SELECT -1::BIGINT, list_transform(n, lambda x: 0::BIGINT), NULL::STRUCT(d BIGINT, m BIGINT, i BIGINT, r BIGINT), n FROM n
+  s AS (SELECT source, row_number() OVER (ORDER BY source) AS i,
+          greatest(1, floor(w / sum(w) OVER () * greatest(1000, 64 * count(*) OVER ()) + 0.5))::BIGINT AS n FROM c),
+  n AS (SELECT list(n ORDER BY i) AS n, sum(n)::BIGINT AS period FROM s),
+  edf(t, k, pick, n, period) AS (
+    SELECT -1::BIGINT, list_transform(n, lambda x: 0::BIGINT), NULL::STRUCT(d BIGINT, m BIGINT, i BIGINT, r BIGINT), n, period FROM n
     UNION ALL
-    SELECT t + 1, list_transform(k, lambda x, i: CASE WHEN i = best.i THEN x + 1 ELSE x END), best, n FROM (
-      SELECT t, k, n, list_min(list_filter(list_transform(n, lambda x, i:
-          {'d': ((k[i] + 1) * 1000 + x - 1) // x,
-           'm': -x, 'i': i, 'r': k[i] * 1000 // x}),
+    SELECT t + 1, list_transform(k, lambda x, i: CASE WHEN i = best.i THEN x + 1 ELSE x END), best, n, period FROM (
+      SELECT t, k, n, period, list_min(list_filter(list_transform(n, lambda x, i:
+          {'d': ((k[i] + 1) * period + x - 1) // x,
+           'm': -x, 'i': i, 'r': k[i] * period // x}),
         lambda y: y.r <= t + 1 AND k[y.i] < n[y.i])) AS best
-      FROM edf WHERE t < 999)),
+      FROM edf WHERE t < period - 1)),
   sched AS (
     SELECT s.source, s.n, e.pick.r AS release, e.pick.d AS deadline, e.t AS slot,
       row_number() OVER (PARTITION BY s.source ORDER BY e.t) - 1 AS k
@@ -122,9 +119,9 @@ WITH RECURSIVE c AS (SELECT source, count(*) AS n_rows, sqrt(count(*)) AS w FROM
     SELECT doc_id, source, row_number() OVER (PARTITION BY source
       ORDER BY substr(md5(coalesce(doc_id::VARCHAR, '\\N') || '|0'), 1, 3), doc_id) - 1 AS r FROM documents),
   blocks AS (SELECT doc_id, source, r // 16 AS block, r % 16 AS in_block FROM numbered)
-SELECT doc_id, b.source, block, in_block, block // n * 1000 + release AS release, block // n * 1000 + deadline AS deadline,
-  block // n * 1000 + slot AS slot, dense_rank() OVER (ORDER BY block // n * 1000 + slot) - 1 AS position
-FROM blocks b JOIN sched x ON x.source = b.source AND x.k = b.block % n
+SELECT doc_id, b.source, block, in_block, block // x.n * period + release AS release, block // x.n * period + deadline AS deadline,
+  block // x.n * period + slot AS slot, dense_rank() OVER (ORDER BY block // x.n * period + slot) - 1 AS position
+FROM blocks b JOIN sched x ON x.source = b.source AND x.k = b.block % x.n, n
 """
 
 _OP8 = r"""

@@ -38,7 +38,7 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
 def with_shard(df: DataFrame, key_cols: Sequence[str], weights: Sequence[float],
                name: str = "shard") -> DataFrame:
     """``df`` with its shard; a column of that name is replaced."""
-    return df.withColumn(name, rendezvous(text_key(*[F.col(c) for c in key_cols]), weights))
+    return df.withColumn(name, rendezvous(text_key(*[F.col(f"`{c}`") for c in key_cols]), weights))
 
 
 def shard_plan(docs: DataFrame, weights: Sequence[float], grown_weights: Sequence[float] | None = None,

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from awkward import AWKWARD, docs
+from pyspark.sql import functions as F
 
 from quarry.llm import mixing, sharding
 from quarry.llm.numbering import number_within
@@ -75,8 +76,45 @@ def test_schedule_stays_within_a_block():
             assert all(abs(got[x] - slots[x] * (t + 1) / total) < 1 for x in slots)
         assert got == slots
     assert mixing.quantised({}, 10) == {}
-    with pytest.raises(ValueError):
-        mixing.quantised({"a": 1, "b": 1}, 1)
+
+
+@pytest.mark.parametrize("sources", [20, 400, 5_000])
+def test_many_sources_keep_their_weights(sources):
+    """A hot source with half of the rows: every block lies in its window of the weights passed in, which is less than
+    a block of deviation at any time, and those weights are the square roots to half a slot."""
+    rows = {f"s{i}": 10_000 + i for i in range(1, sources)}
+    rows["hot"] = sum(rows.values())
+    roots = {s: n ** 0.5 for s, n in rows.items()}
+    weights = mixing.quantised(roots)
+    units, period = max(1000, 64 * sources), sum(weights.values())
+    assert all(abs(n - roots[s] / sum(roots.values()) * units) <= 0.5 + 1e-6 for s, n in weights.items())
+    assert abs(period - units) / units < 0.02
+    got = Counter()
+    for t, (s, k, _, _, slot) in enumerate(mixing.one_period(weights)):
+        assert slot == t and k == got[s]
+        got[s] += 1
+        # block k is not there before its release and is by its deadline: |blocks - weight * time| < 1
+        assert k * period < (t + 1) * weights[s] and t * weights[s] < (k + 1) * period
+    assert got == weights
+
+
+def test_more_than_a_thousand_sources(spark):
+    d = docs(spark, [(i, "t") for i in range(3_000)], source=lambda k: f"s{k % 1_500}")
+    rows = mixing.mix_plan(d, mixing.target_weights(d), block_rows=1).collect()
+    assert len(rows) == 3_000 and sorted(r["position"] for r in rows) == list(range(3_000))
+
+
+def test_places_with_clashing_names(spark):
+    d = docs(spark, [(i, f"t{i}") for i in range(40)]).withColumns(
+        {c: F.lit(c) for c in ("__at", "__src", "__id", "a.b", "at", "src", "doc", "position", "in_block", "i", "n", "rank", "slot")})
+    w = mixing.target_weights(d)
+    plan = {r["doc_id"]: (r["position"], r["in_block"]) for r in mixing.mix_plan(d, w).collect()}
+    placed = mixing.with_place(d, w)
+    assert {r["doc_id"]: (r["position"], r["in_block"]) for r in placed.collect()} == plan
+    assert {r["a.b"] for r in placed.collect()} == {"a.b"}
+    m = mixing.mixed(d, w)
+    assert m.columns == d.columns and [plan[r["doc_id"]] for r in m.collect()] == sorted(plan.values())
+    assert {(r["position"], r["__at"]) for r in m.collect()} == {("position", "__at")}
 
 
 def check_plan(rows, n, period, block_rows):
@@ -97,10 +135,10 @@ def check_plan(rows, n, period, block_rows):
 
 def test_mix_plan_keeps_all_rows_and_the_weights(spark):
     d = docs(spark, [(i, f"t{i}") for i in range(3_000)], source=lambda k: "hot" if k % 3 else f"s{k % 7}")
-    weights = mixing.target_weights(d)
-    rows = mixing.mix_plan(d, weights, period=100, block_rows=4).collect()
+    weights = mixing.quantised(mixing.target_weights(d), 100)
+    rows = mixing.mix_plan(d, weights, block_rows=4).collect()
     check_plan(rows, 3_000, 100, 4)
-    slots = mixing.quantised(weights, 100)
+    slots, period = weights, sum(weights.values())
     have = Counter()
     for r in rows:
         have[r["source"]] = max(have[r["source"]], r["block"] + 1)
@@ -110,16 +148,18 @@ def test_mix_plan_keeps_all_rows_and_the_weights(spark):
         got[s] += 1
         out = out or any(got[x] == have[x] for x in slots)
         if not out:
-            assert all(abs(got[x] - slots[x] * (t + 1) / 100) < 1 for x in slots)
+            assert all(abs(got[x] - slots[x] * (t + 1) / period) < 1 for x in slots)
 
 
 def test_mix_plan_awkward(spark):
     d = docs(spark, AWKWARD, source=lambda k: None if k % 2 else "a")
-    check_plan(mixing.mix_plan(d, mixing.target_weights(d), period=10, block_rows=2).collect(), len(AWKWARD), 10, 2)
+    check_plan(mixing.mix_plan(d, mixing.target_weights(d), block_rows=2).collect(), len(AWKWARD), 10, 2)
     assert mixing.mix_plan(d.limit(0), mixing.target_weights(d.limit(0))).collect() == []
     with pytest.raises(ValueError, match="positive weight"):
-        mixing.mix_plan(d, {"a": 1.0})
-    m = mixing.mixed(d, mixing.target_weights(d), period=10, block_rows=2)
+        mixing.mix_plan(d, {"a": 1})
+    with pytest.raises(ValueError, match="whole"):
+        mixing.mix_plan(d, {"a": 0.5, None: 0.5})
+    m = mixing.mixed(d, mixing.target_weights(d), block_rows=2)
     assert m.columns == d.columns
     key = lambda r: tuple(map(str, r))
     assert sorted(m.collect(), key=key) == sorted(d.collect(), key=key)
