@@ -3,9 +3,14 @@
 Of every ``window - k + 1`` consecutive k-gram hashes the smallest is kept
 (all of them on a tie), in benchmark items and documents alike. A shared span
 of ``window`` words holds a full winnowing window, so both sides keep the same
-k-gram in it: no shared span of that length is missed. Kept fingerprints are
-joined, every hit is extended word by word, and the words are compared byte by
-byte before a span counts.
+k-gram in it: no shared span of that length is missed. Kept fingerprints of a
+document are looked up among the benchmark's, every hit is extended to the
+windows over it, those are looked up among the benchmark's distinct windows,
+and their words are compared byte by byte before they count.
+
+A document's windows meet distinct windows, not their occurrences, so time and
+memory grow with the number of words on either side, however often a word or a
+passage repeats in a document, an item or over the items.
 
 The benchmark is the stated query set: it is cut into blocks of bounded text
 size, each broadcast on its own, and a task holds one block's index at a time,
@@ -29,20 +34,27 @@ from quarry.llm.words import Words, mix, slices, text_buffers
 WINDOW = 10                     # words
 K = 5                           # words of a k-gram
 BLOCK_BYTES = 16 << 20          # benchmark text in one broadcast block
+COMPARED = 16 << 20             # bytes of words compared at once
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 @dataclass
-class Index:
-    """One block of items: all words in a row, and the kept fingerprints sorted by hash."""
+class Windows:
+    """The distinct windows of one length: hash (sorted; one that two windows share is there twice), the first word of
+    one occurrence, and the items that hold it (``items[edge[i]:edge[i + 1]]``); ``kept``: their fingerprints."""
+    kept: np.ndarray
+    hash: np.ndarray
+    at: np.ndarray
+    items: np.ndarray
+    edge: np.ndarray
 
+
+@dataclass
+class Index:
+    """One block of items: their words, and their windows by length."""
     ids: list[str]
-    word_hash: np.ndarray       # of all items' words
-    words: list[bytes]
-    item: np.ndarray            # item number of each word
-    first: np.ndarray           # first word of each item
-    n_words: np.ndarray
-    grams: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)   # span length -> (hash, word)
+    words: Words
+    windows: dict[int, Windows] = field(default_factory=dict)
 
 
 def _grams(h: np.ndarray, text: np.ndarray, k: int) -> np.ndarray:
@@ -73,82 +85,110 @@ def _kept(g: np.ndarray, w: int) -> np.ndarray:
     return np.flatnonzero(keep & (g != _NONE))
 
 
+def _window_hash(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n words from each of the given words on."""
+    total = np.zeros(len(at), dtype=np.uint64)
+    for j in range(n):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + h[at + j]
+    return mix(total)
+
+
+def _same_words(a: Words, i: np.ndarray, b: Words, j: np.ndarray) -> np.ndarray:
+    """Whether words i of one text and j of another are the same bytes."""
+    size = a.end[i] - a.start[i]
+    same = size == b.end[j] - b.start[j]
+    pair = np.flatnonzero(same)
+    ends = np.cumsum(size[pair])
+    s = 0
+    while s < len(pair):                            # a bounded number of bytes at once, one pair at least
+        e = max(s + 1, int(np.searchsorted(ends, (ends[s - 1] if s else 0) + COMPARED, side="right")))
+        part = pair[s:e]
+        width = size[part]
+        begin = np.cumsum(width) - width
+        step = np.arange(int(width.sum())) - np.repeat(begin, width)
+        equal = a.bytes[np.repeat(a.start[i[part]], width) + step] == b.bytes[np.repeat(b.start[j[part]], width) + step]
+        same[part] = np.logical_and.reduceat(equal, begin)
+        s = e
+    return same
+
+
+def _same_windows(a: Words, i: np.ndarray, b: Words, j: np.ndarray, n: int) -> np.ndarray:
+    same = np.ones(len(i), dtype=bool)
+    for x in range(n):
+        left = np.flatnonzero(same)
+        same[left] = _same_words(a, i[left] + x, b, j[left] + x)
+    return same
+
+
+def _distinct(w: Words, at: np.ndarray, kept: np.ndarray, n: int) -> Windows:
+    """The distinct windows of length n among those that begin at the words ``at``."""
+    h = _window_hash(w.hash, at, n)
+    group = np.full(len(at), -1, dtype=np.int64)
+    firsts: list[np.ndarray] = []
+    open_, total = np.arange(len(at)), 0
+    while len(open_):                               # again only for windows that share a hash with other words
+        _, first, of = np.unique(h[open_], return_index=True, return_inverse=True)
+        same = _same_windows(w, at[open_], w, at[open_[first]][of], n)
+        group[open_[same]] = total + of[same]
+        firsts.append(open_[first])
+        open_, total = open_[~same], total + len(first)
+    first = np.concatenate(firsts) if firsts else np.zeros(0, dtype=np.int64)
+    pairs = np.unique(np.stack([group, w.text[at]]), axis=1) if len(at) else np.zeros((2, 0), dtype=np.int64)
+    order = np.argsort(h[first], kind="stable")
+    place = np.empty(len(first), dtype=np.int64)
+    place[order] = np.arange(len(first))
+    by = np.lexsort((pairs[1], place[pairs[0]])) if len(first) else np.zeros(0, dtype=np.int64)
+    edge = np.searchsorted(place[pairs[0]][by], np.arange(len(first) + 1)) if len(first) else np.zeros(1, dtype=np.int64)
+    return Windows(np.unique(kept), h[first][order], at[first][order], pairs[1][by], edge)
+
+
 def build_index(items: list[tuple[str, str]], window: int = WINDOW, k: int = K) -> Index:
-    col = pa.array([t for _, t in items], pa.string())
-    raw, off = text_buffers(col)
+    raw, off = text_buffers(pa.array([t for _, t in items], pa.string()))
     w = Words(raw, off, 0, len(items))
-    first = np.concatenate([[0], np.cumsum(w.n_words)[:-1]]).astype(np.int64)
-    index = Index([i for i, _ in items], w.hash, [w.word(j) for j in range(len(w.hash))], w.text.astype(np.int64),
-                  first, w.n_words)
+    index = Index([i for i, _ in items], w)
     length = np.minimum(w.n_words, window)[w.text] if len(w.hash) else np.zeros(0, dtype=np.int64)
+    last = np.cumsum(w.n_words)[w.text] if len(w.hash) else length              # one past the item's last word
     for n in np.unique(length).tolist():        # full windows, and each length of the items shorter than one
-        g = _grams(w.hash, w.text, min(k, n) if n == window else n)
-        if n == window:
-            at = _kept(np.where(length == n, g, _NONE), window - min(k, n) + 1)
-            at = at[length[at] == n]
-        else:
-            at = np.flatnonzero((length == n) & (g != _NONE))
-        order = np.argsort(g[at], kind="stable")
-        index.grams[n] = (g[at][order], at[order])
+        size = min(k, n) if n == window else n
+        g = np.where(length == n, _grams(w.hash, w.text, size), _NONE)
+        at = np.flatnonzero((length == n) & (np.arange(len(length)) + n <= last))
+        index.windows[n] = _distinct(w, at, g[_kept(g, n - size + 1)], n)
     return index
 
 
-def _matches(w: Words, index: Index, window: int, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """Candidate windows ``(word of the slice, word of the index, length)`` whose word hashes agree."""
-    for n, (known, where) in index.grams.items():
-        full = n == window
-        size = min(k, n) if full else n
-        g = _grams(w.hash, w.text, size)
-        at = _kept(g, window - size + 1) if full else np.flatnonzero(g != _NONE)
-        lo = np.searchsorted(known, g[at], side="left")
-        hi = np.searchsorted(known, g[at], side="right")
-        has = hi > lo
-        at, lo, many = at[has], lo[has], (hi - lo)[has]
-        for s in range(0, len(at), 4096):
-            part, low, cnt = at[s:s + 4096], lo[s:s + 4096], many[s:s + 4096]
-            a = np.repeat(part, cnt)
-            step = np.arange(int(cnt.sum())) - np.repeat(np.cumsum(cnt) - cnt, cnt)
-            p = where[np.repeat(low, cnt) + step]
-            # extend to both sides: agreement at each offset that a window over the k-gram can reach
-            reach = n - size
-            offsets = np.arange(-reach, n)
-            ai, pi = a[:, None] + offsets, p[:, None] + offsets
-            ok = (ai >= 0) & (ai < len(w.hash)) & (pi >= 0) & (pi < len(index.word_hash))
-            ac, pc_ = np.where(ok, ai, 0), np.where(ok, pi, 0)
-            ok &= (w.hash[ac] == index.word_hash[pc_]) & (w.text[ac] == w.text[a][:, None])
-            ok &= index.item[pc_] == index.item[p][:, None]
-            run = np.cumsum(np.concatenate([np.zeros((len(a), 1), dtype=np.int64), ok], axis=1), axis=1)
-            for j in range(reach + 1):
-                hit = run[:, j + n] - run[:, j] == n
-                if hit.any():
-                    yield a[hit] + offsets[j], p[hit] + offsets[j], n
+def _candidates(w: Words, known: Windows, n: int, size: int) -> np.ndarray:
+    """First words of the windows over the document's kept fingerprints that the benchmark has."""
+    g = _grams(w.hash, w.text, size)
+    at = _kept(g, n - size + 1)
+    if not len(known.kept):
+        return at[:0]
+    found = known.kept[np.minimum(np.searchsorted(known.kept, g[at]), len(known.kept) - 1)] == g[at]
+    begins = np.zeros(len(w.hash), dtype=bool)
+    for back in range(n - size + 1):
+        begin = at[found] - back
+        begins[begin[begin >= 0]] = True
+    begin = np.flatnonzero(begins)
+    begin = begin[begin + n <= len(w.hash)]
+    return begin[w.text[begin] == w.text[begin + n - 1]]
 
 
 def _hits(w: Words, index: Index, window: int, k: int) -> tuple[np.ndarray, set[tuple[int, int]]]:
     """Hit words of the slice, and the (text, item) pairs that share a window; words are compared byte by byte."""
-    hit = np.zeros(len(w.hash), dtype=bool)
+    hit = np.zeros(len(w.hash) + 1, dtype=np.int64)
     pairs: set[tuple[int, int]] = set()
-    starts = [np.stack([a, p, np.full(len(a), n)]) for a, p, n in _matches(w, index, window, k)]
-    if not starts:
-        return hit, pairs
-    found = np.unique(np.concatenate(starts, axis=1), axis=1)
-    # windows on one diagonal that follow each other are one span: each word is compared once
-    order = np.lexsort((found[0], found[0] - found[1], found[2]))
-    a, p, n = found[0][order], found[1][order], found[2][order]
-    new = np.concatenate([[True], (np.diff(a) != 1) | (np.diff(p) != 1) | (np.diff(n) != 0)])
-    edge = np.append(np.flatnonzero(new), len(a))
-    for s, e in zip(edge[:-1].tolist(), edge[1:].tolist()):
-        size, first = int(n[s]), int(a[s])
-        shift = int(p[s]) - first
-        same = [w.word(x) == index.words[x + shift] for x in range(first, first + (e - s) + size - 1)]
-        run = 0
-        for x, good in enumerate(same):
-            run = run + 1 if good else 0
-            if run >= size:
-                at = first + x - size + 1           # windows of one word that follow each other may differ in text and item
-                hit[at:at + size] = True
-                pairs.add((int(w.text[at]), int(index.item[at + shift])))
-    return hit, pairs
+    for n, known in index.windows.items():
+        at = _candidates(w, known, n, min(k, n) if n == window else n)
+        h = _window_hash(w.hash, at, n)
+        lo, hi = np.searchsorted(known.hash, h, side="left"), np.searchsorted(known.hash, h, side="right")
+        while len(at := at[lo < hi]):               # more than once only where windows share a hash
+            lo, hi = lo[lo < hi], hi[lo < hi]
+            same = _same_windows(w, at, index.words, known.at[lo], n)
+            hit[at[same]] += 1
+            hit[at[same] + n] -= 1
+            for t, i in np.unique(np.stack([w.text[at[same]], lo[same]]), axis=1).T.tolist():
+                pairs.update((t, x) for x in known.items[known.edge[i]:known.edge[i + 1]].tolist())
+            lo = lo + 1
+    return np.cumsum(hit[:-1]) > 0, pairs
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, limit: int) -> Iterator[list[tuple[str, str]]]:
@@ -220,7 +260,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     item); every word of a document inside an occurrence of a window is hit.
     Null and empty texts have no words and no hits, items without words have no
     windows, a null item id counts as the empty string, items that share an id
-    count once. Repeated rows come back repeated; an empty benchmark hits
+    count once. Repetitive texts of any length take time and memory in
+    proportion to their words. Repeated rows come back repeated; an empty benchmark hits
     nothing; other columns are not read.
     """
     score = _scorer(benchmark, item_id, item_text, window, k, block_bytes)

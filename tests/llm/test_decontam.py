@@ -70,7 +70,7 @@ def test_word_hash_ties_are_compared_byte_by_byte(monkeypatch):
     index = decontam.build_index([("1", "a b c d e f g h i j")])
     raw, off = text_buffers(pa.array(["a b c d e f g h i x"]))
     w = Words(raw, off, 0, 1)
-    w.hash = index.word_hash.copy()
+    w.hash = index.words.hash.copy()
     hit, pairs = decontam._hits(w, index, 10, 5)
     assert not hit.any() and not pairs
     assert np.array_equal(w.n_words, [10])
@@ -84,3 +84,47 @@ def test_neighbouring_items_and_documents_of_one_word(spark):
     got = decontam.contamination(d, bench).collect()
     assert Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["item_ids"])) for r in got) == brute(rows, items)
     assert [r["doc_id"] for r in decontam.drop_contaminated(d, bench).collect()] == [7]
+
+
+def test_windows_that_share_a_hash_are_told_apart(monkeypatch):
+    """With one hash for all windows, items and hits are still those of the words themselves."""
+    import numpy as np
+    import pyarrow as pa
+    from quarry.llm.words import Words, text_buffers
+
+    monkeypatch.setattr(decontam, "_window_hash", lambda h, at, n: np.full(len(at), 7, dtype=np.uint64))
+    items = [("1", "a b c d e f g h i j k"), ("2", "b c d e f g h i j k l"), ("3", "x y")]
+    index = decontam.build_index(items)
+    rows = [(0, "x a b c d e f g h i j y"), (1, "z b c d e f g h i j k l x y")]
+    raw, off = text_buffers(pa.array([t for _, t in rows]))
+    hit, pairs = decontam._hits(Words(raw, off, 0, 2), index, 10, 5)
+    want = brute(rows, items)
+    assert {(t, tuple(sorted(index.ids[i] for u, i in pairs if u == t))) for t in (0, 1)} == {(d, ids) for d, _, _, ids in want}
+    assert int(hit.sum()) == sum(n for _, _, n, _ in want)
+
+
+@pytest.mark.parametrize("items, text", [
+    (["buy now " * 10_000], "buy now " * 10_000),
+    (["spam " * 20_000], "spam " * 20_000),
+    ([f"q{i} " + " ".join(f"p{j}" for j in range(30)) for i in range(10_000)], " ".join(f"p{j}" for j in range(30)) + " " + "filler " * 100 + "; "),
+    (["a b c d e f g h i j"] * 5_000, "a b c d e f g h i j " * 500),
+])
+def test_repetition_takes_linear_time_and_memory(items, text):
+    """Repeated words and passages on both sides: seconds and less than a GB, with the plain version's hits."""
+    import time
+    import tracemalloc
+
+    import pyarrow as pa
+    from quarry.llm.words import Words, text_buffers
+
+    tracemalloc.start()
+    began = time.time()
+    named = [(str(i), t) for i, t in enumerate(items)]
+    index = decontam.build_index(named)
+    raw, off = text_buffers(pa.array([text]))
+    hit, pairs = decontam._hits(Words(raw, off, 0, 1), index, 10, 5)
+    took, most = time.time() - began, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert took < 60 and most < 1 << 30
+    (_, _, n_hit, ids), = brute([(0, text)], named)
+    assert int(hit.sum()) == n_hit and {index.ids[i] for _, i in pairs} == set(ids) and n_hit
