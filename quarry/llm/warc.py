@@ -53,7 +53,7 @@ HEADER_OF = {"record_type": "warc-type", "record_id": "warc-record-id", "target_
              "content_type": "content-type", "content_length": "content-length"}
 SCHEMA = ("record_type string, record_id string, target_uri string, date string, payload_digest string, "
           "refers_to string, content_type string, content_length bigint, http_status int, "
-          "payload_bytes bigint, payload binary")
+          "payload_bytes bigint, payload binary, damaged boolean")
 
 
 def sha1_base32(data: Column) -> Column:
@@ -150,6 +150,7 @@ class WarcReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path = options["path"]
         self.payload = str(options.get("payload", "true")).lower() == "true"
+        self.mark = str(options.get("damaged", "fail")).lower() == "mark"
         self.split_bytes = int(options.get("split_bytes", SPLIT_BYTES))
         self.tests: list[tuple[str, Callable[[Any], bool]]] = []
 
@@ -187,9 +188,9 @@ class WarcReader(DataSourceReader):
         for path in partition.files:
             raw = open(path, "rb") if isinstance(fs, pafs.LocalFileSystem) else io.BufferedReader(fs.open_input_file(path))
             with raw, (gzip.open(raw, "rb") if path.endswith(".gz") else raw) as f:
-                for row in scan(f, self.tests, self.payload):
+                for row in scan(f, self.tests, self.payload, self.mark):
                     rows.append(row)
-                    size += len(row[-1] or b"") + 200
+                    size += len(row[-2] or b"") + 200
                     if size >= BATCH_BYTES:
                         yield _batch(rows)
                         rows, size = [], 0
@@ -200,7 +201,7 @@ class WarcReader(DataSourceReader):
 _ARROW = pa.schema([("record_type", pa.string()), ("record_id", pa.string()), ("target_uri", pa.string()),
                     ("date", pa.string()), ("payload_digest", pa.string()), ("refers_to", pa.string()),
                     ("content_type", pa.string()), ("content_length", pa.int64()), ("http_status", pa.int32()),
-                    ("payload_bytes", pa.int64()), ("payload", pa.binary())])
+                    ("payload_bytes", pa.int64()), ("payload", pa.binary()), ("damaged", pa.bool_())])
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -257,12 +258,29 @@ def _headers(f: BinaryIO, limit: int | None = None) -> tuple[dict[str, str], int
     return headers, n
 
 
-def scan(f: BinaryIO, tests: list[tuple[str, Callable[[Any], bool]]], payload: bool) -> Iterator[tuple]:
-    """Rows of the records that pass the header tests."""
+class Damaged(ValueError):
+    """An archive that ends inside a record, or a record whose length cannot be read."""
 
-    def skip(n: int) -> None:
+
+def scan(f: BinaryIO, tests: list[tuple[str, Callable[[Any], bool]]], payload: bool, mark: bool = False) -> Iterator[tuple]:
+    """Rows of the records that pass the header tests.
+
+    What is read or skipped is held against the declared length. A record that
+    is cut short, or has a length that is no number, raises ``Damaged``; with
+    ``mark`` it comes as a row with ``damaged`` true and the bytes there are,
+    whatever the tests say, and ends its file, as nothing tells where a next
+    record would begin.
+    """
+
+    def skip(n: int) -> int:
+        """Bytes of the n that are there."""
         if n:
-            f.seek(n, io.SEEK_CUR)
+            at = f.tell()
+            f.seek(n - 1, io.SEEK_CUR)
+            if not f.readline(1):
+                f.seek(at)
+                return len(f.read(n))
+        return n
 
     while True:
         start = f.readline()
@@ -271,42 +289,60 @@ def scan(f: BinaryIO, tests: list[tuple[str, Callable[[Any], bool]]], payload: b
         if not start:
             return
         if not start.startswith(b"WARC/"):
-            raise ValueError(f"no WARC record at {start[:40]!r}")
+            raise Damaged(f"no WARC record at {start[:40]!r}")
         headers, _ = _headers(f)
-        length = int(headers.get("content-length", 0))
+        declared = headers.get("content-length", "0")
         values: dict[str, Any] = {c: headers.get(h) for c, h in HEADER_OF.items()}
+        names = [values[c] for c in list(HEADER_OF)[:6]]
+        if not (declared.isascii() and declared.isdigit()):
+            if not mark:
+                raise Damaged(f"record {values['record_id']} has the length {declared!r}")
+            yield (*names, values["content_type"], None, None, None, None, True)
+            return
+        length = int(declared)
         values["content_length"] = length
-        if not all(test(values[c]) for c, test in tests):
-            skip(length)
-            continue
-        status, size, data = None, length, None
-        if (values["content_type"] or "").startswith("application/http"):
-            first = f.readline(length)
-            http, read = _headers(f, length - len(first))
-            words = first.split()
-            status = int(words[1]) if len(words) > 1 and words[1].isdigit() else None
-            size = length - len(first) - read
-            if values["record_type"] == "revisit":      # the payload is the earlier record's; its head tells the size
-                declared = http.get("content-length", "")
-                skip(size)
-                size = int(declared) if declared.isdigit() else None
-            elif payload:
+        wanted = all(test(values[c]) for c, test in tests)
+        status, size, data, there = None, length, None, 0
+        try:
+            if wanted and (values["content_type"] or "").startswith("application/http"):
+                first = f.readline(length)
+                http, read = _headers(f, length - len(first))
+                words = first.split()
+                status = int(words[1]) if len(words) > 1 and words[1].isdigit() else None
+                there = len(first) + read
+                size = length - there
+            if wanted and payload and values["record_type"] != "revisit":
                 data = f.read(size)
+                there += len(data)
             else:
-                skip(size)
-        elif payload:
-            data = f.read(length)
-        else:
-            skip(length)
-        yield (*(values[c] for c in list(HEADER_OF)[:6]), values["content_type"], length, status, size, data)
+                there += skip(length - there)
+        except EOFError:                                    # a compressed archive that ends inside its stream
+            there = min(there, length - 1)
+        if there < length:
+            if not mark:
+                raise Damaged(f"record {values['record_id']} ends after {there} of {length} bytes")
+            yield (*names, values["content_type"], length, status, max(0, size - (length - there)), data, True)
+            return
+        if not wanted:
+            continue
+        if values["record_type"] == "revisit" and (values["content_type"] or "").startswith("application/http"):
+            # the payload is the earlier record's; its head tells the size
+            told = http.get("content-length", "")
+            size = int(told) if told.isdigit() else None
+        yield (*names, values["content_type"], length, status, size, data, False)
 
 
-def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+def read(spark: SparkSession, path: str, payload: bool = True, damaged: str = "fail") -> DataFrame:
     """The records under ``path``; filters on header columns reach the reader.
 
+    ``damaged``: an archive that ends inside a record, or a record without a
+    readable length, fails the job (``fail``), or is a row with the column
+    ``damaged`` true, the last of its file (``mark``). A folder without archives
+    gives no rows.
+
     Spark keeps pushed filters with the loaded relation, so load anew for
     every set of filters.
     """
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    return spark.read.format("warc").option("payload", str(payload).lower()).option("damaged", damaged).load(path)

@@ -85,7 +85,7 @@ def test_predicates_reach_the_headers_and_payloads_are_skipped(spark, tmp_path):
     full, picked, bare = Tracked(raw), Tracked(raw), Tracked(raw)
     assert len(list(warc.scan(full, [], True))) == len(PAGES) and full.taken > 500_000
     assert [r[1] for r in warc.scan(picked, [("record_id", lambda v: v == "<urn:page:9>")], True)] == ["<urn:page:9>"] and picked.taken == 2
-    assert all(r[-1] is None for r in warc.scan(bare, [], False)) and bare.taken == 0
+    assert all(r[-2] is None for r in warc.scan(bare, [], False)) and bare.taken == 0
     assert all(r["payload"] is None and r["payload_bytes"] is not None for r in warc.read(spark, path, payload=False).collect())
 
 
@@ -103,6 +103,45 @@ def test_foreign_archives(spark, tmp_path):
         list(warc.scan(io.BytesIO(b"HTTP/1.1 200 OK\r\n"), [], True))
 
 
+def record(kind=b"resource", body=b"hello world, all 21 b", extra=b"", length=None):
+    return (b"WARC/1.0\r\nWARC-Type: " + kind + b"\r\nWARC-Record-ID: <urn:x>\r\n" + extra
+            + b"Content-Length: " + (length or str(len(body)).encode()) + b"\r\n\r\n" + body + b"\r\n\r\n")
+
+
+HTTP = b"HTTP/1.1 200 OK\r\nContent-Length: 5\r\n\r\nhello"
+
+
+@pytest.mark.parametrize("payload", [True, False])
+@pytest.mark.parametrize("wanted", [True, False])
+def test_archives_that_end_inside_a_record(payload, wanted):
+    """Cut at any byte of the second record's body: an error, or a row that says so with what is there; never a shorter payload."""
+    tests = [] if wanted else [("record_type", lambda v: v == "none such")]
+    for second in (record(), record(b"response", HTTP, b"Content-Type: application/http\r\n"),
+                   record(b"revisit", HTTP[:-5], b"Content-Type: application/http\r\n")):
+        whole = record() + second
+        head = whole.rindex(b"\r\n\r\n", 0, len(whole) - 4) + 4 if b"HTTP" not in second else len(record()) + second.index(b"HTTP")
+        assert [r[-1] for r in warc.scan(io.BytesIO(whole), tests, payload)] == [False] * 2 * wanted
+        for end in range(head, len(whole) - 4):
+            with pytest.raises(warc.Damaged):
+                list(warc.scan(io.BytesIO(whole[:end]), tests, payload))
+            rows = list(warc.scan(io.BytesIO(whole[:end]), tests, payload, mark=True))
+            assert [r[-1] for r in rows] == [False] * wanted + [True]
+            if payload and wanted and second == record():
+                assert rows[-1][-2] == whole[head:end] and rows[-1][-3] == end - head
+        cut = gzip.compress(whole)[:-20]
+        with pytest.raises((warc.Damaged, EOFError)):
+            list(warc.scan(gzip.open(io.BytesIO(cut)), tests, payload))
+
+
+@pytest.mark.parametrize("length", [b"abc", b"-5", b"1e3", "\u0663".encode()])
+def test_lengths_that_are_none(spark, tmp_path, length):
+    (tmp_path / "a.warc").write_bytes(record() + record(length=length) + record())
+    with pytest.raises(Exception, match="length"):
+        warc.read(spark, str(tmp_path)).collect()
+    got = warc.read(spark, str(tmp_path), damaged="mark").collect()
+    assert [(r["damaged"], r["payload_bytes"]) for r in got] == [(False, 21), (True, None)]
+
+
 # --- embedding graph -----------------------------------------------------------------
 
 def brute_links(rows, thr=0.9):
