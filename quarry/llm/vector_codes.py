@@ -20,7 +20,8 @@ are left out. Vectors shorter than the longest count as filled up with zeros,
 as do lengths that the parts do not divide; empty vectors are all zeros. Null
 ids come last in the order that the first entries are taken in, equal ids by
 their vectors. With fewer vectors than entries the codebooks are that short. An
-entry with no parts keeps its place. An error beyond a long is null. An empty
+entry with no parts keeps its place. An
+error beyond a long is null, and so is a sum over it. An empty
 table gives an empty result. Further columns are not read.
 """
 
@@ -229,6 +230,7 @@ def with_group_error(coded: DataFrame, group: str, name: str) -> DataFrame:
     any size ships a row for each task.
     """
     coded = cut(coded, "vector-codes")
-    sums = (coded.groupBy(F.col(group).alias("__g")).agg(F.sum(F.col("error").cast("decimal(20,0)")).alias("__s"))
+    whole = F.count("error") == F.count(F.lit(1))
+    sums = (coded.groupBy(F.col(group).alias("__g")).agg(F.when(whole, F.sum(F.col("error").cast("decimal(20,0)"))).alias("__s"))
             .select("__g", F.expr("try_cast(__s as bigint)").alias(name)))
     return coded.join(sums, coded[group].eqNullSafe(sums["__g"])).drop("__g")
