@@ -34,7 +34,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the Pfair order of their sources (weights: square root of the rows)."""
+    """All documents, in the Pfair order of their sources (weights: square root of the rows); files in name order hold it."""
     return mixing.mixed(docs, mixing.target_weights(docs))
 
 
@@ -42,7 +42,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's shard of 16 by rendezvous hashing of its id, and its place (position, in_block) in the mix.
 
     Rows that were written and read again have no order, so the place, which
-    the documents and their sources alone decide, is worked out from them.
+    the documents and their sources alone decide, is a column of the result.
     """
     placed = mixing.with_place(docs, mixing.target_weights(docs))
     return sharding.with_shard(placed, ["doc_id"], [1.0] * SHARDS)
@@ -62,11 +62,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in order over all documents; runs jobs.
 
-    The rows come in the mixed order, in all and in each shard, with the
-    columns of documents and the shard.
+    The columns of documents, each document's place in the mix (``position`` of
+    its block, ``in_block``) and its shard: whoever writes the rows has the
+    mixed order, over all and in each shard, in columns.
     """
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    out = STAGES[-1][1](spark, docs, sf_dir)
-    return out.orderBy("position", "in_block").select(*docs.columns, "shard")
+    return STAGES[-1][1](spark, docs, sf_dir)
