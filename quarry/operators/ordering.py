@@ -2,14 +2,17 @@
 (inventory F1, F3, G1-G8, B8).
 
 No function here uses a window without PARTITION BY on the full data. Two exact
-schemes replace it (the cross-bucket step itself is two-level, see
-``_bucket_prefix``):
-
-* integer keys (``bucketed_*``): rows are grouped in buckets of a fixed key width,
-  so a bucket never holds more than ``bucket_width`` distinct keys; per-bucket
-  totals (one row per bucket) get their exclusive prefix, which is joined back.
-  ``bucket_width="auto"`` sizes the width from the key range and row count, for
-  sparse keys.
+schemes replace it:
+
+* integer keys (``bucketed_*``): rows are grouped in buckets of neighbouring keys,
+  per-bucket totals (one row per bucket) get their exclusive prefix, which is
+  joined back. Where the buckets begin follows from the keys themselves: a
+  mergeable quantile sketch of them, made by partial aggregation, gives cut
+  points of equal shares of the rows, and a long share is divided evenly
+  between its cut points (``key_buckets``). So buckets hold about as many rows
+  whether keys are dense, sparse over 64 bits or clustered in narrow bands, and
+  their prefix takes one level. Repeats of one key share its bucket. Null keys
+  come first, in a bucket of their own; a null group is a group.
 * arbitrary sort keys (``global_rank``): a sampled range exchange sorts the data,
   the sorted rows are written once, with their partition id and position, to a
   table in the shared checkpoint folder (so the sampled split points are
@@ -19,53 +22,86 @@ schemes replace it (the cross-bucket step itself is two-level, see
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
 from quarry.functions.scalars import static_range_bucket
 from quarry.session import scratch_path
 
-DEFAULT_BUCKET_WIDTH = 1 << 16   # keys per bucket of the bucketed running steps
-AUTO_TARGET_ROWS = 1 << 16       # rows per bucket aimed at by bucket_width="auto"
+AUTO = "auto"                    # bucket_width: buckets by a quantile sketch of the keys
+TARGET_ROWS = 1 << 16            # rows of a bucket aimed at
+SHARES = 256                     # equal shares that the sketch cuts the rows into, at most
+SKETCH_K = 4096                  # its size: ranks to about 0.13 % of the rows, a third of a share
 TOP_FAN_OUT = 1 << 16            # buckets per super-bucket in the cross-bucket prefix
+NULL_BUCKET = -(1 << 62)
 
 
-def _floor_div(col: Column, width: int | Column) -> Column:
-    if isinstance(width, Column):          # computed width: exact decimal floor, no overflow
-        return F.floor(col.cast("decimal(20,0)") / width.cast("decimal(20,0)")).cast("long")
+def _floor_div(col: Column, width: int) -> Column:
     w = F.lit(width)
     return ((col - F.pmod(col, w)) / w).cast("long")
 
 
-def _width(df: DataFrame, order_key: str, bucket_width: int | str) -> int | Column:
-    """A fixed key width, or for ``"auto"`` one chosen from the key's range and
-    row count (a scalar subquery) so that buckets hold about AUTO_TARGET_ROWS
-    rows when keys are spread evenly, however sparse they are."""
-    if bucket_width != "auto":
-        return int(bucket_width)
-    k = F.col(order_key).cast("decimal(20,0)")
-    span = (F.max(k) - F.min(k) + 1).cast("decimal(38,0)")
-    stats = df.agg((span * F.lit(AUTO_TARGET_ROWS) / F.greatest(F.count(k), F.lit(1))).alias("_w"))
-    return F.greatest(F.ceil(stats.scalar()), F.lit(1)).cast("long")
+def _decide(key: Column, cuts: list[int], leaf: Callable[[int], Column], lo: int = 0, hi: int | None = None) -> Column:
+    """``leaf(i)`` of the share i that the key lies in (shares begin at the cuts), found by halving."""
+    hi = len(cuts) if hi is None else hi
+    if lo == hi:
+        return leaf(lo)
+    mid = (lo + hi) // 2
+    return F.when(key < F.lit(cuts[mid]), _decide(key, cuts, leaf, lo, mid)).otherwise(_decide(key, cuts, leaf, mid + 1, hi))
 
 
-def _levels(kind: DataType, width: int | str) -> int:
-    """How many super-bucket levels leave at most TOP_FAN_OUT rows for the last step, however sparse the keys.
+def key_buckets(df: DataFrame, order_key: str, bucket_width: int | str = AUTO, key_bits: int = 64,
+                target_rows: int | None = None) -> tuple[Column, int]:
+    """The bucket (a long that rises with the key) of each row, and the levels that the buckets' prefix takes.
 
-    A 64-bit key cut into buckets of 2^16 keys has up to 2^48 buckets, 2^32
-    super-buckets and 2^16 above those; "auto" width already leaves about one
-    bucket per AUTO_TARGET_ROWS rows.
+    ``AUTO`` runs one job over the key column, whose result is the sketch's
+    quantiles (``SHARES`` numbers) and the count. A number for ``bucket_width``
+    cuts at its multiples instead, for dense keys of at most ``key_bits`` bits.
+    The prefix's last step then sees ``TOP_FAN_OUT`` rows at most.
     """
-    bits = {"tinyint": 8, "smallint": 16, "int": 32}.get(kind.simpleString(), 64)
-    if width == "auto" or isinstance(width, Column):
-        bits = 48
-        width = DEFAULT_BUCKET_WIDTH
-    left = bits - (int(width).bit_length() - 1)
+    key = F.col(order_key).cast("long")
+    if bucket_width != AUTO:
+        return F.coalesce(_floor_div(key, int(bucket_width)), F.lit(NULL_BUCKET)), _levels(key_bits - int(bucket_width).bit_length() + 1)
+    ranks = F.array(*[F.lit(i / SHARES) for i in range(SHARES + 1)])
+    found = (df.agg(F.count(order_key).alias("n"), F.kll_sketch_agg_bigint(key, SKETCH_K).alias("s"))
+             .select("n", F.when(F.col("n") > 0, F.kll_sketch_get_quantile_bigint("s", ranks)).alias("q")).first())
+    n, at = found["n"], found["q"]
+    if not n:
+        return F.when(key.isNull(), F.lit(NULL_BUCKET)).otherwise(F.lit(0).cast("long")), 0
+    buckets = max(1, -(-n // (target_rows or TARGET_ROWS)))
+    shares = min(SHARES, buckets)
+    inner = -(-buckets // shares)
+    cuts = sorted({at[i * SHARES // shares] for i in range(1, shares)})
+    ends = [at[0], *cuts, at[-1] + 1]
+
+    def leaf(i: int) -> Column:
+        first, span = ends[i], max(1, ends[i + 1] - ends[i])
+        if inner == 1:
+            return F.lit(i).cast("long")
+        # keys beyond the sketch's ends stay in the first and last bucket
+        part = F.floor((key.cast("decimal(20,0)") - F.lit(first)) * inner / F.lit(span))
+        return (F.lit(i * inner) + F.greatest(F.lit(0), F.least(F.lit(inner - 1), part))).cast("long")
+
+    bucket = F.when(key.isNull(), F.lit(NULL_BUCKET)).otherwise(_decide(key, cuts, leaf))
+    return bucket, _levels((shares * inner).bit_length())
+
+
+def _join_back(local: DataFrame, per_bucket: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``local`` with the other columns of ``per_bucket``, by ``keys`` that may be null."""
+    named = per_bucket.select(*[F.col(f"`{k}`").alias(f"_qk{i}") for i, k in enumerate(keys)],
+                              *[c for c in per_bucket.columns if c not in keys])
+    on = [local[f"`{k}`"].eqNullSafe(named[f"_qk{i}"]) for i, k in enumerate(keys)]
+    return local.join(named, reduce(and_, on)).drop(*[f"_qk{i}" for i in range(len(keys))])
+
+
+def _levels(bits: int) -> int:
+    """Super-bucket levels over 2^bits buckets that leave at most TOP_FAN_OUT rows (and the null bucket's) for the last step."""
     fan = TOP_FAN_OUT.bit_length() - 1
-    return max(1, -(-(left - fan) // fan))
+    return max(0, -(-(bits - fan) // fan))
 
 
 def _bucket_prefix(per_bucket: DataFrame, bucket: str, total: str, out: str,
@@ -106,21 +142,20 @@ def _bucket_lead(firsts: DataFrame, bucket: str, value: str, out: str, levels: i
 
 def bucketed_running_sum(df: DataFrame, order_key: str, value: Column | str, out: str,
                          partition_by: Sequence[str] = (), inclusive: bool = True,
-                         bucket_width: int | str = DEFAULT_BUCKET_WIDTH,
-                         tie_breakers: Sequence[str] = ()) -> DataFrame:
-    """Exact running total of ``value`` in ascending integer ``order_key`` order.
+                         bucket_width: int | str = AUTO, tie_breakers: Sequence[str] = (), key_bits: int = 64) -> DataFrame:
+    """Exact running total of ``value`` in ascending integer ``order_key`` order, null keys first.
 
     ``partition_by`` restarts the total per group; a hot group is still split
-    into buckets of ``bucket_width`` keys, so no task receives a whole group.
-    The input is read and shuffled once: the per-bucket totals are taken from
-    the same bucket-partitioned rows as the local running sums (the exchange is
-    reused), and only those totals meet in the cross-bucket prefix.
+    into buckets, so no task receives a whole group. The rows are shuffled
+    once: the per-bucket totals are taken from the same bucket-partitioned rows
+    as the local running sums (the exchange is reused), and only those totals
+    meet in the cross-bucket prefix.
     """
     v = F.col(value) if isinstance(value, str) else value
     parts = list(partition_by)
     b = "_qb"
-    width = _width(df, order_key, bucket_width)
-    with_b = df.withColumn(b, _floor_div(F.col(order_key), width)).withColumn("_qv", v)
+    bucket, levels = key_buckets(df, order_key, bucket_width, key_bits)
+    with_b = df.withColumn(b, bucket).withColumn("_qv", v)
     end = 0 if inclusive else -1
     local_w = (Window.partitionBy(*parts, b).orderBy(order_key, *tie_breakers)
                .rowsBetween(Window.unboundedPreceding, end))
@@ -130,21 +165,22 @@ def bucketed_running_sum(df: DataFrame, order_key: str, value: Column | str, out
         w = Window.partitionBy(*parts).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
         offsets = per_bucket.select(*parts, b, F.coalesce(F.sum("_qt").over(w), F.lit(0)).alias("_qo"))
     else:
-        offsets = _bucket_prefix(per_bucket, b, "_qt", "_qo", levels=_levels(df.schema[order_key].dataType, bucket_width))
-    return (local.join(offsets, [*parts, b])
-            .withColumn(out, F.col("_qo") + F.col("_ql"))
+        offsets = _bucket_prefix(per_bucket, b, "_qt", "_qo", levels=levels)
+    return (_join_back(local, offsets, [*parts, b])
+            .withColumn(out, F.coalesce(F.col("_qo"), F.lit(0)) + F.col("_ql"))
             .drop(b, "_qv", "_qo", "_ql"))
 
 
 def bucketed_running_max(df: DataFrame, order_key: str, value: str, out: str,
                          partition_by: Sequence[str] = (),
-                         bucket_width: int | str = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                         bucket_width: int | str = AUTO, key_bits: int = 64) -> DataFrame:
     """Running max of ``value`` (any orderable type) in ascending integer
     ``order_key`` order, restarted per ``partition_by`` group, with the same
     bucketing as ``bucketed_running_sum`` (a hot group is split over buckets)."""
     parts = list(partition_by)
     b = "_qb"
-    with_b = df.withColumn(b, _floor_div(F.col(order_key), _width(df, order_key, bucket_width)))
+    bucket, levels = key_buckets(df, order_key, bucket_width, key_bits)
+    with_b = df.withColumn(b, bucket)
     local_w = Window.partitionBy(*parts, b).orderBy(order_key).rowsBetween(Window.unboundedPreceding, 0)
     local = with_b.withColumn("_ql", F.max(value).over(local_w))
     per_bucket = local.groupBy(*parts, b).agg(F.max(value).alias("_qt"))
@@ -152,14 +188,14 @@ def bucketed_running_max(df: DataFrame, order_key: str, value: str, out: str,
         prev = Window.partitionBy(*parts).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
         offsets = per_bucket.select(*parts, b, F.max("_qt").over(prev).alias("_qo"))
     else:
-        offsets = _bucket_prefix(per_bucket, b, "_qt", "_qo", "max", _levels(df.schema[order_key].dataType, bucket_width))
-    return (local.join(offsets, [*parts, b])
+        offsets = _bucket_prefix(per_bucket, b, "_qt", "_qo", "max", levels)
+    return (_join_back(local, offsets, [*parts, b])
             .withColumn(out, F.greatest("_qo", "_ql"))
             .drop(b, "_qo", "_ql"))
 
 
 def bucketed_lead(df: DataFrame, order_key: str, value: str, out: str, partition_by: Sequence[str] = (),
-                  bucket_width: int | str = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                  bucket_width: int | str = AUTO, key_bits: int = 64) -> DataFrame:
     """``value`` of the next row in ``order_key`` order within each
     ``partition_by`` group (a lead), null for the last row.
 
@@ -169,29 +205,32 @@ def bucketed_lead(df: DataFrame, order_key: str, value: str, out: str, partition
     spread over many tasks."""
     parts = list(partition_by)
     b = "_qb"
-    with_b = df.withColumn(b, _floor_div(F.col(order_key), _width(df, order_key, bucket_width)))
+    bucket, levels = key_buckets(df, order_key, bucket_width, key_bits)
+    with_b = df.withColumn(b, bucket)
     w = Window.partitionBy(*parts, b).orderBy(order_key)
-    # lag, not row_number, marks a bucket's first row: the first-row filter then
-    # shares this window and its exchange instead of being planned apart
-    local = with_b.withColumn("_qn", F.lead(value).over(w)).withColumn("_qr", F.lag(order_key).over(w))
+    # lags, not row_number, mark a bucket's first and leads its last row (a null value is a value): the filter on
+    # the first row then shares this window and its exchange instead of being planned apart
+    one = F.lit(1)
+    local = (with_b.withColumn("_qn", F.lead(value).over(w)).withColumn("_qr", F.lag(one).over(w))
+             .withColumn("_qe", F.lead(one).over(w)))
     firsts = local.where(F.col("_qr").isNull()).select(*parts, b, F.col(value).alias("_qf"))
     if parts:
         nextb = firsts.select(*parts, b, F.lead("_qf").over(Window.partitionBy(*parts).orderBy(b)).alias("_qnb"))
     else:
-        nextb = _bucket_lead(firsts, b, "_qf", "_qnb", _levels(df.schema[order_key].dataType, bucket_width))
-    return (local.join(nextb, [*parts, b])
-            .withColumn(out, F.coalesce("_qn", "_qnb"))
-            .drop(b, "_qn", "_qr", "_qnb"))
+        nextb = _bucket_lead(firsts, b, "_qf", "_qnb", levels)
+    return (_join_back(local, nextb, [*parts, b])
+            .withColumn(out, F.when(F.col("_qe").isNull(), F.col("_qnb")).otherwise(F.col("_qn")))
+            .drop(b, "_qn", "_qr", "_qe", "_qnb"))
 
 
 def bucketed_next(df: DataFrame, order_key: str, out: str, partition_by: Sequence[str] = (),
-                  bucket_width: int | str = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                  bucket_width: int | str = AUTO) -> DataFrame:
     """The next ``order_key`` value within each ``partition_by`` group."""
     return bucketed_lead(df, order_key, order_key, out, partition_by, bucket_width)
 
 
 def bucketed_ordinal(df: DataFrame, order_key: str, out: str = "ordinal",
-                     bucket_width: int | str = DEFAULT_BUCKET_WIDTH, start: int = 0,
+                     bucket_width: int | str = AUTO, start: int = 0,
                      tie_breakers: Sequence[str] = ()) -> DataFrame:
     """Dense row number in ``order_key`` order (F1) starting at ``start``."""
     r = bucketed_running_sum(df, order_key, F.lit(1).cast("long"), "_qord", inclusive=False,

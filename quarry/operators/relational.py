@@ -18,8 +18,8 @@ def skip_first_rows(df: DataFrame, order_col: str, n: int = 1) -> DataFrame:
     Only the ``n`` smallest keys are found (a bounded top-n, ``n`` rows per task)
     and removed with an anti join whose build side is exactly ``n`` rows.
     """
-    head = df.select(order_col).orderBy(order_col).limit(n)
-    return df.join(F.broadcast(head), order_col, "left_anti")
+    head = df.select(F.col(order_col).alias("_qh")).orderBy("_qh").limit(n)      # a null key is the smallest
+    return df.join(F.broadcast(head), F.col(order_col).eqNullSafe(F.col("_qh")), "left_anti")
 
 
 def grouped_sum_having(df: DataFrame, key: str, value: str, threshold: float,

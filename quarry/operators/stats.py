@@ -4,6 +4,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,12 +37,15 @@ def sigma_outliers(df: DataFrame, keys: Sequence[str], value: str, sigmas: float
     measures it small, and a hot group on the row side is split by the skew join
     instead of landing in one window task.
     """
-    stats = group_stats(df, keys, value)
-    labelled = df.join(stats, list(keys)).withColumn(
-        "label", _label(F.col(value), F.col("mean"), F.col("std"), sigmas))
+    names = [f"_qk{i}" for i in range(len(keys))]
+    stats = group_stats(df, keys, value).select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("mean").alias("_qmean"),
+                                                F.col("std").alias("_qstd"))
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]        # a null key is a group, as in the window form
+    labelled = df.join(stats, reduce(and_, same)).withColumn(
+        "label", _label(F.col(value), F.col("_qmean"), F.col("_qstd"), sigmas))
     if not keep_flat:
         labelled = labelled.where(F.col("label") != LABEL_FLAT)
-    return labelled.drop("cnt", "mean", "std")
+    return labelled.drop(*names, "_qmean", "_qstd")
 
 
 def sigma_outliers_window(df: DataFrame, keys: Sequence[str], value: str, sigmas: float = 3.0,

@@ -13,10 +13,14 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import DataType, NumericType
 
-from quarry.operators.ordering import bucketed_running_max, bucketed_running_sum, top_k_per_group
+from quarry.operators.ordering import AUTO, _join_back, bucketed_running_max, bucketed_running_sum, top_k_per_group
 from quarry.session import write_scratch
 
 
+DENSE_WIDTH = 1 << 16   # windows of a bucket in the running steps over windows
+WINDOW_BITS = 48        # of a window id, which counts windows from 0
+
+
 def window_id(ordinal: str | Column, n: int) -> Column:
     o = F.col(ordinal) if isinstance(ordinal, str) else ordinal
     return F.floor(o / F.lit(n)).cast("long")
@@ -48,7 +52,7 @@ def count_window_sum(df: DataFrame, ordinal: str, value: str, n: int, decimal: s
 
 
 def count_window_running_sum(df: DataFrame, ordinal: str, value: str, n: int,
-                             bucket_width: int = 1 << 16, decimal: str = "decimal(18,2)") -> DataFrame:
+                             bucket_width: int | str = AUTO, decimal: str = "decimal(18,2)") -> DataFrame:
     """Running total emitted at the end of every complete window (values in ``decimal``, as above).
 
     Per-window sums are small (rows / n); the running total over them is the
@@ -58,7 +62,8 @@ def count_window_running_sum(df: DataFrame, ordinal: str, value: str, n: int,
                   .agg(F.sum(F.col(value).cast(decimal)).alias("_s"),
                        F.count(F.lit(1)).alias("_c"))
                   .where(F.col("_c") == n))
-    run = bucketed_running_sum(per_window, "window_id", "_s", "_r", bucket_width=bucket_width)
+    width = DENSE_WIDTH if bucket_width == AUTO else bucket_width       # window ids are dense
+    run = bucketed_running_sum(per_window, "window_id", "_s", "_r", bucket_width=width, key_bits=WINDOW_BITS)
     return run.select("window_id", F.col("_r").cast("double").alias("running_total"))
 
 
@@ -145,7 +150,7 @@ def _group_cumulative(parts: DataFrame, group: str, last: Column, bucket_width:
                               F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_cn"),
                               F.max("_bb").over(before).alias("_cb"),
                               F.lead("_bf").over(w_buckets).alias("_cx"))
-    return (local.join(carry, [group, b])
+    return (_join_back(local, carry, [group, b])
             .select("window_id", group, (F.col("_cn") + F.col("_ln")).alias("cn"),
                     F.greatest("_cb", "_lb").alias("best"),
                     F.coalesce("_lx", "_cx", last + 1).alias("_next")))
@@ -184,11 +189,12 @@ def cumulative_pieces(parts: DataFrame, group: str, k: int, last: Column, bucket
                       .otherwise(F.array().cast("array<bigint>")))
     pieces = (states.select(F.explode(starts).alias("s"), "_next", group, "cn", "best")
               .withColumn("e", F.least("_next", F.expr(f"(s div {step} + 1) * {step}")))
-              .withColumn("_key", F.struct(F.col("cn").alias("c"),
+              .withColumn("_key", F.struct(F.col("cn").alias("c"), F.col(group).isNull().alias("z"),      # a null group is first
                                            _descending(group, states.schema[group].dataType).alias("g"))))
     leading = top_k_per_group(pieces.select("s", "_key"), ["s"], [F.desc("_key")], k)
     kth = leading.groupBy("s").agg(F.max(F.when(F.col("rank") == k, F.col("_key"))).alias("_kth"))
-    bound = bucketed_running_max(kth, "s", "_kth", "_bound", bucket_width=bucket_width).select("s", "_bound")
+    bits = int(size["windows"] or 1).bit_length()
+    bound = bucketed_running_max(kth, "s", "_kth", "_bound", bucket_width=bucket_width, key_bits=bits).select("s", "_bound")
     return (pieces.join(bound, "s").where(F.col("_bound").isNull() | (F.col("_key") >= F.col("_bound")))
             .select("s", "e", group, F.col("cn").alias("n"), "best"))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -87,19 +89,69 @@ def test_top_k_per_group(spark):
     assert plain.where("r <= 2").count() == top.count()
 
 
-def test_auto_width_sparse_keys(spark):
-    random.seed(21)
-    keys = random.sample(range(-(1 << 60), 1 << 60), 5000)
-    df = spark.createDataFrame([(k,) for k in keys], "k long")
-    ordering.AUTO_TARGET_ROWS, saved = 64, ordering.AUTO_TARGET_ROWS
-    try:
-        got = rows(ordering.bucketed_ordinal(df, "k", out="o", bucket_width="auto"), "k", "o")
-        with_b = df.withColumn("b", ordering._floor_div(F.col("k"), ordering._width(df, "k", "auto")))
-        n_buckets = with_b.select("b").distinct().count()
-    finally:
-        ordering.AUTO_TARGET_ROWS = saved
-    assert got == [(k, i) for i, k in enumerate(sorted(keys))]
-    assert 40 <= n_buckets <= 120              # about 5000 / 64 buckets despite 2^61-wide keys
+def _key_sets():
+    rnd = random.Random(21)
+    return {"sparse 64-bit": [rnd.randrange(-(1 << 63), 1 << 63) for _ in range(6000)],
+            "clustered": [*range(1 << 40, (1 << 40) + 5000), *(rnd.randrange(-(1 << 62), 1 << 62) for _ in range(1000))],
+            "two bands": [*range(3000), *range(1 << 60, (1 << 60) + 3000)],
+            "dense": list(range(6000))}
+
+
+@pytest.mark.parametrize("name", list(_key_sets()))
+def test_sketch_buckets_are_even(spark, monkeypatch, name):
+    """Whatever the keys' distribution: buckets within twice the mean, in the keys' order, exact results, one prefix step."""
+    monkeypatch.setattr(ordering, "TARGET_ROWS", 100)
+    keys = sorted(set(_key_sets()[name]))
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(5)
+    bucket, levels = ordering.key_buckets(df, "k")
+    assert levels == 0
+    held = {}
+    for r in df.select("k", bucket.alias("b")).collect():
+        held.setdefault(r["b"], []).append(r["k"])
+    mean = len(keys) / len(held)
+    assert 50 <= len(held) <= 70 and max(map(len, held.values())) <= 2 * mean
+    assert [k for b in sorted(held) for k in sorted(held[b])] == keys
+    assert rows(ordering.bucketed_ordinal(df, "k", out="o"), "k", "o") == [(k, i) for i, k in enumerate(keys)]
+
+
+def test_shares_divided_between_their_cuts(spark, monkeypatch):
+    """More buckets than shares: a share is divided evenly between its ends."""
+    monkeypatch.setattr(ordering, "TARGET_ROWS", 10)
+    monkeypatch.setattr(ordering, "SHARES", 16)
+    keys = [k * k for k in range(-1500, 3000) if k]
+    df = spark.createDataFrame([(k,) for k in sorted(set(keys))], "k long").repartition(3)
+    assert df.select(ordering.key_buckets(df, "k")[0].alias("b")).distinct().count() > 150
+    assert rows(ordering.bucketed_ordinal(df, "k", out="o"), "k", "o") == [(k, i) for i, k in enumerate(sorted(set(keys)))]
+
+
+@pytest.mark.parametrize("width", ["auto", 3])
+def test_null_keys_and_groups_are_kept(spark, monkeypatch, width):
+    """As the plain window gives them: null keys first, a null group a group."""
+    monkeypatch.setattr(ordering, "TARGET_ROWS", 3)
+    rnd = random.Random(3)
+    data = [(rnd.choice(["a", None]), k, rnd.choice([None, i * 7 % 5]), i) for i, k in enumerate([*range(20), None, None])]
+    df = spark.createDataFrame(data, "g string, k long, v long, i long").repartition(3)
+    key = lambda r: tuple(map(str, r))
+    w = Window.partitionBy("g").orderBy("k", "i")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    cols = ("g", "k", "v", "i", "out")
+    same = lambda got, want: sorted(rows_of(got, cols), key=key) == sorted(rows_of(want, cols), key=key)
+    assert same(ordering.bucketed_running_sum(df, "k", "v", "out", ["g"], bucket_width=width, tie_breakers=["i"]),
+                df.withColumn("out", F.coalesce(F.sum("v").over(upto), F.lit(0))))
+    once = df.where("k is not null or i = 20")
+    assert same(ordering.bucketed_running_max(once, "k", "v", "out", ["g"], bucket_width=width), once.withColumn("out", F.max("v").over(upto)))
+    assert same(ordering.bucketed_lead(once, "k", "v", "out", ["g"], bucket_width=width), once.withColumn("out", F.lead("v").over(w)))
+    plain = Window.orderBy("k", "i")
+    assert same(ordering.bucketed_ordinal(df, "k", out="out", bucket_width=width, tie_breakers=["i"]),
+                df.withColumn("out", F.row_number().over(plain) - 1))
+    assert same(ordering.bucketed_lead(once, "k", "v", "out", bucket_width=width), once.withColumn("out", F.lead("v").over(plain)))
+    none = df.where("k is null")
+    assert sorted(r["ordinal"] for r in ordering.bucketed_ordinal(none, "k", bucket_width=width).collect()) == [0, 1]
+    assert ordering.bucketed_ordinal(df.limit(0), "k", bucket_width=width).collect() == []
+
+
+def rows_of(df, cols):
+    return [tuple(r[c] for c in cols) for r in df.collect()]
 
 
 def test_bucketed_max_and_next_partitioned(spark):
@@ -128,9 +180,9 @@ def test_two_level_bucket_prefix(spark):
     df = spark.createDataFrame([(k, k % 5) for k in keys], "k int, v long")
     ordering.TOP_FAN_OUT, saved = 64, ordering.TOP_FAN_OUT
     try:
-        got = rows(ordering.bucketed_running_sum(df, "k", "v", "run", bucket_width=10), "k", "run")
-        got_max = rows(ordering.bucketed_running_max(df, "k", "v", "m", bucket_width=10), "k", "m")
-        got_ord = rows(ordering.bucketed_ordinal(df, "k", out="o", bucket_width=10), "k", "o")
+        got = rows(ordering.bucketed_running_sum(df, "k", "v", "run", bucket_width=10, key_bits=15), "k", "run")
+        got_max = rows(ordering.bucketed_running_max(df, "k", "v", "m", bucket_width=10, key_bits=15), "k", "m")
+        got_ord = rows(ordering.bucketed_ordinal(df, "k", out="o"), "k", "o")
     finally:
         ordering.TOP_FAN_OUT = saved
     acc, mx, exp, exp_max = 0, None, [], []
@@ -162,7 +214,6 @@ def test_sparse_64_bit_keys_leave_little_for_one_task(spark):
         want[k] = high
     assert {r["k"]: r["m"] for r in o.bucketed_running_max(df, "k", "v", "m").collect()} == want
     # 64-bit keys in buckets of 2^16, two levels of 2^16: at most 2^16 rows, whatever the keys
-    assert o._levels(df.schema["k"].dataType, o.DEFAULT_BUCKET_WIDTH) == 2
-    for width in (1 << 16, 1 << 12, 1):
-        left = 64 - (width.bit_length() - 1) - 16 * o._levels(df.schema["k"].dataType, width)
-        assert left <= 16
+    for bits in range(0, 65):
+        assert bits - 16 * o._levels(bits) <= 16
+    assert o._levels(48) == 2 and o._levels(16) == 0
