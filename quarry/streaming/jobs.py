@@ -6,8 +6,8 @@ from rows) or folders of text files with ``readStream``, run with
 ``trigger(availableNow=True)``, and bound a micro-batch by bytes. Rows are
 combined per Arrow batch (stateless ``mapInPandas``, bounded memory) before a
 state shuffle, so a hot key ships a row per batch. State rows stay small: one
-total per word, one partial per open window. Sinks are built-in only, so no
-driver callback server is needed:
+total per word, one partial per open window. No sink needs a driver callback
+server:
 
 * running counts are the engine's own aggregation in update mode, and their
   result is read from the state store;
@@ -16,6 +16,10 @@ driver callback server is needed:
 * complete-mode summaries whose size is fixed by the query (a top-k, a grand
   total) go to the memory sink.
 
+Updates themselves and micro-batches with a manifest go to the sinks of
+``quarry.streaming.sinks``. Streams run in fresh folders, or in one named by
+``at``, where a later run goes on.
+
 Stream state and file outputs live under the shared checkpoint folder; state is
 kept in RocksDB whatever session the caller brings. The registered query
 functions run the stream to the end and return a DataFrame over what the sink,
@@ -23,9 +27,9 @@ or for running counts the state store, holds.
 
 Order. A stream's tasks see rows in no fixed order, so count windows count by a
 sequence number that the rows carry or that follows from their place: events by
-``event_id``; lines by (document id, line number), or by (file path, line
-number) for text files, through a static table of each document's or file's
-first ordinal.
+``event_id``; lines by (document id, line number), through a static table of
+each document's first ordinal, or by (file path, line number) for text files,
+whose lines are numbered and written before they are streamed.
 """
 
 from __future__ import annotations
@@ -44,8 +48,12 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quarry.functions import text as T
 from quarry.operators.text import limb_sums, total_of_limbs
-from quarry.session import scratch_path, write_scratch
+from quarry.session import scratch_path
 from quarry.sources.tables import table_path
+from quarry.streaming import sinks
+from quarry.streaming.cumulative import cumulative_top_stream
+from quarry.streaming.sinks import finish as _finish
+from quarry.streaming.sinks import prepare as _prepare
 
 DEFAULT_WINDOW_N = 300
 BYTES_PER_TRIGGER = 10 << 30   # input of one micro-batch, one file at least
@@ -89,21 +97,27 @@ def stream_text(spark: SparkSession, path: str, bytes_per_trigger: int | None =
     return spark.readStream.option("maxBytesPerTrigger", bytes_per_trigger or BYTES_PER_TRIGGER).text(path)
 
 
-def _prepare(spark: SparkSession) -> None:
-    """State off the JVM heap, snapshotted to the checkpoint folder; set before a query starts, in any session."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+def _places(spark: SparkSession, label: str, at: str | None) -> tuple[str, str]:
+    """(output folder, checkpoint folder) of a stream: fresh ones, or those named ``label`` under ``at``."""
+    if at is None:
+        return scratch_path(spark, f"{label}-out"), scratch_path(spark, f"{label}-state")
+    return f"{at.rstrip('/')}/{label}/out", f"{at.rstrip('/')}/{label}/state"
 
 
-def run_to_files(stream: DataFrame, label: str, fmt: str = "parquet") -> str:
+def run_to_files(stream: DataFrame, label: str, fmt: str = "parquet", at: str | None = None) -> str:
     """Run an append-mode ``stream`` over everything available into a file sink
-    (``parquet``, ``json`` or ``csv``: B4); return the output folder."""
+    (``parquet``, ``json`` or ``csv``: B4); return the output folder.
+
+    ``at`` names a folder for the output and the checkpoint: a later run with
+    the same one goes on where the last stopped, reads only files that came
+    since, and completes the windows that were open.
+    """
     spark = stream.sparkSession
     _prepare(spark)
-    out = scratch_path(spark, f"{label}-out")
+    out, state = _places(spark, label, at)
     q = (stream.writeStream.outputMode("append").format(fmt)
          .option("path", out)
-         .option("checkpointLocation", scratch_path(spark, f"{label}-state"))
+         .option("checkpointLocation", state)
          .trigger(availableNow=True)
          .start())
     _finish(q)
@@ -124,12 +138,6 @@ def run_to_memory(stream: DataFrame, label: str) -> DataFrame:
     return spark.table(name)
 
 
-def _finish(q) -> None:
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-
-
 def _read_sink(spark: SparkSession, out: str, schema: str | StructType) -> DataFrame:
     """What a stream wrote to its parquet sink; a stream without rows leaves a folder without data files, and
     anything that cannot be read is an error."""
@@ -145,32 +153,51 @@ def running_counts(tokens: DataFrame, key: str) -> DataFrame:
     return tokens.groupBy(F.col(key).alias("word")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def run_to_state(counts: DataFrame, label: str) -> DataFrame:
+def run_to_state(counts: DataFrame, label: str, at: str | None = None) -> DataFrame:
     """Run a ``running_counts`` stream over everything available; its counts, read from the state store.
+    ``at``: as for ``run_to_files``.
 
     The updates themselves go nowhere; what the stream has counted is its state
     of the last micro-batch, a distributed table in the checkpoint folder.
     """
     spark = counts.sparkSession
     _prepare(spark)
-    state = scratch_path(spark, f"{label}-state")
+    state = _places(spark, label, at)[1]
     q = (counts.writeStream.outputMode("update").format("noop")
          .option("checkpointLocation", state).trigger(availableNow=True).start())
     _finish(q)
-    if not any(p["stateOperators"] for p in q.recentProgress):      # no micro-batch ran: no state was made
+    kept = spark._jvm.org.apache.hadoop.fs.Path(f"{state}/state")
+    if not kept.getFileSystem(spark._jsc.hadoopConfiguration()).exists(kept):       # no micro-batch ever ran
         return spark.createDataFrame([], counts.schema)
     return spark.read.format("statestore").load(state).select("key.word", F.col("value.count").alias("n"))
 
 
-def word_counts_of(tokens: DataFrame, label: str) -> DataFrame:
+def word_counts_of(tokens: DataFrame, label: str, at: str | None = None) -> DataFrame:
     """Run a stream of ``word`` rows as running counts; the final count per word."""
-    return run_to_state(running_counts(tokens, "word"), label)
+    return run_to_state(running_counts(tokens, "word"), label, at)
 
 
-def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _word_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = stream_table(spark, sf_dir, "documents", spread=True)
-    words = docs.select(F.explode(T.whitespace_tokens(F.col("text"))).alias("word"))
-    return word_counts_of(words, "stream-word-count")
+    return docs.select(F.explode(T.whitespace_tokens(F.col("text"))).alias("word"))
+
+
+def stream_word_count(spark: SparkSession, sf_dir: str, at: str | None = None) -> DataFrame:
+    return word_counts_of(_word_stream(spark, sf_dir), "stream-word-count", at)
+
+
+def word_count_updates(spark: SparkSession, sf_dir: str, at: str | None = None) -> DataFrame:
+    """J1's updates themselves: ``(word, n, epoch)``, the running count of every word that a micro-batch touched."""
+    counts = running_counts(_word_stream(spark, sf_dir), "word")
+    log, state = _places(spark, "stream-word-updates", at)
+    sinks.run_to_updates(counts, log, state)
+    return sinks.read_update_log(spark, log, state, counts.schema)
+
+
+def stream_word_count_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last update of every word."""
+    last = F.max(F.struct("epoch", "n")).alias("_l")
+    return word_count_updates(spark, sf_dir).groupBy("word").agg(last).select("word", F.col("_l.n").alias("n"))
 
 
 def stream_text_word_count(spark: SparkSession, src: str) -> DataFrame:
@@ -276,83 +303,138 @@ def _cents_to_double(c: str) -> Column:
     return (F.col(c).cast("decimal(20,0)") / F.lit(100)).cast("decimal(18,2)").cast("double")
 
 
-def stream_count_window_sum(spark: SparkSession, sf_dir: str, n: int = DEFAULT_WINDOW_N) -> DataFrame:
+def _event_windows(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     """``event_id`` is the arrival sequence (dense from 0) of the event stream."""
     ev = stream_table(spark, sf_dir, "events")
-    windows = count_window_stream(ev, F.col("event_id"), _event_cents(ev), n)
-    out = run_to_files(windows, "stream-window")
+    return count_window_stream(ev, F.col("event_id"), _event_cents(ev), n)
+
+
+def stream_count_window_sum(spark: SparkSession, sf_dir: str, n: int = DEFAULT_WINDOW_N, at: str | None = None) -> DataFrame:
+    out = run_to_files(_event_windows(spark, sf_dir, n), "stream-window", at=at)
     sink = _read_sink(spark, out, _WINDOW_OUT)
     return sink.select("window_id", _cents_to_double("cents").alias("total"))
 
 
+def stream_count_window_log(spark: SparkSession, sf_dir: str, n: int = DEFAULT_WINDOW_N, at: str | None = None) -> DataFrame:
+    """The windows' sums through the sink that commits each micro-batch with a manifest (K7)."""
+    windows = _event_windows(spark, sf_dir, n)
+    log, state = _places(spark, "stream-window-log", at)
+    sinks.run_to_commit_log(windows, log, state)
+    return sinks.read_commit_log(spark, log, windows.schema).select("window_id", _cents_to_double("cents").alias("total"))
+
+
+RUNNING_FAN = 1024     # windows whose running total is kept by one key
 _RUNNING_STATE = "next long, total long, waiting_ids array<long>, waiting_cents array<long>"
 
 
-def _running_total(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Adds windows up in their order; a window that comes early waits for those before it."""
-    _quiet()
-    nxt, total, ids, cents = state.get if state.exists else (0, 0, [], [])
-    waiting = dict(zip(ids, cents))
-    for pdf in batches:
-        waiting.update(zip(pdf["window_id"].tolist(), pdf["cents"].tolist()))
-    out_ids, out = [], []
-    while nxt in waiting:
-        total += waiting.pop(nxt)
-        out_ids.append(nxt)
-        out.append(total)
-        nxt += 1
-    state.update((nxt, total, list(waiting), list(waiting.values())))
-    if out:
-        yield pd.DataFrame({"window_id": out_ids, "cents": out})
-
-
-def running_sum_stream(windows: DataFrame) -> DataFrame:
-    """Running total after each window, emitted while the stream runs.
-
-    A running total is one chain, so its state is one key; it sees one row per
-    complete window, never the rows inside, and holds only windows that
-    overtook an earlier one.
-    """
-    return windows.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandasWithState(
-        _running_total, _WINDOW_OUT, _RUNNING_STATE, "append", GroupStateTimeout.NoTimeout)
+def _running_total(fan: int):
+    """Per bucket of ``fan`` consecutive windows: the total from the bucket's first window on, in their order;
+    a window that comes early waits for those before it in its bucket only."""
+
+    def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        _quiet()
+        nxt, total, ids, cents = state.get if state.exists else (int(key[0]) * fan, 0, [], [])
+        waiting = dict(zip(ids, cents))
+        for pdf in batches:
+            waiting.update(zip(pdf["window_id"].tolist(), pdf["cents"].tolist()))
+        out_ids, out = [], []
+        while nxt in waiting:
+            total += waiting.pop(nxt)
+            out_ids.append(nxt)
+            out.append(total)
+            nxt += 1
+        if nxt < (int(key[0]) + 1) * fan:
+            state.update((nxt, total, list(waiting), list(waiting.values())))
+        elif state.exists:
+            state.remove()
+        if out:
+            yield pd.DataFrame({"window_id": out_ids, "cents": out})
+    return fn
+
 
+def running_sum_stream(windows: DataFrame, fan: int = RUNNING_FAN) -> DataFrame:
+    """Running totals inside buckets of ``fan`` windows, emitted while the stream runs (J8). A full bucket's state
+    is dropped; no key sees more than ``fan`` windows."""
+    return windows.withColumn("bucket", F.expr(f"window_id div {fan}")).groupBy("bucket").applyInPandasWithState(
+        _running_total(fan), _WINDOW_OUT, _RUNNING_STATE, "append", GroupStateTimeout.NoTimeout)
 
-def stream_count_window_running_sum(spark: SparkSession, sf_dir: str,
-                                    n: int = DEFAULT_WINDOW_N) -> DataFrame:
+
+def running_totals(spark: SparkSession, windows: str, label: str, at: str | None = None, fan: int = RUNNING_FAN) -> DataFrame:
+    """``(window_id, cents)``: the running total after each window in the sink folder ``windows``.
+
+    Level by level: totals inside buckets of ``fan`` windows are a stream over
+    the windows' sink; a full bucket's total is one row of the next level, whose
+    stream adds up buckets inside buckets of ``fan`` buckets, and so on as long
+    as a level has filled a bucket. A window's running total is its total in
+    its bucket and, from each level above, that of the bucket before; it is
+    there as soon as those are.
+    """
+    sinks_by_level = [windows]
+    while True:
+        below = (spark.readStream.schema(_WINDOW_OUT).option("maxBytesPerTrigger", BYTES_PER_TRIGGER)
+                 .parquet(sinks_by_level[-1]))
+        if len(sinks_by_level) > 1:
+            below = _full_buckets(below, fan)
+        sinks_by_level.append(run_to_files(running_sum_stream(below, fan), f"{label}-{len(sinks_by_level)}", at=at))
+        if not _full_buckets(_read_sink(spark, sinks_by_level[-1], _WINDOW_OUT), fan).take(1):
+            break
+    out = _read_sink(spark, sinks_by_level[1], _WINDOW_OUT)
+    for level, sink in enumerate(sinks_by_level[2:], 1):
+        place = F.expr(f"window_id div {fan ** level}")         # the window's bucket; those before it in its own bucket count
+        before = _read_sink(spark, sink, _WINDOW_OUT).select((F.col("window_id") + 1).alias("_at"), F.col("cents").alias("_before"))
+        none = F.col("_place") % fan == 0
+        out = (out.withColumn("_place", place).join(before, F.col("_place") == F.col("_at"), "left")
+               .where(none | F.col("_before").isNotNull())
+               .select("window_id", (F.col("cents") + F.when(none, F.lit(0)).otherwise(F.col("_before"))).alias("cents")))
+    return out.where(F.col("window_id") < fan ** (len(sinks_by_level) - 1))      # further on, a bucket before is not full yet
+
+
+def _full_buckets(totals: DataFrame, fan: int) -> DataFrame:
+    """A full bucket's total is that after its last window."""
+    return totals.where(F.col("window_id") % fan == fan - 1).select(F.expr(f"window_id div {fan}").alias("window_id"), "cents")
+
+
+def stream_count_window_running_sum(spark: SparkSession, sf_dir: str, n: int = DEFAULT_WINDOW_N,
+                                    at: str | None = None, fan: int = RUNNING_FAN) -> DataFrame:
     """Running total after each complete window of events: the windows' sums are
-    one stream, the running total over them another that reads its sink."""
-    ev = stream_table(spark, sf_dir, "events")
-    out = run_to_files(count_window_stream(ev, F.col("event_id"), _event_cents(ev), n), "stream-windows")
-    sums = spark.readStream.schema(_WINDOW_OUT).option("maxBytesPerTrigger", BYTES_PER_TRIGGER).parquet(out)
-    total = run_to_files(running_sum_stream(sums), "stream-running")
-    return _read_sink(spark, total, _WINDOW_OUT).select("window_id", _cents_to_double("cents").alias("running_total"))
+    one stream, the running totals over them others that read its sink."""
+    out = run_to_files(_event_windows(spark, sf_dir, n), "stream-windows", at=at)
+    totals = running_totals(spark, out, "stream-running", at, fan)
+    return totals.select("window_id", _cents_to_double("cents").alias("running_total"))
 
 
 # --- J6 / J7: top items of line windows -----------------------------------------------------
 
-_TOP_STATE = "lines long, items array<string>, counts array<long>"
+WINDOW_BLOCK = 256      # windows that share a state key
+_TOP_STATE = "windows array<long>, lines array<long>, item_windows array<long>, items array<string>, counts array<long>"
 
 
 def _line_window_fn(n: int, k: int):
-    """State of an open window: lines seen and the counts of their items (at most
-    ``n`` lines' items). Emits the top k and forgets the window at ``n`` lines."""
+    """State of a block of windows: of those still open, the lines seen and the counts of their items (at most
+    ``n`` lines' items each). Emits the top k of a window and forgets it at ``n`` lines."""
 
     def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         _quiet()
-        lines, items, counts = state.get if state.exists else (0, [], [])
-        held = pd.Series(counts, index=pd.Index(items, dtype=object), dtype="int64")
+        windows, lines, item_windows, items, counts = state.get if state.exists else ([], [], [], [], [])
+        seen = [pd.Series(lines, index=windows, dtype="int64")] if windows else []
+        held = [pd.DataFrame({"window_id": item_windows, "item": items, "n": counts}).astype({"window_id": "int64", "n": "int64"})]
         for pdf in batches:
-            lines += len(pdf)
-            held = held.add(pdf["items"].explode().dropna().value_counts(), fill_value=0)
-        if lines < n:
-            state.update((lines, [str(x) for x in held.index], [int(x) for x in held]))
-            return
-        if state.exists:
+            seen.append(pdf["window_id"].value_counts())
+            each = pdf.explode("items").dropna(subset=["items"]).rename(columns={"items": "item"})
+            held.append(each.groupby(["window_id", "item"], sort=False).size().rename("n").reset_index())
+        total = pd.concat(seen).groupby(level=0).sum()
+        each = pd.concat(held, ignore_index=True).groupby(["window_id", "item"], as_index=False, sort=False)["n"].sum()
+        done = total.index[total >= n]
+        closed = each["window_id"].isin(done)
+        total, open_ = total.drop(done), each[~closed]
+        if len(total):
+            state.update((total.index.tolist(), total.tolist(), open_["window_id"].tolist(), open_["item"].tolist(), open_["n"].tolist()))
+        elif state.exists:
             state.remove()
-        top = held.rename("n").rename_axis("item").reset_index().sort_values(["n", "item"], ascending=[False, True]).head(k)
+        top = each[closed].sort_values(["window_id", "n", "item"], ascending=[True, False, True]).groupby("window_id").head(k)
         if len(top):
-            yield pd.DataFrame({"window_id": int(key[0]), "item": top["item"].astype(str), "n": top["n"].astype("int64"),
-                                "rank": range(1, len(top) + 1)})
+            rank = top.groupby("window_id").cumcount() + 1
+            yield top.assign(rank=rank).astype({"window_id": "int64", "n": "int64", "rank": "int64"})[["window_id", "item", "n", "rank"]]
     return fn
 
 
@@ -360,10 +442,11 @@ def line_window_top_stream(lines: DataFrame, ordinal: Column, items: Column, n:
     """``(window_id, item, n, rank)`` of every complete window of ``n`` lines, ties by item.
 
     ``ordinal`` numbers the lines densely from 0, ``items`` is the array of a
-    line's items. A line is one row into the state, with all its items.
+    line's items. A line is one row into the state, with all its items; a task
+    counts whole blocks of ``WINDOW_BLOCK`` windows at once.
     """
     keyed = lines.select(F.floor(ordinal / F.lit(n)).cast("long").alias("window_id"), items.alias("items"))
-    return keyed.groupBy("window_id").applyInPandasWithState(
+    return keyed.withColumn("block", F.expr(f"window_id div {WINDOW_BLOCK}")).groupBy("block").applyInPandasWithState(
         _line_window_fn(n, k), "window_id long, item string, n long, rank long", _TOP_STATE, "append",
         GroupStateTimeout.NoTimeout)
 
@@ -383,16 +466,14 @@ def _numbered_document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _numbered_file_lines(spark: SparkSession, src: str) -> DataFrame:
     """The stream of a text folder's lines with their ordinal in (file path, line
-    number) order. A file is read as one record, so files should be of streaming
-    size (well under 2 GB); the static side holds one row per file."""
+    number) order: the lines as the text reader cuts them (LF, CR LF or a lone
+    CR), numbered and written once, whatever the files' size, and streamed from
+    there."""
     from quarry.sources.text import text_lines_numbered
 
-    counts = write_scratch(text_lines_numbered(spark, src)[0].groupBy("file").agg(F.min("ord").alias("_first")), "file-ordinals")
-    files = (spark.readStream.option("maxBytesPerTrigger", BYTES_PER_TRIGGER).text(src, wholetext=True)
-             .select(F.col("_metadata.file_path").alias("file"), "value").join(counts, "file"))
-    lines = F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n")
-    return files.select("_first", F.posexplode(lines).alias("_line", "line")).select(
-        (F.col("_first") + F.col("_line")).alias("ord"), "line")
+    at = scratch_path(spark, "numbered-lines")
+    text_lines_numbered(spark, src)[0].select("ord", F.col("value").alias("line")).write.parquet(at)
+    return spark.readStream.schema("ord long, line string").option("maxBytesPerTrigger", BYTES_PER_TRIGGER).parquet(at)
 
 
 def _line_window_top(spark: SparkSession, lines: DataFrame, n: int, k: int, bigrams: bool, label: str) -> DataFrame:
@@ -428,9 +509,8 @@ def stream_text_window_sum(spark: SparkSession, src: str, n: int = 100, running:
     lines = _numbered_file_lines(spark, src)
     out = run_to_files(count_window_stream(lines, F.col("ord"), F.trim("line").cast("long"), n), "stream-text-sums")
     if running:
-        sums = spark.readStream.schema(_WINDOW_OUT).option("maxBytesPerTrigger", BYTES_PER_TRIGGER).parquet(out)
-        out = run_to_files(running_sum_stream(sums), "stream-text-running")
-    return _read_sink(spark, out, _WINDOW_OUT).withColumnRenamed("cents", "running_total" if running else "total")
+        return running_totals(spark, out, "stream-text-running").withColumnRenamed("cents", "running_total")
+    return _read_sink(spark, out, _WINDOW_OUT).withColumnRenamed("cents", "total")
 
 
 # --- J9: per-window group count / max / argmax, top-k groups -----------------------------
@@ -502,23 +582,21 @@ def stream_count_window_group_top(spark: SparkSession, sf_dir: str, n: int = 100
                       F.col("item").alias("top_item"))
 
 
-def stream_cumulative_group_top(spark: SparkSession, sf_dir: str, n: int = 1000, k: int = 7) -> DataFrame:
-    """The streamed per-window partials carry no unbounded state; the
-    cumulative top-k over them is the batch pruned step."""
-    from quarry.operators.windows import cumulative_top
-
-    parts = _partials(spark, sf_dir, n, "stream-cumulative").select(
-        "window_id", F.col("grp").alias("user_id"), "n",
-        F.struct(F.col("value").alias("v"), (-F.col("ord")).alias("o"), F.col("item").alias("i")).alias("best"))
-    last = parts.agg(F.max("window_id")).scalar()
-    return cumulative_top(parts, "user_id", k, last)
+def stream_cumulative_group_top(spark: SparkSession, sf_dir: str, n: int = 1000, k: int = 7, at: str | None = None) -> DataFrame:
+    """Every window's top k so far, emitted by the stream itself."""
+    ranks = cumulative_top_stream(stream_table(spark, sf_dir, "events"), "event_id", "user_id", "event_id", "value", n, k)
+    out = run_to_files(ranks, "stream-cumulative", at=at)
+    return _read_sink(spark, out, ranks.schema).select(
+        "window_id", "rank", F.col("grp").alias("user_id"), "n", F.col("value").alias("max_value"), F.col("item").alias("top_item"))
 
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_word_count": stream_word_count,
+    "stream_word_count_updates": stream_word_count_updates,
     "stream_top10": stream_top_words,
     "stream_total": stream_integer_total,
     "stream_count_window": stream_count_window_sum,
+    "stream_count_window_log": stream_count_window_log,
     "stream_count_window_running_sum": stream_count_window_running_sum,
     "stream_count_window_word_top10": stream_count_window_word_top,
     "stream_count_window_bigram_top10": stream_count_window_bigram_top,
@@ -529,9 +607,11 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # Each stream's final result equals a batch query's; they share its oracle.
 STREAM_ORACLE_OF = {
     "stream_word_count": "word_count",
+    "stream_word_count_updates": "word_count",
     "stream_top10": "word_count_lower_top10",
     "stream_total": "integer_total",
     "stream_count_window": "count_window_sum",
+    "stream_count_window_log": "count_window_sum",
     "stream_count_window_running_sum": "count_window_running_sum",
     "stream_count_window_word_top10": "count_window_word_top10",
     "stream_count_window_bigram_top10": "count_window_bigram_top10",
