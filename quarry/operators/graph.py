@@ -1,15 +1,17 @@
 """Neighbour sets, two-hop links and triangles over edge DataFrames
-(inventory C8, D3, D4, E13, E15, E16, H3, I24).
+(inventory C8, D3, D4, E13, E15, E16, H2, H3, I24).
 
-Neighbourhoods are kept as rows, never collected into one array per node: a
-hub's neighbour list grows with the data. The adjacency-list + intersection
-form (E15, H2) exists only as a small-graph cross-check in the tests."""
+Neighbourhoods are kept as rows or in sorted blocks of bounded size, never
+collected into one array per node: a hub's neighbour list grows with the data."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.ordering import global_rank
+from quarry.session import write_scratch
+
 
 def canonical_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Undirected simple graph: self-loops dropped, each edge once as (lo < hi)."""
@@ -27,13 +29,94 @@ def neighbour_sets(pairs: DataFrame, a: str = "src", b: str = "dst") -> DataFram
     return nb.join(deg, "node")
 
 
-def two_hop_links(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """Distinct (a, c) with a -> b -> c and c != a, over distinct directed edges."""
-    e = edges.select(F.col(src).alias("s"), F.col(dst).alias("d")).distinct()
+HEAVY_PAIRS = 1 << 22   # (in, out) pairs of a middle node that are still joined as rows
+CHUNK = 1 << 15         # bits of the engine's bitmaps
+
+
+def two_hop_links(edges: DataFrame, src: str = "src", dst: str = "dst", heavy_pairs: int = HEAVY_PAIRS) -> DataFrame:
+    """Distinct (a, c) with a -> b -> c and c != a, over distinct directed edges. Runs jobs.
+
+    A middle node b with few (in, out) pairs gives them as rows. A hub does
+    not: its out-neighbours, numbered densely over all hubs, are bitmaps of
+    ``CHUNK`` numbers, each a gets those of its hubs, and ``or`` over the
+    bitmaps makes an a's links through all hubs distinct before any of them is
+    a row. So in x out / 8 bytes are shuffled for a hub instead of in x out
+    rows; what remains are the links themselves.
+    """
+    e = write_scratch(edges.where(F.col(src).isNotNull() & F.col(dst).isNotNull())
+                      .select(F.col(src).alias("s"), F.col(dst).alias("d")).distinct(), "edges")
     first = e.select(F.col("s").alias("a"), F.col("d").alias("b"))
     second = e.select(F.col("s").alias("b"), F.col("d").alias("c"))
-    return (first.join(second, "b").where(F.col("c") != F.col("a"))
-            .select("a", "c").distinct())
+    n_in = first.groupBy("b").agg(F.count(F.lit(1)).alias("n_in"))
+    n_out = second.groupBy("b").agg(F.count(F.lit(1)).alias("n_out"))
+    hubs = write_scratch(n_in.join(n_out, "b").where(F.col("n_in") * F.col("n_out") > heavy_pairs).select("b"), "hubs")
+    if not hubs.take(1):
+        return _links(first, second).distinct()
+    light = _links(first.join(hubs, "b", "left_anti"), second)
+    return light.unionByName(hub_links(first.join(hubs, "b", "left_semi"), second.join(hubs, "b", "left_semi"))).distinct()
+
+
+def _links(first: DataFrame, second: DataFrame) -> DataFrame:
+    return first.join(second, "b").where(F.col("c") != F.col("a")).select("a", "c")
+
+
+def hub_links(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Distinct (a, c) over ``first`` (a, b) and ``second`` (b, c), distinct by bitmaps. Runs a job."""
+    numbered = global_rank(second.select("c").distinct(), ["c"], "rank").select(
+        "c", F.expr(f"(rank - 1) div {CHUNK}").alias("chunk"), ((F.col("rank") - 1) % CHUNK).alias("bit"))
+    names = numbered.groupBy("chunk").agg(F.transform(F.array_sort(F.collect_list(F.struct("bit", "c"))), lambda x: x["c"]).alias("cs"))
+    outs = second.join(numbered, "c").groupBy("b", "chunk").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    reached = first.join(outs, "b").groupBy("a", "chunk").agg(F.bitmap_or_agg("bits").alias("bits"))
+    number = lambda at: F.conv(F.hex(F.substring("bits", at + 1, F.lit(1))), 16, 10).cast("int")
+    octets = F.transform(F.sequence(F.lit(0), F.lit(CHUNK // 8 - 1)), number)
+    bits_of = lambda v, i: F.filter(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.when(F.getbit(v, k) == 1, i * 8 + k)),
+                                    lambda p: p.isNotNull())
+    set_bits = F.flatten(F.transform(octets, lambda v, i: F.when(v > 0, bits_of(v, i)).otherwise(F.array().cast("array<int>"))))
+    found = reached.join(names, "chunk").select("a", F.explode(F.transform(set_bits, lambda p: F.element_at("cs", p + 1))).alias("c"))
+    return found.where(F.col("c") != F.col("a"))
+
+
+LIST_BLOCK = 256        # neighbours in one block of a list, at most
+
+
+def neighbour_blocks(edges: DataFrame, src: str = "src", dst: str = "dst", block: int = LIST_BLOCK) -> DataFrame:
+    """Neighbour lists in sorted blocks: node, blk, ids (ascending) and, in step with them, how often each is in the list.
+
+    A block holds the neighbours of one range of ``block`` ids, so no array is
+    longer, however many neighbours a node has; blocks of two nodes with the
+    same ``blk`` cover the same ids.
+    """
+    counted = edges.groupBy(F.col(src).alias("node"), F.col(dst).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    listed = (counted.groupBy("node", F.floor(F.col("id") / block).cast("long").alias("blk"))
+              .agg(F.array_sort(F.collect_list(F.struct("id", "n"))).alias("l")))
+    return listed.select("node", "blk", F.col("l.id").alias("ids"), F.col("l.n").alias("ns"))
+
+
+def common_neighbours(edges: DataFrame, src: str = "src", dst: str = "dst", block: int = LIST_BLOCK) -> DataFrame:
+    """``(src, dst, common)`` for each distinct edge of integer ids: how many items of src's neighbour list, repeats
+    included, are in dst's (E15, H2).
+
+    Lists meet block by block. An edge is driven by the end with fewer
+    neighbours, so a hub's blocks are looked up by the others' and its own list
+    is never gone through for each of its edges. Edges with a null end have no
+    lists and give no row. Runs a job.
+    """
+    known = edges.where(F.col(src).isNotNull() & F.col(dst).isNotNull()).select(F.col(src).alias("u"), F.col(dst).alias("v"))
+    blocks = write_scratch(neighbour_blocks(known, "u", "v", block), "neighbour-blocks")
+    size = blocks.groupBy("node").agg(F.sum(F.size("ids")).alias("size"))
+    pairs = known.distinct()
+    sized = (pairs.join(size.select(F.col("node").alias("u"), F.col("size").alias("nu")), "u")
+             .join(size.select(F.col("node").alias("v"), F.col("size").alias("nv")), "v"))       # a dst without a list has nothing in common
+    driven = sized.withColumn("by_u", F.col("nu") <= F.col("nv")).select(
+        "u", "v", "by_u", F.when(F.col("by_u"), F.col("u")).otherwise(F.col("v")).alias("node"),
+        F.when(F.col("by_u"), F.col("v")).otherwise(F.col("u")).alias("other"))
+    met = (driven.join(blocks.withColumnsRenamed({"ids": "ids1", "ns": "ns1"}), "node")
+           .join(blocks.select(F.col("node").alias("other"), "blk", F.col("ids").alias("ids2"), F.col("ns").alias("ns2")), ["other", "blk"]))
+    left = F.map_from_arrays(F.when(F.col("by_u"), F.col("ids1")).otherwise(F.col("ids2")),
+                             F.when(F.col("by_u"), F.col("ns1")).otherwise(F.col("ns2")))
+    shared = F.aggregate(F.array_intersect("ids1", "ids2"), F.lit(0).cast("long"), lambda n, x: n + F.element_at("left", x))
+    found = met.withColumn("left", left).groupBy("u", "v").agg(F.sum(shared).alias("common"))
+    return pairs.join(found, ["u", "v"], "left").select(F.col("u").alias(src), F.col("v").alias(dst), F.coalesce("common", F.lit(0)).alias("common"))
 
 
 def degree_oriented_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:

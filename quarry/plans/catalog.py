@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.functions.scalars import static_range_bucket
-from quarry.operators import graph, ordering, relational, stats, text, windows
+from quarry.operators import distinct, graph, ordering, relational, stats, text, windows
 from quarry.session import scratch_path
 from quarry.sinks.text import write_lines
 from quarry.sources.tables import load, spread
@@ -31,7 +31,8 @@ TYPE_WINDOW_N = 50                       # windows of the text-keyed cumulative
 TOP_WORDS, TOP_GROUPS, TOP_TYPES = 10, 7, 3
 # Key width of the buckets behind row ordinals and running totals (a bucket
 # holds at most this many keys; only one row per bucket meets in one task).
-ORDINAL_BUCKET_WIDTH = ordering.DEFAULT_BUCKET_WIDTH
+DISTINCT_PARTS = 75
+ORDINAL_BUCKET_WIDTH: int | str = ordering.AUTO
 
 
 # --- table stand-ins ------------------------------------------------------
@@ -243,6 +244,15 @@ def q_fixed_width_report(spark, d):
     return relational.fixed_width_report(_orders_stats(spark, d), "language")
 
 
+def q_distinct_over_periods(spark, d):
+    """Suppliers that ship 75 distinct parts or more, from a store that the years are added to in two deliveries."""
+    years = load(spark, d, "lineitem").select("l_suppkey", "l_partkey", F.year("l_shipdate").alias("year"))
+    store = scratch_path(spark, "distinct-store")
+    for delivery in (F.col("year") < 1996, F.col("year") >= 1996):
+        distinct.add_periods(years.where(delivery), "l_suppkey", "l_partkey", "year", store)
+    return distinct.reaching(spark, store, DISTINCT_PARTS).select(F.col("source").alias("l_suppkey"), "reaches")
+
+
 # --- statistics --------------------------------------------------------------------
 
 def _prices(spark, d):
@@ -298,6 +308,10 @@ def q_two_hop_links(spark, d):
     return graph.two_hop_links(_event_edges(spark, d))
 
 
+def q_common_neighbours(spark, d):
+    return graph.common_neighbours(_event_edges(spark, d))
+
+
 def q_triangle_count(spark, d):
     return graph.triangle_count(_event_edges(spark, d))
 
@@ -400,19 +414,45 @@ def q_file_total_order(spark, d):
     return lines.select(kv[0].alias("key"), kv[1].alias("value"), "rank")
 
 
-def q_file_hashtags(spark, d):
-    """Events as multi-line JSON objects with an array of hashtags, every tenth one malformed; quoted tags counted."""
-    src, out = scratch_path(spark, "tweets"), scratch_path(spark, "hashtags")
+def q_file_static_ranges(spark, d):
+    """Document lines sorted by first word into ten files, one for each static range: every key's file and place in it."""
+    src, out = scratch_path(spark, "lines"), scratch_path(spark, "ranges")
+    write_lines(_lines(spark, d), src)
+    jobs.static_range_sort_job(spark, src, out, exact_ten=True)
+    lines = text_lines_numbered(spark, out)[0]
+    return lines.select(F.regexp_extract("file", r"part-(\d+)", 1).cast("int").alias("bucket"), F.col("line_no").alias("place"),
+                        F.split("value", "\t", 2)[0].alias("key"))
+
+
+def _write_tweets(spark, d):
+    """Events as multi-line JSON objects with an array of hashtags, every tenth one malformed."""
+    src = scratch_path(spark, "tweets")
     tag = lambda c: F.to_json(F.struct(c.alias("text")))
     tags = F.concat_ws(", ", tag(F.get_json_object("props", "$.k")), tag(F.col("event_type")))
-    body = F.when(F.col("event_id") % 10 == 0, F.lit("{ broken")).otherwise(
+    body = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("{ broken "), F.col("event_type"))).otherwise(
         F.concat(F.lit('  "entities": { "hashtags": ['), tags, F.lit("] }")))
     write_lines(_events(spark, d).select(F.concat(F.lit("{\n"), body, F.lit("\n},")).alias("line")), src)
+    return src
+
+
+def q_file_hashtags(spark, d):
+    """Quoted hashtags of multi-line JSON objects counted, the malformed ones left out."""
+    src, out = _write_tweets(spark, d), scratch_path(spark, "hashtags")
     jobs.hashtag_count_job(spark, src, out, quoted=True)
     n, quoted = F.split("value", "\t", 2)[0], F.split("value", "\t", 2)[1]
     return read_lines(spark, out).select(quoted.alias("tag"), n.cast("long").alias("n"))
 
 
+def q_file_bad_records(spark, d):
+    """The same objects with the malformed ones kept: tags, bad records by their text, and the counts observed meanwhile."""
+    counts, kept = jobs.hashtag_count_job(spark, _write_tweets(spark, d), bad=scratch_path(spark, "bad-records"))
+    bad = kept.bad.groupBy(F.col("record").alias("text")).agg(F.count(F.lit(1)).alias("n"))
+    observed = spark.createDataFrame([("objects", kept.objects), ("malformed", kept.malformed)], "text string, n long")
+    kind = lambda df, k: df.select(F.lit(k).alias("kind"), "text", "n")
+    return (kind(counts.withColumnRenamed("tag", "text"), "tag").unionByName(kind(bad, "bad record"))
+            .unionByName(kind(observed, "observed")))
+
+
 def q_cumulative_type_top3(spark, d):
     """The cumulative form over a text group key."""
     ev, total = _event_ordinals(spark, d)
@@ -441,6 +481,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "header_skip_sum_having": q_header_skip_sum_having,
     "delimited_header_sum_having": q_delimited_header_sum_having,
     "distinct_pairs_per_source": q_distinct_pairs_per_source,
+    "distinct_over_periods": q_distinct_over_periods,
     "address_extract": q_address_extract,
     "filtered_join_count": q_filtered_join_count,
     "filtered_join_count_sorted": q_filtered_join_count_sorted,
@@ -454,6 +495,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "static_range_sorted": q_static_range_sorted,
     "neighbour_sets": q_neighbour_sets,
     "two_hop_links": q_two_hop_links,
+    "common_neighbours": q_common_neighbours,
     "triangle_count": q_triangle_count,
     "triangle_count_by_id": q_triangle_count_by_id,
     "count_window_sum": q_count_window_sum,
@@ -468,5 +510,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_two_line_records": q_file_two_line_records,
     "file_csv_outliers": q_file_csv_outliers,
     "file_total_order": q_file_total_order,
+    "file_static_ranges": q_file_static_ranges,
     "file_hashtags": q_file_hashtags,
+    "file_bad_records": q_file_bad_records,
 }

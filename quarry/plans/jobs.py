@@ -15,7 +15,7 @@ from quarry.sinks.text import (write_delimited, write_lines, write_static_ranges
                                write_tuples)
 from quarry.sources.text import (first_two_tokens, key_value_on_tab, n_line_records,
                                  positional_fields, read_delimited, read_lines,
-                                 read_multiline_json_objects, text_line_ordinals, text_lines_numbered)
+                                 quarantine, read_multiline_json_objects, text_line_ordinals, text_lines_numbered)
 
 # Parameters of the original jobs.
 LAND_AREA_THRESHOLD = 200_000_000_000    # a state's summed land area must exceed this
@@ -111,18 +111,25 @@ def sorted_word_count_job(spark, src, out=None):
     return counts
 
 
-def hashtag_count_job(spark, src, out=None, descending=False, quoted=False):
+def hashtag_count_job(spark, src, out=None, descending=False, quoted=False, bad=None):
     """Hashtag counts of multi-line JSON tweets, ascending (``descending`` flips
-    it); ``quoted`` renders each tag as JSON text, quotes included."""
-    objs = read_multiline_json_objects(spark, src, TWEET)
-    tags = objs.where(~F.col("_corrupt")).select(F.explode("j.entities.hashtags.text").alias("tag"))
+    it); ``quoted`` renders each tag as JSON text, quotes included. Objects that
+    do not parse are left out; with a folder for them in ``bad`` they are kept
+    and counted, and ``(counts, Quarantine)`` is returned."""
+    objs, kept = read_multiline_json_objects(spark, src, TWEET), None
+    if bad:
+        kept = quarantine(objs, bad)
+        objs = kept.good
+    else:
+        objs = objs.where(~F.col("_corrupt"))
+    tags = objs.select(F.explode("j.entities.hashtags.text").alias("tag"))
     if quoted:
         tags = tags.select(T.quoted(F.col("tag")).alias("tag"))
     counts = tags.where(F.col("tag").isNotNull()).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
     result = counts.orderBy(F.desc("n") if descending else F.col("n"), "tag")
     if out:
         write_delimited(result, out, ["n", "tag"])
-    return result
+    return (result, kept) if bad else result
 
 
 def two_line_records_job(spark, src, out=None, n=2):

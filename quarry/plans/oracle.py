@@ -246,6 +246,14 @@ WITH {EVENT_EDGES},
   e AS (SELECT DISTINCT src AS s, dst AS d FROM edges)
 SELECT DISTINCT e1.s AS a, e2.d AS c FROM e e1 JOIN e e2 ON e1.d = e2.s WHERE e2.d <> e1.s""",
 
+    "common_neighbours": f"""
+WITH {EVENT_EDGES}
+SELECT p.src, p.dst, count(r.x) AS common
+FROM (SELECT DISTINCT src, dst FROM edges WHERE src IS NOT NULL AND dst IS NOT NULL) p
+  LEFT JOIN edges l ON l.src = p.src
+  LEFT JOIN (SELECT DISTINCT src AS v, dst AS x FROM edges) r ON r.v = p.dst AND r.x = l.dst
+GROUP BY p.src, p.dst""",
+
     "triangle_count": f"""
 WITH {EVENT_EDGES},
   ce AS (SELECT DISTINCT least(src, dst) AS lo, greatest(src, dst) AS hi FROM edges WHERE src <> dst)
@@ -312,6 +320,19 @@ FROM (SELECT unnest([json_extract_string(props, '$.k'), event_type]) AS tag FROM
 WHERE tag IS NOT NULL GROUP BY 1""",
 }
 
+ORACLE["file_static_ranges"] = f"""
+WITH r AS ({ORACLE["static_range_sorted"]})
+SELECT CAST(bucket AS INTEGER) AS bucket, row_number() OVER (PARTITION BY bucket ORDER BY key) - 1 AS place, key FROM r"""
+ORACLE["distinct_over_periods"] = """
+SELECT l_suppkey, count(DISTINCT l_partkey) >= 75 AS reaches FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY l_suppkey"""
+ORACLE["file_bad_records"] = """
+SELECT 'tag' AS kind, tag AS text, count(*) AS n
+FROM (SELECT unnest([json_extract_string(props, '$.k'), event_type]) AS tag FROM events WHERE event_id % 10 <> 0)
+WHERE tag IS NOT NULL GROUP BY tag
+UNION ALL SELECT 'bad record', '{' || chr(10) || '{ broken ' || event_type || chr(10) || '}', count(*)
+FROM events WHERE event_id % 10 = 0 GROUP BY event_type
+UNION ALL SELECT 'observed', 'objects', count(*) FROM events
+UNION ALL SELECT 'observed', 'malformed', count(*) FROM events WHERE event_id % 10 = 0"""
 ORACLE["file_word_count"] = ORACLE["word_count"]
 ORACLE["file_total_order"] = ORACLE["total_order_sort"]
 ORACLE["file_tuple_sink"] = f"""

@@ -5,7 +5,9 @@ All readers return DataFrames with declared columns; nothing is inferred.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -163,7 +165,8 @@ def read_multiline_json_objects(spark: SparkSession, path: str, schema: T.Struct
     next line that starts with ``{``. The text reader splits on a line break
     plus ``}``, so each record holds one object and files split across tasks
     like any text file; LF and CRLF files both work. Returns the parsed struct
-    ``j`` plus ``_corrupt`` (true when the object did not parse).
+    ``j`` plus ``_corrupt`` (true when the object did not parse) and ``_record``,
+    the text of an object that did not.
     """
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     fields = [f.name for f in st.fields]
@@ -174,7 +177,31 @@ def read_multiline_json_objects(spark: SparkSession, path: str, schema: T.Struct
         F.from_json(F.concat("_o", F.lit("\n}")), with_bad, {"mode": "PERMISSIVE",
                                                               "columnNameOfCorruptRecord": "_corrupt_record"}).alias("_p"))
     return parsed.select(F.struct(*[F.col("_p." + n).alias(n) for n in fields]).alias("j"),
-                         F.col("_p._corrupt_record").isNotNull().alias("_corrupt"))
+                         F.col("_p._corrupt_record").isNotNull().alias("_corrupt"), F.col("_p._corrupt_record").alias("_record"))
+
+
+@dataclass
+class Quarantine:
+    """Parsed objects (``j``), the texts of those that did not parse (``record``), and how many there were."""
+    good: DataFrame
+    bad: DataFrame
+    objects: int
+    malformed: int
+
+
+def quarantine(objects: DataFrame, path: str) -> Quarantine:
+    """Write what ``read_multiline_json_objects`` read to ``path``, good and bad objects apart (A9; an action).
+
+    One pass parses, writes and counts: the counts are metrics observed while
+    the rows are written, so neither side is parsed again.
+    """
+    spark, seen = objects.sparkSession, Observation("quarantine")
+    rows = objects.observe(seen, F.count(F.lit(1)).alias("objects"), F.count_if("_corrupt").alias("malformed"))
+    rows = rows.select("j", F.col("_record").alias("record"), F.col("_corrupt").alias("bad"))
+    rows.write.partitionBy("bad").parquet(path)
+    table = spark.read.schema(rows.schema).parquet(path)
+    return Quarantine(table.where(~F.col("bad")).select("j"), table.where("bad").select("record"),
+                      seen.get["objects"] or 0, seen.get["malformed"] or 0)
 
 
 def json_array_path(df: DataFrame, json_col: str, schema: T.StructType | str, path: str,

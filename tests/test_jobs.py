@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import glob
 import os
+from collections import Counter
+
+import pytest
 
 from conftest import rows
 from quarry.plans import jobs
@@ -159,3 +162,37 @@ def test_bigram_second_round(spark, tmp_out):
     _file(tmp_out, "round1/part-0", "to be\t2\nbe or\t1\n")
     _file(tmp_out, "round1/part-1", "to be\t1\nnot to\t4\nbroken line\n")
     assert rows(jobs.bigram_reaggregate_job(spark, d)) == [("be or", 1), ("not to", 4), ("to be", 3)]
+
+
+def test_malformed_objects_are_kept_and_counted(spark, tmp_out):
+    src, bad = os.path.join(tmp_out, "t.json"), os.path.join(tmp_out, "bad")
+    with open(src, "w") as f:
+        f.write('{\n "entities": {"hashtags": [{"text": "a"}, {"text": "b"}]}\n},\n{\n broken one\n},\n'
+                '{\n "entities": {"hashtags": [{"text": "a"}]}\n}\n{\n broken two\n}\n')
+    counts, kept = jobs.hashtag_count_job(spark, src, bad=bad)
+    assert [tuple(r) for r in counts.collect()] == [("b", 1), ("a", 2)]
+    assert sorted(r.record for r in kept.bad.collect()) == ["{\n broken one\n}", "{\n broken two\n}"]
+    assert (kept.objects, kept.malformed, kept.good.count()) == (4, 2, 2)
+    with open(src, "w") as f:
+        f.write("nothing here\n")
+    counts, kept = jobs.hashtag_count_job(spark, src, bad=bad + "2")
+    assert counts.collect() == [] and (kept.objects, kept.malformed, kept.bad.count()) == (0, 0, 0)
+
+
+@pytest.mark.parametrize("ends", ["\n", "\r\n", "\r", None])
+def test_text_streams_number_lines_as_the_reader_does(spark, tmp_out, ends):
+    """Lone CRs, CR LF, LF, and no final line end: windows of a text stream are those of the numbered batch lines."""
+    for name, k in (("a.txt", 5), ("b.txt", 5), ("c.txt", 3)):
+        with open(os.path.join(tmp_out, name), "w", newline="") as f:
+            parts = [f"{name[0]} {i % 2} x{i}" for i in range(k)]
+            mixed = "".join(p + ("\r", "\n", "\r\n")[i % 3] for i, p in enumerate(parts))
+            f.write(mixed.rstrip() if ends is None else ends.join(parts))
+    from quarry.sources.text import text_lines_numbered
+    from quarry.streaming import jobs as streams
+
+    want = {}
+    for r in text_lines_numbered(spark, tmp_out)[0].collect():
+        want.setdefault(r["ord"] // 2, []).extend(r["value"].split())
+    full = {w: Counter(v) for w, v in want.items() if w < 13 // 2}
+    got = streams.stream_text_window_top(spark, tmp_out, n=2, k=10).collect()
+    assert {w: {r["word"]: r["n"] for r in got if r["window_id"] == w} for w in {r["window_id"] for r in got}} == full

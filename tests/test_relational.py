@@ -89,3 +89,38 @@ def test_count_max_argmax_fixture_exact(spark):
     got = [(r.lang, r.n, r.top_item, r.max_value)
            for r in relational.count_max_argmax(repos, "lang", "repo", "stars", "pos").orderBy(F.desc("n")).collect()]
     assert got == [("Java", 2, "r2", 9), ("Go", 1, "r3", 7)]
+
+
+def test_header_skip_with_a_null_smallest_key(spark):
+    df = spark.createDataFrame([(None, "header"), (1, "a"), (2, "b")], "k long, v string")
+    assert rows(relational.skip_first_rows(df, "k"), "k", "v") == [(1, "a"), (2, "b")]
+    assert rows(relational.skip_first_rows(df, "k", 2), "k", "v") == [(2, "b")]
+
+
+def test_distinct_counts_of_a_growing_store(spark, tmp_path):
+    """Adding a period leaves the others' files alone; near the threshold counts are exact, far from it they are not looked up."""
+    import random
+
+    from quarry.operators import distinct
+
+    rnd = random.Random(6)
+    size = {None: 60, "near": 100, "below": 99, "far": 3000, "few": 3}
+    data = [(s, rnd.choice([None, rnd.randrange(n)]) if s is None else rnd.randrange(n), p) for s, n in size.items() for p in (1, 2, 3)
+            for _ in range(n * 3)]
+    store = str(tmp_path / "store")
+
+    def deliver(*periods):
+        rows_ = [r for r in data if r[2] in periods]
+        distinct.add_periods(spark.createDataFrame(rows_, "s string, d long, p int"), "s", "d", "p", store)
+
+    def files():
+        return {os.path.join(f, n): os.path.getmtime(os.path.join(f, n)) for f, _, names in os.walk(store) for n in names if "period=" in f}
+
+    deliver(1, 2)
+    before = files()
+    deliver(3)
+    assert before.items() <= files().items()
+    deliver(3)                                              # the same delivery again
+    want = {s: len({d for x, d, _ in data if x == s}) for s in size}
+    got = {r["source"]: (r["reaches"], r["n"]) for r in distinct.reaching(spark, store, 100).collect()}
+    assert got == {s: (n >= 100, n if s in ("near", "below") else None) for s, n in want.items()}

@@ -110,3 +110,75 @@ def test_event_ordinal_is_dense(spark):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     o = bucketed_ordinal(ev, "event_id", out="ord", bucket_width=100)
     assert o.where(F.col("ord") != F.col("event_id")).count() == 0
+
+
+def test_outliers_of_null_groups(spark):
+    """The join form finds what the window form finds: a null ticker, or year, is a group."""
+    data = [(t, y, 1.0 + 100 * (i == 20)) for t in (None, "a") for y in (1, None) for i in range(21)]
+    df = spark.createDataFrame(data, "ticker string, year int, price double")
+    both = [sorted(map(str, f(df, ["ticker", "year"], "price").collect())) for f in (stats.sigma_outliers, stats.sigma_outliers_window)]
+    assert both[0] == both[1] and len(both[0]) == 4
+
+
+def test_cumulative_top_keeps_null_groups(spark):
+    data = [(i, None if i % 3 == 0 else f"g{i % 5}", float(i % 7)) for i in range(60)]
+    df = spark.createDataFrame(data, "ord long, g string, v double")
+    got = windows.cumulative_group_top(df, "ord", "g", "ord", "v", 10, 2, F.lit(60)).collect()
+    want = []
+    for w in range(6):
+        seen = {}
+        for i, g, v in data[:(w + 1) * 10]:
+            seen.setdefault(g, []).append((v, -i))
+        top = sorted(seen.items(), key=lambda x: (-len(x[1]), x[0] is not None, x[0] or ""))[:2]
+        want += [(w, r, g, len(s), max(s)[0], -max(s)[1]) for r, (g, s) in enumerate(top, 1)]
+    assert sorted(map(str, ((r["window_id"], r["rank"], r["g"], r["n"], r["max_value"], r["top_item"]) for r in got))) == sorted(map(str, want))
+
+
+def test_two_hop_links_through_hubs(spark):
+    """A hub with a third of all edges in both directions, a second hub sharing its ends, and light nodes: as without
+    bitmaps; a hub's links are never rows before they are distinct."""
+    import random
+
+    rnd = random.Random(5)
+    edges = [(f"a{i}", "hub") for i in range(150)] + [("hub", f"c{i}") for i in range(150)] + [(f"a{i}", "hub2") for i in range(0, 150, 2)]
+    edges += [("hub2", f"c{i}") for i in range(0, 150, 3)] + [("hub2", f"a{i}") for i in range(20)] + [("hub", "hub2"), ("hub2", "hub"), (None, "hub")]
+    edges += [(f"n{rnd.randrange(40)}", rnd.choice([f"n{rnd.randrange(40)}", "hub"])) for _ in range(300)]
+    df = spark.createDataFrame(edges, "src string, dst string").repartition(4)
+    outs = {}
+    for a, b in edges:
+        outs.setdefault(a, set()).add(b)
+    want = sorted({(a, c) for a, b in edges if a is not None for c in outs.get(b, ()) if c != a})
+    assert rows(graph.two_hop_links(df)) == want == rows(graph.two_hop_links(df, heavy_pairs=200))
+    first = df.where("dst like 'hub%' and src is not null").select(F.col("src").alias("a"), F.col("dst").alias("b")).distinct()
+    second = df.where("src like 'hub%'").select(F.col("src").alias("b"), F.col("dst").alias("c")).distinct()
+    plan = graph.hub_links(first, second)._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_or_agg" in plan and "Generate explode" in plan
+    # what is exchanged before the links are made: a bitmap for each a and hub
+    reached = first.join(second.select("b").distinct(), "b").count()
+    assert reached < 20 * len(want) ** 0.5
+
+
+def test_hub_links_over_many_chunks(spark):
+    n = graph.CHUNK + 100
+    first = spark.createDataFrame([(-1, 0), (5, 0), (5, 1)], "a long, b long")
+    second = spark.range(n).selectExpr("id % 2 as b", "id * 3 as c")
+    got = graph.hub_links(first, second).groupBy("a").agg(F.count("*").alias("n"), F.count_distinct("c").alias("d"), F.max("c").alias("m"))
+    last = (n - 1) * 3 if (n - 1) % 2 == 0 else (n - 2) * 3
+    assert rows(got, "a", "n", "d", "m") == [(-1, (n + 1) // 2, (n + 1) // 2, last), (5, n, n, (n - 1) * 3)]
+
+
+def test_common_neighbours_with_repeats(spark):
+    """Left repeats count, right ones do not; a hub, self-loops, ids of either sign; no array beyond a block."""
+    import random
+
+    rnd = random.Random(7)
+    edges = [(rnd.randrange(-20, 20), rnd.randrange(-20, 20)) for _ in range(400)] + [(99, i) for i in range(-300, 300)] + [(i, 99) for i in range(-20, 20)]
+    edges += [(99, 5)] * 3 + [(5, 99), (5, 5), (None, 1), (1, None)]
+    df = spark.createDataFrame(edges, "src long, dst long").repartition(3)
+    assert graph.neighbour_blocks(df, block=16).agg(F.max(F.size("ids"))).first()[0] <= 16
+    known = [(u, v) for u, v in edges if u is not None and v is not None]
+    lists = {}
+    for u, v in known:
+        lists.setdefault(u, []).append(v)
+    want = sorted({(u, v, sum(x in set(lists.get(v, ())) for x in lists[u])) for u, v in known})
+    assert rows(graph.common_neighbours(df, block=16)) == want == rows(graph.common_neighbours(df))
