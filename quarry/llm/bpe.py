@@ -1,9 +1,11 @@
 """BPE encoding and decoding of whole texts, long ones by tree concatenation.
 
-Texts up to ``LONG`` characters are encoded by the tokenizer as they are. A
-longer one is cut into parts of equal length wherever the cuts fall; the parts
-are encoded on their own, in parallel, and neighbours are joined pair by pair
-until one is left. A join is exact, whatever the cut went through:
+Texts up to ``LONG`` characters are encoded whole: by the tokenizer itself, or
+by a faster library over the same vocabulary where both are bound to agree
+(``Encoder.ids`` says when). A longer text is cut into parts of equal length
+wherever the cuts fall; the parts are encoded on their own, in parallel, and
+neighbours are joined pair by pair until one is left. A join is exact, whatever
+the cut went through:
 
 * Pre-tokens. The pre-tokenizer reads from left to right and looks a few
   characters ahead, never back, so a start of a pre-token well before the cut
@@ -36,10 +38,14 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import tiktoken
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,7 +57,17 @@ LONG = 1 << 16          # characters of a text that is encoded whole
 PIECE = 1 << 15         # characters of a part, at most
 UNSPLIT = 1 << 12       # characters of a pre-token that is joined by tokens
 WINDOW = 64             # characters on each side of a cut that are looked at first
-WORDS = 1 << 16         # short pre-tokens whose tokens a task remembers
+RUN = 300               # longer runs without or of blanks are the tokenizer's: the faster library's time grows with their square
+_BLANKS = re.compile(rf"\s{{{RUN + 1}}}")
+# Fixed value: the pattern of byte-level pre-tokens.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def byte_alphabet() -> list[str]:
+    """The character that stands for each byte: printable Latin-1 itself, the others from U+0100 on, in order."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return [chr(b) if b in printable else chr(0x100 + others.index(b)) for b in range(256)]
 
 
 def _loaded(data: bytes) -> Tokenizer:
@@ -62,6 +78,27 @@ def _loaded(data: bytes) -> Tokenizer:
     return tok
 
 
+def _class(tables: Any, c: str) -> str:
+    """What the pattern tells apart: letter, number, blank or other; unknown for what is not assigned or a rare blank."""
+    if c in " \t\n\r\x0b\x0c\xa0":
+        return "blank"
+    kind = tables.category(c)
+    return {"L": "letter", "N": "number", "P": "other", "S": "other", "M": "other"}.get(kind[0], "unknown")
+
+
+def _same_vocabulary(tok: dict) -> tiktoken.Encoding | None:
+    """The faster library over the tokenizer's tokens; None if their order is not that of the merges or their
+    pre-tokens are not the byte-level ones."""
+    vocab, byte = tok["model"]["vocab"], {c: b for b, c in enumerate(byte_alphabet())}
+    pairs = (m if isinstance(m, list) else m.split(" ") for m in tok["model"]["merges"])
+    ranks = [vocab["".join(p)] for p in pairs]
+    byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    if tok["pre_tokenizer"] != byte_level or ranks != sorted(set(ranks)) or len(ranks) + 256 != len(vocab):
+        return None
+    return tiktoken.Encoding("vocabulary", pat_str=PATTERN, special_tokens={},
+                             mergeable_ranks={bytes(byte[c] for c in t): i for t, i in vocab.items()})
+
+
 class Part:
     """A text's pre-tokens (their lengths in characters and their numbers of tokens) and token ids."""
 
@@ -81,14 +118,38 @@ class Encoder:
         longest_first = sorted(self.added, key=len, reverse=True)
         self.split_at = re.compile("|".join(map(re.escape, longest_first))) if added else None
         self.margin = 4 + max(map(len, self.added), default=0)      # characters a pre-token's end may depend on
-        self.word_ids = lru_cache(WORDS)(self._word_ids)
+        self.alike: set[str] = set()            # characters that every engine sees alike
+        self.fast = _same_vocabulary(json.loads(data))
 
-    def _word_ids(self, word: str) -> tuple[int, ...]:
-        return tuple(t.id for t in self.tok.model.tokenize(word))
+    def _word_ids(self, mapped: str) -> tuple[int, ...]:
+        return tuple(t.id for t in self.tok.model.tokenize(mapped))
 
     def word(self, mapped: str) -> tuple[int, ...]:
         """Tokens of one pre-token, given in the byte-level alphabet."""
-        return self.word_ids(mapped) if len(mapped) <= 256 else self._word_ids(mapped)
+        return self._word_ids(mapped)
+
+    def ids(self, text: str) -> np.ndarray:
+        """The tokens of a whole text.
+
+        The faster library runs the same pattern and merges by the same ranks.
+        Their engines agree on characters whose class has not changed since
+        Unicode 3.2. It joins two tokens whenever their text is a token, the
+        tokenizer only where that pair is a listed merge; but when a token's
+        turn comes, its text can only stand there as its own merge's two parts:
+        two neighbours are a state of the merging if they are one on their own,
+        and that state is unique. Texts with other characters, added tokens or
+        very long runs go to the tokenizer.
+        """
+        new = set(text) - self.alike
+        if new:
+            self.alike.update(c for c in new if _class(unicodedata, c) == _class(unicodedata.ucd_3_2_0, c) != "unknown")
+        words = list(map(len, text.split()))
+        # blanks that a run could be made of, if one stands between any two words
+        spare = len(text) - sum(words) - max(0, len(words) - 1)
+        if (self.fast is None or not new <= self.alike or self.split_at and self.split_at.search(text)
+                or max(words, default=0) > RUN or spare >= RUN and _BLANKS.search(text)):
+            return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=np.int32)
+        return self.fast.encode_to_numpy(text).astype(np.int32)
 
     def scan(self, text: str) -> Iterator[tuple[int, int, str | int]]:
         """(start, end, pre-token in the byte-level alphabet or an added token's id)."""
@@ -197,13 +258,14 @@ def encode(docs: DataFrame, text_col: str, vocab: Broadcast, name: str = "ids",
     names = [f.name for f in fields]
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _loaded(vocab.value)
+        enc = Encoder(vocab.value)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
-            for i in range(0, len(texts), 256):             # encodings are wide objects; few at a time
-                run = tok.encode_batch_fast(texts.slice(i, 256).to_pylist(), add_special_tokens=False)
-                cols = [*(c.slice(i, 256) for c in batch.columns[:-1]), pa.array([e.ids for e in run], pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(cols, names=[*names, "ids"])
+            for i in range(0, len(texts), 256):
+                run = [enc.ids(t) for t in texts.slice(i, 256).to_pylist()]
+                ends = np.cumsum([0, *map(len, run)], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(run)))
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, 256) for c in batch.columns[:-1]), ids], names=[*names, "ids"])
 
     short = src.where(F.length("text") <= long).mapInArrow(whole, f"{kinds}ids array<int>")
     at = src.where(F.length("text") > long).withColumn("r", F.monotonically_increasing_id())
@@ -260,20 +322,53 @@ def _joiner(names: list[str], vocab: Broadcast):
     return run
 
 
+class Decoder:
+    """The bytes of every token id; an id that is none has none, as for the tokenizer."""
+
+    def __init__(self, data: bytes):
+        tok = json.loads(data)
+        byte = {c: b for b, c in enumerate(byte_alphabet())}
+        spell = {i: bytes(byte[c] for c in t) for t, i in tok["model"]["vocab"].items()}
+        spell.update({t["id"]: t["content"].encode() for t in tok["added_tokens"]})
+        by_id = [spell.get(i, b"") for i in range(max(spell, default=-1) + 2)]       # the last one stands for all that are none
+        self.width = np.array(list(map(len, by_id)), dtype=np.int64)
+        self.begin = np.cumsum(self.width) - self.width
+        self.bytes = np.frombuffer(b"".join(by_id), dtype=np.uint8)
+
+    def texts(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The texts of ``ids[ends[i]:ends[i + 1]]``; bytes that are no text become U+FFFD."""
+        none = len(self.width) - 1
+        ids = np.where((ids >= 0) & (ids < none), ids, none).astype(np.int64)
+        width = self.width[ids]
+        after = np.concatenate([[0], np.cumsum(width)])
+        at = np.arange(after[-1]) + np.repeat(self.begin[ids] - after[:-1], width)
+        whole, edge = self.bytes[at].tobytes(), after[ends]
+        try:
+            whole.decode()
+            first = np.frombuffer(whole, dtype=np.uint8)[edge[:-1][edge[:-1] < len(whole)]]
+            sound = not np.any((first & 0xC0) == 0x80)      # and no character is cut between two texts
+        except UnicodeDecodeError:
+            sound = False
+        if sound:
+            return pa.Array.from_buffers(pa.large_string(), len(edge) - 1, [None, pa.py_buffer(edge.astype(np.int64)), pa.py_buffer(whole)]).cast(pa.string())
+        return pa.array([whole[a:b].decode("utf-8", "replace") for a, b in zip(edge[:-1], edge[1:])], pa.string())
+
+
 def decode(rows: DataFrame, ids_col: str, vocab: Broadcast, name: str = "decoded") -> DataFrame:
-    """The rows' other columns with ``name``, the text of the ids, added tokens included."""
+    """The rows' other columns with ``name``, the text of the ids, added tokens included; null ids give an empty text."""
     others = [c for c in rows.columns if c != ids_col]
     src = rows.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)], F.col(f"`{ids_col}`").alias("ids"))
     names = [f"c{i}" for i in range(len(others))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _loaded(vocab.value)
+        decoder = Decoder(vocab.value)
         for batch in batches:
-            ids = batch.column(batch.num_columns - 1)
-            for i in range(0, len(ids), 256):
-                texts = tok.decode_batch([x or [] for x in ids.slice(i, 256).to_pylist()], skip_special_tokens=False)
-                yield pa.RecordBatch.from_arrays([*(c.slice(i, 256) for c in batch.columns[:-1]), pa.array(texts, pa.string())],
-                                                 names=[*names, "decoded"])
+            column = batch.column(batch.num_columns - 1)
+            for i in range(0, len(column), 256):
+                ids = column.slice(i, 256)
+                ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))])
+                texts = decoder.texts(ids.flatten().to_numpy(zero_copy_only=False), ends)
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, 256) for c in batch.columns[:-1]), texts], names=[*names, "decoded"])
 
     kinds = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in src.schema.fields[:-1])
     return src.mapInArrow(run, f"{kinds}decoded string").toDF(*others, name)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from awkward import AWKWARD, docs
@@ -29,6 +30,51 @@ def encoder():
         return bpe.Encoder(f.read())
 
 
+def test_every_character(encoder):
+    """Whole texts of every code point in several company, against the tokenizer; most go through the faster library."""
+    fast = 0
+    for first in [*range(0, 0xD800, 0x800), *range(0xE000, 0x20000, 0x800), 0x2F800, 0xE0000]:
+        encoder.ids("".join(map(chr, range(first, first + 0x800))))
+        for alike in (True, False):
+            chars = [chr(c) for c in range(first, first + 0x800) if (chr(c) in encoder.alike) == alike]
+            fast += alike * len(chars)
+            for text in ("".join(f"{c}{c} " for c in chars), " ".join(chars), "".join(f"a{c}1 !{c}!{c}'s\n{c}" for c in chars)):
+                assert encoder.ids(text).tolist() == whole(text), hex(first)
+    assert fast > 50_000
+
+
+def test_every_token_is_its_own_encoding(encoder):
+    """What the agreement of both libraries rests on: a token's text is that token, for either of them."""
+    byte = {c: b for b, c in enumerate(bpe.byte_alphabet())}
+    for mapped, i in TOK.get_vocab().items():
+        if mapped not in encoder.added:
+            assert encoder._word_ids(mapped) == (i,) and encoder.fast._encode_single_piece(bytes(byte[c] for c in mapped)) == [i]
+
+
+def test_whole_texts(encoder):
+    rnd = random.Random(9)
+    for _ in range(1500):
+        text = "".join(rnd.choice(ATOMS) for _ in range(rnd.randrange(60)))
+        text += "".join(rnd.choice("aeinrst  ,.ABC'19\n") for _ in range(rnd.randrange(200)))
+        assert encoder.ids(text).tolist() == whole(text)
+
+
+def test_decoding_any_ids():
+    """Also ids whose bytes are no text, on their own or side by side with other texts, and ids that there are none of."""
+    with open(PATH, "rb") as f:
+        decoder = bpe.Decoder(f.read())
+    rnd = random.Random(8)
+    for top in (50_300, 256, 50_257):
+        for _ in range(300):
+            texts = [[rnd.randrange(top) for _ in range(rnd.randrange(8))] for _ in range(rnd.randrange(6))]
+            texts += [whole(rnd.choice(["é", "中文", "a b"])) for _ in range(3)]
+            ends = np.cumsum([0, *map(len, texts)])
+            got = decoder.texts(np.array([i for t in texts for i in t], dtype=np.int32), ends).to_pylist()
+            assert got == [TOK.decode(t, skip_special_tokens=False) for t in texts]
+    cut = whole("中")
+    assert decoder.texts(np.array(cut), np.array([0, 1, len(cut)])).to_pylist() == [TOK.decode(cut[:1]), TOK.decode(cut[1:])]
+
+
 def by_tree(enc, text, n, window):
     cuts = [len(text) * i // n for i in range(n + 1)]
     parts = [enc.encode(text[a:b]) for a, b in zip(cuts, cuts[1:])]
