@@ -49,9 +49,10 @@ def two_hop_links(edges: DataFrame, src: str = "src", dst: str = "dst", heavy_pa
     second = e.select(F.col("s").alias("b"), F.col("d").alias("c"))
     n_in = first.groupBy("b").agg(F.count(F.lit(1)).alias("n_in"))
     n_out = second.groupBy("b").agg(F.count(F.lit(1)).alias("n_out"))
-    hubs = write_scratch(n_in.join(n_out, "b").where(F.col("n_in") * F.col("n_out") > heavy_pairs).select("b"), "hubs")
+    hubs = n_in.join(n_out, "b").where(F.col("n_in") * F.col("n_out") > heavy_pairs).select("b")
     if not hubs.take(1):
         return _links(first, second).distinct()
+    hubs = write_scratch(hubs, "hubs")
     light = _links(first.join(hubs, "b", "left_anti"), second)
     return light.unionByName(hub_links(first.join(hubs, "b", "left_semi"), second.join(hubs, "b", "left_semi"))).distinct()
 

@@ -518,7 +518,7 @@ def stream_text_window_sum(spark: SparkSession, src: str, n: int = 100, running:
 def _best(pdf: pd.DataFrame) -> pd.DataFrame:
     """Per (window, group): row count, and the earliest row with the largest value."""
     lead = pdf.sort_values(["value", "ord"], ascending=[False, True]).drop_duplicates(["window_id", "grp"])
-    counts = pdf.groupby(["window_id", "grp"], as_index=False)["n"].sum()
+    counts = pdf.groupby(["window_id", "grp"], as_index=False, dropna=False)["n"].sum()
     return lead.drop(columns="n").merge(counts, on=["window_id", "grp"])[["window_id", "grp", "n", "value", "ord", "item"]]
 
 
@@ -555,15 +555,17 @@ def _window_partials_fn(n: int):
 def window_partials_stream(rows: DataFrame, seq: str, group: str, item: str, value: str, n: int) -> DataFrame:
     """Per complete window of ``n`` sequence numbers: every group's count, max
     value, and the item of the earliest row holding it (J9/J10 partials), as
-    ``(window_id, grp, n, value, ord, item)``. Columns of any type."""
+    ``(window_id, grp, n, value, ord, item)``. Columns of any type: groups and
+    items pass the state as text, where pandas keeps their nulls."""
+    kinds = rows.select(F.col(group).alias("grp"), F.col(item).alias("item")).schema
     keyed = rows.select(F.floor(F.col(seq) / F.lit(n)).cast("long").alias("window_id"),
-                        F.col(group).alias("grp"), F.col(value).cast("double").alias("value"),
-                        F.col(seq).cast("long").alias("ord"), F.col(item).alias("item"))
-    g, i = (keyed.schema[c].dataType.simpleString() for c in ("grp", "item"))
-    out = f"window_id long, grp {g}, n long, value double, ord long, item {i}"
-    state = f"rows long, grp array<{g}>, n array<long>, value array<double>, ord array<long>, item array<{i}>"
-    return keyed.mapInPandas(_group_combine, out).groupBy("window_id").applyInPandasWithState(
+                        F.col(group).cast("string").alias("grp"), F.col(value).cast("double").alias("value"),
+                        F.col(seq).cast("long").alias("ord"), F.col(item).cast("string").alias("item"))
+    out = "window_id long, grp string, n long, value double, ord long, item string"
+    state = "rows long, grp array<string>, n array<long>, value array<double>, ord array<long>, item array<string>"
+    parts = keyed.mapInPandas(_group_combine, out).groupBy("window_id").applyInPandasWithState(
         _window_partials_fn(n), out, state, "append", GroupStateTimeout.NoTimeout)
+    return parts.withColumns({c: F.col(c).cast(kinds[c].dataType) for c in ("grp", "item")})
 
 
 def _partials(spark: SparkSession, sf_dir: str, n: int, label: str) -> DataFrame:

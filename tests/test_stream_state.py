@@ -86,6 +86,23 @@ def test_cumulative_keys_of_any_type(spark, tmp_path, kind, make):
     assert got == plain_ranks([(i, g, v) for i, g, v in rows], 20, 5)
 
 
+def test_window_groups_keep_null_groups(spark, tmp_path):
+    """A null group is one of a window's groups, over two micro-batches of a window's rows in any order."""
+    rows = [(i, g, 0.0 if v is None else v) for i, g, v in events(40, seed=8, users=3)]
+    path, mixed = str(tmp_path / "events.parquet"), random.Random(2).sample(rows, len(rows))
+    deliver(spark, path, mixed[:20])
+    deliver(spark, path, mixed[20:])
+    got = jobs.stream_count_window_group_top(spark, str(tmp_path), n=20, k=3)
+    want = []
+    for w in range(2):
+        groups = {}
+        for i, g, v in rows[w * 20:(w + 1) * 20]:
+            groups.setdefault(g, []).append((v, -i))
+        ranked = sorted(groups.items(), key=lambda x: (-len(x[1]), x[0] is not None, x[0] if x[0] is not None else 0))
+        want += [(w, r, g, len(s), max(s)[0], -max(s)[1]) for r, (g, s) in enumerate(ranked[:3], 1)]
+    assert got_ranks(got) == sorted(want, key=str)
+
+
 def running(rows, n):
     out, total = [], 0
     for w in range(len(rows) // n):
