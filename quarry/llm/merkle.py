@@ -117,6 +117,9 @@ def descend(tree: Tree, start: DataFrame, requests: DataFrame, part: bool = Fals
     height; a request meets its run of children by its rank's leading digits
     and picks its own by the last. ``part``: ``requests`` are few of all
     leaves, so positions above none of them are left out on the way.
+
+    Both sides of these joins grow with the dataset, so they are shuffled at
+    every size and none turns from a broadcast into a shuffle on the way up.
     """
     at = None
     for height in range(len(tree.levels), 0, -1):
@@ -125,7 +128,7 @@ def descend(tree: Tree, start: DataFrame, requests: DataFrame, part: bool = Fals
         if part:
             asked = requests.select("grp", F.expr(f"rank div {FAN ** height}").alias("i")).distinct()
             at = at.join(asked, ["grp", "i"], "left_semi")
-        at = at.join(tree.records(height), "digest").select("grp", "i", "children", "path")
+        at = at.join(tree.records(height).hint("merge"), "digest").select("grp", "i", "children", "path")
         if height > 1:
             digits = F.sequence(F.lit(0), F.expr(f"cast(length(children) div {HEX} as int)") - 1)
             at = at.withColumn("digit", F.explode(digits)).select(
@@ -137,7 +140,7 @@ def descend(tree: Tree, start: DataFrame, requests: DataFrame, part: bool = Fals
     asked = requests.withColumn("i", F.expr(f"rank div {FAN}"))
     own = F.array(_segment(F.col("children"), F.expr(f"rank % {FAN}")))
     path = F.when(F.col("n") > 1, F.concat("path", own)).otherwise(F.col("path"))
-    return asked.join(runs, ["grp", "i"]).select(*requests.columns, path.alias("path"))
+    return asked.join(runs.hint("merge"), ["grp", "i"]).select(*requests.columns, path.alias("path"))
 
 
 def fold(leaf: Column, path: Column) -> Column:
