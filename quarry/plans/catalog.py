@@ -385,12 +385,16 @@ def q_file_tuple_sink(spark, d):
 
 
 def q_file_two_line_records(spark, d):
-    """Each language's lines as one file of many splits, read back as two-line records."""
+    """Each language's lines as a folder of part files, each a range of them, read back as two-line records.
+
+    A language can be most of the input, so no task writes or reads all of its lines.
+    """
     src = scratch_path(spark, "language-lines")
     docs = load(spark, d, "documents").select("lang", "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "value"))
-    (docs.repartition("lang").sortWithinPartitions("lang", "doc_id", "line_no").select("lang", "value")
+    order = ["lang", "doc_id", "line_no"]
+    (docs.repartitionByRange(*order).sortWithinPartitions(*order).select("lang", "value")
      .write.partitionBy("lang").text(src))
-    recs = jobs.two_line_records_job(spark, src)
+    recs = jobs.two_line_records_job(spark, src, folders=True)
     return recs.select(F.regexp_extract("file", "lang=([^/]*)/", 1).alias("lang"), "rec_no", "record")
 
 

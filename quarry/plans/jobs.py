@@ -42,9 +42,9 @@ def _lines(spark: SparkSession, src: str) -> DataFrame:
     return read_lines(spark, src).select(F.col("value").alias("line"))
 
 
-def _file_lines(spark: SparkSession, src: str) -> DataFrame:
-    """(file, line_no within the file, line, ord over all files)."""
-    lines, _ = text_lines_numbered(spark, src)
+def _file_lines(spark: SparkSession, src: str, folders: bool = False) -> DataFrame:
+    """(file, line_no within the file, line, ord over all files); ``folders``: a folder's files are parts of one."""
+    lines, _ = text_lines_numbered(spark, src, folders=folders)
     return lines.select("file", "line_no", F.col("value").alias("line"), "ord")
 
 
@@ -132,8 +132,9 @@ def hashtag_count_job(spark, src, out=None, descending=False, quoted=False, bad=
     return (result, kept) if bad else result
 
 
-def two_line_records_job(spark, src, out=None, n=2):
-    records = n_line_records(_file_lines(spark, src), n, group_cols=("file",))
+def two_line_records_job(spark, src, out=None, n=2, folders=False):
+    """Every ``n`` lines of a file (with ``folders``, of a folder's files one after the other) as one record."""
+    records = n_line_records(_file_lines(spark, src, folders), n, group_cols=("file",))
     if out:
         write_delimited(records, out, ["rec_no", "record"])
     return records

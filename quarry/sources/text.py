@@ -21,13 +21,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def text_lines_numbered(spark: SparkSession, path: str, out: str = "ord",
-                        line_no: str = "line_no") -> tuple[DataFrame, DataFrame]:
+def text_lines_numbered(spark: SparkSession, path: str, out: str = "ord", line_no: str = "line_no",
+                        folders: bool = False) -> tuple[DataFrame, DataFrame]:
     """Lines of a text file or folder, numbered, and the table of their blocks.
 
     Lines: ``(file, line_no, value, ord)``. ``line_no`` counts from 0 within the
     file, ``ord`` over all files in path order, both dense. Blocks: one row per
     input split with its number of lines ``n``; their sum is the line total.
+    With ``folders`` the files of one folder are parts of one long file: ``file``
+    names the folder and ``line_no`` counts on from part to part in name order.
 
     A split is named by its file and start offset, whatever other splits share
     its task, and a line's place in its split is its id minus the split's
@@ -50,9 +52,17 @@ def text_lines_numbered(spark: SparkSession, path: str, out: str = "ord",
     at = (blocks.withColumn("_at", F.coalesce(F.sum("n").over(in_file), F.lit(0)))
           .join(files, F.col("file") == F.col("_f"))
           .select("_f", F.col("_start").alias("_s"), "_first", "_at", "_file_at"))
+    named = F.col("file")
+    if folders:
+        # a folder's files are neighbours in path order
+        named = F.regexp_extract("file", r"\A(.*/)", 1)
+        of_folder = Window.partitionBy(F.regexp_extract("_f", r"\A(.*/)", 1))
+        at = (at.withColumn("_folder_at", F.min("_file_at").over(of_folder))
+              .withColumn("_at", F.col("_at") + F.col("_file_at") - F.col("_folder_at"))
+              .select("_f", "_s", "_first", "_at", F.col("_folder_at").alias("_file_at")))
     in_block = F.col("_at") + F.col("_id") - F.col("_first")
     numbered = (lines.join(at, (F.col("file") == F.col("_f")) & (F.col("_start") == F.col("_s")))
-                .select("file", in_block.alias(line_no), "value", (F.col("_file_at") + in_block).alias(out)))
+                .select(named.alias("file"), in_block.alias(line_no), "value", (F.col("_file_at") + in_block).alias(out)))
     return numbered, blocks
 
 

@@ -142,3 +142,42 @@ def test_line_numbers_hold_when_later_scans_are_split_otherwise(spark, tmp_path)
         assert blocks.count() > 1 and got == [(i, f"line {i}") for i in range(n)]
     finally:
         spark.conf.set(key, before)
+
+
+def test_a_languages_lines_are_numbered_over_its_part_files(spark, tmp_path):
+    """Records run over the part files of a folder in name order; a folder whose name begins another's is its own."""
+    from quarry.plans.jobs import two_line_records_job
+    want = []
+    for folder in ("lang=d", "lang=d-x", "lang=e"):
+        lines = [f"{folder} {i}" for i in range(23)]
+        (tmp_path / folder).mkdir()
+        for k, at in enumerate((0, 7, 8, 19)):
+            (tmp_path / folder / f"part-{k:05d}.txt").write_text("".join(f"{x}\n" for x in lines[at:(7, 8, 19, 23)[k]]))
+        want += [(folder, i // 2 + 1, "".join(lines[i:i + 2])) for i in range(0, 23, 2)]
+    got = two_line_records_job(spark, str(tmp_path), folders=True).collect()
+    assert sorted((r["file"].rstrip("/").rsplit("/", 1)[1], r["rec_no"], r["record"]) for r in got) == sorted(want)
+
+
+def test_no_task_writes_all_lines_of_a_language(spark, tmp_path):
+    from quarry.plans.catalog import QUERIES
+    from quarry.session import checkpoint_dir
+    rows_in = [(i, "en" if i else None, "\n".join(f"{i} line {j} " + "x" * 40 for j in range(3))) for i in range(2000)]
+    (spark.createDataFrame(rows_in, "doc_id long, lang string, text string").write.parquet(str(tmp_path / "documents.parquet")))
+    before = set(glob.glob(os.path.join(_local(checkpoint_dir(spark)), "quarry-language-lines-*")))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    was = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "false")                    # tiny ranges stay apart
+        got = QUERIES["file_two_line_records"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set(key, was)
+    out, = set(glob.glob(os.path.join(_local(checkpoint_dir(spark)), "quarry-language-lines-*"))) - before
+    sizes = [os.path.getsize(f) for f in glob.glob(os.path.join(out, "lang=en", "part-*"))]
+    assert len(sizes) > 3 and max(sizes) < sum(sizes) / 2
+    lines = [x for i, _, t in rows_in[1:] for x in t.split("\n")]
+    assert sorted((r["rec_no"], r["record"]) for r in got if r["lang"] == "en") == [
+        (i // 2 + 1, "".join(lines[i:i + 2])) for i in range(0, len(lines), 2)]
+
+
+def _local(path):
+    return path[5:] if path.startswith("file:") else path
