@@ -17,7 +17,7 @@ from quarry.functions.scalars import static_range_bucket
 from quarry.operators import distinct, graph, ordering, relational, stats, text, windows
 from quarry.session import scratch_path
 from quarry.sinks.text import write_lines
-from quarry.sources.tables import load, spread
+from quarry.sources.tables import PIECES, load, pieces_of, spread
 from quarry.plans import jobs
 from quarry.sources.text import (document_lines, first_two_tokens, key_value_on_tab, n_line_records_per_document,
                                  read_delimited, read_lines, read_multiline_json_objects, text_lines_numbered)
@@ -37,12 +37,12 @@ ORDINAL_BUCKET_WIDTH: int | str = ordering.AUTO
 
 # --- table stand-ins ------------------------------------------------------
 
-def _docs(spark, d):
-    return spread(load(spark, d, "documents").select("doc_id", "text"))
+def _docs(spark, d, pieces=0):
+    return spread(load(spark, d, "documents").select("doc_id", "text"), pieces)
 
 
-def _lines(spark, d):
-    return document_lines(_docs(spark, d))
+def _lines(spark, d, pieces=0):
+    return document_lines(_docs(spark, d, pieces))
 
 
 def _events(spark, d):
@@ -81,7 +81,7 @@ def _line_ordinals(spark, d):
     # execution cannot turn the text side into the broadcast side; the offsets
     # side is broadcast only when it measures under the threshold (else a
     # sort-merge join on doc_id).
-    docs = spread(scan.join(offs.select("doc_id", "_off"), "doc_id"), probe=scan)
+    docs = scan.join(offs.select("doc_id", "_off"), "doc_id").repartition(pieces_of(scan, 1))
     lines = docs.select("doc_id", "_off", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return (lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "line",
                          (F.col("_off") + F.col("line_no")).alias("ord")), total)
@@ -110,15 +110,15 @@ def q_token_total(spark, d):
 
 
 def q_bigram_count(spark, d):
-    return text.line_bigram_count(_lines(spark, d))
+    return text.line_bigram_count(_lines(spark, d, PIECES))
 
 
 def q_bigram_representative(spark, d):
-    return text.representative_per_count(text.line_bigram_count(_lines(spark, d)))
+    return text.representative_per_count(text.line_bigram_count(_lines(spark, d, PIECES)))
 
 
 def q_bigram_sentence(spark, d):
-    return text.sentence_bigram_count(_docs(spark, d))
+    return text.sentence_bigram_count(_docs(spark, d, PIECES))
 
 
 def q_bigram_cross_line(spark, d):
@@ -132,7 +132,7 @@ def q_bigram_cross_line_lines(spark, d):
 
 def q_bigram_count_two_round(spark, d):
     """First round per language, so a bigram has several partial counts; the second round merges them."""
-    docs = spread(load(spark, d, "documents").select("lang", "text"))
+    docs = spread(load(spark, d, "documents").select("lang", "text"), PIECES)
     words = (docs.select("lang", F.explode(F.split("text", "\n")).alias("line"))
              .select("lang", T.cleaned_words(F.col("line")).alias("_w")))
     first = (words.select("lang", F.explode(T.adjacent_pairs(F.col("_w"))).alias("bigram"))

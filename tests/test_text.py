@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -118,3 +120,24 @@ def test_json_path_count(spark):
 def test_java_split_without_compat(spark):
     lines = spark.createDataFrame([(" a a",), ("a",), ("",)], "line string")
     assert [tuple(r) for r in text.java_split_word_count(lines, java_compat=False).collect()] == [("a", 3)]
+
+
+@pytest.mark.parametrize("name", ["bigram_count", "bigram_representative", "bigram_sentence", "bigram_count_two_round"])
+def test_bigram_counts_of_a_task_are_of_a_piece_of_a_split(spark, tmp_path, name):
+    """With as many input splits as cores the rows are still dealt to smaller tasks: a task's counts are held in memory."""
+    import re
+    from collections import Counter
+
+    from quarry.plans.catalog import QUERIES
+    from quarry.sources.tables import PIECES, load
+    docs = [(i, f"a b{i % 7} c\nd a b", "en" if i % 2 else None) for i in range(80)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(8).write.parquet(str(tmp_path / "documents.parquet"))
+    splits = load(spark, str(tmp_path), "documents").rdd.getNumPartitions()
+    df = QUERIES[name](spark, str(tmp_path))
+    tasks = re.search(r"RoundRobinPartitioning\((\d+)\)", df._jdf.queryExecution().executedPlan().toString())
+    assert splits >= 4 and tasks and int(tasks.group(1)) == PIECES * splits
+    want = Counter(f"{a} {b}" for _, t, _ in docs for ws in map(str.split, t.split("\n")) for a, b in zip(ws, ws[1:]))
+    if name == "bigram_representative":
+        assert dict(rows(df, "n", "bigram")) == {n: min(x for x in want if want[x] == n) for n in want.values()}
+    else:
+        assert dict(rows(df, "bigram", "n")) == want
