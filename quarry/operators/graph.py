@@ -30,14 +30,20 @@ def neighbour_sets(pairs: DataFrame, a: str = "src", b: str = "dst") -> DataFram
 
 
 HEAVY_PAIRS = 1 << 22   # (in, out) pairs of a middle node that are still joined as rows
+CELL_PAIRS = 1 << 19    # pairs of a middle node that are joined in one piece, about
+TASK_PAIRS = 1 << 20    # pairs that one task joins, on average
+HUB_PAIRS = 1 << 23     # pairs through hubs that one task takes as bitmaps, on average
+HUB_BYTES = 1 << 26     # and the bitmaps' bytes
 CHUNK = 1 << 15         # bits of the engine's bitmaps
 
 
 def two_hop_links(edges: DataFrame, src: str = "src", dst: str = "dst", heavy_pairs: int = HEAVY_PAIRS) -> DataFrame:
     """Distinct (a, c) with a -> b -> c and c != a, over distinct directed edges. Runs jobs.
 
-    A middle node b with few (in, out) pairs gives them as rows. A hub does
-    not: its out-neighbours, numbered densely over all hubs, are bitmaps of
+    A middle node b with few (in, out) pairs gives them as rows, in tasks of
+    about ``TASK_PAIRS`` pairs however many edges there are: a task's distinct
+    links are held in its memory. A hub does not:
+    its out-neighbours, numbered densely over all hubs, are bitmaps of
     ``CHUNK`` numbers, each a gets those of its hubs, and ``or`` over the
     bitmaps makes an a's links through all hubs distinct before any of them is
     a row. So in x out / 8 bytes are shuffled for a hub instead of in x out
@@ -49,27 +55,51 @@ def two_hop_links(edges: DataFrame, src: str = "src", dst: str = "dst", heavy_pa
     second = e.select(F.col("s").alias("b"), F.col("d").alias("c"))
     n_in = first.groupBy("b").agg(F.count(F.lit(1)).alias("n_in"))
     n_out = second.groupBy("b").agg(F.count(F.lit(1)).alias("n_out"))
-    hubs = n_in.join(n_out, "b").where(F.col("n_in") * F.col("n_out") > heavy_pairs).select("b")
-    if not hubs.take(1):
-        return _links(first, second).distinct()
-    hubs = write_scratch(hubs, "hubs")
-    light = _links(first.join(hubs, "b", "left_anti"), second)
-    return light.unionByName(hub_links(first.join(hubs, "b", "left_semi"), second.join(hubs, "b", "left_semi"))).distinct()
-
-
-def _links(first: DataFrame, second: DataFrame) -> DataFrame:
-    return first.join(second, "b").where(F.col("c") != F.col("a")).select("a", "c")
+    middle = write_scratch(n_in.join(n_out, "b").select("b", (F.col("n_in") * F.col("n_out")).alias("pairs")), "middle-nodes")
+    heavy = F.col("pairs") > heavy_pairs
+    found = middle.agg(F.count_if(heavy).alias("hubs"), F.sum(F.when(~heavy, F.col("pairs"))).alias("pairs")).first()
+    light = _links(first, second, middle.where(~heavy), found["pairs"] or 0)
+    if not found["hubs"]:
+        return light.distinct()
+    hubs = middle.where(heavy).select("b")
+    through = hub_links(first.join(hubs, "b", "left_semi"), second.join(hubs, "b", "left_semi"))
+    return light.unionByName(through).distinct() if found["pairs"] else through
+
+
+def _links(first: DataFrame, second: DataFrame, middle: DataFrame, pairs: int) -> DataFrame:
+    """(a, c) through the nodes of ``middle``, which have so many pairs in all: each node's in cells of a share of its
+    in-edges with all its out-edges, the cells spread over tasks by the number of pairs."""
+    tasks = max(1, -(-pairs // TASK_PAIRS))
+    cells = middle.select("b", F.ceil(F.col("pairs") / CELL_PAIRS).cast("int").alias("cells"))
+    ins = first.join(cells, "b").select("a", "b", F.pmod(F.xxhash64("a"), "cells").cast("int").alias("cell"))
+    outs = second.join(cells, "b").select("b", "c", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"))
+    joined = ins.repartition(tasks, "b", "cell").join(outs.repartition(tasks, "b", "cell"), ["b", "cell"])
+    return joined.where(F.col("c") != F.col("a")).select("a", "c")
 
 
 def hub_links(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Distinct (a, c) over ``first`` (a, b) and ``second`` (b, c), distinct by bitmaps. Runs a job."""
+    """Distinct (a, c) over ``first`` (a, b) and ``second`` (b, c), distinct by bitmaps. Runs jobs.
+
+    Bitmaps end with their last set byte, so a hub with few out-neighbours is
+    a few bytes for each a. They are sorted by (a, chunk) in tasks of about
+    ``HUB_BYTES`` and ``HUB_PAIRS`` pairs, whose links are held in memory.
+    """
     numbered = global_rank(second.select("c").distinct(), ["c"], "rank").select(
         "c", F.expr(f"(rank - 1) div {CHUNK}").alias("chunk"), ((F.col("rank") - 1) % CHUNK).alias("bit"))
     names = numbered.groupBy("chunk").agg(F.transform(F.array_sort(F.collect_list(F.struct("bit", "c"))), lambda x: x["c"]).alias("cs"))
-    outs = second.join(numbered, "c").groupBy("b", "chunk").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    reached = first.join(outs, "b").groupBy("a", "chunk").agg(F.bitmap_or_agg("bits").alias("bits"))
+    last = F.floor(F.max("bit") / 8).cast("int") + 1
+    outs = (second.join(numbered, "c").groupBy("b", "chunk").agg(F.bitmap_construct_agg("bit").alias("bits"), last.alias("octets"), F.count(F.lit(1)).alias("n_out"))
+            .select("b", "chunk", F.substring("bits", F.lit(1), F.col("octets")).alias("bits"), "octets", "n_out"))
+    outs = write_scratch(outs, "hub-bitmaps")
+    sizes = outs.groupBy("b").agg(F.sum(F.col("octets") + 64).alias("bytes"), F.sum("n_out").alias("n_out"))
+    size = (first.groupBy("b").agg(F.count(F.lit(1)).alias("n_in")).join(sizes, "b")
+            .agg(F.sum(F.col("n_in") * F.col("bytes")).alias("bytes"), F.sum(F.col("n_in") * F.col("n_out")).alias("pairs")).first())
+    tasks = max(1, -(-(size["bytes"] or 0) // HUB_BYTES), -(-(size["pairs"] or 0) // HUB_PAIRS))
+    reached = (first.join(outs, "b").select("a", "chunk", "bits", "octets").repartition(tasks, "a", "chunk")
+               .groupBy("a", "chunk").agg(F.bitmap_or_agg("bits").alias("bits"), F.max("octets").alias("octets"))
+               .select("a", "chunk", F.substring("bits", F.lit(1), F.col("octets")).alias("bits")))
     number = lambda at: F.conv(F.hex(F.substring("bits", at + 1, F.lit(1))), 16, 10).cast("int")
-    octets = F.transform(F.sequence(F.lit(0), F.lit(CHUNK // 8 - 1)), number)
+    octets = F.transform(F.sequence(F.lit(0), F.octet_length("bits") - 1), number)
     bits_of = lambda v, i: F.filter(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.when(F.getbit(v, k) == 1, i * 8 + k)),
                                     lambda p: p.isNotNull())
     set_bits = F.flatten(F.transform(octets, lambda v, i: F.when(v > 0, bits_of(v, i)).otherwise(F.array().cast("array<int>"))))

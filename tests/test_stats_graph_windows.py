@@ -182,3 +182,22 @@ def test_common_neighbours_with_repeats(spark):
         lists.setdefault(u, []).append(v)
     want = sorted({(u, v, sum(x in set(lists.get(v, ())) for x in lists[u])) for u, v in known})
     assert rows(graph.common_neighbours(df, block=16)) == want == rows(graph.common_neighbours(df))
+
+
+def test_pairs_of_a_middle_node_are_spread_over_tasks(spark, monkeypatch):
+    """A node's pairs are joined in cells, in as many tasks as the pairs need: no task holds most of the links."""
+    monkeypatch.setattr(graph, "CELL_PAIRS", 300)
+    monkeypatch.setattr(graph, "TASK_PAIRS", 600)
+    ins, outs = [f"a{i}" for i in range(60)] + [None], [f"c{i}" for i in range(59)] + ["a1"]
+    edges = [(a, b) for a in ins for b in ("x", "y")] + [(b, c) for c in outs for b in ("x", "y")] + [("a1", "x")]
+    df = spark.createDataFrame(edges, "src string, dst string").repartition(3)
+    by = {}
+    for a, b in edges:
+        by.setdefault(a, set()).add(b)
+    want = sorted({(a, c) for a, b in edges if a is not None for c in by.get(b, ()) if c != a})
+    assert rows(graph.two_hop_links(df)) == want
+    first = df.where("src is not null").distinct().toDF("a", "b")
+    second = df.where("src is not null").distinct().toDF("b", "c")
+    middle = spark.createDataFrame([("x", 3600), ("y", 3600)], "b string, pairs long")
+    held = graph._links(first, second, middle, 7200).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in held) == 2 * (60 * 60 - 1) and max(r["count"] for r in held) < 3000
