@@ -77,8 +77,9 @@ def count_window_top_k(items: DataFrame, windows_ok: DataFrame | Column, item: s
         kept = items.join(windows_ok, "window_id", "left_semi")
     else:
         kept = items.where(windows_ok)
-    # counted partially per task before the exchange; the ranking then ships at
-    # most k rows per window and task
+    # items partitioned by window are counted and ranked where they are; others
+    # are counted partially per task before the exchange, and the ranking then
+    # ships at most k rows per window and task
     counts = kept.groupBy("window_id", item).agg(F.count(F.lit(1)).alias("n"))
     return top_k_per_group(counts, ["window_id"], [F.desc("n"), F.col(item)], k)
 

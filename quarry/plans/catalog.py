@@ -17,7 +17,7 @@ from quarry.functions.scalars import static_range_bucket
 from quarry.operators import distinct, graph, ordering, relational, stats, text, windows
 from quarry.session import scratch_path
 from quarry.sinks.text import write_lines
-from quarry.sources.tables import PIECES, load, pieces_of, spread
+from quarry.sources.tables import PIECES, WINDOW_PIECES, load, pieces_of, spread
 from quarry.plans import jobs
 from quarry.sources.text import (document_lines, first_two_tokens, key_value_on_tab, n_line_records_per_document,
                                  read_delimited, read_lines, read_multiline_json_objects, text_lines_numbered)
@@ -77,11 +77,10 @@ def _line_ordinals(spark, d):
     offs = ordering.bucketed_running_sum(counts, "doc_id", "_n", "_off", inclusive=False,
                                          bucket_width=ORDINAL_BUCKET_WIDTH)
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
-    # Join on the scan, then spread: the scan is not a query stage, so adaptive
-    # execution cannot turn the text side into the broadcast side; the offsets
-    # side is broadcast only when it measures under the threshold (else a
-    # sort-merge join on doc_id).
-    docs = scan.join(offs.select("doc_id", "_off"), "doc_id").repartition(pieces_of(scan, 1))
+    # Join on the scan: it is not a query stage, so adaptive execution cannot
+    # turn the text side into the broadcast side; the offsets side is broadcast
+    # only when it measures under the threshold (else a sort-merge join on doc_id).
+    docs = scan.join(offs.select("doc_id", "_off"), "doc_id")
     lines = docs.select("doc_id", "_off", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return (lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "line",
                          (F.col("_off") + F.col("line_no")).alias("ord")), total)
@@ -335,9 +334,17 @@ def q_count_window_running_sum(spark, d):
 
 
 def _line_windows(spark, d):
+    """Lines with their window, the lines of a window in one task.
+
+    Most words of a window are different, so its lines are far fewer bytes than
+    its counts: the lines are shuffled, and the counts made and ranked where
+    they are. The windows are spread over the cores by the same shuffle.
+    """
     lines, total = _line_ordinals(spark, d)
+    n = pieces_of(load(spark, d, "documents").select("doc_id", "text"), WINDOW_PIECES)
     wid = windows.window_id("ord", LINE_WINDOW_N)
-    return lines.withColumn("window_id", wid), windows.is_complete(F.col("window_id"), total, LINE_WINDOW_N)
+    return (lines.select(wid.alias("window_id"), "line").repartition(n, "window_id"),
+            windows.is_complete(F.col("window_id"), total, LINE_WINDOW_N))
 
 
 def q_count_window_word_top10(spark, d):

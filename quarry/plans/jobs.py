@@ -13,6 +13,7 @@ from quarry.functions.scalars import address_prefix, xor_of_byte_range
 from quarry.operators import graph, relational, stats, text, windows
 from quarry.sinks.text import (write_delimited, write_lines, write_static_ranges, write_total_order,
                                write_tuples)
+from quarry.sources.tables import WINDOW_PIECES, pieces_of
 from quarry.sources.text import (first_two_tokens, key_value_on_tab, n_line_records,
                                  positional_fields, read_delimited, read_lines,
                                  quarantine, read_multiline_json_objects, text_line_ordinals, text_lines_numbered)
@@ -250,7 +251,9 @@ def window_top_job(spark, src, n=TEXT_WINDOW_LINES, k=TEXT_WINDOW_TOP, bigrams=F
     complete window of ``n`` lines."""
     lines, blocks = text_lines_numbered(spark, src)
     total = blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()      # one row per input split
-    keyed = lines.withColumn("window_id", windows.window_id("ord", n))
+    # a window's lines are fewer bytes than its counts: they are shuffled, in tasks that hold few windows' counts
+    keyed = (lines.select(windows.window_id("ord", n).alias("window_id"), "value")
+             .repartition(pieces_of(read_lines(spark, src), WINDOW_PIECES), "window_id"))
     if bigrams:
         words = keyed.select("window_id", T.sentence_words(F.col("value")).alias("_sw"))
         items = words.select("window_id", F.explode(T.sentence_bigrams_of_words(F.col("_sw"))).alias("item"))

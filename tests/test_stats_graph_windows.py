@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -201,3 +203,25 @@ def test_pairs_of_a_middle_node_are_spread_over_tasks(spark, monkeypatch):
     middle = spark.createDataFrame([("x", 3600), ("y", 3600)], "b string, pairs long")
     held = graph._links(first, second, middle, 7200).groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert sum(r["count"] for r in held) == 2 * (60 * 60 - 1) and max(r["count"] for r in held) < 3000
+
+
+@pytest.mark.parametrize("item", ["word", "bigram"])
+def test_line_windows_ship_lines_not_their_counts(spark, tmp_path, item):
+    """Counts are made and ranked where a window's lines are; a window over several documents is whole."""
+    import re
+    from collections import Counter
+
+    from quarry.plans.catalog import QUERIES
+    docs = [(i, "\n".join(f"w{(i + j) % 3} w{j % 2} W{i % 4}, w0" for j in range(i % 5 + 1))) for i in range(30)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    df = QUERIES[f"count_window_{item}_top10"](spark, str(tmp_path))
+    assert not re.search(r"hashpartitioning\(window_id#\d+L?, \w+#", df._jdf.queryExecution().executedPlan().toString())
+    lines = [x for _, t in docs for x in t.split("\n")]
+    want = []
+    for w in range(len(lines) // 10):
+        n = Counter()
+        for line in lines[w * 10:w * 10 + 10]:
+            ws = re.findall(r"\w+", line if item == "word" else line.lower())
+            n.update(ws if item == "word" else [f"{a} {b}" for a, b in zip(ws, ws[1:])])
+        want += [(w, x, c, r) for r, (x, c) in enumerate(sorted(n.items(), key=lambda e: (-e[1], e[0]))[:10], 1)]
+    assert rows(df, "window_id", item, "n", "rank") == sorted(want)
